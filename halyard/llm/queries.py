@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from halyard.llm import token_counts
+from halyard.llm import token_counts, trie_bpe
 from halyard.llm.common import table
 
 
@@ -13,8 +14,19 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = trie_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op9_token_counts": op9_token_counts,
+    "op10_trie_bpe": op10_trie_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
