@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import token_counts, trie_bpe
+from halyard.llm import license_scan, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -25,6 +29,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_trie_bpe": op10_trie_bpe,
 }
