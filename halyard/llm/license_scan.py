@@ -30,6 +30,9 @@ NOTICES = {
     "cc-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
     "as-is": "The software is provided as is, without warranty of any kind, express or implied",
+    "mit-line": "Released under the MIT License",
+    "apache-line": "Licensed under the Apache License, Version 2.0",
+    "gpl-line": "This work is licensed under the GNU General Public License, version 3",
     "spdx": "SPDX-License-Identifier",
 }
 
