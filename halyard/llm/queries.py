@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import license_scan, token_counts, trie_bpe
+from halyard.llm import license_scan, simhash, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_simhash": op5_simhash,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_trie_bpe": op10_trie_bpe,
