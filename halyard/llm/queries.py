@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import license_scan, simhash, token_counts, trie_bpe
+from halyard.llm import license_scan, quality, simhash, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -33,6 +39,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality": op3_quality,
     "op5_simhash": op5_simhash,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
