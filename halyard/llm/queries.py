@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import license_scan, quality, simhash, token_counts, trie_bpe
+from halyard.llm import chat_format, license_scan, quality, simhash, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
@@ -16,6 +16,43 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"
+    added = spark.range(2).select(F.lit(-7).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(hard))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    chats = chat_format.format_chats(rows.withColumn("parts", chat_format.text_part(F.col("text"))))
+    back = chats.select("conv_id", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    masked = back.withColumn("loss", chat_format.loss_text(F.col("turns")))
+    return masked.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+#: The template's length is that of its marks, the role, and the text with one more character for each \, < and >.
+OP4_SQL = r"""
+WITH rows_in AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+  SELECT *, replace(replace(replace(text, '\', '\b'), '<', '\l'), '>', '\g') AS etext,
+            replace(replace(replace(role, '\', '\b'), '<', '\l'), '>', '\g') AS erole FROM rows_in
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, erole, etext)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, erole, etext) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(erole) + length(etext) + 15)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -40,10 +77,13 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality": op3_quality,
+    "op4_chat_format": op4_chat_format,
     "op5_simhash": op5_simhash,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_trie_bpe": op10_trie_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_format": OP4_SQL,
+}
