@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import chat_format, license_scan, quality, simhash, token_counts, trie_bpe
+from halyard.llm import chat_format, license_scan, media, quality, simhash, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
@@ -57,6 +57,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_columns(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "shard", "offset", "length", "width", "height"
+    )
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -79,6 +85,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_chat_format": op4_chat_format,
     "op5_simhash": op5_simhash,
+    "op7_media": op7_media,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_trie_bpe": op10_trie_bpe,
