@@ -162,7 +162,7 @@ def store_texts(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: st
     return slim.mapInArrow(task, f"id {kind}, {MANIFEST}")
 
 
-FEATURES = "digest string, member string, width int, height int, sample_bits int, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+FEATURES = "digest string, shard string, offset long, length long, member string, width int, height int, sample_bits int, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def read_media(places: DataFrame, root: str, headers_only: bool = False) -> DataFrame:
@@ -191,8 +191,8 @@ def read_media(places: DataFrame, root: str, headers_only: bool = False) -> Data
                     media = f.read_at(r["length"], r["offset"])
                     payload = from_png(media)
                     rest = [hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), hashlib.sha256(media).hexdigest(), feature(payload)]
-                out.append((r["digest"], info.name, width, height, bits, width * height * bits // 8, rest[0], rest[1], info.size, rest[2], rest[3]))
-            kinds = [pa.string()] * 2 + [pa.int32()] * 3 + [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                out.append((r["digest"], r["shard"], r["offset"], r["length"], info.name, width, height, bits, width * height * bits // 8, rest[0], rest[1], info.size, rest[2], rest[3]))
+            kinds = [pa.string()] * 2 + [pa.int64()] * 2 + [pa.string()] + [pa.int32()] * 3 + [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             names = [x.split()[0] for x in FEATURES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], t) for t in kinds], names=names)
         if f:
@@ -202,16 +202,16 @@ def read_media(places: DataFrame, root: str, headers_only: bool = False) -> Data
 
 
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", root: str | None = None) -> DataFrame:
-    """One row per row of docs: id, n_bytes, digest, shard, offset, length, and the columns of read_media.
+    """One row per row of docs: id, n_bytes, digest, and the columns of read_media.
 
     Texts are stored under root, by default in the shared checkpoint folder.
     Null and empty texts are payloads of one row of pad bytes; whole texts of
     any length are stored; equal payloads give equal values, from one stored
-    copy; repeated rows give repeated rows; a null id stays null; other columns
+    copy (what other tasks stored of it is read by nobody); repeated rows give repeated rows; a null id stays null; other columns
     are ignored. An empty table stores nothing and gives no rows.
     """
     root = root or f"{checkpoint_dir(docs.sparkSession)}/media-{uuid.uuid4().hex}"
     rows, _ = durable(store_texts(docs, root, id_col, text_col), "media-manifest")
     one = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("digest", "at.*")
     seen, _ = durable(read_media(one.repartition("shard").sortWithinPartitions("shard", "offset"), root), "media-features")
-    return rows.withColumnRenamed("id", id_col).join(seen, "digest")
+    return rows.select(F.col("id").alias(id_col), "n_bytes", "digest").join(seen, "digest")
