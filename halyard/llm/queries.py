@@ -6,10 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import chat_format, license_scan, media, quality, simhash, token_counts, trie_bpe
+from halyard.llm import chat_format, license_scan, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"), 200)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -82,6 +93,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality": op3_quality,
     "op4_chat_format": op4_chat_format,
     "op5_simhash": op5_simhash,
