@@ -6,10 +6,55 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import chat_format, license_scan, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
+from halyard.llm import chat_format, license_scan, line_templates, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.drop_templates(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("_lines").alias("n_lines"),
+        F.col("_dropped").alias("n_dropped"),
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_chars"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS ln, unnest(string_split(text, chr(10))) AS raw FROM documents
+), words AS (
+  SELECT doc_id, text, ln, string_split_regex(regexp_replace(trim(raw), '[^ \t\r\f]*[0-9][^ \t\r\f]*', '<*>', 'g'), '[ \t\r\f]+') AS w FROM lines
+), placed AS (
+  SELECT doc_id, text, ln, w, array_to_string([len(w)::VARCHAR, w[1], w[2], w[3]], chr(10)) AS leaf, array_to_string(w, ' ') AS line FROM words WHERE len(w) >= 3
+), kinds AS (
+  SELECT leaf, w, count(DISTINCT (doc_id, text)) AS docs FROM placed GROUP BY leaf, w
+), leaves AS (
+  SELECT leaf FROM kinds GROUP BY leaf HAVING sum(docs) >= 5
+), words_in AS (
+  SELECT leaf, w, docs, unnest(range(len(w))) AS place, unnest(w) AS word FROM kinds WHERE leaf IN (FROM leaves)
+), common AS (
+  SELECT leaf, place, word FROM words_in WHERE word <> '<*>' GROUP BY leaf, place, word HAVING sum(docs) >= 5
+), shaped AS (
+  SELECT leaf, w, string_agg(place || ' ' || word, chr(10) ORDER BY place) AS template FROM words_in JOIN common USING (leaf, place, word)
+  GROUP BY leaf, w HAVING count(*) >= 0.5 * len(w)
+), told AS (
+  SELECT p.doc_id, p.text, p.ln, p.leaf, coalesce(template, 'line ' || p.line) AS template
+  FROM placed p JOIN leaves USING (leaf) LEFT JOIN shaped s ON s.leaf = p.leaf AND s.w = p.w
+), again AS (
+  SELECT leaf, template, min(doc_id) AS first_id FROM told GROUP BY leaf, template HAVING count(DISTINCT (doc_id, text)) >= 5
+), ranked AS (
+  SELECT told.*, row_number() OVER (PARTITION BY leaf, template ORDER BY doc_id, ln) AS nth FROM told JOIN again USING (leaf, template)
+), gone AS (
+  SELECT DISTINCT doc_id, ln FROM ranked WHERE nth > 1
+)
+SELECT l.doc_id, count(*) AS n_lines, count(g.ln) AS n_dropped,
+  length(coalesce(string_agg(raw, chr(10) ORDER BY l.ln) FILTER (g.ln IS NULL), '')) AS kept_chars,
+  sha256(coalesce(string_agg(raw, chr(10) ORDER BY l.ln) FILTER (g.ln IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.ln = l.ln GROUP BY l.doc_id
+"""
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"), 200)
     return found.select(
@@ -93,6 +138,7 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_templates": op1_line_templates,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality": op3_quality,
     "op4_chat_format": op4_chat_format,
@@ -104,5 +150,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_templates": OP1_SQL,
     "op4_chat_format": OP4_SQL,
 }
