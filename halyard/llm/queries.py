@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import chat_format, license_scan, line_templates, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
+from halyard.llm import chat_format, decontaminate, license_scan, line_templates, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
 from halyard.llm.common import table
 
 
@@ -113,6 +113,28 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), items AS (
+  SELECT DISTINCT item_id, least(len(w), 5) AS width, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(2, len(w) - 3))]) AS s FROM b WHERE len(w) > 0
+), sizes AS (
+  SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id
+), docs AS (
+  SELECT DISTINCT doc_id, 5 AS width, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS s FROM d WHERE len(w) >= 5
+), shared AS (
+  SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (width, s) GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM shared JOIN sizes USING (item_id) WHERE 5 * n_shared >= 4 * n_shingles
+"""
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "shard", "offset", "length", "width", "height"
@@ -143,6 +165,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_chat_format": op4_chat_format,
     "op5_simhash": op5_simhash,
+    "op6_decontaminate": op6_decontaminate,
     "op7_media": op7_media,
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
@@ -152,4 +175,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_line_templates": OP1_SQL,
     "op4_chat_format": OP4_SQL,
+    "op6_decontaminate": OP6_SQL,
 }
