@@ -24,6 +24,8 @@ from halyard.llm.common import discard, durable, per_batch, texts, with_columns
 BUCKETS = 1 << 18
 #: Bound of the sample the hinge-loss model is fitted on; counts cover all rows.
 FIT_ROWS = 12_000
+#: Bits of the filter of labelled ids.
+FILTER_BITS = 1 << 22
 WORD = re.compile(r"\S+")
 CACHE_WORDS = 500_000
 
@@ -84,19 +86,31 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def indicator_rows(df: DataFrame, keep: list[str]) -> DataFrame:
-    """keep and f, the bucket numbers of each row's text."""
+def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A table of bits with a one where some key hashes to: what has none is no key. Its size is fixed."""
+    at = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at % 64))")).alias("ones"))
+    out = np.zeros(bits // 64, np.int64)
+    for r in words.toLocalIterator():
+        out[r["word"]] = r["ones"]
+    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+
+
+def indicator_rows(docs: DataFrame, maybe: np.ndarray) -> DataFrame:
+    """(doc_id, f): the bucket numbers of each text whose id is in the filter maybe."""
+    sent = docs.sparkSession.sparkContext.broadcast(maybe)
+    slim = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(len(maybe))).cast("int").alias("at"))
 
     def make():
         find = Indicators()
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return with_columns(batch, keep, f=pa.array([find(t) for t in texts(batch)], pa.list_(pa.int32())))
+            b = batch.filter(pa.array(sent.value[batch.column("at").to_numpy()]))
+            return with_columns(b, ["doc_id"], f=pa.array([find(t) for t in texts(b)], pa.list_(pa.int32())))
 
         return one
 
-    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in keep)
-    return per_batch(df.select(*keep, "text"), f"{kinds}, f array<int>", make)
+    return per_batch(slim, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, f array<int>", make)
 
 
 def class_counts(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -180,8 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     label. With one class or none, the model is the smoothed share of class 1.
     """
     y = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
-    rows = docs.select("doc_id", "text").where(~held_out()).join(y.where(~held_out()), "doc_id")
-    rows, path = durable(indicator_rows(rows, ["doc_id", "y"]), "quality-rows")
+    y, y_path = durable(y.where(~held_out()), "quality-labels")
+    # texts without a label stay where they are; of the others only the indicators move, by the same plan at any size
+    rows = indicator_rows(docs.where(~held_out()), key_filter(y, "doc_id")).join(y.hint("merge"), "doc_id")
+    rows, path = durable(rows, "quality-rows")
     sizes = dict(rows.groupBy("y").count().collect())
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not (n0 and n1):
@@ -194,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     keep = min(1.0, fit_rows / (n0 + n1))
     picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * keep) if keep < 1 else F.lit(True))
     sample = sorted(picked.select("doc_id", "y", "f").toLocalIterator(), key=lambda r: (r[0], r[1]))
-    discard(docs.sparkSession, path)
+    discard(docs.sparkSession, path, y_path)
     x = []
     for r in sample:
         at = np.array(r[2], np.int64)
