@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from halyard.plans import environment
+
 #: Plan modules; each has QUERIES and ORACLE_SQL.
-MODULES: tuple = ()
+MODULES: tuple = (environment,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
