@@ -66,7 +66,7 @@ def parse_number(c: Column) -> Column:
 
 
 def is_iso_date(c: Column) -> Column:
-    return c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$") & F.try_to_date(c, F.lit("yyyy-M-d")).isNotNull()
+    return c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$") & F.try_to_date(c, "yyyy-M-d").isNotNull()
 
 
 def parse_instant(c: Column) -> Column:

@@ -164,7 +164,7 @@ def parse_date(c: Column, year: Column | None = None) -> Column:
     """A date written 2026-04-30, 30/04/2026 or 30 avril 2026; without a year, in the given one; null if it is none."""
     t = fold_text(c)
     part = lambda p, i: F.regexp_extract(t, p, i)
-    make = lambda y, m, d: F.try_to_date(F.concat_ws("-", y, m, d), F.lit("yyyy-M-d"))
+    make = lambda y, m, d: F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-M-d")
     iso, number = r"\b(20\d{2})-(\d{1,2})-(\d{1,2})\b", r"\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b"
     word = rf"\b(\d{{1,2}})\s*(?:er)?\s+({MONTH_PATTERN})(?:\s+(20\d{{2}}))?\b"
     month = F.array_position(F.array(*map(F.lit, MONTHS)), part(word, 2)).cast("string")
@@ -223,7 +223,7 @@ def validity(docs: DataFrame, key: str, current_year: int, text: str = "text", t
     )
     inside = units.select(key, "position", "unit", F.posexplode(rows).alias("nth", "c"))
     named = F.nullif(F.regexp_extract(fold_text(F.col("title")), TITLE_YEAR, 1), F.lit(""))
-    day = lambda s: F.try_to_date(F.concat(named, F.lit(s)), F.lit("yyyy-MM-dd"))
+    day = lambda s: F.try_to_date(F.concat(named, F.lit(s)), "yyyy-MM-dd")
     titled = doc.select(key, F.lit(1 << 30).alias("position"), F.col("title").alias("unit"), F.lit(9).alias("nth"), found(day("-01-01"), day("-12-31"), F.lit(0.56), "title").alias("c"))
     every = inside.unionByName(titled).where("c.valid_from is not null or c.valid_to is not null")
     rank = F.struct(-F.col("c.confidence"), F.col("c.valid_from").isNull().alias("b"), F.col("c.valid_to").isNull().alias("d"), "position", "nth")

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halyard.plans import environment
+from halyard.plans import environment, landing
 
 #: Plan modules; each has QUERIES and ORACLE_SQL.
-MODULES: tuple = (environment,)
+MODULES: tuple = (environment, landing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

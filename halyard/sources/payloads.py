@@ -84,7 +84,7 @@ def flatten_matrix(payloads: DataFrame, anchor: Column) -> DataFrame:
     months = payloads.select(F.posexplode(F.from_json("payload", "array<array<array<string>>>")).alias("m", "days"))
     days = months.select("m", F.posexplode("days").alias("d", "values"))
     first = F.add_months(F.trunc(anchor, "month"), F.col("m"))
-    date = F.try_to_date(F.format_string("%s-%02d", F.date_format(first, "yyyy-MM"), F.col("d") + 1), F.lit("yyyy-MM-dd"))
+    date = F.try_to_date(F.format_string("%s-%02d", F.date_format(first, "yyyy-MM"), F.col("d") + 1), "yyyy-MM-dd")
     each = days.select(date.alias("date"), F.posexplode("values").alias("position", "v"))
     return each.where("date is not null").select("date", "position", _coefficient(F.col("v")).alias("coefficient")).where("coefficient is not null")
 
@@ -103,7 +103,7 @@ def flatten_keyed(payloads: DataFrame) -> DataFrame:
     deep = one.select(F.explode(F.map_values("o")).alias("v")).where("v like '[%'").select(F.explode(F.from_json("v", "array<map<string,string>>")).alias("o"))
     found = one.union(listed).union(deep).where("o is not null")
     values = lambda v: F.when(v.startswith("["), F.from_json(v, "array<string>")).otherwise(F.array(v))
-    day = lambda c: F.try_to_date(F.regexp_extract(F.trim(c), r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd"))
+    day = lambda c: F.try_to_date(F.regexp_extract(F.trim(c), r"^(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
     entries = found.select(F.explode("o").alias("k", "v"))
     named = entries.select(day(F.col("k")).alias("date"), F.explode(values(F.col("v"))).alias("c")).where("date is not null")
     dated = found.select(
