@@ -8,12 +8,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from halyard.functions.text import count_words, fold_text, host_allowed, is_official, normalize_spaces, short_hash
 from halyard.registry import NEGATIVE_WORDS, RELEVANT_WORDS
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(s: pd.Series) -> pd.Series:
     """Character references to characters; Spark has no function for it."""
     return s.map(html.unescape, na_action="ignore")
@@ -116,16 +117,16 @@ def top_links(found: DataFrame, k: int) -> DataFrame:
     return found.where("status <> 'existing'").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def ranked_links(found: DataFrame, year: int, limit: int, pdf: bool) -> DataFrame:
+def ranked_links(found: DataFrame, year: int, limit: int, pdf: bool, relevant: tuple[str, ...] = RELEVANT_WORDS, negative: tuple[str, ...] = NEGATIVE_WORDS) -> DataFrame:
     """Each page's PDF links, or its relevant page links on its own host, best first; negative words keep a page out."""
     url = F.col("dst_url")
     rows = found.where(is_pdf(url) if pdf else ~is_pdf(url))
     if not pdf:
         host = lambda c: F.lower(F.try_parse_url(c, F.lit("HOST")))
         signal = fold_text(F.concat_ws(" ", path_of(url), F.coalesce(F.try_parse_url(url, F.lit("QUERY")), F.lit("")), F.col("label")))
-        wanted = (count_words(signal, RELEVANT_WORDS) > 0) | path_of(url).rlike(r"-a\d+\.html$")
-        rows = rows.where((host(url) == host(F.col("src_url"))) & (count_words(signal, NEGATIVE_WORDS) == 0) & wanted & (url != canonical_url(F.col("src_url"))))
-    scored = rows.withColumn("score", relevance(url, F.col("label"), year))
+        wanted = (count_words(signal, relevant) > 0) | path_of(url).rlike(r"-a\d+\.html$")
+        rows = rows.where((host(url) == host(F.col("src_url"))) & (count_words(signal, negative) == 0) & wanted & (url != canonical_url(F.col("src_url"))))
+    scored = rows.withColumn("score", relevance(url, F.col("label"), year, relevant, negative))
     w = W.partitionBy("src_url").orderBy(F.desc("score"), F.length("dst_url"), "dst_url")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
 

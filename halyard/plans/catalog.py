@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halyard.plans import environment, landing
+from halyard.plans import documents, environment, landing
 
 #: Plan modules; each has QUERIES and ORACLE_SQL.
-MODULES: tuple = (environment, landing)
+MODULES: tuple = (environment, landing, documents)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
