@@ -20,11 +20,15 @@ def unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+# What is no visible text, what ends a line, and any other tag.
+HIDDEN = r"(?is)<(script|style|noscript|template)\b[^>]*>.*?</\1>"
+LINE_END = r"(?i)<\s*br\s*/?\s*>|</\s*(?:p|li|div|section|article|main|nav|header|footer|h[1-6]|tr|table)\s*>"
+TAG = r"<[^>]+>"
+
+
 def html_text(c: Column) -> Column:
     """Visible text: no scripts, styles or tags; block ends and breaks are line breaks; single spaces; no empty lines."""
-    bare = F.regexp_replace(c, r"(?is)<(script|style|noscript|template)\b[^>]*>.*?</\1>", " ")
-    lines = F.regexp_replace(bare, r"(?i)<\s*br\s*/?\s*>|</\s*(?:p|li|div|section|article|main|nav|header|footer|h[1-6]|tr|table)\s*>", "\n")
-    plain = unescape(F.regexp_replace(lines, r"<[^>]+>", " "))
+    plain = unescape(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, HIDDEN, " "), LINE_END, "\n"), TAG, " "))
     tidy = F.transform(F.split(plain, r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"), normalize_spaces)
     return F.array_join(F.filter(tidy, lambda x: x != ""), "\n")
 

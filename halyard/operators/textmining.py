@@ -58,12 +58,17 @@ def all_matches(folded: Column, dictionary: dict[str, tuple[str, ...]] = SPECIES
     return F.array_sort(F.array_compact(F.array(*[F.when(folded.rlike(_alias_pattern(a)), F.lit(n)) for n, a in dictionary.items()])))
 
 
+#: What a name may begin with, and where it ends, in folded text (fixed values).
+LEADS = (r"^(de|du|des|d')\s+", r"^(la|le|les|l')\s+", r"^(peche|peche sous marine)\s+(de|du|des)\s+")
+NAME_END = r"\b(par|pour|en)\b.*$"
+
+
 def name_stem(c: Column) -> Column:
     """A name as written in a rule, without brackets, articles and what follows par, pour, en."""
     name = F.regexp_replace(fold_text(c), r"\([^)]*\)", " ")
-    for lead in (r"^(de|du|des|d')\s+", r"^(la|le|les|l')\s+", r"^(peche|peche sous marine)\s+(de|du|des)\s+"):
+    for lead in LEADS:
         name = F.regexp_replace(name, lead, "")
-    return normalize_spaces(F.regexp_replace(name, r"\b(par|pour|en)\b.*$", ""))
+    return normalize_spaces(F.regexp_replace(name, NAME_END, ""))
 
 
 #: Names that are no species (fixed values).

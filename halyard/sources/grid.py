@@ -24,7 +24,10 @@ def inside_box(grid: DataFrame, spots: DataFrame, margin: float = 0.25) -> DataF
 
 
 def nearest_cells(grid: DataFrame, spots: DataFrame) -> DataFrame:
-    """(spot_id, grid columns): of a rectilinear grid, each spot's nearest latitude and nearest longitude; on ties the lower."""
+    """(spot_id, grid columns): of a rectilinear grid, each spot's nearest latitude and nearest longitude; on ties the lower.
+
+    An axis has few distinct values whatever the number of cells and times; it travels as one array.
+    """
     def nearest(axis: str, centre: str) -> DataFrame:
         values = grid.select(axis).distinct().groupBy().agg(F.array_sort(F.collect_list(axis)).alias("all"))
         far = lambda x: F.abs(x - F.col(centre))
