@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from halyard.operators import consolidate, merge
-from halyard.plans.adapters import METRICS, SV, WIDE, Plans, rounded, run_time, source_values, table
+from halyard.plans.adapters import SV, WIDE, Plans, rounded, run_time, source_values, table
 from halyard.sources import grid, landing, payloads
 from halyard.streaming import streams
 
