@@ -183,3 +183,9 @@ def merge_catalogue(known: DataFrame, discovered: DataFrame) -> DataFrame:
     both = known.withColumn("_seq", F.lit(0)).unionByName(discovered.where("status in ('auto_accepted', 'existing')").withColumn("_seq", F.lit(1)), allowMissingColumns=True)
     w = W.partitionBy("url").orderBy("source_priority", "_seq", "source_id")
     return both.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_seq").select(*known.columns)
+
+
+def cap_per_source(documents: DataFrame, source: str, order: str, cap: int = 45) -> DataFrame:
+    """Each source's first documents in collection order."""
+    w = W.partitionBy(source).orderBy(order)
+    return documents.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= cap).drop("_n")

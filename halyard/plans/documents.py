@@ -127,6 +127,28 @@ def link_expand(spark, d):
     return pages.expand(e, c.where("u < 20").select(node(F.col("u")).alias("url")), 4, 1000)
 
 
+@plans.add("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 45")
+def document_cap(spark, d):
+    return pages.cap_per_source(table(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 45)
+
+
+@plans.add("""SELECT o_orderkey, o_orderkey % 3 = 0 AS iso, o_orderdate + to_seconds(CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 1 THEN -7200 WHEN 2 THEN 5400 END) AS instant, o_orderkey % 2 = 0 AS official,
+  CASE o_orderkey % 3 WHEN 0 THEN 6.0 WHEN 1 THEN (o_orderkey % 100) / 2 END::DOUBLE AS number FROM orders""")
+def scalar_parse(spark, d):
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    iso = F.when(k % 3 == 0, day).when(k % 3 == 1, "2026-02-30").otherwise("n/a")
+    zone = F.when(k % 4 == 0, "Z").when(k % 4 == 1, "+02").when(k % 4 == 2, "-01:30").otherwise("?")
+    number = F.when(k % 3 == 0, "six").when(k % 3 == 1, F.replace(((k % 100) / 2).cast("string"), F.lit("."), F.lit(","))).otherwise("n/a")
+    return o.select(
+        "o_orderkey",
+        X.is_iso_date(iso).alias("iso"),
+        X.parse_instant(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), zone)).alias("instant"),
+        X.is_official(F.when(k % 2 == 0, "https://www.mer.gouv.fr/x").otherwise("https://gouv.fr.example.org/")).alias("official"),
+        X.parse_number(number).alias("number"),
+    )
+
+
 @plans.add(r"SELECT url AS src_url, 'http://x.example/' || page_id || '/a&b' AS dst_url FROM pages")
 def sitemap_links(spark, d):
     xml = F.concat(F.lit("<urlset><url><loc> http://x.example/"), F.col("page_id").cast("string"), F.lit("/a&amp;b#top </loc></url></urlset>"))
