@@ -19,6 +19,7 @@ Which windows of ``length`` bytes also start elsewhere is found exactly:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 from halyard.llm.common import discard, durable, texts
 
 #: Bytes of an anchor's k-gram; bytes hashed at once; kinds under one anchor before it is salted.
-GRAM, BLOCK, KINDS = 32, 1 << 21, 4096
+GRAM, BLOCK, KINDS = 32, 1 << 20, 4096
+#: Window starts that one task's index family is to hold, about.
+TASK_WINDOWS = 1_000_000
 POSITION_BITS = 22  # of a place in a block with its overlap
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -334,7 +337,9 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     sought = kinds.join(many, "anchor").select("one.*", F.struct("anchor", "kind", F.pmod("kind", salts).alias("salt"), (salts > 1).alias("salted"), "one.at", "one.n").alias("s"))
     by_text = sought.groupBy("id", "th").agg(F.collect_list("s").alias("sought"))
     cut, cut_path = durable(_slices(_with_text(slim, by_text, "inner"), length), "repeats-slices")
-    found, found_path = durable(repeated_windows(cut.repartition("anchor", "salt"), length), "repeats-found")
+    windows = cut.agg(F.sum("n")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(windows / TASK_WINDOWS))
+    found, found_path = durable(repeated_windows(cut.repartition(tasks, "anchor", "salt"), length), "repeats-found")
     discard(spark, cut_path, shared_path)
     windows = found.where("order is not null")
     twice = windows.groupBy("anchor", "order", "print").count().where("count > 1").drop("count")
