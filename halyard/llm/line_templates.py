@@ -24,16 +24,19 @@ BROADCAST_LEAVES = 500_000
 
 
 def masked(line: Column) -> Column:
-    return F.regexp_replace(F.trim(line), VARIABLE, FIELD)
+    """The line with its variable fields named and its words one space apart. Most lines need neither, and are only looked through."""
+    named = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, FIELD)).otherwise(line)
+    return F.when(line.rlike("[\\t\\r\\f]|  "), F.regexp_replace(named, BLANK, " ")).otherwise(named)
 
 
-def tree_lines(docs: DataFrame, leading: int, least_words: int, with_words: bool = False) -> DataFrame:
-    """(doc_id, th, at, leaf, m1, m2[, words]): every line of least_words words or more, with its leaf and two hashes of it."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line"))
-    words = lines.select("doc_id", "th", "at", masked(F.col("line")).alias("line")).withColumn("words", F.split("line", BLANK))
-    leaf = F.xxhash64(F.size("words"), *[F.get("words", F.lit(k)) for k in range(leading)])
+def tree_lines(docs: DataFrame, leading: int, least_words: int, with_line: bool = False) -> DataFrame:
+    """(doc_id, th, at, leaf, m1, m2[, line]): every line of least_words words or more, with its leaf and two hashes of it."""
+    cut = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line"))
+    lines = cut.withColumn("line", F.trim("line")).withColumn("line", masked(F.col("line")))
+    lines = lines.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= least_words)
+    leaf = F.xxhash64("n", F.substring_index("line", " ", leading))
     keep = ["doc_id", "th", "at", leaf.alias("leaf"), F.xxhash64("line").alias("m1"), F.xxhash64(F.lit(1), "line").alias("m2")]
-    return words.where(F.size("words") >= least_words).select(*keep, *(["words"] if with_words else []))
+    return lines.select(*keep, *(["line"] if with_line else []))
 
 
 def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True) -> DataFrame:
@@ -48,7 +51,7 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
     mixed = leaves.where("kinds > 1").select("leaf")
     if mixed.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES:
         mixed = F.broadcast(mixed)
-    texts = tree_lines(docs, leading, least_words, True).join(mixed, "leaf").groupBy(*kind).agg(F.first("words").alias("words"))
+    texts = tree_lines(docs, leading, least_words, True).join(mixed, "leaf").groupBy(*kind).agg(F.first("line").alias("line")).select(*kind, F.split("line", " ").alias("words"))
     sample, sample_path = durable(texts.join(in_docs, kind), "line-texts")
     placed = sample.select(*kind, "count", F.posexplode("words").alias("place", "word"))
     common = placed.groupBy("leaf", "place", "word").agg(F.sum("count").alias("docs")).where((F.col("docs") >= min_docs) & (F.col("word") != FIELD)).drop("docs")
@@ -75,7 +78,7 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
 
 
 def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True) -> DataFrame:
-    """docs, all its columns and rows, with the lines of recurring templates dropped; adds _lines and _dropped.
+    """docs, all its columns and rows, with the lines of recurring templates dropped; adds (or replaces) _lines and _dropped.
 
     A template recurs if min_docs different texts or more have it, by doc_id and
     text; its line in the smallest doc_id (nulls first, then by hash of the text
@@ -84,10 +87,16 @@ def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_w
     empty one has one line; a text may become empty. Repeated rows count as one
     document and get the same treatment. An empty table gives no rows.
     """
-    places = drop_places(docs, min_docs, leading, least_words, constant, keep_first).withColumnsRenamed({"doc_id": "_id", "th": "_th", "places": "_places"})
-    joined = docs.join(places, docs["doc_id"].eqNullSafe(places["_id"]) & (F.xxhash64(docs["text"]) == places["_th"]), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_places"), i)), "\n")
-    lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n")))
-    text = F.when(F.col("_places").isNull(), F.col("text")).otherwise(kept)
-    counts = [lines.cast("long").alias("_lines"), F.coalesce(F.size("_places"), F.lit(0)).cast("long").alias("_dropped")]
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns], *counts)
+    slim = docs.select("doc_id", "text")
+    places = drop_places(slim, min_docs, leading, least_words, constant, keep_first)
+    # the row travels as one column, so no name of its columns meets one of ours
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("h"))
+    # the same plan at every size: both sides go by their text's key
+    joined = rows.join(places.hint("merge"), rows["row.doc_id"].eqNullSafe(places["doc_id"]) & (rows["h"] == places["th"]), "left")
+    text, gone = F.col("row.text"), F.col("places")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n")
+    lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(F.split(text, "\n")))
+    new = F.when(gone.isNull(), text).otherwise(kept).alias("text")
+    counts = [lines.cast("long").alias("_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("_dropped")]
+    names = [c for c in docs.columns if c not in ("_lines", "_dropped")]
+    return joined.select(*[new if c == "text" else F.col("row").getField(c).alias(c) for c in names], *counts)
