@@ -258,9 +258,10 @@ def _by_join(docs: DataFrame, items: DataFrame, size: int, threshold: float) ->
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """The rows of docs, with all their columns, that contain no item. A null doc_id is judged by its own text."""
     if not fits(items):
-        keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text")))
-        bad = _by_join(keyed.select(F.col("_key").alias("doc_id"), "text"), items, size, threshold).select(F.col("doc_id").alias("_key")).distinct()
-        return keyed.join(bad, "_key", "left_anti").drop("_key")
+        rows = docs.select(F.struct(*docs.columns).alias("row"), F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"))
+        bad = _by_join(rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), items, size, threshold).select(F.col("doc_id").alias("key")).distinct()
+        left = rows.join(bad, rows["key"].eqNullSafe(bad["key"]), "left_anti")
+        return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
     sent = sent_search(items, size, threshold)
 
     def task(batches):
