@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from halyard.llm.common import checkpoint_dir, durable, texts
 
 #: Samples of a picture row; bytes of a tar shard, about; level of the picture's compression.
-ROW, SHARD_BYTES, LEVEL = 192, 16 << 20, 2
+ROW, SHARD_BYTES, LEVEL = 192, 16 << 20, 5
 PAD = b"\x20"
 PNG = b"\x89PNG\r\n\x1a\n"
 TAR_HEADER, PNG_HEADER = 512, 33
