@@ -62,6 +62,13 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of so many rows, for what a row becomes in Python."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def with_columns(batch: pa.RecordBatch, keep: list[str], **new: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new.values()], names=[*keep, *new])
 

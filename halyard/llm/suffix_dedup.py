@@ -29,10 +29,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.common import discard, durable, texts
+from halyard.llm.common import discard, durable, slices, texts
 
 #: Bytes of an anchor's k-gram; bytes hashed at once; kinds under one anchor before it is salted.
-GRAM, BLOCK, KINDS = 32, 1 << 20, 4096
+GRAM, BLOCK, KINDS = 32, 1 << 20, 512
 #: Window starts that one task's index family is to hold, about.
 TASK_WINDOWS = 1_000_000
 POSITION_BITS = 22  # of a place in a block with its overlap
@@ -147,7 +147,7 @@ def segment_rows(slim: DataFrame, length: int) -> DataFrame:
     """(id, th, at, n, anchor, kind): the segments of every text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             values = [t.encode() for t in texts(b)]
             hashes = np.array([text_hash(v) for v in values], np.int32)
             for who, places, data, bounds in blocks(values, length):
@@ -165,7 +165,7 @@ def packed_texts(slim: DataFrame) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in slices(batches):
             values = [t.encode() for t in texts(b)]
             cols = [b.column("id"), pa.array([text_hash(v) for v in values], pa.int32()), pa.array([pack.compress(v) for v in values], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "z"])
@@ -280,7 +280,7 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = IndexFamily(length)
         meta: list[np.ndarray] = []
-        for b in batches:
+        for b in slices(batches, 4000):
             if b.num_rows:
                 n = b.column("n").to_numpy()
                 places = family.add(b.column("data").to_pylist(), n)
@@ -363,7 +363,7 @@ def _slices(rows: DataFrame, length: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in slices(batches):
             out: list[tuple] = []
             for z, sought in zip(b.column("z"), b.column("sought").to_pylist(), strict=True):
                 data = unpack.decompress(z.as_py())
@@ -381,7 +381,7 @@ def _removed(rows: DataFrame, length: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in slices(batches):
             sizes, spans, kept = [], [], []
             for z, found in zip(b.column("z"), b.column("runs").to_pylist(), strict=True):
                 data = unpack.decompress(z.as_py())
