@@ -63,16 +63,16 @@ def fingerprints(text_list: list[str], size: int = 3) -> np.ndarray:
 
 
 def with_fingerprint(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): fp as a signed long."""
-    slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    """(id, h, fp): a hash of the text, and the fingerprint as a signed long."""
+    slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("h"))
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return with_columns(batch, ["id"], fp=pa.array(fingerprints(texts(batch), size).view(np.int64)))
+            return with_columns(batch, ["id", "h"], fp=pa.array(fingerprints(texts(batch), size).view(np.int64)))
 
         return one
 
-    return per_batch(slim, f"id {slim.schema['id'].dataType.simpleString()}, fp long", make)
+    return per_batch(slim, f"id {slim.schema['id'].dataType.simpleString()}, h long, fp long", make)
 
 
 def segments(m: int) -> list[tuple[int, int]]:
@@ -135,7 +135,7 @@ def near_links(fps: DataFrame, radius: int = 2, crowd: int = 32) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, radius: int = 2, size: int = 3, id_col: str = "doc_id", text_col: str = "text", crowd: int = 32) -> DataFrame:
-    """One row per row of docs: id, fp long, fingerprint (16 hex digits), component_id.
+    """One row per row of docs: id, h (hash of the text), fp long, fingerprint (16 hex digits), component_id.
 
     component_id is the smallest id reachable over links of at most radius
     differing bits, the row's own included. Equal fingerprints are linked,
@@ -152,12 +152,20 @@ def near_groups(docs: DataFrame, radius: int = 2, size: int = 3, id_col: str = "
     named, _ = durable(by_fp.join(smallest, "component").select("fp", "component_id"), "simhash-named")
     discard(docs.sparkSession, distinct_path, links_path)
     return prints.join(named, "fp").select(
-        F.col("id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("id").alias(id_col), "h", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def drop_near_copies(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
     """docs with one row of each group: that of the smallest doc_id; of its exact repeats, one."""
-    groups = near_groups(docs, radius, size).select("doc_id", "component_id").distinct()
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_kept"]), "left_semi").dropDuplicates(["doc_id"])
+    groups = near_groups(docs, radius, size)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key(F.col("doc_id")).alias("k"), "h").distinct()
+    # by one key through both steps and at every size: the texts are shuffled once
+    rows = docs.select(F.struct(*docs.columns).alias("row"), id_key(F.col("doc_id")).alias("k"), F.xxhash64("text").alias("h"))
+    kept = rows.join(first.hint("merge"), ["k", "h"], "left_semi").dropDuplicates(["k", "h"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def id_key(c: Column) -> Column:
+    """An id as a key that null has too."""
+    return F.coalesce(c.cast("string"), F.lit("null"))
