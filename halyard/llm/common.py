@@ -45,14 +45,13 @@ def discard(spark: SparkSession, *paths: str) -> None:
 
 
 def per_batch(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
-    """mapInArrow with a function that each task makes once."""
+    """mapInArrow with a function that each task makes once, on pieces of a thousand rows."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
-        for b in batches:
-            if b.num_rows:
-                fn = fn or make()
-                yield fn(b)
+        for b in slices(batches):
+            fn = fn or make()
+            yield fn(b)
 
     return df.mapInArrow(task, schema)
 

@@ -20,12 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.common import discard, durable, per_batch, texts
+from halyard.llm.common import discard, durable, per_batch, slices, texts
 from halyard.llm.license_scan import words_of
 
 #: Characters of item texts up to which the items go to every task; beyond it the search is a join.
 BROADCAST_CHARS = 20_000_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -265,7 +265,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, threshol
     sent = sent_search(items, size, threshold)
 
     def task(batches):
-        for b in batches:
+        for b in slices(batches):
             search = search_of(sent)
             yield b.filter(pa.array([not search.matches(t) for t in texts(b)], pa.bool_()))
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.common import discard, durable, per_batch, texts, with_columns
+from halyard.llm.common import discard, durable, per_batch, slices, texts, with_columns
 
 #: Buckets of the hashed indicators (a table of this length goes to every task).
 BUCKETS = 1 << 18
@@ -27,7 +27,7 @@ FIT_ROWS = 12_000
 #: Bits of the filter of labelled ids.
 FILTER_BITS = 1 << 22
 WORD = re.compile(r"\S+")
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 
 def shape(word: str) -> str:
@@ -258,7 +258,7 @@ def keep_accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> Data
 
     def task(batches):
         find = Indicators()
-        for b in batches:
+        for b in slices(batches):
             ok = [sent.value.score(find(t)) >= threshold for t in texts(b)]
             yield b.filter(pa.array(ok, pa.bool_()))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from halyard.llm.common import per_batch, texts, with_columns
 
 #: Distinct pre-tokens a worker remembers before it starts over, and that are merged together.
-CACHE_WORDS, MERGE_WORDS = 1_000_000, 50_000
+CACHE_WORDS, MERGE_WORDS = 300_000, 50_000
 SPACE = "▁"
 
 

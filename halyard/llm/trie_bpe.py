@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 
 from halyard.llm.common import per_batch, texts, with_columns
 
-#: Distinct words a worker remembers before it starts over.
-CACHE_WORDS = 1_000_000
+#: Distinct words, and seams of two tokens, that a worker remembers before it starts over.
+CACHE_WORDS, CACHE_SEAMS = 150_000, 250_000
 #: White space of Unicode, as the vocabulary's normaliser sees it.
 BLANK = "\t-\r \x85\xa0  -     　"
 NEVER = 1 << 60
@@ -84,7 +84,7 @@ class Vocabulary:
     def compatible(self, a: str, b: str) -> bool:
         known = self.seams.get((a, b))
         if known is None:
-            if len(self.seams) > 4 * CACHE_WORDS:
+            if len(self.seams) > CACHE_SEAMS:
                 self.seams.clear()
             known = self.seams[a, b] = self._seam(a, b, NEVER)
         return known
