@@ -23,26 +23,32 @@ VARIABLE = r"(?<![^ \t\r\f])[^ \t\r\f0-9]*+[0-9][^ \t\r\f]*+"
 BROADCAST_LEAVES = 500_000
 
 
-def masked(line: Column) -> Column:
-    """The line with its variable fields named and its words one space apart. Most lines need neither, and are only looked through."""
-    named = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, FIELD)).otherwise(line)
-    return F.when(line.rlike("[\\t\\r\\f]|  "), F.regexp_replace(named, BLANK, " ")).otherwise(named)
+def spaced(line: Column) -> Column:
+    """The line trimmed, its words one space apart. Most lines are so, and are only looked through."""
+    odd = line.contains("  ") | line.contains("\t") | line.contains("\r") | line.contains("\f")
+    return F.when(odd, F.regexp_replace(F.trim(line), BLANK, " ")).otherwise(F.trim(line))
 
 
-def tree_lines(docs: DataFrame, leading: int, least_words: int, with_line: bool = False) -> DataFrame:
-    """(doc_id, th, at, leaf, m1, m2[, line]): every line of least_words words or more, with its leaf and two hashes of it."""
+def tree_lines(docs: DataFrame, leading: int, with_line: bool = False) -> DataFrame:
+    """(doc_id, th, at, n, leaf, m1, m2[, line]): every line, its number of words, its leaf and two hashes of it.
+
+    Short lines are not filtered here: a filter would be moved to where the
+    lines are made and do the work on each of them a second time.
+    """
     cut = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line"))
-    lines = cut.withColumn("line", F.trim("line")).withColumn("line", masked(F.col("line")))
-    lines = lines.withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= least_words)
-    leaf = F.xxhash64("n", F.substring_index("line", " ", leading))
-    keep = ["doc_id", "th", "at", leaf.alias("leaf"), F.xxhash64("line").alias("m1"), F.xxhash64(F.lit(1), "line").alias("m2")]
+    lines = cut.withColumn("line", spaced(F.col("line")))
+    lines = lines.withColumn("line", F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", VARIABLE, FIELD)).otherwise(F.col("line")))
+    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    lines = lines.withColumn("n", n).withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", leading)))
+    keep = ["doc_id", "th", "at", "n", "leaf", F.xxhash64("line").alias("m1"), F.xxhash64(F.lit(1), "line").alias("m2")]
     return lines.select(*keep, *(["line"] if with_line else []))
 
 
 def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True) -> DataFrame:
     """(doc_id, th, places): the lines to drop, by number from 0, of each text that has any. See drop_templates."""
     spark = docs.sparkSession
-    lines, lines_path = durable(tree_lines(docs, leading, least_words), "lines")
+    lines, lines_path = durable(tree_lines(docs, leading), "lines")
+    lines = lines.where(F.col("n") >= least_words)
     kind = ["leaf", "m1", "m2"]
     in_docs, in_docs_path = durable(lines.groupBy(*kind, "doc_id", "th").agg(F.min("at").alias("at")).groupBy(*kind).count(), "line-kinds")
     leaves = in_docs.groupBy("leaf").agg(F.sum("count").alias("docs"), F.count("*").alias("kinds")).where(F.col("docs") >= min_docs)
@@ -51,7 +57,7 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
     mixed = leaves.where("kinds > 1").select("leaf")
     if mixed.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES:
         mixed = F.broadcast(mixed)
-    texts = tree_lines(docs, leading, least_words, True).join(mixed, "leaf").groupBy(*kind).agg(F.first("line").alias("line")).select(*kind, F.split("line", " ").alias("words"))
+    texts = tree_lines(docs, leading, True).join(mixed, "leaf").groupBy(*kind).agg(F.first("line").alias("line")).select(*kind, F.split("line", " ").alias("words"))
     sample, sample_path = durable(texts.join(in_docs, kind), "line-texts")
     placed = sample.select(*kind, "count", F.posexplode("words").alias("place", "word"))
     common = placed.groupBy("leaf", "place", "word").agg(F.sum("count").alias("docs")).where((F.col("docs") >= min_docs) & (F.col("word") != FIELD)).drop("docs")
