@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from halyard.llm import decontaminate, line_templates, quality, simhash, trie_bpe
 from halyard.llm.common import durable, table
 
+#: Words that less of a leaf's documents have at their place are values of a field, at every size of the table.
+FIELD_SHARE = 0.1
+
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier accepts; it learns from labelled documents that are not held out."""
@@ -22,7 +25,7 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of recurring templates; n_chars follows the text."""
-    kept = line_templates.drop_templates(docs).drop("_lines", "_dropped")
+    kept = line_templates.drop_templates(docs, share=FIELD_SHARE).drop("_lines", "_dropped")
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return kept.withColumn("n_chars", length).select(*docs.columns)
 

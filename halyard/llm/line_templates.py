@@ -44,7 +44,7 @@ def tree_lines(docs: DataFrame, leading: int, with_line: bool = False) -> DataFr
     return lines.select(*keep, *(["line"] if with_line else []))
 
 
-def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True) -> DataFrame:
+def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0) -> DataFrame:
     """(doc_id, th, places): the lines to drop, by number from 0, of each text that has any. See drop_templates."""
     spark = docs.sparkSession
     lines, lines_path = durable(tree_lines(docs, leading), "lines")
@@ -60,11 +60,18 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
     texts = tree_lines(docs, leading, True).join(mixed, "leaf").groupBy(*kind).agg(F.first("line").alias("line")).select(*kind, F.split("line", " ").alias("words"))
     sample, sample_path = durable(texts.join(in_docs, kind), "line-texts")
     placed = sample.select(*kind, "count", F.posexplode("words").alias("place", "word"))
-    common = placed.groupBy("leaf", "place", "word").agg(F.sum("count").alias("docs")).where((F.col("docs") >= min_docs) & (F.col("word") != FIELD)).drop("docs")
-    common, common_path = durable(common, "line-words")
-    constants = placed.join(common, ["leaf", "place", "word"], "left_semi")
-    shaped = constants.groupBy(*kind).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("place", "word"))).alias("template"))
-    general = sample.select(*kind, F.size("words").alias("words")).join(shaped, kind).where(F.col("n") >= constant * F.col("words"))
+    common = placed.groupBy("leaf", "place", "word").agg(F.sum("count").alias("docs")).where((F.col("docs") >= min_docs) & (F.col("word") != FIELD))
+    if share:
+        # a place's words that few of the leaf have are values of a field, however many documents those are
+        common = common.join(leaves.select("leaf", F.col("docs").alias("of")), "leaf").withColumn("wide", F.col("docs") >= share * F.col("of")).drop("of")
+    common, common_path = durable(common.drop("docs"), "line-words")
+    constants = placed.join(common, ["leaf", "place", "word"], "inner" if share else "left_semi")
+    held = F.struct("place", "word")
+    shapes = [F.array_sort(F.collect_list(F.when(F.col("wide"), held))), F.array_sort(F.collect_list(held))] if share else [F.array_sort(F.collect_list(held))]
+    shaped = constants.groupBy(*kind).agg(F.array(*shapes).alias("shapes"))
+    enough = F.filter("shapes", lambda t: F.size(t) >= constant * F.col("words"))
+    # the wider template, if it says enough, has all documents of the narrower
+    general = sample.select(*kind, F.size("words").alias("words")).join(shaped, kind).select(*kind, F.get(enough, F.lit(0)).alias("template")).where("template is not null")
     named = general.select(*kind, F.xxhash64("template").alias("t1"), F.xxhash64(F.lit(1), "template").alias("t2"))
     named, named_path = durable(named, "line-templates")
     # any other line of a crowded leaf is a template by itself
@@ -83,7 +90,7 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
     return out
 
 
-def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True) -> DataFrame:
+def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0) -> DataFrame:
     """docs, all its columns and rows, with the lines of recurring templates dropped; adds (or replaces) _lines and _dropped.
 
     A template recurs if min_docs different texts or more have it, by doc_id and
@@ -92,9 +99,14 @@ def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_w
     never dropped. Lines are cut at line feeds alone. A null text stays null; an
     empty one has one line; a text may become empty. Repeated rows count as one
     document and get the same treatment. An empty table gives no rows.
+
+    With share, words that less than this share of their leaf's documents have
+    at their place are taken as values of a field first; where too few words are
+    left for a template, the words of min_docs documents decide. So fields stay
+    fields when each of their values comes to min_docs documents.
     """
     slim = docs.select("doc_id", "text")
-    places = drop_places(slim, min_docs, leading, least_words, constant, keep_first)
+    places = drop_places(slim, min_docs, leading, least_words, constant, keep_first, share)
     # the row travels as one column, so no name of its columns meets one of ours
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("h"))
     # the same plan at every size: both sides go by their text's key

@@ -27,3 +27,15 @@ def test_run_gives_what_the_stages_give(spark):
 def test_stages_of_an_empty_table(spark, k):
     none = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert corpus_pipeline.STAGES[k][1](spark, none, SF).count() == 0
+
+
+def edited(spark, n):
+    """n documents, each with its own line and one line of two fields, of 20 and 50 values."""
+    rows = [(i, f"own{i} text here\nThis page was edited by {chr(97 + 7 * i % 20)}first {chr(97 + 7 * i // 20 % 50 // 25)}{chr(97 + 7 * i // 20 % 25)}last yesterday", "en", "s", 0) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.mark.parametrize("n", [100, 1000])
+def test_fields_are_found_at_every_size(spark, n):
+    left = corpus_pipeline.drop_recurring_lines(spark, edited(spark, n), SF)
+    assert left.where(F.col("text").contains("edited by")).count() == 1 and left.count() == n
