@@ -25,7 +25,7 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of recurring templates; n_chars follows the text."""
-    kept = line_templates.drop_templates(docs, share=FIELD_SHARE).drop("_lines", "_dropped")
+    kept = line_templates.drop_templates(docs, share=FIELD_SHARE, beyond=True).drop("_lines", "_dropped")
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return kept.withColumn("n_chars", length).select(*docs.columns)
 

@@ -44,7 +44,7 @@ def tree_lines(docs: DataFrame, leading: int, with_line: bool = False) -> DataFr
     return lines.select(*keep, *(["line"] if with_line else []))
 
 
-def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0) -> DataFrame:
+def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0, beyond: bool = False) -> DataFrame:
     """(doc_id, th, places): the lines to drop, by number from 0, of each text that has any. See drop_templates."""
     spark = docs.sparkSession
     lines, lines_path = durable(tree_lines(docs, leading), "lines")
@@ -69,7 +69,10 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
     held = F.struct("place", "word")
     shapes = [F.array_sort(F.collect_list(F.when(F.col("wide"), held))), F.array_sort(F.collect_list(held))] if share else [F.array_sort(F.collect_list(held))]
     shaped = constants.groupBy(*kind).agg(F.array(*shapes).alias("shapes"))
-    enough = F.filter("shapes", lambda t: F.size(t) >= constant * F.col("words"))
+    # all of a leaf have the leading words: with beyond these tell nothing
+    judged = F.col("words") - leading if beyond else F.col("words")
+    said = (lambda t: F.size(F.filter(t, lambda x: x["place"] >= leading))) if beyond else F.size
+    enough = F.filter("shapes", lambda t: (said(t) >= constant * judged) & (said(t) > 0))
     # the wider template, if it says enough, has all documents of the narrower
     general = sample.select(*kind, F.size("words").alias("words")).join(shaped, kind).select(*kind, F.get(enough, F.lit(0)).alias("template")).where("template is not null")
     named = general.select(*kind, F.xxhash64("template").alias("t1"), F.xxhash64(F.lit(1), "template").alias("t2"))
@@ -90,7 +93,7 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
     return out
 
 
-def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0) -> DataFrame:
+def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0, beyond: bool = False) -> DataFrame:
     """docs, all its columns and rows, with the lines of recurring templates dropped; adds (or replaces) _lines and _dropped.
 
     A template recurs if min_docs different texts or more have it, by doc_id and
@@ -104,9 +107,13 @@ def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_w
     at their place are taken as values of a field first; where too few words are
     left for a template, the words of min_docs documents decide. So fields stay
     fields when each of their values comes to min_docs documents.
+
+    With beyond, the words after the leading ones are asked for the constant
+    part, as the leading are equal in a leaf: lines that differ are one template
+    only if enough of what can differ is the same.
     """
     slim = docs.select("doc_id", "text")
-    places = drop_places(slim, min_docs, leading, least_words, constant, keep_first, share)
+    places = drop_places(slim, min_docs, leading, least_words, constant, keep_first, share, beyond)
     # the row travels as one column, so no name of its columns meets one of ours
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("h"))
     # the same plan at every size: both sides go by their text's key

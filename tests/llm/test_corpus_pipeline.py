@@ -39,3 +39,12 @@ def edited(spark, n):
 def test_fields_are_found_at_every_size(spark, n):
     left = corpus_pipeline.drop_recurring_lines(spark, edited(spark, n), SF)
     assert left.where(F.col("text").contains("edited by")).count() == 1 and left.count() == n
+
+
+@pytest.mark.parametrize("end", ["{}", "{} {}x", "{} {}x {}y"])
+def test_lines_alike_in_leading_words_alone_stay(spark, end):
+    own = ["".join(chr(97 + int(c)) for c in str(1000 + i)) for i in range(40)]
+    rows = [(i, "Was it that " + end.format(*[w] * 3), "en", "s", 0) for i, w in enumerate(own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_recurring_lines(spark, docs, SF)
+    assert sorted(r["text"] for r in left.collect()) == sorted(r[1] for r in rows)
