@@ -151,13 +151,15 @@ def series_flatten(spark, d):
 @plans.add("""WITH m AS (SELECT s_suppkey, s_nationkey, unnest(range(31)) AS dd FROM supplier WHERE s_nationkey < 12), c AS (SELECT try_cast(strftime(DATE '2026-01-01' + to_months(CAST(s_nationkey AS INTEGER)), '%Y-%m-') || lpad((dd + 1)::VARCHAR, 2, '0') AS DATE) AS date, s_suppkey % 130 AS c FROM m)
 SELECT date, max(c)::DOUBLE AS value, count(*) AS n FROM c WHERE date IS NOT NULL AND c BETWEEN 20 AND 120 GROUP BY date""")
 def matrix_flatten(spark, d):
-    """Coefficients of a year from suppliers: the nation is the month, each day has all its suppliers' numbers."""
-    s = table(spark, d, "supplier").where("s_nationkey < 12").groupBy("s_nationkey").agg(F.collect_list((F.col("s_suppkey") % 130).cast("string")).alias("v"))
-    months = s.select("s_nationkey", F.array_repeat("v", 31).alias("days"))
-    blank = spark.range(12).select(F.col("id").cast("int").alias("s_nationkey"))
-    full = blank.join(months, "s_nationkey", "left").select("s_nationkey", F.coalesce("days", F.array().cast("array<array<string>>")).alias("days"))
-    one = full.groupBy().agg(F.to_json(F.array_sort(F.collect_list(F.struct("s_nationkey", "days"))).getField("days")).alias("payload"))
-    c = payloads.flatten_matrix(one, F.lit("2026-01-01").cast("date"))
+    """Coefficients of a year from suppliers: the nation is the month, each day has all its suppliers' numbers.
+
+    A payload is one supplier's month at its place in the matrix, so no row grows with the table.
+    """
+    s = table(spark, d, "supplier").where("s_nationkey < 12")
+    before = F.array_repeat(F.array().cast("array<array<string>>"), F.col("s_nationkey").cast("int"))
+    days = F.array_repeat(F.array((F.col("s_suppkey") % 130).cast("string")), 31)
+    each = s.select(F.to_json(F.concat(before, F.array(days))).alias("payload"))
+    c = payloads.flatten_matrix(each, F.lit("2026-01-01").cast("date"))
     return payloads.daily_coefficients(c).join(c.groupBy("date").agg(F.count("*").alias("n")), "date")
 
 
@@ -256,11 +258,14 @@ def stream_upsert(spark, d):
     landed, out, marks = (landing.scratch(spark, x) for x in ("upsert-in", "upsert-out", "upsert-marks"))
     e = table(spark, d, "events").select("event_id", "user_id", "event_type")
     for k in range(3):
-        e.where(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(landed)
-    stream = streams.landed_stream(spark, landed, "event_id long, user_id long, event_type string", "parquet", 1)
+        e.where(F.col("event_id") % 3 == k).repartition("user_id").write.mode("append").parquet(landed)
+    # three batches at every size
+    files = len(spark.read.parquet(landed).inputFiles())
+    stream = streams.landed_stream(spark, landed, "event_id long, user_id long, event_type string", "parquet", -(-files // 3))
     streams.upsert_stream(stream, out, ["user_id"], marks, "event_id").awaitTermination()
-    # versions arrive in no order of event_id, so the last of each key is taken over all
-    return spark.read.parquet(out).groupBy("user_id").agg(F.max("event_id").alias("event_id"), (F.count("event_type") > 0).alias("seen"))
+    # versions arrive in no order of event_id, so the sequence decides and not the batch
+    rows = streams.current_rows(spark, out, ["user_id"], "event_id")
+    return rows.select("user_id", "event_id", F.col("event_type").isNotNull().alias("seen"))
 
 
 @plans.add("SELECT user_id, CAST(ts AS DATE) AS day, count(*) > 0 AS fired FROM events GROUP BY ALL")

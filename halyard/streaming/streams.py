@@ -50,9 +50,11 @@ def upsert_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+def current_rows(spark: SparkSession, path: str, keys: list[str], seq: str | None = None) -> DataFrame:
+    """The table's rows, one a key: of the highest seq, and of the last batch among these or without seq."""
     rows = spark.read.parquet(path)
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), "batch").alias("r")).select(*keys, "r.*").drop("batch")
+    last = F.struct(*([seq] if seq else []), "batch")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), last).alias("r")).select(*keys, "r.*").drop("batch")
 
 
 def once_a_day(alerts: DataFrame, key: str = "alert_id", time: str = "valid_time", late: str = "1 day") -> DataFrame:

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from halyard.functions import numbers
 from halyard.operators import alerts, consolidate, merge, tides, training
+from halyard.plans import landing as plans
 from halyard.sources import grid, landing, payloads
+from halyard.streaming import streams
 
+SF = "/root/testdata/sf0.001"
 ROW = "spot_id string, source_code string, valid_time string, metric string, value double, unit string"
 def run():
     return F.to_timestamp(F.lit("2026-05-19 16:29:00"))
@@ -169,6 +172,33 @@ def test_coefficients(spark):
     assert len(hours) == 24 and {r["value"] for r in hours} == {84.0}
 
 
+def test_a_matrix_comes_in_many_payloads(spark, monkeypatch):
+    seen, flatten = [], payloads.flatten_matrix
+    monkeypatch.setattr(payloads, "flatten_matrix", lambda p, anchor: seen.append(p) or flatten(p, anchor))
+    sf = "/root/testdata/sf0.01"
+    assert plans.matrix_flatten(spark, sf).count() == 365
+    months = spark.read.parquet(f"{sf}/supplier.parquet").where("s_nationkey < 12").count()
+    assert seen[0].count() == months > 1 and seen[0].select(F.max(F.length("payload"))).first()[0] < 1000
+
+
+def test_current_rows_go_by_sequence(spark, tmp_path):
+    for batch, rows in enumerate([[("a", 5, "new"), ("b", 1, "x")], [("a", 3, "late"), ("b", 2, "y")]]):
+        spark.createDataFrame(rows, "k string, n int, v string").write.parquet(f"{tmp_path}/batch={batch}")
+    assert sorted(tuple(r) for r in streams.current_rows(spark, str(tmp_path), ["k"], "n").collect()) == [("a", 5, "new"), ("b", 2, "y")]
+    assert sorted(r["n"] for r in streams.current_rows(spark, str(tmp_path), ["k"]).collect()) == [2, 3]
+
+
+def test_upsert_query_reads_the_table(spark, monkeypatch):
+    seen, current = [], streams.current_rows
+    monkeypatch.setattr(streams, "current_rows", lambda s, path, *a: seen.append((s.read.parquet(path), a)) or current(s, path, *a))
+    got = {r["user_id"]: r["event_id"] for r in plans.stream_upsert(spark, SF).collect()}
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert got == {r[0]: r[1] for r in events.groupBy("user_id").agg(F.max("event_id")).collect()}
+    table, how = seen[0]
+    assert how == (["user_id"], "event_id") and table.select("batch").distinct().count() == 3
+    assert table.groupBy("batch", "user_id").count().where("count > 1").count() == 0
+
+
 def test_column_arrays(spark):
     p = spark.createDataFrame([("s", '{"hourly":{"time":["2026-05-01T00:00","bad","2026-05-01T02:00"],"w":[36,1,null],"r":[1.5]},"hourly_units":{"w":"km/h"}}'), ("t", "no json")], "spot_id string, payload string")
     got = sorted((r["valid_time"].hour, r["metric"], r["value"]) for r in payloads.flatten_hourly(p, {"w": "wind_speed", "r": "precipitation"}).collect())
