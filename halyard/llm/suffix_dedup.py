@@ -1,4 +1,4 @@
-"""Removal of long repeated byte strings with a logarithmic family of suffix arrays.
+"""Removal of long repeated byte strings with a logarithmic family of sorted window fingerprints.
 
 Which windows of ``length`` bytes also start elsewhere is found exactly:
 
@@ -7,12 +7,14 @@ Which windows of ``length`` bytes also start elsewhere is found exactly:
    have equal anchors, so only segments whose anchor occurs twice go on.
 2. Segments equal as a whole are counted; all their windows repeat. One of each
    kind is left to be compared with the other kinds under its anchor.
-3. The bytes of those go, by anchor, to tasks that keep a family of suffix
-   arrays: each arriving batch gets a suffix array of its window starts, in
-   order of leading bytes and fingerprint of the window; it is merge-scanned
-   against the existing levels for matches of the full length, which are
-   verified byte by byte; what is new becomes the lowest level, and levels of
-   about equal size merge, so they grow geometrically.
+3. The bytes of those go, by anchor, to tasks that keep a family of sorted
+   arrays of window starts, in order of four leading bytes and then of the
+   window's fingerprint. That is no suffix order beyond the four bytes: only
+   windows equal in full length are sought, and any order that puts these side
+   by side finds them. Each arriving batch is sorted and looked up in the
+   existing levels for equal fingerprints, which are verified byte by byte; what
+   is new becomes the lowest level, and levels of about equal size merge, so
+   they grow geometrically.
 4. An anchor with very many kinds is salted over several tasks. Each then also
    emits its distinct windows, one row each, and Spark groups these.
 """
@@ -174,7 +176,7 @@ def packed_texts(slim: DataFrame) -> DataFrame:
 
 
 class Level:
-    """A suffix array: window starts in order of leading bytes and fingerprint."""
+    """Window starts in order of leading bytes and fingerprint."""
 
     def __init__(self, order: np.ndarray, print_: np.ndarray, where: np.ndarray):
         self.order, self.print, self.where = order, print_, where
@@ -189,7 +191,7 @@ class Level:
 
 
 class IndexFamily:
-    """Suffix arrays of batches of segments, in levels that grow geometrically."""
+    """Sorted window starts of batches of segments, in levels that grow geometrically."""
 
     def __init__(self, length: int):
         self.length, self.levels = length, []
