@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is named, as in tests."""
+    """The shared folder the cluster names; where none is named, a folder of our own in local mode, as in tests, else an error."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all machines share")
         conf = "file://" + tempfile.mkdtemp(prefix="halyard-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
@@ -44,18 +49,73 @@ def discard(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+@contextmanager
+def memory_returned():
+    """Give memory back when a task is over: workers live on between tasks and stages, beside whatever runs next."""
+    try:
+        yield
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def per_batch(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """mapInArrow with a function that each task makes once, on pieces of a thousand rows."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
         for b in slices(batches):
             fn = fn or make()
             yield fn(b)
 
+    return arrow_task(df, work, schema)
+
+
+def arrow_task(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow that gives memory back at each task's end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with memory_returned():
+            yield from work(batches)
+
     return df.mapInArrow(task, schema)
 
 
+class Remembered:
+    """What a worker knows of keys it has met, in two generations bounded by bytes: the older goes when the younger is full."""
+
+    #: Bytes of an entry beside its text, about.
+    ENTRY = 160
+
+    def __init__(self, limit: int):
+        self.half, self.young, self.old, self.size = limit // 2, {}, {}, 0
+
+    def find(self, keys: Collection[str]) -> tuple[dict, list[str]]:
+        """What is known of these keys, and those of which nothing is."""
+        young, old, found, new, again = self.young, self.old, {}, [], {}
+        for k in keys:
+            v = young.get(k)
+            if v is None:
+                v = old.get(k)
+                if v is None:
+                    new.append(k)
+                    continue
+                again[k] = v
+            found[k] = v
+        self.add(again)
+        return found, new
+
+    def add(self, entries: dict) -> None:
+        for k, v in entries.items():
+            if self.size > self.half:
+                self.old, self.young, self.size = self.young, {}, 0
+            self.young[k] = v
+            self.size += len(k) + (len(v) if isinstance(v, bytes) else 0) + self.ENTRY
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The strings of a column, null as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

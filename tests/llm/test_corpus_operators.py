@@ -59,6 +59,34 @@ def test_encoding_and_decoding_equal_the_library():
     assert c.decode(ids) == t.decode_batch(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("word", ["abcdefghijklmnopqrstuvwxyz", "ab", "e"])
+def test_words_of_any_length_take_memory_in_proportion(word):
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    rng, t, c = random.Random(4), Tokenizer.from_file(WORDS), trie_bpe.codec(WORDS)
+    long = "".join(rng.choice(word) for _ in range(100_000))
+    tracemalloc.start()
+    got = c.encode([long, long[:50_000] + "q"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [x.ids for x in t.encode_batch([long, long[:50_000] + "q"], add_special_tokens=False)]
+    assert peak < 300e6
+
+
+def test_words_forgotten_between_batches_are_encoded_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from halyard.llm.common import Remembered
+
+    t, c = Tokenizer.from_file(WORDS), trie_bpe.Codec(WORDS)
+    c.known = Remembered(2000)
+    for seed in range(6):
+        own = random_texts(40, seed % 3)
+        assert c.encode(own) == [x.ids for x in t.encode_batch(own, add_special_tokens=False)]
+
+
 def test_encoding_of_every_case(spark):
     got = trie_bpe.encode_decode(cases(spark), WORDS).collect()
     assert len(got) == len(CASES) and sum(len(r["ids"]) == 0 for r in got) == 4
