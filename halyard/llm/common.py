@@ -12,6 +12,11 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+#: Bytes of a batch of rows on its way to a Python worker, unless the session asks for less.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,8 +79,11 @@ def per_batch(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
     return arrow_task(df, work, schema)
 
 
-def arrow_task(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow that gives memory back at each task's end."""
+def arrow_task(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """mapInArrow on batches of bounded bytes, whatever the length of texts, that gives memory back at each task's end."""
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not conf.get(limit).removesuffix("b").isdigit() or int(conf.get(limit).removesuffix("b")) > BATCH_BYTES:
+        conf.set(limit, str(BATCH_BYTES))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with memory_returned():

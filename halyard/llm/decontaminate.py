@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.common import discard, durable, per_batch, slices, texts
+from halyard.llm.common import arrow_task, discard, durable, per_batch, slices, texts
 from halyard.llm.license_scan import words_of
 
 #: Characters of item texts up to which the items go to every task; beyond it the search is a join.
@@ -269,4 +269,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, threshol
             search = search_of(sent)
             yield b.filter(pa.array([not search.matches(t) for t in texts(b)], pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return arrow_task(docs, task, docs.schema)

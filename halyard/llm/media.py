@@ -24,7 +24,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.common import checkpoint_dir, durable, texts
+from halyard.llm.common import arrow_task, checkpoint_dir, durable, texts
 
 #: Samples of a picture row; bytes of a tar shard, about; level of the picture's compression.
 ROW, SHARD_BYTES, LEVEL = 192, 16 << 20, 5
@@ -159,7 +159,7 @@ def store_texts(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: st
         if rows:
             yield flush(id_type)
 
-    return slim.mapInArrow(task, f"id {kind}, {MANIFEST}")
+    return arrow_task(slim, task, f"id {kind}, {MANIFEST}")
 
 
 FEATURES = "digest string, shard string, offset long, length long, member string, width int, height int, sample_bits int, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -198,7 +198,7 @@ def read_media(places: DataFrame, root: str, headers_only: bool = False) -> Data
         if f:
             f.close()
 
-    return places.select("digest", "shard", "offset", "length").mapInArrow(task, FEATURES)
+    return arrow_task(places.select("digest", "shard", "offset", "length"), task, FEATURES)
 
 
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", root: str | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.common import discard, durable, per_batch, slices, texts, with_columns
+from halyard.llm.common import arrow_task, discard, durable, per_batch, slices, texts, with_columns
 
 #: Buckets of the hashed indicators (a table of this length goes to every task).
 BUCKETS = 1 << 18
@@ -125,7 +125,7 @@ def class_counts(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
         y, at = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(total[y, at])], names=["y", "bucket", "n"])
 
-    got = rows.select("y", "f").mapInArrow(add, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = arrow_task(rows.select("y", "f"), add, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros((2, buckets))
     out[got["y"], got["bucket"]] = got["n"]
     return out
@@ -262,4 +262,4 @@ def keep_accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> Data
             ok = [sent.value.score(find(t)) >= threshold for t in texts(b)]
             yield b.filter(pa.array(ok, pa.bool_()))
 
-    return docs.select(*names).mapInArrow(task, docs.schema)
+    return arrow_task(docs.select(*names), task, docs.schema)
