@@ -5,9 +5,17 @@ Which windows of ``length`` bytes also start elsewhere is found exactly:
 1. Each text's windows are grouped into segments: runs of window starts that
    share their anchor, the least-hashed k-gram inside the window. Equal windows
    have equal anchors, so only segments whose anchor occurs twice go on.
-2. Segments equal as a whole are counted; all their windows repeat. One of each
-   kind is left to be compared with the other kinds under its anchor.
-3. The bytes of those go, by anchor, to tasks that keep a family of sorted
+2. Segments equal as a whole (by a hash of 128 bits) are counted; all their
+   windows repeat. One of each kind is left to be compared with the other kinds
+   under its anchor.
+3. Where an anchor has very many kinds, these are cut again, by the anchor's
+   place in the window: windows with it in the farther half of the places have
+   the bytes before it in common, those of the nearer half the bytes after it.
+   A hash of what the windows of a half must share is their new key, so equal
+   windows still meet, and each segment becomes two rows at most. Equal pieces
+   are counted as in 2, and crowded keys are cut again; after eight cuts at most
+   a piece is one window, all of it in the key.
+4. The bytes of what is left go, by key, to tasks that keep a family of sorted
    arrays of window starts, in order of four leading bytes and then of the
    window's fingerprint. That is no suffix order beyond the four bytes: only
    windows equal in full length are sought, and any order that puts these side
@@ -15,14 +23,13 @@ Which windows of ``length`` bytes also start elsewhere is found exactly:
    existing levels for equal fingerprints, which are verified byte by byte; what
    is new becomes the lowest level, and levels of about equal size merge, so
    they grow geometrically.
-4. An anchor with very many kinds is salted over several tasks. Each then also
-   emits its distinct windows, one row each, and Spark groups these.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +38,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halyard.llm.common import discard, durable, slices, texts
+from halyard.llm.common import arrow_task, discard, durable, slices, texts
 
-#: Bytes of an anchor's k-gram; bytes hashed at once; kinds under one anchor before it is salted.
+#: Bytes of an anchor's k-gram; bytes hashed at once; kinds under one key before it is cut again.
 GRAM, BLOCK, KINDS = 32, 1 << 20, 512
 #: Window starts that one task's index family is to hold, about.
 TASK_WINDOWS = 1_000_000
@@ -87,6 +94,13 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(backward[: n - w + 1], forward[w - 1 : n])
 
 
+def contents(data: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of 128 bits of the runs of data from first to end, as rows of two numbers."""
+    view, digest = memoryview(data), xxhash.xxh3_128_digest
+    each = b"".join(digest(view[a:b]) for a, b in zip(first.tolist(), end.tolist(), strict=True))
+    return np.frombuffer(each, np.int64).reshape(-1, 2)
+
+
 def block_segments(data: bytes, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Segments of texts that lie one after another in data.
 
@@ -96,7 +110,7 @@ def block_segments(data: bytes, bounds: np.ndarray, length: int) -> tuple[np.nda
     x = np.frombuffer(data, np.uint8)
     empty = np.zeros(0, np.int64)
     if len(x) < length:
-        return empty, empty, empty, empty, empty
+        return empty, empty, empty, empty, empty.reshape(0, 2)
     roll = Rolling(x)
     grams = roll.all(GRAM)
     mask = np.uint64((1 << POSITION_BITS) - 1)
@@ -107,15 +121,11 @@ def block_segments(data: bytes, bounds: np.ndarray, length: int) -> tuple[np.nda
     inside = starts + length <= bounds[own + 1]
     starts, own, anchor = starts[inside], own[inside], anchor[inside]
     if not len(starts):
-        return empty, empty, empty, empty, empty
+        return empty, empty, empty, empty, empty.reshape(0, 2)
     cut = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])])
     last = np.r_[cut[1:], len(starts)] - 1
     first, count = starts[cut], last - cut + 1
-    ends = first + count + length - 1
-    view = memoryview(data)
-    digest = xxhash.xxh3_64_intdigest
-    content = np.fromiter((digest(view[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)), np.uint64, len(first))
-    return own[cut], first - bounds[own[cut]], count, grams[anchor[cut]].view(np.int64), content.view(np.int64)
+    return own[cut], first - bounds[own[cut]], count, grams[anchor[cut]].view(np.int64), contents(data, first, first + count + length - 1)
 
 
 def blocks(values: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], bytes, np.ndarray]]:
@@ -142,11 +152,13 @@ def text_hash(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) & 0x7FFFFFFF
 
 
-SEGMENT = "th int, at int, n int, anchor long, kind long"
+SEGMENT = "th int, at int, n int, anchor long, kind long, more long"
+#: A kind's name under its anchor.
+KIND = ["anchor", "kind", "more"]
 
 
 def segment_rows(slim: DataFrame, length: int) -> DataFrame:
-    """(id, th, at, n, anchor, kind): the segments of every text."""
+    """(id, th, at, n, anchor, kind, more): the segments of every text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -156,10 +168,10 @@ def segment_rows(slim: DataFrame, length: int) -> DataFrame:
                 own, at, n, anchor, kind = block_segments(data, bounds, length)
                 if len(own):
                     row = np.array(who)[own]
-                    cols = [b.column("id").take(pa.array(row)), *map(pa.array, (hashes[row], (at + np.array(places)[own]).astype(np.int32), n.astype(np.int32), anchor, kind))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "at", "n", "anchor", "kind"])
+                    cols = [b.column("id").take(pa.array(row)), *map(pa.array, (hashes[row], (at + np.array(places)[own]).astype(np.int32), n.astype(np.int32), anchor, kind[:, 0], kind[:, 1]))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "at", "n", *KIND])
 
-    return slim.mapInArrow(task, f"id {slim.schema['id'].dataType.simpleString()}, {SEGMENT}")
+    return arrow_task(slim, task, f"id {slim.schema['id'].dataType.simpleString()}, {SEGMENT}")
 
 
 def packed_texts(slim: DataFrame) -> DataFrame:
@@ -172,7 +184,7 @@ def packed_texts(slim: DataFrame) -> DataFrame:
             cols = [b.column("id"), pa.array([text_hash(v) for v in values], pa.int32()), pa.array([pack.compress(v) for v in values], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "z"])
 
-    return slim.mapInArrow(task, f"id {slim.schema['id'].dataType.simpleString()}, th int, z binary")
+    return arrow_task(slim, task, f"id {slim.schema['id'].dataType.simpleString()}, th int, z binary")
 
 
 class Level:
@@ -268,16 +280,12 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True))
 
 
-FOUND = "anchor long, kind long, first int, last int, order long, print long, sure boolean"
+FOUND = "anchor long, kind long, more long, first int, last int"
+SLICE = "anchor long, kind long, more long, n int, data binary"
 
 
 def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
-    """rows: (anchor, salted, kind, n, data), all of an anchor and salt in one task.
-
-    Returns runs (first, last) of window starts that repeat; and for salted
-    anchors a row for each distinct window, with its order and print, and
-    whether it is sure to repeat.
-    """
+    """rows: SLICE, all of an anchor in one task. Returns the runs (first, last) of window starts that repeat."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = IndexFamily(length)
@@ -286,35 +294,86 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
             if b.num_rows:
                 n = b.column("n").to_numpy()
                 places = family.add(b.column("data").to_pylist(), n)
-                meta.append(np.stack([places, n, b.column("anchor").to_numpy(), b.column("kind").to_numpy(), b.column("salted").to_numpy(zero_copy_only=False)]))
+                meta.append(np.stack([places, n, *(b.column(c).to_numpy() for c in KIND)]))
         if not meta:
             return
-        place, n, anchor, kind, salted = np.concatenate(meta, axis=1)
-        names = [x.split()[0] for x in FOUND.split(", ")]
-
-        def out(i: np.ndarray, first, last, order, print_, sure) -> pa.RecordBatch:
-            cols = [anchor[i], kind[i], np.asarray(first, np.int32), np.asarray(last, np.int32), order, print_, sure]
-            return pa.RecordBatch.from_arrays([pa.array(c) if c is not None else pa.nulls(len(i), t) for c, t in zip(cols, [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.bool_()], strict=True)], names=names)
-
+        place, n, *kind = np.concatenate(meta, axis=1)
         who, first, last = [], [], []
         for i in range(len(place)):
             for a, z in runs(family.again[place[i] : place[i] + n[i]]):
                 who.append(i)
                 first.append(a)
                 last.append(z)
-        if who:
-            yield out(np.array(who), first, last, None, None, None)
-        if salted.any():
-            for level in family.levels:
-                own = np.searchsorted(place, level.where, side="right") - 1
-                pick = salted[own] == 1
-                own, where = own[pick], level.where[pick]
-                off = where - place[own]
-                for a in range(0, len(own), 100_000):
-                    s = slice(a, a + 100_000)
-                    yield out(own[s], off[s], off[s], level.order[pick][s].view(np.int64), level.print[pick][s].view(np.int64), family.again[where[s]])
+        yield pa.RecordBatch.from_arrays([*(pa.array(k[who]) for k in kind), pa.array(first, pa.int32()), pa.array(last, pa.int32())], names=[*KIND, "first", "last"])
+
+    return arrow_task(rows, task, FOUND)
 
-    return rows.mapInArrow(task, FOUND)
+
+def cut_again(rows: DataFrame, length: int) -> DataFrame:
+    """Pieces of crowded segments: of each, the windows with the anchor in the nearer and in the farther half of its places.
+
+    rows: SLICE with least, most (the places their anchors may have in a window)
+    and off (that in the first window; null: to be found). Returns the piece's
+    own SLICE, least, most and off, the segment it is from, and which of its
+    windows is the piece's first.
+    """
+    names = [x.split()[0] for x in CUT.split(", ")]
+    kinds = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[x.split()[1]] for x in CUT.split(", ")]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            out: list[tuple] = []
+            for r in b.to_pylist():
+                data, n, off = r["data"], r["n"], r["off"]
+                if off is None:
+                    grams = Rolling(np.frombuffer(data[:length], np.uint8)).all(GRAM)
+                    off = int(np.flatnonzero(grams.view(np.int64) == r["anchor"])[0])
+                middle = (r["least"] + r["most"] + 1) // 2
+                far = min(n, max(0, off - middle + 1))  # windows before this one have the anchor in the farther half
+                for first, end, least, most in ((0, far, middle, r["most"]), (far, n, r["least"], middle - 1)):
+                    if first < end:
+                        piece = data[first : end + length - 1]
+                        shared = data[off - least : off + length - most]
+                        key = xxhash.xxh3_64_intdigest(shared, least * length + most) - (1 << 63)
+                        kind, more = np.frombuffer(xxhash.xxh3_128_digest(piece), np.int64).tolist()
+                        out.append((key, kind, more, end - first, piece, least, most, off - first, r["anchor"], r["kind"], r["more"], first))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    return arrow_task(rows, task, CUT)
+
+
+CUT = SLICE + ", least int, most int, off int, of_anchor long, of_kind long, of_more long, start int"
+
+
+def _windows_of(sized: DataFrame, length: int) -> tuple[DataFrame, list[str]]:
+    """Repeated windows of kinds (SLICE, size: kinds of the anchor) as FOUND, those of pieces told as their segments'; and the paths it reads."""
+    spark = sized.sparkSession
+    sized = sized.withColumns({"least": F.lit(0), "most": F.lit(length - GRAM), "off": F.lit(None).cast("int")})
+    calm, cuts, alike, paths = [], [], [], []
+    while True:
+        final = (F.col("size") <= KINDS) | (F.col("least") == F.col("most"))
+        calm.append(sized.where(final).select(*KIND, "n", "data"))
+        crowded = sized.where(~final)
+        if crowded.isEmpty():
+            break
+        pieces, pieces_path = durable(cut_again(crowded.drop("size"), length), "repeats-pieces")
+        cuts.append(pieces.select(*KIND, "of_anchor", "of_kind", "of_more", "start"))
+        one = [F.first(c).alias(c) for c in ("n", "data", "least", "most", "off")]
+        now, now_path = durable(pieces.groupBy(*KIND).agg(F.count("*").alias("copies"), *one), "repeats-alike")
+        alike.append(now.where("copies > 1").select(*KIND, F.lit(0).alias("first"), (F.col("n") - 1).alias("last")))
+        sizes = now.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1")
+        sized, sized_path = durable(now.drop("copies").join(sizes, "anchor"), "repeats-sized")
+        paths += [pieces_path, now_path, sized_path]
+    sought = reduce(DataFrame.union, calm)
+    windows = sought.agg(F.sum("n")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(windows / TASK_WINDOWS))
+    found, found_path = durable(repeated_windows(sought.repartition(tasks, "anchor"), length), "repeats-found")
+    up = found.limit(0)
+    for equal, cut in zip(reversed(alike), reversed(cuts), strict=True):
+        here = found.union(equal).union(up).join(cut, KIND)
+        up = here.select(F.col("of_anchor").alias("anchor"), F.col("of_kind").alias("kind"), F.col("of_more").alias("more"), F.col("start") + F.col("first"), F.col("start") + F.col("last"))
+    return found.union(up), [*paths, found_path]
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -325,6 +384,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     included; kept: the other bytes. Texts are UTF-8, null as empty; those
     shorter than length have no spans. A repeated row is a copy like any other,
     and gives a repeated row. A null id stays null. Other columns are ignored.
+    An empty table gives no rows.
     """
     spark = docs.sparkSession
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
@@ -332,26 +392,19 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     shared, shared_path = durable(segments.groupBy("anchor").count().where("count > 1").select("anchor"), "repeats-anchors")
     met, met_path = durable(segments.join(shared, "anchor", "left_semi"), "repeats-met")
     discard(spark, segments_path)
-    kinds, kinds_path = durable(met.groupBy("anchor", "kind").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th", "at", "n")).alias("one")), "repeats-kinds")
+    kinds, kinds_path = durable(met.groupBy(*KIND).agg(F.count("*").alias("copies"), F.min(F.struct("id", "th", "at", "n")).alias("one")), "repeats-kinds")
     many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     many, many_path = durable(many, "repeats-many")
-    salts = F.ceil(F.col("kinds") / KINDS)
-    sought = kinds.join(many, "anchor").select("one.*", F.struct("anchor", "kind", F.pmod("kind", salts).alias("salt"), (salts > 1).alias("salted"), "one.at", "one.n").alias("s"))
+    sought = kinds.join(many, "anchor").select("one.*", F.struct(*KIND, "kinds", "one.at", "one.n").alias("s"))
     by_text = sought.groupBy("id", "th").agg(F.collect_list("s").alias("sought"))
     cut, cut_path = durable(_slices(_with_text(slim, by_text, "inner"), length), "repeats-slices")
-    windows = cut.agg(F.sum("n")).first()[0] or 0
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(windows / TASK_WINDOWS))
-    found, found_path = durable(repeated_windows(cut.repartition(tasks, "anchor", "salt"), length), "repeats-found")
-    discard(spark, cut_path, shared_path)
-    windows = found.where("order is not null")
-    twice = windows.groupBy("anchor", "order", "print").count().where("count > 1").drop("count")
-    salted = windows.where("not sure").join(twice, ["anchor", "order", "print"], "left_semi").select("anchor", "kind", "first", "last")
-    whole = kinds.where("copies > 1").select("anchor", "kind", F.lit(0).alias("first"), (F.col("one.n") - 1).alias("last"))
-    bits = found.where("order is null").select("anchor", "kind", "first", "last").union(salted).union(whole)
-    decided, decided_path = durable(bits.groupBy("anchor", "kind").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "repeats-decided")
-    placed = met.join(decided, ["anchor", "kind"]).select("id", "th", F.transform("runs", lambda r: F.struct((F.col("at") + r["first"]).alias("first"), (F.col("at") + r["last"]).alias("last"))).alias("runs"))
+    found, found_paths = _windows_of(cut, length)
+    whole = kinds.where("copies > 1").select(*KIND, F.lit(0).alias("first"), (F.col("one.n") - 1).alias("last"))
+    decided, decided_path = durable(found.union(whole).groupBy(*KIND).agg(F.collect_list(F.struct("first", "last")).alias("runs")), "repeats-decided")
+    discard(spark, cut_path, shared_path, *found_paths)
+    placed = met.join(decided, KIND).select("id", "th", F.transform("runs", lambda r: F.struct((F.col("at") + r["first"]).alias("first"), (F.col("at") + r["last"]).alias("last"))).alias("runs"))
     per_text, _ = durable(placed.groupBy("id", "th").agg(F.flatten(F.collect_list("runs")).alias("runs")), "repeats-runs")
-    discard(spark, met_path, kinds_path, many_path, found_path, decided_path)
+    discard(spark, met_path, kinds_path, many_path, decided_path)
     return _removed(_with_text(slim, per_text, "left"), length).withColumnRenamed("id", id_col)
 
 
@@ -369,12 +422,12 @@ def _slices(rows: DataFrame, length: int) -> DataFrame:
             out: list[tuple] = []
             for z, sought in zip(b.column("z"), b.column("sought").to_pylist(), strict=True):
                 data = unpack.decompress(z.as_py())
-                out += [(s["anchor"], s["salt"], s["salted"], s["kind"], s["n"], data[s["at"] : s["at"] + s["n"] + length - 1]) for s in sought]
+                out += [(s["anchor"], s["kind"], s["more"], s["kinds"], s["n"], data[s["at"] : s["at"] + s["n"] + length - 1]) for s in sought]
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["anchor", "salt", "salted", "kind", "n", "data"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[*KIND, "size", "n", "data"])
 
-    return rows.mapInArrow(task, "anchor long, salt long, salted boolean, kind long, n int, data binary")
+    return arrow_task(rows, task, "anchor long, kind long, more long, size long, n int, data binary")
 
 
 def _removed(rows: DataFrame, length: int) -> DataFrame:
@@ -398,4 +451,4 @@ def _removed(rows: DataFrame, length: int) -> DataFrame:
                 kept.append(b"".join(data[a:e] for a, e in zip([0, *(m[1] for m in merged)], [*(m[0] for m in merged), len(data)], strict=True)))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["id", "n_bytes", "spans", "kept"])
 
-    return rows.mapInArrow(task, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, spans array<struct<first:long,end:long>>, kept binary")
+    return arrow_task(rows, task, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, spans array<struct<first:long,end:long>>, kept binary")

@@ -241,7 +241,7 @@ def brute_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize(("kinds", "windows"), [(4096, 1_000_000), (3, 2000)])
+@pytest.mark.parametrize(("kinds", "windows"), [(4096, 1_000_000), (3, 2000), (1, 2000)])
 def test_repeats_equal_brute_force(spark, monkeypatch, kinds, windows):
     monkeypatch.setattr(suffix_dedup, "KINDS", kinds)
     monkeypatch.setattr(suffix_dedup, "TASK_WINDOWS", windows)
@@ -251,11 +251,38 @@ def test_repeats_equal_brute_force(spark, monkeypatch, kinds, windows):
     for i in range(60):
         b, p = rng.choice(base), rng.randrange(300)
         rows.append((10 + i, rng.choice([b[:p] + str(i) + b[p:], f"{i} " * 9 + b[p : p + 230] + " end"])))
-    got = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 200).collect()
     want = brute_repeats([(t or "").encode() for _, t in rows], 200)
     assert sorted((repr(r["doc_id"]), bytes(r["kept"]), len(r["spans"])) for r in got) == sorted((repr(i), k, n) for (i, _), (k, n) in zip(rows, want, strict=True))
 
 
+@pytest.mark.parametrize("kinds", [512, 8])
+def test_a_passage_in_many_contexts_equals_brute_force(spark, monkeypatch, kinds):
+    """One anchor in very many different segments: passages shorter and longer than a window, each in a context of its own."""
+    monkeypatch.setattr(suffix_dedup, "KINDS", kinds)
+    rng = random.Random(18)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [some(n) for n in (60, 150, 199, 200, 203, 420)]
+    rows = [(i, some(rng.randrange(40, 260)) + passages[i % 6] + some(rng.randrange(40, 260))) for i in range(150)]
+    rows += [(1000 + i, rows[i][1]) for i in range(6)] + [(2000 + i, rows[6 * i][1][30:] + "!") for i in range(10)]
+    got = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 200).collect()
+    want = brute_repeats([t.encode() for _, t in rows], 200)
+    assert sorted((r["doc_id"], bytes(r["kept"]), len(r["spans"])) for r in got) == sorted((i, k, n) for (i, _), (k, n) in zip(rows, want, strict=True))
+
+
+def test_pieces_are_few_rows_however_many_windows(spark):
+    rng = random.Random(19)
+    data = "".join(rng.choice("abcdefgh ") for _ in range(360)).encode()
+    own, at, n, anchor, kind = suffix_dedup.block_segments(data, np.array([0, 360]), 200)
+    rows = [(int(a), int(k[0]), int(k[1]), int(c), data[p : p + c + 199], 0, 168, None) for p, c, a, k in zip(at, n, anchor, kind, strict=True)]
+    schema = suffix_dedup.SLICE + ", least int, most int, off int"
+    df = spark.createDataFrame([(a, k, m, c, bytearray(d), x, y, z) for a, k, m, c, d, x, y, z in rows], schema)
+    got = suffix_dedup.cut_again(df, 200).collect()
+    assert len(got) <= 2 * len(rows) and sum(r["n"] for r in got) == 161
+    for r in got:
+        assert r["least"] <= r["off"] - r["n"] + 1 and r["off"] <= r["most"] and len(r["data"]) == r["n"] + 199
+
+
 def test_blocks_hold_every_window_once(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK", 64)
     texts = [bytes([65 + i]) * n for i, n in enumerate((0, 10, 64, 65, 300, 1))]
@@ -279,9 +306,8 @@ def test_levels_grow_geometrically():
 
 def test_repeats_of_every_case(spark):
     got = suffix_dedup.repeated_spans(cases(spark), 40).collect()
-    want = brute_repeats([(t or "").encode() for _, t in CASES if len(t or "") < 1000], 40)
-    short = [r for r in got if r["n_bytes"] < 1000]
-    assert sorted((bytes(r["kept"]), len(r["spans"])) for r in short) == sorted(want)
+    want = brute_repeats([(t or "").encode() for _, t in CASES], 40)
+    assert sorted((bytes(r["kept"]), len(r["spans"])) for r in got) == sorted(want)
     assert suffix_dedup.repeated_spans(empty(spark)).count() == 0
 
 
