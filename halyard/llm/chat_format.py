@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from halyard.functions.text import bound
+
 PART_TYPE = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
 #: Tokens an attachment expands to: one for each begun image patch, each begun audio frame, and so many a page.
 PATCH_PIXELS, FRAME_SECONDS, PAGE_TOKENS = 14, 0.04, 512
@@ -101,16 +103,39 @@ def read_back(formatted: Column) -> Column:
     return F.zip_with(roles, bodies, lambda r, b: F.struct(unescape(r).alias("role"), unescape(b).alias("text")))
 
 
-def loss_text(turns: Column, loss_role: str = "assistant") -> Column:
-    """What the loss mask covers: the texts of loss_role's turns, in order, nothing between."""
-    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == loss_role), lambda t: t["text"]), "")
+def loss_text(formatted: Column, spans: Column) -> Column:
+    """What the loss mask covers of a formatted text, spans in order with nothing between, as the texts were: placeholders out, escapes undone."""
+    covered = F.array_join(F.transform(spans, lambda s: F.substr(formatted, s["first"] + 1, s["length"])), "")
+    return unescape(F.regexp_replace(covered, r"\\[iad][0-9]+;", ""))
 
 
 def loss_spans(formatted: Column, loss_role: str = "assistant") -> Column:
-    """Where the mask lies in a formatted text: (first, length) in characters from 0, escapes and placeholders included."""
-    bodies = F.split(formatted, CLOSE)
-    sized = F.transform(bodies, lambda b: F.struct(F.length(b).alias("n"), F.substring_index(F.substr(b, F.lit(len(OPEN) + 1)), MIDDLE, 1).alias("role")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,length:int>>").alias("spans"))
-    head = lambda t: F.length(t["role"]) + len(OPEN) + len(MIDDLE)
-    step = lambda s, t: F.struct((s["at"] + t["n"] + len(CLOSE)).alias("at"), F.when(t["role"] == loss_role, F.concat(s["spans"], F.array(F.struct((s["at"] + head(t)).alias("first"), (t["n"] - head(t)).alias("length"))))).otherwise(s["spans"]).alias("spans"))
-    return F.aggregate(sized, start, step)["spans"]
+    """Where the mask lies in a formatted text: (first, length) in characters from 0, escapes and placeholders included.
+
+    Marks stand nowhere but in the template, so the text is cut at them.
+    """
+    role = lambda b: F.substring_index(F.substr(b, F.lit(len(OPEN) + 1)), MIDDLE, 1)
+    head = len(OPEN) + len(loss_role) + len(MIDDLE)
+    sized = F.transform(F.split(formatted, CLOSE), lambda b: F.struct((F.length(b) + len(CLOSE)).alias("n"), role(b).alias("role")))
+
+    def spans(turns: Column) -> Column:
+        placed = F.zip_with(turns, sums_before(F.transform(turns, lambda t: t["n"])), lambda t, at: F.struct(t["role"].alias("role"), (at + head).cast("int").alias("first"), (t["n"] - len(CLOSE) - head).cast("int").alias("length")))
+        return F.transform(F.filter(placed, lambda t: t["role"] == loss_role), lambda t: F.struct(t["first"].alias("first"), t["length"].alias("length")))
+
+    return bound(sized, spans)
+
+
+def sums_before(numbers: Column, block: int = 256) -> Column:
+    """The sum of all numbers before each; by blocks, so that no sum runs over the whole array for every number."""
+    total = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def within(own: Column) -> Column:
+        n, base = own["numbers"], own["base"]
+        at = lambda i: F.get(base, F.floor(i / block).cast("int")) + total(F.slice(n, (F.floor(i / block) * block + 1).cast("int"), i % block))
+        return F.transform(n, lambda _, i: at(i))
+
+    def blocks(n: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), F.floor(F.size(n) / block).cast("int")), lambda k: total(F.slice(n, k * block + 1, block)))
+        return bound(sums, lambda s: bound(F.struct(n.alias("numbers"), F.transform(s, lambda _, k: total(F.slice(s, F.lit(1), k))).alias("base")), within))
+
+    return bound(numbers, blocks)

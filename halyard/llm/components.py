@@ -38,7 +38,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", name: str
         linked = relink(down)
         small = linked.select(F.col("v").alias("u"), F.col("least").alias("v")).union(linked.select("u", F.col("least").alias("v"))).where("u <> v").distinct()
         after, new_path = durable(small, name)
-        state = tuple(after.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first())
+        # each edge's two 64-bit hashes, summed as decimals: 128 bits and the count would have to collide
+        state = tuple(after.agg(F.count("*"), *[F.sum(F.xxhash64(F.lit(n), "u", "v").cast("decimal(20,0)")) for n in (0, 1)]).first())
         discard(spark, path)
         now, path = after, new_path
         if state == seen:

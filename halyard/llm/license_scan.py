@@ -10,10 +10,12 @@ template whose span covers enough of its words labels the text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from halyard.llm.common import per_batch, texts, with_columns
 
@@ -51,7 +53,7 @@ class Automaton:
     def __init__(self, templates: list[tuple[str, str, bool]], min_match: int, gap: int, cover: float):
         """templates: label, text, whether it is a phrase."""
         self.words = [words_of(t) for _, t, _ in templates]
-        self.labels = [x for x, _, _ in templates]
+        self.labels = [x.rstrip() for x, _, _ in templates]  # further templates of a label end in spaces
         self.min_match, self.gap, self.cover = min_match, gap, cover
         self.vocab = {w for ws in self.words for w in ws}
         self.next: list[dict[str, int]] = [{}]
@@ -130,7 +132,7 @@ class Automaton:
                 n += 1
             if was[1] >= least and n <= was[1]:
                 runs.append(was)
-            if n > 1 and self.phrases[v]:
+            if n and self.phrases[v]:
                 places.extend((t, i - size + 1) for t, size in self.phrases[v] if size <= n)
             before = i
         if n >= least:
@@ -138,37 +140,59 @@ class Automaton:
         return places, self._chain(runs) if runs else []
 
     def _chain(self, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """Runs of one template that follow each other in text and template, within a gap, make a span."""
-        open_: dict[int, list] = {}
-        spans = []
-
-        def close(t: int) -> None:
-            first, last, _, hit = open_.pop(t)
-            share = len(hit) / len(self.words[t])
-            if share >= self.cover:
-                spans.append((t, first, last, share))
+        """Spans: of each template, chains of runs that go on in text and template, at most a gap apart, that cover enough of it.
 
+        Every place of a run in a template is the end of its best chain: the run
+        alone, or after the chain of a run before it, whichever covers more. The
+        chains that cover most are taken first, and none that overlaps another.
+        """
+        places: dict[int, list[tuple[int, int, int]]] = {}
         for end, n, v in runs:
-            start = end - n + 1
             for t, at in self.ends[v]:
-                chain = open_.get(t)
-                if chain and start - chain[1] > self.gap:
-                    close(t)
-                    chain = None
-                hit = range(at - n + 1, at + 1)
-                if chain is None:
-                    open_[t] = [start, end, at, set(hit)]
-                elif at >= chain[2]:
-                    chain[1], chain[2] = end, at
-                    chain[3].update(hit)
-                elif n > len(chain[3]):  # the template begins again
-                    close(t)
-                    open_[t] = [start, end, at, set(hit)]
-        for t in list(open_):
-            close(t)
+                places.setdefault(t, []).append((end, n, at))
+        spans = []
+        for t, own in places.items():
+            chains: list[tuple[int, int, int, int]] = []  # covered words, first word, last word, last place in the template
+            for i, (end, n, at) in enumerate(own):
+                start = end - n + 1
+                best = (n, start)
+                for k in range(i - 1, -1, -1):
+                    covered, first, last, reached = chains[k]
+                    if last < start - self.gap:
+                        break
+                    if last < end and reached < at:
+                        best = max(best, (covered + min(n, at - reached), first), key=lambda c: (c[0], c[1]))
+                chains.append((*best, end, at))
+            taken: list[tuple[int, int]] = []
+            for covered, first, last, _ in sorted(chains, key=lambda c: (-c[0], c[1], c[2])):
+                if covered / len(self.words[t]) < self.cover:
+                    break
+                k = bisect_left(taken, (first, last))
+                if (k == 0 or taken[k - 1][1] < first) and (k == len(taken) or taken[k][0] > last):
+                    taken.insert(k, (first, last))
+                    spans.append((t, first, last, covered / len(self.words[t])))
         return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
 
 
+def notice_table(templates: DataFrame, most_chars: int = 20_000_000) -> dict[str, str]:
+    """Licence templates of a table (label, text), whole licences too, for scan_licenses; several of a label are told apart by spaces after it.
+
+    Every task holds their automaton, so their characters have a bound; beyond
+    it this raises. Rows without label or text are left out.
+    """
+    rows = templates.where("label is not null and text is not null")
+    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    if size > most_chars:
+        raise ValueError(f"templates of {size} characters are more than the {most_chars} a task may hold")
+    out: dict[str, str] = {}
+    for label, text in sorted((r["label"], r["text"]) for r in rows.select("label", "text").collect()):
+        name = label
+        while name in out:
+            name += " "
+        out[name] = text
+    return out
+
+
 @lru_cache(maxsize=2)
 def automaton(phrases: tuple, notices: tuple, min_match: int, gap: int, cover: float) -> Automaton:
     return Automaton([(x, p, True) for p, x in phrases] + [(x, t, False) for x, t in notices], min_match, gap, cover)
@@ -190,7 +214,7 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per row of docs: id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
-    phrases label wherever they stand; notices label where a chain of runs of
+    notices: those of this module, or of a table by notice_table. phrases label wherever they stand; notices label where a chain of runs of
     min_match words or more, at most gap words apart, covers the share cover of
     them. score is the largest covered share, 1 for a phrase, 0 for nothing.
     Null and empty texts have no words, empty labels, score 0 and null places;

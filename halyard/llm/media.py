@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import math
 import struct
 import tarfile
 import uuid
@@ -28,6 +29,8 @@ from halyard.llm.common import arrow_task, checkpoint_dir, durable, texts
 
 #: Samples of a picture row; bytes of a tar shard, about; level of the picture's compression.
 ROW, SHARD_BYTES, LEVEL = 192, 16 << 20, 5
+#: Bytes of pictures that a task reads, about.
+READ_BYTES = 64 << 20
 PAD = b"\x20"
 PNG = b"\x89PNG\r\n\x1a\n"
 TAR_HEADER, PNG_HEADER = 512, 33
@@ -213,5 +216,8 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     root = root or f"{checkpoint_dir(docs.sparkSession)}/media-{uuid.uuid4().hex}"
     rows, _ = durable(store_texts(docs, root, id_col, text_col), "media-manifest")
     one = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("digest", "at.*")
-    seen, _ = durable(read_media(one.repartition("shard").sortWithinPartitions("shard", "offset"), root), "media-features")
+    # addresses are small and the pictures they name are not: a named number of partitions, which adaptive execution does not coalesce
+    spark = docs.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((rows.agg(F.sum("length")).first()[0] or 0) / READ_BYTES))
+    seen, _ = durable(read_media(one.repartition(tasks, "shard").sortWithinPartitions("shard", "offset"), root), "media-features")
     return rows.select(F.col("id").alias(id_col), "n_bytes", "digest").join(seen, "digest")

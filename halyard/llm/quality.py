@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,8 @@ from halyard.llm.common import arrow_task, discard, durable, per_batch, slices,
 
 #: Buckets of the hashed indicators (a table of this length goes to every task).
 BUCKETS = 1 << 18
-#: Bound of the sample the hinge-loss model is fitted on; counts cover all rows.
-FIT_ROWS = 12_000
+#: Bounds of the sample the hinge-loss model is fitted on, rows and their indicators together; counts cover all rows.
+FIT_ROWS, FIT_INDICATORS = 12_000, 24_000_000
 #: Bits of the filter of labelled ids.
 FILTER_BITS = 1 << 22
 WORD = re.compile(r"\S+")
@@ -57,7 +59,8 @@ class Indicators:
             b = self.grams[gram] = self.bucket("shapes", " ".join(gram))
         return b
 
-    def __call__(self, text: str) -> list[int]:
+    def __call__(self, text: str) -> np.ndarray:
+        """Sorted, each once."""
         words = WORD.findall(text)
         distinct = set(words)
         if len(self.words) > CACHE_WORDS:
@@ -69,17 +72,17 @@ class Indicators:
         known, shapes = self.words, self.shapes
         s = [shapes[w] for w in words]
         found = {known[w] for w in distinct}
-        counts: dict[str, int] = {}
-        for x in s:
-            counts[x] = counts.get(x, 0) + 1
+        counts = Counter(s)
         found.update(self._gram((x,)) for x in counts)
         found.update(map(self._gram, set(zip(s, s[1:], strict=False))))
         found.update(map(self._gram, set(zip(s, s[1:], s[2:], strict=False))))
         found.update(self.bucket("share", f"{x} {8 * n // len(s)}") for x, n in counts.items())
-        again = sum(map(str.__eq__, words, words[1:]))
+        again = sum(map(eq, words, words[1:]))
         found.add(self.bucket("again", str(8 * again // max(1, len(words)))))
         found.add(self.bucket("distinct", str(8 * len(distinct) // max(1, len(words)))))
-        return sorted(found)
+        out = np.fromiter(found, np.int32, len(found))
+        out.sort()
+        return out
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
@@ -96,6 +99,11 @@ def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> np.ndarray
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
+def ragged(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
+
+
 def indicator_rows(docs: DataFrame, maybe: np.ndarray) -> DataFrame:
     """(doc_id, f): the bucket numbers of each text whose id is in the filter maybe."""
     sent = docs.sparkSession.sparkContext.broadcast(maybe)
@@ -106,7 +114,7 @@ def indicator_rows(docs: DataFrame, maybe: np.ndarray) -> DataFrame:
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             b = batch.filter(pa.array(sent.value[batch.column("at").to_numpy()]))
-            return with_columns(b, ["doc_id"], f=pa.array([find(t) for t in texts(b)], pa.list_(pa.int32())))
+            return with_columns(b, ["doc_id"], f=ragged([find(t) for t in texts(b)]))
 
         return one
 
@@ -131,7 +139,7 @@ def class_counts(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     return out
 
 
-def fit_hinge(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray, buckets: int, passes: int = 12, seed: int = 0) -> tuple[np.ndarray, float]:
+def fit_hinge(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray, buckets: int, passes: int = 40, seed: int = 0) -> tuple[np.ndarray, float]:
     """Weights and bias of min |w|^2/2 + sum cost max(0, 1 - y (w x + b)), by dual coordinate descent.
 
     rows: indices and values of each row, of length 1; y: -1 or 1; cost: of each row.
@@ -178,12 +186,12 @@ class Model:
     def __init__(self, scale: np.ndarray, weight: np.ndarray, bias: float, a: float, b: float):
         self.scale, self.weight, self.bias, self.a, self.b = scale, weight, bias, a, b
 
-    def margin(self, f: list[int]) -> float:
+    def margin(self, f: np.ndarray) -> float:
         r = self.scale[f]
         size = float(np.sqrt(r @ r))
         return (float(r @ self.weight[f]) / size if size else 0.0) + self.bias
 
-    def score(self, f: list[int]) -> float:
+    def score(self, f: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.a * self.margin(f) + self.b, -30, 30))))
 
 
@@ -194,26 +202,28 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     label. With one class or none, the model is the smoothed share of class 1.
     """
     y = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
+    spark = docs.sparkSession
     y, y_path = durable(y.where(~held_out()), "quality-labels")
     # texts without a label stay where they are; of the others only the indicators move, by the same plan at any size
     rows = indicator_rows(docs.where(~held_out()), key_filter(y, "doc_id")).join(y.hint("merge"), "doc_id")
     rows, path = durable(rows, "quality-rows")
-    sizes = dict(rows.groupBy("y").count().collect())
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
+    sizes = {r["y"]: (r["n"], r["f"]) for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.size("f")).alias("f")).collect()}
+    (n0, f0), (n1, f1) = sizes.get(0, (0, 0)), sizes.get(1, (0, 0))
     if not (n0 and n1):
+        discard(spark, path, y_path)
         p = (n1 + 1) / (n0 + n1 + 2)
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0, float(np.log(p / (1 - p))))
     counts = class_counts(rows)
     smooth = counts + 1.0
     # ratio of the shares of each class's rows with the indicator; no indicator seen weighs nothing
     scale = np.where(counts.sum(axis=0) > 1, np.log(smooth[1] / (n1 + 2)) - np.log(smooth[0] / (n0 + 2)), 0.0)
-    keep = min(1.0, fit_rows / (n0 + n1))
+    keep = min(1.0, fit_rows / (n0 + n1), FIT_INDICATORS / max(1, f0 + f1))
     picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * keep) if keep < 1 else F.lit(True))
-    sample = sorted(picked.select("doc_id", "y", "f").toLocalIterator(), key=lambda r: (r[0], r[1]))
-    discard(docs.sparkSession, path, y_path)
+    # each row becomes an array as it arrives
+    sample = sorted(((r[0], r[1], np.array(r[2], np.int32)) for r in picked.select("doc_id", "y", "f").toLocalIterator()), key=lambda r: r[:2])
+    discard(spark, path, y_path)
     x = []
-    for r in sample:
-        at = np.array(r[2], np.int64)
+    for _, _, at in sample:
         v = scale[at]
         at, v = at[v != 0], v[v != 0]
         x.append((at, v / np.sqrt(v @ v) if len(v) else v))
@@ -252,7 +262,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs, with all their columns, that the model predicts to be of quality 1."""
+    """The rows of docs, with all their columns, that the model predicts to be of quality 1.
+
+    Null and empty texts are judged by the score of no words; of repeated rows
+    all or none stay; an empty table gives no rows.
+    """
     names = docs.columns
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -79,7 +79,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = chat_format.format_chats(rows.withColumn("parts", chat_format.text_part(F.col("text"))))
     back = chats.select("conv_id", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    masked = back.withColumn("loss", chat_format.loss_text(F.col("turns")))
+    masked = back.withColumn("loss", chat_format.loss_text(F.col("formatted"), chat_format.loss_spans(F.col("formatted"))))
     return masked.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

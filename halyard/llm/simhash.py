@@ -157,7 +157,12 @@ def near_groups(docs: DataFrame, radius: int = 2, size: int = 3, id_col: str = "
 
 
 def drop_near_copies(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
-    """docs with one row of each group: that of the smallest doc_id; of its exact repeats, one."""
+    """docs, with all their columns, with one row of each group: that of the smallest doc_id; of its exact repeats, one.
+
+    Null, empty and blank texts have fingerprint zero and are a group like any
+    other. A null doc_id stays only where its group has no other id. An empty
+    table gives no rows.
+    """
     groups = near_groups(docs, radius, size)
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key(F.col("doc_id")).alias("k"), "h").distinct()
     # by one key through both steps and at every size: the texts are shuffled once

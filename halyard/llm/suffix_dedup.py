@@ -362,9 +362,10 @@ def _windows_of(sized: DataFrame, length: int) -> tuple[DataFrame, list[str]]:
         one = [F.first(c).alias(c) for c in ("n", "data", "least", "most", "off")]
         now, now_path = durable(pieces.groupBy(*KIND).agg(F.count("*").alias("copies"), *one), "repeats-alike")
         alike.append(now.where("copies > 1").select(*KIND, F.lit(0).alias("first"), (F.col("n") - 1).alias("last")))
-        sizes = now.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1")
+        # written first, so that a crowded anchor's side of the join can be split
+        sizes, sizes_path = durable(now.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "repeats-sizes")
         sized, sized_path = durable(now.drop("copies").join(sizes, "anchor"), "repeats-sized")
-        paths += [pieces_path, now_path, sized_path]
+        paths += [pieces_path, now_path, sizes_path, sized_path]
     sought = reduce(DataFrame.union, calm)
     windows = sought.agg(F.sum("n")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(windows / TASK_WINDOWS))

@@ -106,6 +106,64 @@ def test_licence_places_equal_brute_force():
         assert sorted(a.scan(words)[0]) == want
 
 
+def test_one_word_phrases_are_found():
+    a = license_scan.automaton((("spdx", "spdx"), ("all rights", "reserved")), (), 3, 8, 0.6)
+    assert sorted(a.scan("foo spdx bar all rights spdx".split())[0]) == [(0, 1), (0, 5), (1, 3)]
+
+
+def brute_runs(words, template, least):
+    """Maximal runs of words that stand consecutively in the template, of least words or more: (first, last) in words."""
+    subs = {tuple(template[i:j]) for i in range(len(template)) for j in range(i + 1, len(template) + 1)}
+    ends = [max((n for n in range(i + 2) if n == 0 or tuple(words[i + 1 - n : i + 1]) in subs), default=0) for i in range(len(words))]
+    return [(i - n + 1, i) for i, n in enumerate(ends) if n >= least and (i + 1 == len(words) or ends[i + 1] <= n)]
+
+
+@pytest.mark.parametrize("least", [2, 3])
+def test_licence_spans_equal_brute_force_matching_statistics(least):
+    """Spans begin and end with maximal runs, cover what the runs cover, and are all there where one run covers enough."""
+    rng = random.Random(21)
+    vocab = "a b c d e f".split()
+    for _ in range(300):
+        template = [rng.choice(vocab) for _ in range(rng.randint(4, 12))]
+        words = [rng.choice([*vocab, "zz"]) for _ in range(rng.randint(0, 40))]
+        if rng.random() < 0.7:
+            at, cut = rng.randint(0, len(words)), rng.randint(least, len(template))
+            words[at:at] = template[:cut]
+        a = license_scan.Automaton([("t", " ".join(template), False)], least, 4, 0.6)
+        runs = brute_runs(words, template, least)
+        spans = a.scan(words)[1]
+        for _, first, last, share in spans:
+            assert first in {x for x, _ in runs} and last in {y for _, y in runs}
+            inside = [words[x : y + 1] for x, y in runs if first <= x and y <= last]
+            reach = set()
+            for run in inside:
+                for at in range(len(template) - len(run) + 1):
+                    if template[at : at + len(run)] == run:
+                        reach |= set(range(at, at + len(run)))
+            assert 0.6 <= share <= len(reach) / len(template) + 1e-9
+        whole = [(x, y) for x, y in runs if (y - x + 1) / len(template) >= 0.6]
+        for x, y in whole:
+            assert any(first <= y and x <= last for _, first, last, _ in spans)
+
+
+def test_licence_scores_and_labels_of_known_texts(spark):
+    notice = license_scan.NOTICES["bsd"].split()
+    texts = [" ".join(notice), " ".join(notice[: len(notice) // 2 - 3]), " ".join(notice[:6]) + " all rights reserved", "", " ".join(notice[:9] + ["zz"] * 3 + notice[9:])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(rows).collect()}
+    assert (got[0]["labels"], got[0]["score"], got[0]["spans"][0]["first_word"], got[0]["spans"][0]["last_word"]) == ("bsd", 1.0, 0, len(notice) - 1)
+    assert (got[1]["labels"], got[1]["score"]) == ("", 0.0)
+    assert (got[2]["labels"], got[2]["score"]) == ("reserved", 1.0)
+    assert (got[4]["labels"], got[4]["score"], got[4]["spans"][0]["last_word"]) == ("bsd", 1.0, len(notice) + 2)
+
+
+def test_licence_templates_come_from_a_table(spark):
+    table = spark.createDataFrame([("own", "these words make up a licence of our own making"), ("own", None), (None, "x y z")], "label string, text string")
+    rows = spark.createDataFrame([(1, "See: these words make up a licence of our own making."), (2, license_scan.NOTICES["mit"])], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(rows, notices=license_scan.notice_table(table)).collect()}
+    assert got == {1: "own", 2: ""}
+
+
 def test_licence_notices_label_themselves_with_gaps():
     a = license_scan.automaton(tuple(license_scan.PHRASES.items()), tuple(license_scan.NOTICES.items()), 3, 8, 0.6)
     for label, notice in license_scan.NOTICES.items():
@@ -140,6 +198,28 @@ def test_media_round_trip_of_every_case(spark):
     assert media.media_columns(empty(spark)).count() == 0
 
 
+def test_stored_pictures_and_features_equal_independent_ones(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    got = media.media_columns(cases(spark), root=root).collect()
+    for r, data in ((r, open(f"{tmp_path}/{r['shard']}", "rb").read()) for r in got):
+        stored = data[r["offset"] : r["offset"] + r["length"]]
+        assert hashlib.sha256(stored).hexdigest() == r["media_sha256"] and len(stored) == r["media_bytes"]
+        at, packed = 8, b""
+        while at < len(stored):
+            n, kind = int.from_bytes(stored[at : at + 4], "big"), stored[at + 4 : at + 8]
+            assert zlib.crc32(stored[at + 4 : at + 8 + n]) == int.from_bytes(stored[at + 8 + n : at + 12 + n], "big")
+            packed += stored[at + 8 : at + 8 + n] if kind == b"IDAT" else b""
+            at += n + 12
+        lines = zlib.decompress(packed)
+        payload = b"".join(lines[i + 1 : i + 193] for i in range(0, len(lines), 193))
+        assert hashlib.sha256(payload).hexdigest() == r["payload_sha256"]
+        mean = sum(payload) / len(payload)
+        spread = math.sqrt(sum((b - mean) ** 2 for b in payload) / len(payload))
+        part = len(payload) // 64
+        bits = "".join(str(int(sum(payload[k * part : (k + 1) * part]) / part > mean)) for k in range(64))
+        assert r["feature"] == f"{len(payload) // 192}x192 mean={mean:.4f} std={spread:.4f} bright={int(bits, 2):016x}"
+
+
 def test_headers_alone_give_metadata(spark, tmp_path):
     root = f"file://{tmp_path}"
     places = media.store_texts(cases(spark), root).select("digest", "shard", "offset", "length").distinct()
@@ -336,6 +416,49 @@ def quality_tables(spark):
     return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), {i: q for i, q, _ in labels}
 
 
+def test_class_ratios_equal_a_direct_count(spark):
+    docs, labels, truth = quality_tables(spark)
+    model = quality.train(docs, labels)
+    find, n, total = quality.Indicators(), {0: Counter(), 1: Counter()}, Counter()
+    for r in docs.collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            n[truth[r["doc_id"]]].update(find(r["text"]))
+            total[truth[r["doc_id"]]] += 1
+    for b in range(quality.BUCKETS):
+        seen = n[0][b] + n[1][b]
+        want = math.log((n[1][b] + 1) / (total[1] + 2)) - math.log((n[0][b] + 1) / (total[0] + 2)) if seen > 1 else 0.0
+        if seen or model.scale[b]:
+            assert abs(model.scale[b] - want) < 1e-9
+
+
+def test_scores_equal_a_slow_fit_end_to_end(spark):
+    """The whole way again with plain loops: counts, scaled indicators, hinge loss by subgradients, sigmoid, scores."""
+    docs, labels, truth = quality_tables(spark)
+    model, find = quality.train(docs, labels), quality.Indicators()
+    rows = sorted((r["doc_id"], find(r["text"])) for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5)
+    x = np.zeros((len(rows), quality.BUCKETS), np.float32)
+    for i, (_, f) in enumerate(rows):
+        x[i, f] = model.scale[f]
+        x[i] /= max(1e-12, np.linalg.norm(x[i]))
+    used = np.flatnonzero(np.abs(x).sum(axis=0))
+    x = np.hstack([x[:, used], np.ones((len(rows), 1), np.float32)]).astype(float)
+    y = np.array([2.0 * truth[d] - 1 for d, _ in rows])
+    w, mean, best = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.inf
+    for t in range(1, 4001):
+        g = w - (y[y * (x @ w) < 1, None] * x[y * (x @ w) < 1]).sum(axis=0)
+        w = w - g / (t + 10)
+        loss = w @ w / 2 + np.maximum(0, 1 - y * (x @ w)).sum()
+        if loss < best:
+            best, mean = loss, w.copy()
+    own = np.r_[model.weight[used], model.bias]
+    reached = own @ own / 2 + np.maximum(0, 1 - y * (x @ own)).sum()
+    assert reached <= best * 1.02
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    for i, (d, _) in enumerate(rows):
+        assert abs(got[d] - 1 / (1 + math.exp(-(model.a * (x[i] @ own) + model.b)))) < 1e-4
+    assert np.corrcoef(x @ mean, x @ own)[0, 1] > 0.99
+
+
 def test_quality_on_rows_held_out(spark):
     docs, labels, truth = quality_tables(spark)
     model = quality.train(docs, labels)
@@ -375,7 +498,7 @@ def test_chat_round_trip_with_attachments(spark):
         chat_format.text_part(F.col("text")),
         F.when((F.col("conv_id") == 1) & (F.col("turn") < 2), F.from_json(F.lit('[{"kind":"image","ref":"u1","width":28,"height":15},{"kind":"audio","ref":"u2","seconds":1.0},{"kind":"other"},{"kind":"document","ref":"u3","pages":3}]'), f"array<{chat_format.PART_TYPE}>")).otherwise(F.array().cast(f"array<{chat_format.PART_TYPE}>")),
     ))
-    out = chat_format.format_chats(df.withColumn("parts", parts)).withColumn("back", chat_format.read_back(F.col("formatted"))).withColumn("spans", chat_format.loss_spans(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("back")))
+    out = chat_format.format_chats(df.withColumn("parts", parts)).withColumn("back", chat_format.read_back(F.col("formatted"))).withColumn("spans", chat_format.loss_spans(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("spans")))
     got = {r["conv_id"]: r for r in out.collect()}
     want = sorted((r for r in rows if r[0] == 1), key=lambda r: (r[1], r[2], r[3] or ""))
     one = got[1]
@@ -390,6 +513,16 @@ def test_chat_round_trip_with_attachments(spark):
     assert chat_format.format_chats(df.limit(0).withColumn("parts", parts)).count() == 0
 
 
+def test_masks_of_many_turns_lie_where_they_should(spark):
+    rows = [(1, n, "assistant" if n % 3 else "user", f"<{n}>" * (n % 5)) for n in range(1500)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    out = chat_format.format_chats(df.withColumn("parts", chat_format.text_part(F.col("text"))))
+    r = out.withColumn("spans", chat_format.loss_spans(F.col("formatted"))).withColumn("loss", chat_format.loss_text(F.col("formatted"), F.col("spans"))).first()
+    want = [t.replace("\\", "\\b").replace("<", "\\l").replace(">", "\\g") for _, _, role, t in rows if role == "assistant"]
+    assert [r["formatted"][s["first"] : s["first"] + s["length"]] for s in r["spans"]] == want
+    assert r["loss"] == "".join(t for _, _, role, t in rows if role == "assistant")
+
+
 # 6 decontamination
 
 
