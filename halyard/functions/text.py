@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters with a mark, and what stays without it.
-MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝŸ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUYY"
+def _decomposed() -> tuple[str, str]:
+    """Characters of the basic plane that are one other character and marks, and those others: by Unicode's canonical decomposition."""
+    pairs = []
+    for code in range(0x80, 0x10000):
+        parts = unicodedata.normalize("NFD", chr(code))
+        bare = [c for c in parts if not unicodedata.combining(c)]
+        if parts != chr(code) and len(bare) == 1:
+            pairs.append((chr(code), bare[0]))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+MARKED, PLAIN = _decomposed()
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once, however often use names it, in functions over arrays too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def normalize_spaces(c: Column) -> Column:
@@ -15,7 +34,14 @@ def normalize_spaces(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    return F.translate(c, MARKED, PLAIN)
+    """Without marks, those written as characters of their own too."""
+    return F.regexp_replace(F.translate(c, MARKED, PLAIN), r"[\u0300-\u036F]", "")
+
+
+def folded(word: str) -> str:
+    """fold_text of a word at hand."""
+    plain = unicodedata.normalize("NFD", word).encode("ascii", "ignore").decode()
+    return " ".join(plain.split()).lower()
 
 
 def fold_text(c: Column) -> Column:
@@ -45,10 +71,12 @@ def metric_text(c: Column) -> Column:
 
 def contains_any(c: Column, words: tuple[str, ...]) -> Column:
     """Whether c holds one of words, as substrings."""
-    out = F.lit(False)
-    for w in words:
-        out = out | c.contains(w)
-    return out
+    return c.rlike("|".join(map(re.escape, words))) if words else F.lit(False)
+
+
+def constant(value: object, kind: str) -> Column:
+    """A map, array or struct as one literal, told as JSON; the optimizer works it out once."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def count_words(c: Column, words: tuple[str, ...]) -> Column:
@@ -56,13 +84,16 @@ def count_words(c: Column, words: tuple[str, ...]) -> Column:
     return sum((c.contains(w).cast("int") for w in words), F.lit(0))
 
 
+#: French number words from zero on (fixed values).
+NUMBER_WORDS = ("zero", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf", "dix", "onze", "douze", "treize", "quatorze", "quinze", "seize")
+
+
 def parse_number(c: Column) -> Column:
-    """A number with a decimal comma or point, or a French number word."""
-    words = ("zero", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf", "dix", "onze", "douze", "treize", "quatorze", "quinze", "seize")
-    value = F.when(c == "une", F.lit(1.0))
-    for n, w in enumerate(words):
-        value = value.when(c == w, F.lit(float(n)))
-    return F.coalesce(value, F.replace(c, F.lit(","), F.lit(".")).try_cast("double"))
+    """A French number word, or the digits of a text with a decimal comma or point; case, marks, hyphens and units beside it do not matter."""
+    t = F.trim(F.replace(fold_text(c), F.lit("-"), F.lit(" ")))
+    word = F.array_position(F.array(*map(F.lit, NUMBER_WORDS)), F.when(t == "une", "un").otherwise(t))
+    digits = F.replace(F.regexp_replace(t, r"[^0-9,.]", ""), F.lit(","), F.lit("."))
+    return F.when(word > 0, (word - 1).cast("double")).otherwise(digits.try_cast("double"))
 
 
 def is_iso_date(c: Column) -> Column:

@@ -89,16 +89,24 @@ def conditions(alerts: DataFrame, types: DataFrame) -> DataFrame:
 def first_hits(alerts: DataFrame, types: DataFrame, forecasts: DataFrame, window: DataFrame) -> DataFrame:
     """(alert_id, spot_id, valid_time): the first hour in each alert's window at which all its conditions hold, per spot.
 
-    A condition without a value does not hold; an alert without conditions never fires.
+    A condition without a value does not hold; an alert without conditions never
+    fires. Alerts and hours meet by spot and day, each window written out as its
+    days; of the forecasts only the columns that some condition asks for go
+    along (their names, bounded by the registry, are looked up first).
     """
-    fields = sorted({*CONDITION_COLUMNS.values(), *LABEL_COLUMNS.values()} & set(forecasts.columns))
-    values = F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f))], F.lit("condition_score"), marine_score(forecasts.columns))
+    asked = conditions(alerts, types)
+    known = {*CONDITION_COLUMNS.values(), *LABEL_COLUMNS.values()} & set(forecasts.columns)
+    used = {r["field"] for r in asked.select("field").distinct().collect()}
+    parts = [x for f in sorted(known & used) for x in (F.lit(f), F.col(f).cast("double"))]
+    if "condition_score" in used:
+        parts += [F.lit("condition_score"), marine_score(forecasts.columns)]
+    values = F.create_map(*parts).cast("map<string,double>")
     hours = forecasts.select("spot_id", "target_date", "valid_time", values.alias("values"))
     wanted = alerts.select(F.col("id").alias("alert_id"), F.explode("alert_spots").alias("s")).select("alert_id", F.col("s.spot_id").alias("spot_id"))
-    dated = wanted.join(window.withColumnRenamed("id", "alert_id"), "alert_id")
-    asked = conditions(alerts, types).groupBy("alert_id").agg(F.collect_list(F.struct("field", "operator", "threshold")).alias("conditions"))
+    of_alert = asked.groupBy("alert_id").agg(F.collect_list(F.struct("field", "operator", "threshold")).alias("conditions"))
+    days = window.select(F.col("id").alias("alert_id"), F.explode(F.sequence("from_date", "to_date")).alias("target_date"))
     met = F.forall("conditions", lambda c: F.coalesce(holds(F.try_element_at("values", F.coalesce(c["field"], F.lit(""))), c["operator"], c["threshold"]), F.lit(False)))
-    pairs = dated.join(asked, "alert_id").join(hours, "spot_id").where(F.col("target_date").between(F.col("from_date"), F.col("to_date")))
+    pairs = wanted.join(of_alert, "alert_id").join(days, "alert_id").join(hours, ["spot_id", "target_date"])
     return pairs.where(met).groupBy("alert_id", "spot_id").agg(F.min("valid_time").alias("valid_time"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.functions.text import count_words, fold_text, host_allowed, is_official, normalize_spaces, short_hash
+from halyard.functions.text import count_words, fold_text, folded, host_allowed, is_official, normalize_spaces, short_hash
 from halyard.registry import NEGATIVE_WORDS, RELEVANT_WORDS
 
 
@@ -85,17 +85,22 @@ def is_pdf(url: Column) -> Column:
     return F.lower(path_of(url)).endswith(".pdf")
 
 
+#: A numbered decree in a folded address or label (fixed value).
+DECREE = r"\b(ar|arrete|decret)[-_]?\d"
+
+
 def relevance(url: Column, label: Column, year: int, relevant: tuple[str, ...] = RELEVANT_WORDS, negative: tuple[str, ...] = NEGATIVE_WORDS) -> Column:
-    """4 for each relevant word, -5 for each negative, 3 for each year from the last to the next, 2 each for an official host, an annex and a decree."""
+    """4 for each relevant word, -5 for each negative, 3 for each year from the last to the next, 2 each for an official host, an annex and a numbered decree."""
     signal = fold_text(F.concat_ws(" ", url, label))
     years = count_words(signal, tuple(str(year + k) for k in (-1, 0, 1)))
-    bonus = is_official(url).cast("int") + signal.contains("annexe").cast("int") + signal.rlike(r"arrete|decret").cast("int")
+    bonus = is_official(url).cast("int") + signal.contains("annexe").cast("int") + signal.rlike(DECREE).cast("int")
     return 4 * count_words(signal, relevant) - 5 * count_words(signal, negative) + 3 * years + 2 * bonus
 
 
 def candidate_score(url: Column, label: Column, year: int, words: tuple[str, ...], negative: tuple[str, ...]) -> Column:
     """3 a word, -8 a negative one, the relevance, 4 a year from the last to the next, 2 for a PDF."""
     signal = fold_text(F.concat_ws(" ", url, label))
+    words, negative = tuple(map(folded, words)), tuple(map(folded, negative))
     years = count_words(signal, tuple(str(year + k) for k in (-1, 0, 1)))
     return 3 * count_words(signal, words) - 8 * count_words(signal, negative) + relevance(url, label, year) + 4 * years + 2 * is_pdf(url).cast("int")
 

@@ -2,36 +2,44 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from halyard.functions.text import contains_any, fold_text, metric_text, normalize_spaces, parse_number, short_hash, slugify
-from halyard.operators.textmining import all_matches, canonical_name, context_window, declaration_contexts, find_sentence, first_match, plausible_name, rule_scope, text_lines, text_units
-from halyard.registry import OTHER_ACTIVITY, RULE_ACTIVITY, RULE_CONSTRAINT, RULE_RANK, SCIENTIFIC, SPECIES
+from halyard.functions.text import bound, constant, contains_any, fold_text, metric_text, normalize_spaces, parse_number, short_hash, slugify
+from halyard.operators.textmining import (
+    SENSITIVE, all_matches, canonical_name, context_window, declaration_context, find_sentence, first_match, plausible_name, rule_scope, text_lines, text_units, validity,
+)
+from halyard.registry import ALL_ZONES, OTHER_ACTIVITY, RULE_ACTIVITY, RULE_CONSTRAINT, RULE_RANK, SCIENTIFIC, SPECIES, ZONES
 
-NAME = r"([a-z'\-\s]{3,}?)(?:\s*\(([^)]+)\))?"
-#: A minimum size in a folded line: name, scientific name, centimetres (fixed values).
-SIZE = rf"^{NAME}\s*[:;\-]?\s*(\d+(?:[\.,]\d+)?)\s*cm\b"
+# Patterns in folded text. A line begins with a name and perhaps a scientific name (groups 1 and 2); group 3 is the number.
+NAME = r"^([a-z'\-\s]{3,})(?:\s*\(([^)]+)\))?"
 UNITS = r"captures?|specimens?|unites?"
-#: Quotas in a folded line: pattern, whether in kilograms, whether only where the document speaks of days (fixed values).
+SIZE_LINES = (rf"{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*cm\b", rf"{NAME}\s+(\d+(?:[\.,]\d+)?)\s*cm\b")
+#: Quotas of lines: pattern, whether in kilograms; that of a table has its unit in group 4 and needs a document that speaks of days.
 QUOTA_LINES = (
-    (rf"^{NAME}\s*[:;\-]\s*(\d+)\s*(?:{UNITS})\s*(?:par|/)\s*jour", False, False),
-    (rf"^{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*kg\s*(?:par|/)\s*jour", True, False),
-    (rf"^{NAME}\s*[:;\-]\s*(\d+)\s*(?:{UNITS})\s*(?:max(?:imum)?)?\s*(?:par|/)\s*(?:pecheur|navire)\s*et\s*par\s*jour", False, False),
-    (rf"^{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*kg\s*(?:max(?:imum)?)?\s*(?:par|/)\s*(?:pecheur|navire)\s*et\s*par\s*jour", True, False),
-    (rf"^{NAME}\s+(\d+(?:[\.,]\d+)?)\s*(?:kg|kilogrammes?|{UNITS})\b", None, True),
+    (rf"{NAME}\s*[:;\-]\s*(\d+)\s*(?:{UNITS})\s*(?:par|/)\s*jour", False),
+    (rf"{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*kg\s*(?:par|/)\s*jour", True),
+    (rf"{NAME}\s*[:;\-]\s*(\d+)\s*(?:{UNITS})\s*(?:max(?:imum)?)?\s*(?:par|/)\s*(?:pecheur|navire)\s*et\s*par\s*jour", False),
+    (rf"{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*kg\s*(?:max(?:imum)?)?\s*(?:par|/)\s*(?:pecheur|navire)\s*et\s*par\s*jour", True),
 )
-NUMBER = r"(\d+|une?|deux|trois|quatre|cinq|six|sept|huit|neuf|dix)"
-#: Quotas in folded running text: pattern, group of the name, group of the number (fixed values).
+QUOTA_TABLE = rf"{NAME}(?:\s+[a-z'\-\s]{{0,200}})?\s+(\d+(?:[\.,]\d+)?)\s*(kg|kilogrammes?|{UNITS})\b"
+DAILY = ("par pecheur et par jour", "par navire et par jour")
+EACH = r"par\s+(?:pecheur|navire)\s+et\s+par\s+jour"
+NUMBER = r"(\d+|un|une|deux|trois|quatre|cinq|six|sept|huit|neuf|dix)"
+#: Quotas of running text: pattern, group of the number, group of the name or the name itself, whether in kilograms.
 QUOTA_TEXTS = (
-    (rf"pas plus de\s+{NUMBER}\s+specimens?\s+de\s+([a-z'\-\s]{{3,}}?)\s+(?:ne\s+peuvent|peuvent|sont|doivent|seront)[^\.]*?par\s+(?:pecheur|navire)\s+et\s+par\s+jour", 2, 1),
-    (rf"peche[a-z\s\-]*?\s(?:de|des|du)\s+([a-z'\-\s]{{3,}}?)\s+est\s+limitee?\s+a\s+{NUMBER}\s+(?:{UNITS})\s+par\s+pecheur\s+et\s+par\s+jour", 1, 2),
+    (rf"pas plus de\s+{NUMBER}\s+specimens?\s+de\s+([a-z'\-\s]{{3,}}?)\s+(?:ne\s+peuvent|peuvent|sont|doivent|seront|$)[^\.]*?{EACH}", 1, 2, False),
+    (rf"peche\s+(?:sous\s*-\s*marine\s+)?(?:du|de|des)\s+([a-z'\-\s]{{3,}}?)\s+est limitee?\s+a\s+{NUMBER}\s+(?:unites?|specimens?|captures?|individus?)[^\.]*?{EACH}", 2, 1, False),
+    (rf"quantite totale de\s+(\d+(?:[\.,]\d+)?)\s*kg\s+de\s+([a-z'\-\s]{{3,}}?)\s+{EACH}", 1, 2, True),
+    (rf"captures?\s+sont\s+limitees?\s+{EACH}\s+a\s+(\d+(?:[\.,]\d+)?)\s*(?:kg|kilogrammes?)[^\.]*toutes?\s+especes?", 1, "toutes especes marines", True),
+    (r"(\d+|un|une)\s+thon\s+rouge\s+par\s+navire\s+et\s+par\s+jour", 1, "thon rouge", False),
 )
-DAILY = ("par pecheur et par jour", "par navire et par jour", "quantite maxi de peche autorisee par pecheur et par jour")
 PERIOD = r"du\s+(\d{1,2}\s*(?:er)?\s+[a-z]+(?:\s+\d{4})?)\s+au\s+(\d{1,2}\s*(?:er)?\s+[a-z]+(?:\s+\d{4})?)"
 BANS = ("interdit", "aucun specimen", "fermeture", "no-kill")
-#: Practice rules: what they are about, that they bind, and fragments that do not count (fixed values).
+# What practice rules are about, that they bind, and what does not count; sources that have none.
 PRACTICE = ("engin", "filet", "casier", "palangre", "hamecon", "marquage", "nageoire", "vente", "equipement respiratoire", "bouteille", "lampe", "harpon", "debarquement", "transport")
 BINDING = ("il est interdit", "est interdite", "est interdit", "sont interdit", "est obligatoire", "doit etre", "doivent etre", "sont autorises", "sont autorisees", "est autorise", "est autorisee", "la vente")
 FRAGMENTS = (
@@ -39,97 +47,251 @@ FRAGMENTS = (
     "respecter les tailles reglementaires", "engins autorises et tailles minimales", "listent les engins autorises",
 )
 SITE_NOISE = ("cookie", "newsletter", "mentions legales", "contact")
-DECLARATION = ("declaration", "enregistrement", "declarer", "declarees")
-#: Rules of fixed wording: key, type, words that must stand in one sentence or three (fixed values).
+NO_PRACTICE_SOURCES = ("manuel", "recfishing")
+DECLARED = ("recfishing", "declaration", "enregistrement")
+DECLARATION_TEXT = " figure parmi les especes sensibles soumises a enregistrement et declaration des captures via RecFishing selon la zone applicable."
+# Rules of statutes: name, key, words that stand in one sentence or three.
+STATUTES = (
+    ("age", "spearfishing.fr.min-age.fusil-harpon", ("peche", "sous", "marine", "fusil", "harpon", "moins", "ans")),
+    ("diving", "diving.fr.code-sport.section-a322-71", ("etablissements", "pratique", "plongee", "subaquatique")),
+)
+AGE = r"(?i)moins de\s*(\d+|seize)\s*ans"
+# Clauses of the ministry's pages: what stands in the folded page, title, description.
 CLAUSES = (
-    ("practice.sale.forbidden", "PRACTICE_RULE", ("peche de loisir", "vente", "interdi")),
-    ("spearfishing.minimum-age", "SPEARFISHING_GENERAL", ("sous-marine", "seize ans")),
-    ("spearfishing.no-breathing-equipment", "SPEARFISHING_GENERAL", ("sous-marine", "equipement respiratoire")),
+    ("ne pas utiliser d'equipement respiratoire", "Interdiction d'utiliser un equipement respiratoire en peche sous-marine", "Ne pas utiliser d'equipement respiratoire."),
+    ("avoir plus de 16 ans", "Age minimum en peche sous-marine", "Avoir plus de 16 ans et une bonne condition physique."),
+    ("ne pas pratiquer la peche sous-marine la nuit", "Interdiction de la peche sous-marine de nuit", "Ne pas pratiquer la peche sous-marine la nuit."),
 )
+STATUTE_SOURCES, MINISTRY = ("LEGIFRANCE",), "MINISTERE_MER"
+OPERATIONAL_SOURCES = ("DIRM", "MINISTERE_MER", "PREFECTURE_MARITIME", "PREFECTURE_DEPARTEMENTALE", "DATA_GOUV")
+# Of each extractor: type of rule, title (before the species, if it has one), legal reference, notes.
+KINDS = {
+    "size": ("MIN_SIZE", "Taille minimale de capture - ", "Arrete du 26 octobre 2012 modifie (rappels DIRM)", "Extraction automatique depuis document operationnel, validation manuelle requise."),
+    "quota": ("QUOTA", "Quota de capture - ", "Document operationnel DIRM - quotas peche de loisir", "Extraction automatique de quotas, validation manuelle obligatoire."),
+    "closure": ("CLOSURE_PERIOD", "Periode de fermeture - ", "Document operationnel DIRM - restrictions temporelles", "Extraction automatique des periodes de fermeture, validation manuelle obligatoire."),
+    "protected": ("PROTECTED_SPECIES", "Interdiction de capture - ", "Document operationnel DIRM - restrictions par espece", "Extraction automatique des interdictions par espece, validation manuelle obligatoire."),
+    "practice": ("PRACTICE_RULE", "Regle de pratique de peche de loisir", "Document operationnel - pratiques de peche de loisir", "Extraction automatique d'une regle de pratique, validation manuelle recommandee."),
+    "declaration": ("LOCAL_RESTRICTION", "Declaration des captures - ", "Reglement UE 2023/2842 et dispositifs nationaux d'application", "Extraction automatique des obligations declaratives d'especes sensibles."),
+    "clause": ("SPEARFISHING_GENERAL", "", "Page ministerielle peche de loisir en mer", "Source operationnelle ministerielle, verification manuelle recommandee."),
+    "age": ("SPEARFISHING_GENERAL", "Age minimum pour la peche sous-marine au fusil-harpon", "Code rural et de la peche maritime - Article R921-90", "Regle generale issue de Legifrance."),
+    "diving": ("DIVING_GENERAL", "Cadre de securite des etablissements de plongee subaquatique", "Code du sport - Article A322-71", "Regle generale de plongee issue de Legifrance."),
+}
+
+HIT = {"kind": "string", "place": "long", "said": "string", "f": "string", "name": "string", "scientific": "string", "number": "string", "kg": "boolean", "first": "string", "last": "string"}
+_HITS = f"array<struct<{','.join(f'{k}:{v}' for k, v in HIT.items())}>>"
+
+
+def _hit(kind: str, place: Column, said: Column, f: Column, **parts: Column) -> Column:
+    """What an extractor found: where, the words, the same folded, and the parts of it a rule is made of."""
+    given = {"kind": F.lit(kind), "place": place, "said": said, "f": f, **parts}
+    return F.struct(*[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in HIT.items()])
+
+
+def _hits(*options: Column) -> Column:
+    return F.array_compact(F.array(*options))
+
+
+def _line_hits(line: Column, i: Column, daily: Column) -> Column:
+    """Sizes and quotas of one line (said, f); each pattern may find one."""
+    said, f = line["said"], line["f"]
+    place = i.cast("long") * 10
+    part = lambda p, k: F.regexp_extract(f, p, k)
+
+    def found(kind: str, n: int, p: str, kg: Column) -> Column:
+        return F.when(part(p, 1) != "", _hit(kind, place + n, said, f, name=part(p, 1), scientific=F.nullif(normalize_spaces(part(p, 2)), F.lit("")), number=part(p, 3), kg=kg))
+
+    options = [found("size", n, p, F.lit(False)) for n, p in enumerate(SIZE_LINES)]
+    options += [found("quota", n, p, F.lit(kg)) for n, (p, kg) in enumerate(QUOTA_LINES)]
+    options.append(F.when(daily | f.contains("par jour"), found("quota", len(QUOTA_LINES), QUOTA_TABLE, part(QUOTA_TABLE, 4).contains("kg"))))
+    return F.when(f.rlike("[0-9]"), _hits(*options)).otherwise(F.array().cast(_HITS))
+
+
+def _text_hits(flat: Column) -> Column:
+    """Quotas of running text, each with up to 220 characters before and after it."""
+    total = lambda parts: F.aggregate(parts, F.lit(0), lambda a, x: a + F.length(x))
+
+    def of_pattern(n: int, pattern: str, number: int, name: int | str, kg: bool) -> Column:
+        def hits(own: Column) -> Column:
+            def one(hit: Column, i: Column) -> Column:
+                start = total(F.slice(own["between"], F.lit(1), i + 1)) + total(F.slice(own["found"], F.lit(1), i))
+                around = bound(start, lambda at: F.substr(flat, F.greatest(at - 220, F.lit(0)) + 1, at + F.length(hit) + 220 - F.greatest(at - 220, F.lit(0))))
+                named = F.lit(name) if isinstance(name, str) else F.regexp_extract(hit, pattern, name)
+                return bound(around, lambda said: _hit("quota", F.lit((n + 1) << 40) + i, normalize_spaces(said), said, name=named, number=F.regexp_extract(hit, pattern, number), kg=F.lit(kg)))
+
+            return F.transform(own["found"], one)
+
+        return bound(F.struct(F.regexp_extract_all(flat, F.lit(pattern), F.lit(0)).alias("found"), F.split(flat, pattern).alias("between")), hits)
+
+    return F.flatten(F.array(*[of_pattern(n, *q) for n, q in enumerate(QUOTA_TEXTS)]))
+
+
+def _sentence_hits(u: Column, i: Column) -> Column:
+    """Closed seasons: a sentence that bans, with a period."""
+    f = u["f"]
+    part = lambda k: normalize_spaces(F.regexp_extract(f, PERIOD, k))
+    return _hits(F.when(contains_any(f, BANS) & f.rlike(PERIOD), _hit("closure", i, u["said"], f, first=part(1), last=part(2))))
+
+
+def _unit_hits(u: Column, i: Column, practice: Column) -> Column:
+    """Forbidden species, and practice rules."""
+    said, f = u["said"], u["f"]
+    protected = f.contains("interdit") & contains_any(f, ("peche", "capture", "detention"))
+    binds = F.length(said).between(45, 520) & contains_any(f, PRACTICE) & contains_any(f, BINDING) & contains_any(f, ("peche", "capture", "loisir"))
+    return _hits(F.when(protected, _hit("protected", i, said, f)), F.when(practice & binds & ~contains_any(f, SITE_NOISE + FRAGMENTS), _hit("practice", i, said, f)))
+
+
+def _declaration_hits(units: Column) -> Column:
+    """The context of a duty to declare catches of sensitive species, if the text has both."""
+    context = F.struct(declaration_context(units).alias("said"))
+    with_fold = lambda c: F.struct(c["said"].alias("said"), fold_text(c["said"]).alias("f"))
+    found = lambda c: F.when(contains_any(c["f"], SENSITIVE) & contains_any(c["f"], DECLARED), _hit("declaration", F.lit(0), c["said"], c["f"]))
+    return _hits(bound(bound(context, with_fold), found))
+
+
+def _clause_hits(flat: Column) -> Column:
+    return _hits(*[F.when(flat.contains(phrase), _hit("clause", F.lit(n), F.lit(said), fold_text(F.lit(said)), name=F.lit(title))) for n, (phrase, title, said) in enumerate(CLAUSES)])
+
+
+def _statute_hits(text: Column) -> Column:
+    options = []
+    for n, (kind, key, words) in enumerate(STATUTES):
+        said = find_sentence(text, list(words))
+        options.append(F.when(said.isNotNull(), _hit(kind, F.lit(n), said, fold_text(said), name=F.lit(key), number=F.nullif(F.lower(F.regexp_extract(said, AGE, 1)), F.lit("")) if kind == "age" else F.lit(None))))
+    return _hits(*options)
+
 
-RULE_COLUMNS = ("rule_key", "rule_type", "description", "metric_type", "metric_value", "metric_unit", "species_common_name", "species_scientific_name", "needs_manual_review", "source_context")
+DOCUMENT = ("doc", "text", "source_scope", "source_type", "url", "source_url", "source_title")
 
 
-def _rule(docs: DataFrame, key: Column, kind: str, description: Column, species: Column, metric: tuple[Column, Column, Column] | None = None, scientific: Column | None = None) -> DataFrame:
-    none = F.lit(None)
-    m = metric or (none.cast("string"), none.cast("double"), none.cast("string"))
-    return docs.select(
-        "doc", "position", key.alias("rule_key"), F.lit(kind).alias("rule_type"), description.alias("description"),
-        m[0].alias("metric_type"), m[1].alias("metric_value"), m[2].alias("metric_unit"),
-        species.alias("species_common_name"), (scientific if scientific is not None else none.cast("string")).alias("species_scientific_name"),
-        F.lit(True).alias("needs_manual_review"), context_window(F.col("text"), description).alias("source_context"),
+def documents(docs: DataFrame) -> DataFrame:
+    """docs (doc, text, source_scope, source_type) with the other columns extraction looks at, empty where they lack."""
+    have = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("")
+    return docs.select("doc", have("text").alias("text"), "source_scope", "source_type", *[have(c).alias(c) for c in DOCUMENT[4:]])
+
+
+def extract(docs: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """Rules of documents, each by the extractors of its source's type; with base, static rules beside them.
+
+    docs: doc, text, source_scope, source_type, and perhaps url (the
+    document's), source_url and source_title. A document is cut and folded once,
+    and everything its extractors find comes from one explode; of each rule_key
+    a document's first is kept. Documents without text, and sources of other
+    types, give none.
+    """
+    own = documents(docs)
+    kind = F.col("source_type")
+    said = lambda x: F.struct(x.alias("said"), fold_text(x).alias("f"))
+    operational = kind.isin(*OPERATIONAL_SOURCES)
+    cut = own.where(operational | kind.isin(*STATUTE_SOURCES)).select(
+        "*", fold_text(F.col("text")).alias("flat"), text_units(F.col("text")).alias("units"),
+        F.transform(text_lines(F.col("text")), said).alias("lines"),
+        F.transform(F.split(normalize_spaces(F.col("text")), r"(?<=[.;!?])\s+"), said).alias("sentences"),
     )
+    daily = contains_any(F.col("flat"), DAILY)
+    practice = ~contains_any(fold_text(F.concat_ws(" ", "url", "source_title")), NO_PRACTICE_SOURCES)
+    of_operational = [
+        F.flatten(F.transform("lines", lambda x, i: _line_hits(x, i, daily))),
+        _text_hits(F.col("flat")),
+        F.flatten(F.transform("sentences", _sentence_hits)),
+        F.flatten(F.transform(F.transform("units", said), lambda u, i: _unit_hits(u, i, practice))),
+        _declaration_hits(F.col("units")),
+    ]
+    none = F.array().cast(_HITS)
+    hits = F.concat(
+        F.when(operational, F.concat(*of_operational)).otherwise(none),
+        F.when(kind == MINISTRY, _clause_hits(F.col("flat"))).otherwise(none),
+        F.when(kind.isin(*STATUTE_SOURCES), _statute_hits(F.col("text"))).otherwise(none),
+    )
+    found = cut.withColumn("h", F.explode(hits)).select(*DOCUMENT, "h.*")
+    rules = _first_of_key(_rules(_named(found)))
+    return rules if base is None else base.unionByName(rules, allowMissingColumns=True)
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """Hits with the species they are of; those that need one and have none are left out."""
+    kind, f = F.col("kind"), F.col("f")
+    of_name = canonical_name(F.col("name"), F.col("said"))
+    usable = F.when((kind == "size") | plausible_name(of_name), of_name)
+    species = (
+        F.when(kind.isin("size", "quota"), F.array_compact(F.array(usable)))
+        .when(kind.isin("closure", "protected", "declaration"), all_matches(f))
+        .when(kind == "practice", F.array(first_match(f)))
+        .otherwise(F.array(F.lit(None).cast("string")))
+    )
+    value = F.when(kind.isin("size", "quota", "age"), parse_number(F.col("number")))
+    rows = found.withColumns({"species": F.explode(species), "value": value})
+    return rows.where(F.col("value").isNotNull() | ~kind.isin("size", "quota"))
+
+
+def _by_kind(values: dict[str, Column | str]) -> Column:
+    """What a hit's kind is given, a column or a text."""
+    if not any(isinstance(v, Column) for v in values.values()):
+        return F.try_element_at(constant(values, "map<string,string>"), F.col("kind"))
+    return F.coalesce(*[F.when(F.col("kind") == k, v if isinstance(v, Column) else F.lit(v)) for k, v in values.items()])
+
+
+def _rules(rows: DataFrame) -> DataFrame:
+    """Rule rows of named hits."""
+    kind, species, said, f, value = (F.col(c) for c in ("kind", "species", "said", "f", "value"))
+    scope = rule_scope(f, F.col("source_scope"))
+    sentence = find_sentence(said, [F.get(F.split(species, " "), F.lit(0))])
+    declared = F.when(F.length(sentence) <= 420, sentence).otherwise(F.concat(species, F.lit(DECLARATION_TEXT)))
+    description = F.when(kind == "declaration", declared).otherwise(said)
+    name, at = slugify(species), slugify(scope)
+    unit = F.when(F.col("kg"), "kg/jour").otherwise("captures/jour")
+    key = _by_kind({
+        "size": F.concat_ws(".", F.lit("species"), name, F.lit("min-size"), at),
+        "quota": F.concat_ws(".", F.lit("species"), name, F.lit("quota"), slugify(unit), at),
+        "closure": F.concat_ws(".", F.lit("species"), name, F.lit("closure"), slugify(F.col("first")), slugify(F.col("last")), at),
+        "protected": F.concat_ws(".", F.lit("species"), name, F.lit("protected"), at, short_hash(said)),
+        "practice": F.concat_ws(".", F.lit("practice"), slugify(F.coalesce(species, F.substring(said, 1, 80))), F.lit("restriction"), at, short_hash(said)),
+        "declaration": F.concat_ws(".", F.lit("species"), name, F.lit("declaration"), at),
+        "clause": F.concat(F.lit("spearfishing.fr.ministere."), slugify(F.col("name"))),
+        "age": F.col("name"),
+        "diving": F.col("name"),
+    })
+    subject = F.when(kind == "practice", F.concat(F.lit(" - "), species)).when(kind == "clause", F.col("name")).otherwise(species)
+    metric = {"size": ("SIZE_MIN_CM", "cm"), "quota": (F.when(F.col("kg"), "QUOTA_MAX_KG").otherwise("QUOTA_MAX_UNITS"), unit), "age": ("AGE_MIN_YEARS", "ans")}
+    # a declaration's key goes by its context's scope, its zone by its description's
+    zone_scope = F.when(kind == "declaration", rule_scope(fold_text(description), F.col("source_scope"))).otherwise(scope)
+    return rows.select(
+        "doc", "place", key.alias("rule_key"), _by_kind({k: v[0] for k, v in KINDS.items()}).alias("rule_type"),
+        F.concat(_by_kind({k: v[1] for k, v in KINDS.items()}), F.coalesce(subject, F.lit(""))).alias("title"), description.alias("description"),
+        _by_kind({k: v[2] for k, v in KINDS.items()}).alias("legal_reference"),
+        F.when(value.isNotNull(), _by_kind({k: m for k, (m, _) in metric.items()})).alias("metric_type"), value.alias("metric_value"),
+        F.when(value.isNotNull(), _by_kind({k: u for k, (_, u) in metric.items()})).alias("metric_unit"),
+        species.alias("species_common_name"), F.col("scientific").alias("species_scientific_name"), zone_of(zone_scope, F.col("source_scope")).alias("zone"),
+        (~kind.isin("age", "diving")).alias("needs_manual_review"), _by_kind({k: v[3] for k, v in KINDS.items()}).alias("notes"),
+        description.alias("source_excerpt"), F.when(kind == "declaration", said).otherwise(context_window(F.col("text"), description)).alias("source_context"),
+        F.when(F.col("url") != "", F.col("url")).otherwise(F.col("source_url")).alias("source_url"),
+        F.when((F.col("url") == "") | (F.col("url") == F.col("source_url")), F.col("source_title")).otherwise("").alias("source_title"), "source_type",
+    ).select("*", "zone.*").drop("zone")
+
+
+ZONE_FIELDS = ("zone_code", "zone_name", "zone_strategy", "lat_min", "lat_max", "lon_min", "lon_max")
+ZONE = "struct<zone_code:string,zone_name:string,zone_strategy:string,lat_min:double,lat_max:double,lon_min:double,lon_max:double>"
+
+
+def zone_of(scope: Column, source_scope: Column) -> Column:
+    """The zone of a scope, else of its source's, else of all: code, name, strategy and box."""
+    every = {"zone_code": ALL_ZONES[0], "zone_name": ALL_ZONES[1], "zone_strategy": "APP_ZONES_UNION"}
+    boxes = {s: dict(zip(ZONE_FIELDS, (code, name, "CUSTOM_BBOX", *box), strict=True)) for s, (code, name, *box) in ZONES.items()}
+    known = constant(boxes | {"france": every}, f"map<string,{ZONE}>")
+    return F.coalesce(F.try_element_at(known, scope), F.try_element_at(known, source_scope), constant(every, ZONE))
 
 
 def _first_of_key(rules: DataFrame) -> DataFrame:
-    w = W.partitionBy("doc", "rule_key").orderBy("position")
-    return rules.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    w = W.partitionBy("doc", "rule_key").orderBy("place")
+    return rules.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n").withColumnRenamed("place", "position")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """docs: doc, text, source_scope."""
-    return docs.select("doc", "text", "source_scope", F.posexplode(text_lines(F.col("text"))).alias("position", "line")).withColumn("f", fold_text(F.col("line")))
-
-
-def size_rules(docs: DataFrame) -> DataFrame:
-    """Minimum sizes: `name (scientific): n cm` lines; of each species and scope a document's first."""
-    hit = _lines(docs).withColumn("name", F.regexp_extract("f", SIZE, 1)).where("name <> ''")
-    species = canonical_name(F.col("name"), F.col("line"))
-    rows = hit.withColumn("species", species).where("species is not null").withColumn("value", parse_number(F.regexp_extract("f", SIZE, 3)))
-    key = F.concat(F.lit("species."), slugify(F.col("species")), F.lit(".min-size."), slugify(rule_scope(F.col("f"), F.col("source_scope"))))
-    metric = (F.lit("SIZE_MIN_CM"), F.col("value"), F.lit("cm"))
-    return _first_of_key(_rule(rows, key, "MIN_SIZE", F.col("line"), F.col("species"), metric, F.nullif(F.regexp_extract("f", SIZE, 2), F.lit(""))))
-
-
-def quota_rules(docs: DataFrame) -> DataFrame:
-    """Daily quotas of lines and of running text, in units or kilograms; of each species, unit and scope a document's first."""
-    flat = fold_text(F.col("text"))
-    lines = _lines(docs.withColumn("daily", contains_any(flat, DAILY)).select("doc", "text", "source_scope")).join(docs.select("doc", contains_any(flat, DAILY).alias("daily")), "doc")
-    options = F.array(*[
-        F.struct(F.regexp_extract("f", p, 1).alias("name"), F.regexp_extract("f", p, 2).alias("sci"), F.regexp_extract("f", p, 3).alias("number"),
-                 (F.lit(kg) if kg is not None else F.regexp_extract("f", p, 0).contains("kg")).alias("kg"), F.lit(context).alias("context"))
-        for p, kg, context in QUOTA_LINES
-    ])
-    found = lines.withColumn("q", F.explode(options)).where("q.name <> '' and (daily or not q.context)")
-    by_line = found.select("doc", "text", "source_scope", "position", F.col("line").alias("said"), "q.name", "q.sci", "q.number", "q.kg")
-    texts = []
-    for n, (pattern, name, number) in enumerate(QUOTA_TEXTS):
-        each = docs.select("doc", "text", "source_scope", F.posexplode(F.regexp_extract_all(flat, F.lit(pattern), F.lit(0))).alias("i", "hit"))
-        around = F.call_function("locate", F.col("hit"), flat)
-        first = F.greatest(F.lit(1), around - 220)
-        said = normalize_spaces(F.substr(flat, first, F.length("hit") + 220 + around - first))
-        texts.append(each.select("doc", "text", "source_scope", (F.col("i") + 1_000_000 * (n + 1)).alias("position"), said.alias("said"), F.regexp_extract("hit", pattern, name).alias("name"), F.lit("").alias("sci"), F.regexp_extract("hit", pattern, number).alias("number"), F.lit(False).alias("kg")))
-    rows = by_line
-    for t in texts:
-        rows = rows.unionByName(t)
-    rows = rows.withColumn("species", canonical_name(F.col("name"), F.col("said"))).withColumn("value", parse_number(F.col("number")))
-    rows = rows.where("species is not null and value is not null").where(plausible_name(F.col("species")))
-    unit = F.when(F.col("kg"), "kg").otherwise("units")
-    key = F.concat(F.lit("species."), slugify(F.col("species")), F.lit(".quota-"), unit, F.lit("."), slugify(rule_scope(fold_text(F.col("said")), F.col("source_scope"))))
-    metric = (F.when(F.col("kg"), "QUOTA_MAX_KG").otherwise("QUOTA_MAX_UNITS"), F.col("value"), unit)
-    return _first_of_key(_rule(rows, key, "QUOTA", F.col("said"), F.col("species"), metric, F.nullif("sci", F.lit(""))))
-
-
-def _segments(docs: DataFrame, units: Column) -> DataFrame:
-    return docs.select("doc", "text", "source_scope", F.posexplode(units).alias("position", "unit")).withColumn("f", fold_text(F.col("unit")))
-
-
-def closure_rules(docs: DataFrame) -> DataFrame:
-    """Closed seasons: a sentence that bans, with a period, for each species in it."""
-    sentences = F.split(normalize_spaces(F.col("text")), r"(?<=[.;!?])\s+")
-    hit = _segments(docs, sentences).where(contains_any(F.col("f"), BANS)).where(F.regexp_extract("f", PERIOD, 1) != "")
-    rows = hit.withColumn("species", F.explode(all_matches(F.col("f"))))
-    part = lambda i: slugify(normalize_spaces(F.regexp_extract("f", PERIOD, i)))
-    key = F.concat_ws(".", F.lit("species"), slugify(F.col("species")), F.lit("closure"), part(1), part(2), slugify(rule_scope(F.col("f"), F.col("source_scope"))))
-    return _first_of_key(_rule(rows, key, "CLOSURE_PERIOD", F.col("unit"), F.col("species")))
-
-
-def protected_rules(docs: DataFrame) -> DataFrame:
-    """Species whose catch a sentence forbids."""
-    hit = _segments(docs, text_units(F.col("text"))).where(F.col("f").contains("interdit")).where(contains_any(F.col("f"), ("peche", "capture", "detention")))
-    rows = hit.withColumn("species", F.explode(all_matches(F.col("f"))))
-    key = F.concat_ws(".", F.lit("species"), slugify(F.col("species")), F.lit("protected"), slugify(rule_scope(F.col("f"), F.col("source_scope"))), short_hash(F.col("unit")))
-    return _first_of_key(_rule(rows, key, "PROTECTED_SPECIES", F.col("unit"), F.col("species")))
+def dated(rules: DataFrame, current_year: int) -> DataFrame:
+    """rules (doc, rule_key, …) with valid_from, valid_to, effective_date_source, _confidence, _quote and _reason as their texts tell."""
+    said = F.concat_ws(" ", "description", "source_excerpt", "source_context")
+    key = F.struct("doc", "rule_key").alias("key")
+    told = validity(rules.select(key, said.alias("text"), F.col("source_title").alias("title"), F.col("source_url").alias("url")), "key", current_year)
+    named = told.select("key.*", "valid_from", "valid_to", F.lit("parser").alias("effective_date_source"), F.col("confidence").alias("effective_date_confidence"), F.col("quote").alias("effective_date_quote"), F.col("reason").alias("effective_date_reason"))
+    return rules.join(named, ["doc", "rule_key"], "left")
 
 
 def marked_units(units: DataFrame, groups: list[tuple[str, ...]], noise: tuple[str, ...], least: int = 45, most: int = 520) -> DataFrame:
@@ -141,65 +303,37 @@ def marked_units(units: DataFrame, groups: list[tuple[str, ...]], noise: tuple[s
     return rows
 
 
-def practice_rules(docs: DataFrame) -> DataFrame:
-    """Sentences that bind how to fish."""
-    hit = marked_units(_segments(docs, text_units(F.col("text"))), [PRACTICE, BINDING, ("peche", "capture", "loisir")], SITE_NOISE + FRAGMENTS)
-    species = first_match(F.col("f"))
-    subject = slugify(F.coalesce(species, F.substring(F.col("unit"), 1, 80)))
-    key = F.concat_ws(".", F.lit("practice"), subject, F.lit("restriction"), slugify(rule_scope(F.col("f"), F.col("source_scope"))), short_hash(F.col("unit")))
-    return _first_of_key(_rule(hit, key, "PRACTICE_RULE", F.col("unit"), species))
-
+#: Citations of decrees in a folded description, which do not count in its signature (fixed value).
+CITED = r"\b(article|arrete|decret)\s+[a-z0-9\-\.]+"
 
-def declaration_rules(docs: DataFrame) -> DataFrame:
-    """Species that sentences near a duty to declare name."""
-    units = docs.select("doc", F.posexplode(text_units(F.col("text"))).alias("position", "unit"))
-    near = declaration_contexts(units, "doc", DECLARATION, SITE_NOISE).join(docs, "doc")
-    rows = near.withColumn("species", F.explode(all_matches(fold_text(F.col("context")))))
-    key = F.concat_ws(".", F.lit("species"), slugify(F.col("species")), F.lit("declaration"), slugify(rule_scope(fold_text(F.col("context")), F.col("source_scope"))))
-    return _first_of_key(_rule(rows, key, "LOCAL_RESTRICTION", F.col("context"), F.col("species")))
 
-
-def clause_rules(docs: DataFrame, clauses: tuple = CLAUSES) -> DataFrame:
-    """Rules of fixed wording, each from the first sentence that has all its words."""
-    said = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(t).alias("kind"), find_sentence(F.col("text"), list(w)).alias("said")) for k, t, w in clauses])
-    rows = docs.select("doc", "text", F.posexplode(said).alias("position", "c")).where("c.said is not null")
-    out = _rule(rows, F.col("c.key"), "", F.col("c.said"), F.lit(None).cast("string"))
-    return out.join(rows.select("doc", "position", F.col("c.kind").alias("_kind")), ["doc", "position"]).withColumn("rule_type", F.col("_kind")).drop("_kind")
-
-
-#: Extractors of each type of source.
-ROUTES = {
-    "operational": (size_rules, quota_rules, closure_rules, protected_rules, practice_rules, declaration_rules),
-    "statute": (clause_rules,),
-}
-
-
-def extract(docs: DataFrame, routes: dict = ROUTES) -> DataFrame:
-    """docs (doc, text, source_scope, source_type) to rules, each by the extractors of its source's type."""
-    out = None
-    for kind, functions in routes.items():
-        own = docs.where(F.col("source_type") == kind).select("doc", "text", "source_scope")
-        for f in functions:
-            rows = f(own)
-            out = rows if out is None else out.unionByName(rows)
-    return out
+def content_signature(rules: DataFrame) -> Column:
+    """What makes two rules the same: type, species and zone; then the metric with its unit of sizes and quotas, else the folded title (not of closures) and a hash of the description without citations."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rules.columns else F.lit("")
+    kind = text("rule_type")
+    said = F.substring(normalize_spaces(F.regexp_replace(fold_text(text("description")), CITED, " ")), 1, 360)
+    head = [kind, fold_text(text("species_common_name")), text("zone_code")]
+    metric = [text("metric_type"), metric_text(F.col("metric_value")), fold_text(text("metric_unit"))]
+    return (
+        F.when(kind.isin("MIN_SIZE", "QUOTA"), F.concat_ws("|", *head, *metric))
+        .when(kind == "CLOSURE_PERIOD", F.concat_ws("|", *head, short_hash(said)))
+        .otherwise(F.concat_ws("|", *head, fold_text(text("title")), short_hash(said)))
+    )
 
 
-def content_signature(rules: DataFrame) -> Column:
-    """What makes two rules the same: type, species and metric, or the folded description where there is no metric."""
-    has = F.col("metric_value").isNotNull()
-    what = F.when(has, F.concat_ws("|", F.coalesce("metric_type", F.lit("")), metric_text(F.col("metric_value")))).otherwise(fold_text(F.coalesce("description", F.lit(""))))
-    return F.concat_ws("|", F.coalesce("rule_type", F.lit("")), fold_text(F.coalesce("species_common_name", F.lit(""))), F.coalesce("zone_code", F.lit("")), what)
+def priority() -> Column:
+    """A source's priority number; none, and 0, count as last."""
+    return F.coalesce(F.nullif("source_priority", F.lit(0)), F.lit(999))
 
 
 def preference() -> list[Column]:
     """The better of two rules: lower priority number, no review, longer description, key, first seen."""
-    return [F.coalesce("source_priority", F.lit(999)), F.coalesce("needs_manual_review", F.lit(False)).cast("int"), -F.length(F.coalesce("description", F.lit(""))), F.col("rule_key"), F.col("seq")]
+    return [priority(), F.coalesce("needs_manual_review", F.lit(False)).cast("int"), -F.length(F.coalesce("description", F.lit(""))), F.col("rule_key"), F.col("seq")]
 
 
 def dedupe_keys(rules: DataFrame) -> DataFrame:
-    """Of each rule_key the preferred rule. rules: also seq, source_priority, zone_code."""
-    w = W.partitionBy("rule_key").orderBy(*preference())
+    """Of each rule_key the rule of the least source_priority as it stands, of these the preferred. rules: also seq, zone_code."""
+    w = W.partitionBy("rule_key").orderBy("source_priority", *preference())
     return rules.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
@@ -214,51 +348,102 @@ def dedupe_content(rules: DataFrame) -> DataFrame:
 
 
 def rule_order(rules: DataFrame) -> list[Column]:
+    """Zone, species, place of the type, priority, key; rules without zone or species come after those with one."""
     rank = F.lit(999)
     for t, r in RULE_RANK.items():
         rank = F.when(F.col("rule_type") == t, r).otherwise(rank)
-    return [F.col("zone_code"), F.col("species_common_name").asc_nulls_first(), rank, F.col("source_priority"), F.col("rule_key")]
+    last = lambda c, end: F.when(F.coalesce(c, F.lit("")) == "", end).otherwise(c)
+    return [last(F.col("zone_code"), "ZZZ"), last(fold_text(F.col("species_common_name")), "zzzz"), rank, priority(), F.coalesce("rule_key", F.lit(""))]
+
+
+# Points of a rule's confidence: by its source's priority, and what they change by; least and most.
+PRIORITY_POINTS, OTHER_POINTS = {1: 0.92, 2: 0.78}, 0.62
+METRIC_POINTS, REFERENCE_POINTS, REVIEW_POINTS, FLAG_POINTS = 0.08, 0.04, -0.22, -0.08
+LEAST_POINTS, MOST_POINTS = 0.05, 0.99
 
 
 def confidence() -> Column:
-    p = F.coalesce("source_priority", F.lit(999))
-    score = F.when(p == 1, 0.92).when(p == 2, 0.78).otherwise(0.62)
-    score = score + F.when(F.col("metric_type").isNotNull() & F.col("metric_value").isNotNull(), 0.08).otherwise(0.0)
-    score = score + F.when(F.coalesce("legal_reference", F.lit("")) != "", 0.04).otherwise(0.0)
-    score = score - F.when(F.col("needs_manual_review"), 0.22).otherwise(0.0) - F.when(F.size(F.coalesce("quality_flags", F.array())) > 0, 0.08).otherwise(0.0)
-    return F.round(F.greatest(F.lit(0.05), F.least(F.lit(0.99), score)), 2)
+    """Points of a rule, from 0.05 to 0.99."""
+    score = reduce(lambda c, kv: F.when(priority() == kv[0], kv[1]).otherwise(c), PRIORITY_POINTS.items(), F.lit(OTHER_POINTS))
+    held = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    for met, points in (
+        (held("metric_type") & F.col("metric_value").isNotNull(), METRIC_POINTS),
+        (held("legal_reference"), REFERENCE_POINTS),
+        (F.coalesce("needs_manual_review", F.lit(False)), REVIEW_POINTS),
+        (F.size(F.coalesce("quality_flags", F.array().cast("array<string>"))) > 0, FLAG_POINTS),
+    ):
+        score = score + F.when(met, points).otherwise(0.0)
+    return F.round(F.greatest(F.lit(LEAST_POINTS), F.least(F.lit(MOST_POINTS), score)), 2)
 
 
 def unit_share(score: Column) -> Column:
-    """A score of 0 to 1, or of 0 to 100, as 0 to 1."""
+    """A score of 0 to 1, or of 0 to 100, as 0 to 1; null for null."""
     s = F.when(score > 1, score / 100).otherwise(score)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), s))
+    return F.when(score.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), s)))
 
 
 def _of(c: Column, table: dict[str, str], other: str) -> Column:
-    out = F.lit(other)
-    for k, v in table.items():
-        out = F.when(c == k, F.lit(v)).otherwise(out)
-    return out
+    return F.coalesce(F.try_element_at(constant(table, "map<string,string>"), c), F.lit(other))
+
+
+# Words of a folded species name that tell its group; of all others the last.
+TAXA = ((("araignee", "homard", "tourteau", "langouste", "crabe"), "crustacean"), (("coquille", "ormeau", "pouce"), "shellfish"))
+OTHER_TAXON = "fish"
+
+
+def citation_quote(rules: DataFrame, most: int = 700) -> Column:
+    """The quote chosen for a rule, else its excerpt, else its description; dots where it is cut."""
+    text = lambda c: F.nullif(normalize_spaces(F.col(c)), F.lit("")) if c in rules.columns else F.lit(None).cast("string")
+    quote = F.coalesce(text("selected_quote"), text("source_excerpt"), text("description"), F.lit(""))
+    return F.when(F.length(quote) <= most, quote).otherwise(F.concat(F.rtrim(F.substring(quote, 1, most - 3)), F.lit("...")))
+
+
+def document_hash(rules: DataFrame) -> Column:
+    """A rule's document's hash; where it is not known, that of the source's address, title, authority and date."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rules.columns else F.lit("")
+    seed = F.concat_ws("\n", F.regexp_replace(F.trim(text("source_url")), "#.*$", ""), text("source_title"), text("authority_name"), text("valid_from"))
+    return F.coalesce(F.nullif(text("document_hash"), F.lit("")), F.sha2(seed, 256))
 
 
 def enrich(rules: DataFrame) -> DataFrame:
-    """rules with status, confidence, activity, constraint, citations and the species' record."""
+    """rules with status, confidence, activity, constraint, document_hash, citations, the species' record and the candidate's.
+
+    A column that rules lack counts as null. citations: one, of the quote, its
+    excerpt and context, and where it stands. candidate: what is put up for
+    publication, under a key of rule, document and content.
+    """
     t, m = F.col("rule_type"), F.col("metric_type")
-    name = fold_text(F.col("species_common_name"))
-    scientific = F.coalesce("species_scientific_name", F.try_element_at(F.create_map(*[F.lit(x) for kv in SCIENTIFIC.items() for x in kv]), name))
-    group = F.when(contains_any(name, ("araignee", "homard", "tourteau", "langouste", "crabe")), "crustacean").when(contains_any(name, ("coquille", "ormeau", "pouce")), "shellfish").otherwise("fish")
-    spellings = F.coalesce(*[F.when(name == n, F.array(*map(F.lit, sorted(set(a))))) for n, a in SPECIES.items()], F.array(name))
-    quote = F.substring(normalize_spaces(F.coalesce("source_excerpt", "description")), 1, 700)
-    return rules.select(
-        "*",
-        F.when(F.coalesce("needs_manual_review", F.lit(False)), "needs_review").otherwise("published").alias("status"),
-        confidence().alias("confidence"),
-        _of(t, RULE_ACTIVITY, OTHER_ACTIVITY).alias("activity_type"),
-        F.when(m == "SIZE_MIN_CM", "min_size").when(m.isin("QUOTA_MAX_UNITS", "QUOTA_MAX_KG"), "quota").otherwise(_of(t, RULE_CONSTRAINT, "general_rule")).alias("constraint_type"),
-        F.array(F.struct(F.col("source_url").alias("url"), quote.alias("quote"))).alias("citations"),
-        F.when(name.isNotNull(), F.struct(name.alias("canonical_name"), scientific.alias("scientific_name"), group.alias("taxon_group"), spellings.alias("aliases"))).alias("species"),
-    )
+    name = F.nullif(fold_text(F.col("species_common_name")), F.lit(""))
+    given = lambda c, kind="string": F.col(c) if c in rules.columns else F.lit(None).cast(kind)
+    cut = lambda c, n: F.substring(normalize_spaces(F.coalesce(given(c), F.lit(""))), 1, n)
+    scientific = F.coalesce(F.nullif("species_scientific_name", F.lit("")), F.try_element_at(constant(SCIENTIFIC, "map<string,string>"), name))
+    group = reduce(lambda c, kv: F.when(contains_any(name, kv[0]), kv[1]).otherwise(c), reversed(TAXA), F.lit(OTHER_TAXON))
+    spellings = F.coalesce(F.try_element_at(constant({n: sorted(set(a)) for n, a in SPECIES.items()}, "map<string,array<string>>"), name), F.array(name))
+    review = F.coalesce("needs_manual_review", F.lit(False))
+    chosen = F.coalesce(given("selected_quote"), F.lit("")) != ""
+    named = rules.withColumns({
+        "document_hash": document_hash(rules),
+        "status": F.when(review, "needs_review").otherwise("published"),
+        "confidence": F.coalesce(unit_share(given("confidence_score", "double")), confidence()),
+        "activity_type": _of(t, RULE_ACTIVITY, OTHER_ACTIVITY),
+        "constraint_type": F.when(m == "SIZE_MIN_CM", "min_size").when(m.isin("QUOTA_MAX_UNITS", "QUOTA_MAX_KG"), "quota").otherwise(_of(t, RULE_CONSTRAINT, "general_rule")),
+        "locator": F.coalesce(F.nullif("legal_reference", F.lit("")), "rule_key"),
+        "quote": citation_quote(rules),
+    })
+    citation = F.struct(
+        F.regexp_replace(F.trim("source_url"), "#.*$", "").alias("url"), F.col("quote"), cut("source_excerpt", 1 << 30).alias("source_excerpt"), cut("source_context", 1800).alias("source_context"),
+        F.when(chosen, "ai_selected").otherwise("parser_excerpt").alias("selection_method"), F.col("locator"), F.col("document_hash"), F.col("confidence"),
+    )
+    species = F.struct(
+        name.alias("canonical_name"), F.col("species_common_name").alias("common_name"), scientific.alias("scientific_name"), group.alias("taxon_group"), spellings.alias("aliases"),
+        F.create_map().cast("map<string,string>").alias("external_ids"),
+    )
+    candidate = F.struct(
+        short_hash(F.concat_ws("|", F.coalesce("rule_key", F.lit("")), "document_hash", content_signature(rules))).alias("candidate_key"),
+        F.when(review, "candidate").otherwise("publishable").alias("status"), F.col("confidence"), F.col("activity_type"), F.col("constraint_type"),
+        *[F.col(c) for c in ("rule_key", "rule_type", "title", "description", "metric_type", "metric_value", "metric_unit", "species_common_name", "document_hash") if c in named.columns],
+    )
+    return named.select("*", F.array(citation).alias("citations"), F.when(name.isNotNull(), species).alias("species"), candidate.alias("candidate"))
 
 
 def audit_sample(rules: DataFrame, n: int, chars: int = 600) -> DataFrame:

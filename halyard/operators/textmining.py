@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from halyard.functions.text import contains_any, fold_text, normalize_spaces, slugify
+from halyard.functions.text import bound, constant, contains_any, fold_text, folded, normalize_spaces, slugify
 from halyard.registry import MONTHS, SPECIES
 
 LINES = r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
@@ -29,33 +29,51 @@ def sentence_units(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     return docs.select(key, F.posexplode(text_units(F.col(text))).alias("position", "unit"))
 
 
-def find_sentence(c: Column, tokens: list[str]) -> Column:
-    """The first unit that holds all tokens, folded; else the first run of three units that does; else null."""
+def find_sentence(c: Column, tokens: list[str | Column]) -> Column:
+    """The first unit that holds all tokens, both folded; else the first run of three units that does; else null."""
     units = text_units(c)
+    wanted = [folded(t) if isinstance(t, str) else fold_text(t) for t in tokens]
 
     def every(u: Column) -> Column:
-        out = F.lit(True)
-        for t in tokens:
-            out = out & fold_text(u).contains(t)
-        return out
+        f = fold_text(u)
+        return reduce(lambda a, t: a & f.contains(t), wanted, F.lit(True))
 
     one = F.try_element_at(F.filter(units, every), F.lit(1))
     windows = F.transform(units, lambda _, i: normalize_spaces(F.array_join(F.slice(units, i + 1, 3), " ")))
     return F.coalesce(one, F.try_element_at(F.filter(windows, every), F.lit(1)))
 
 
-def _alias_pattern(aliases: tuple[str, ...]) -> str:
-    return r"\b(?:" + "|".join(re.escape(a) for a in sorted(aliases, key=len, reverse=True)) + r")\b"
+def _spellings(dictionary: dict[str, tuple[str, ...]]) -> tuple[str, dict[str, list[tuple[int, str]]]]:
+    """One pattern that meets every spelling wherever it stands as whole words, and the entries each stands for.
+
+    Of spellings that begin at one place the longest is met; so it stands for
+    the entries of those it begins with, too.
+    """
+    entries: dict[str, list[tuple[int, str]]] = {}
+    for n, (name, words) in enumerate(dictionary.items()):
+        for w in words:
+            entries.setdefault(w, []).append((n, name))
+    for w in entries:
+        entries[w] = sorted({e for v, own in entries.items() if v == w or re.match(rf"{re.escape(v)}\b", w) for e in own})
+    longest = sorted(entries, key=len, reverse=True)
+    return r"\b(?=(" + "|".join(map(re.escape, longest)) + r")\b)", entries
+
+
+def _entries(folded_text: Column, dictionary: dict[str, tuple[str, ...]]) -> Column:
+    """(place in the dictionary, name) of every entry met, by one look through the text."""
+    pattern, entries = _spellings(dictionary)
+    known = constant({w: [{"place": n, "name": name} for n, name in own] for w, own in entries.items()}, "map<string,array<struct<place:int,name:string>>>")
+    return F.flatten(F.transform(F.array_distinct(F.regexp_extract_all(folded_text, F.lit(pattern), F.lit(1))), lambda w: F.try_element_at(known, w)))
 
 
-def first_match(folded: Column, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
+def first_match(folded_text: Column, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
     """The first entry of the dictionary of which a spelling stands in the text as whole words."""
-    return F.coalesce(*[F.when(folded.rlike(_alias_pattern(a)), F.lit(n)) for n, a in dictionary.items()])
+    return F.array_min(_entries(folded_text, dictionary))["name"]
 
 
-def all_matches(folded: Column, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
+def all_matches(folded_text: Column, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
     """All such entries, sorted."""
-    return F.array_sort(F.array_compact(F.array(*[F.when(folded.rlike(_alias_pattern(a)), F.lit(n)) for n, a in dictionary.items()])))
+    return F.array_sort(F.array_distinct(F.transform(_entries(folded_text, dictionary), lambda e: e["name"])))
 
 
 #: What a name may begin with, and where it ends, in folded text (fixed values).
@@ -71,9 +89,12 @@ def name_stem(c: Column) -> Column:
     return normalize_spaces(F.regexp_replace(name, NAME_END, ""))
 
 
-#: Names that are no species (fixed values).
-NO_SPECIES = ("peche", "peche de loisir", "capture", "captures", "espece", "especes", "taille", "tailles", "poids", "quota", "quotas")
-STOP_WORDS = ("quota", "peche", "pecheur", "pecheurs", "jour", "navire", "par", "maximum", "captures", "capture", "specimens", "taille")
+#: Names that are no species; words no name of a quota has (fixed values).
+NO_SPECIES = ("autres zones", "coquillages", "crustaces", "poissons", "attention", "cf", "reglementation", "especes sensibles")
+STOP_WORDS = (
+    "captures", "capture", "limitee", "limitees", "limites", "quantite", "totale", "autorisee", "superieure", "inferieure", "pecheur", "navire",
+    "jour", "specimens", "specimen", "unites", "kg", "danatifes",
+)
 
 
 def canonical_name(raw: Column, context: Column | None = None, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
@@ -141,22 +162,45 @@ def quote_in(quote: Column, context: Column) -> Column:
     return (q != "") & (c != "") & F.contains(c, q)
 
 
-def declaration_contexts(units: DataFrame, key: str, markers: tuple[str, ...], noise: tuple[str, ...], before: int = 0, after: int = 8) -> DataFrame:
-    """(key, position, context): round each unit with a marker, the units up to before and after it, cut at the nearest noise.
+#: What tells of sensitive species; of declaring catches, each all words of one group; and of a site's own furniture (fixed values).
+SENSITIVE = ("especes sensibles", "especes concernees")
+DECLARING = (("recfishing",), ("declaration", "capture"), ("enregistrement", "pecheur"))
+SITE_NOISE = ("acceder au contenu", "acceder au menu", "rechercher menu", "sur le meme sujet", "mentions legales", "gestion des cookies", "partager la page")
+
+
+def declaration_context(units: Column, sensitive: tuple[str, ...] = SENSITIVE, declaring: tuple[tuple[str, ...], ...] = DECLARING, noise: tuple[str, ...] = SITE_NOISE) -> Column:
+    """The units about sensitive species and their declaration, joined, in the order they are come upon, each once.
 
-    Noise barriers are counted along the document, so a unit belongs to a
-    marker's context if no barrier lies between them: an equi-join on the
-    document and the count, with a range of positions.
+    A unit with a word of sensitive brings itself and the seven after it. One
+    that declares brings itself, the three before and the three after it; if one
+    of those before is sensitive, from the nearest such on. Both end before the
+    first unit of noise. Empty without any; null for null.
     """
-    folded = fold_text(F.col("unit"))
-    w = W.partitionBy(key).orderBy("position")
-    marked = units.withColumn("_noise", contains_any(folded, noise)).withColumn("_mark", contains_any(folded, markers))
-    marked = marked.withColumn("_block", F.sum(F.col("_noise").cast("int")).over(w))
-    quiet = marked.where(~F.col("_noise"))
-    m = quiet.where("_mark").select(key, "_block", F.col("position").alias("_at"))
-    near = m.join(quiet.select(key, "_block", "position", "unit"), [key, "_block"]).where(F.col("position").between(F.col("_at") - before, F.col("_at") + after))
-    parts = near.groupBy(key, "_at").agg(F.array_sort(F.collect_list(F.struct("position", "unit"))).alias("parts"))
-    return parts.select(key, F.col("_at").alias("position"), F.array_join(F.col("parts.unit"), " ").alias("context"))
+    all_of = lambda f, words: reduce(lambda a, w: a & f.contains(w), words, F.lit(True))
+    declares = lambda f: reduce(lambda a, b: a | b, [all_of(f, w) for w in declaring])
+    # of each unit: 1 sensitive, 2 declares (and is not), 0 neither; and whether it is noise
+    mark = lambda f: F.when(contains_any(f, sensitive), 1).when(declares(f), 2).otherwise(0)
+    judge = lambda u: bound(fold_text(u), lambda f: F.struct(mark(f).alias("mark"), contains_any(f, noise).alias("noise")))
+
+    def told(own: Column) -> Column:
+        said, judged = own["units"], own["judged"]
+
+        def quiet(first: Column, end: Column) -> Column:
+            """Numbers from first to before end, or before the first noise."""
+            window = F.slice(judged, first + 1, F.greatest(end - first, F.lit(0)))
+            size = bound(F.array_position(F.transform(window, lambda j: j["noise"]), True).cast("int"), lambda stop: F.when(stop > 0, stop - 1).otherwise(F.size(window)))
+            return bound(size, lambda n: F.when(n > 0, F.sequence(first, first + n - 1)).otherwise(F.array().cast("array<int>")))
+
+        def around(i: Column) -> Column:
+            back = F.greatest(i - 3, F.lit(0))
+            near = F.array_max(F.filter(F.sequence(back, i), lambda k: F.get(judged, k)["mark"] == 1))
+            return bound(F.coalesce(near, back), lambda first: quiet(first, i + 4))
+
+        brought = F.transform(judged, lambda j, i: F.when(j["mark"] == 1, quiet(i, i + 8)).when(j["mark"] == 2, around(i)))
+        kept = F.array_distinct(F.flatten(F.filter(brought, lambda x: x.isNotNull())))
+        return normalize_spaces(F.array_join(F.transform(kept, lambda i: F.get(said, i)), " "))
+
+    return bound(units, lambda u: bound(F.struct(u.alias("units"), F.transform(u, judge).alias("judged")), told))
 
 
 # Dates

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from halyard.functions.text import metric_text, normalize_spaces
 from halyard.operators.textmining import quote_in
 
+#: A rule's parts that make its version, in order (fixed values).
 FINGERPRINT = (
-    "rule_type", "title", "description", "legal_reference", "metric_type", "metric_value", "metric_unit", "species_common_name",
-    "species_scientific_name", "zone_code", "source_url", "valid_from", "valid_to", "notes",
+    "rule_type", "activity_type", "constraint_type", "title", "description", "legal_reference", "metric_type", "metric_value", "metric_unit",
+    "species_common_name", "species_scientific_name", "zone_code", "valid_from", "valid_to",
 )
 
 
 def fingerprint(columns: list[str], fields: tuple[str, ...] = FINGERPRINT) -> Column:
-    """SHA-256 of a rule's normalised parts; a part that lacks is empty, so places stay."""
+    """SHA-256 of a rule's parts, lower-cased with single spaces; a part that lacks is empty, so places stay. Addresses and notes are none of them."""
     def part(c: str) -> Column:
         if c not in columns:
             return F.lit("")
-        return metric_text(F.col(c)) if c == "metric_value" else F.coalesce(normalize_spaces(F.col(c).cast("string")), F.lit(""))
+        return metric_text(F.col(c)) if c == "metric_value" else F.coalesce(F.lower(normalize_spaces(F.col(c).cast("string"))), F.lit(""))
 
     return F.sha2(F.concat_ws("|", *map(part, fields)), 256)
 

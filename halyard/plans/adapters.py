@@ -50,7 +50,7 @@ KINDS = {
 
 
 def source_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as long measurements in bins of six hours, from 40 spots and four sources."""
+    """events as long measurements in bins of six hours, from a spot for every two users, and four sources."""
     e = table(spark, sf_dir, "events")
     case = {k: F.lit(m) for k, (m, _, _) in KINDS.items()}
     metric = unit = value = None
@@ -61,7 +61,7 @@ def source_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         value = F.when(is_kind, F.expr(v)) if value is None else value.when(is_kind, F.expr(v))
     return e.select(
         "event_id",
-        F.concat(F.lit("spot"), (F.col("user_id") % 40).cast("string")).alias("spot_id"),
+        F.concat(F.lit("spot"), F.floor(F.col("user_id") / 2).cast("string")).alias("spot_id"),
         F.concat(F.lit("src"), (F.get_json_object("props", "$.k").cast("long") % 4).cast("string")).alias("source_code"),
         F.timestamp_seconds(F.floor(F.unix_seconds("ts") / 21600) * 21600).alias("valid_time"),
         metric.alias("metric"),
@@ -76,7 +76,7 @@ _CASE = lambda i: "CASE event_type " + " ".join(f"WHEN '{k}' THEN {x[i] if i ==
 #: source_values in SQL: sv as delivered; nv with units converted.
 SV = f"""
 sv AS (
-  SELECT event_id, 'spot' || (user_id % 40) AS spot_id, 'src' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 4) AS source_code,
+  SELECT event_id, 'spot' || (user_id // 2) AS spot_id, 'src' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 4) AS source_code,
     time_bucket(INTERVAL '6 hours', ts) AS valid_time, {_CASE(0)} AS metric, {_CASE(2)} AS value, {_CASE(1)} AS unit, ts AS fetched_at FROM events
 ), nv AS (
   SELECT event_id, spot_id, source_code, valid_time, metric, fetched_at,

@@ -35,6 +35,9 @@ FOLD = "regexp_replace(strip_accents({}), '[^\\x00-\\x7F]', '', 'g')"
 SIGNAL = "lower(" + FOLD.format("dst_url || ' ' || label") + ")"
 
 
+DECREED = "label || CASE length(label) % 3 WHEN 0 THEN ' Arrêté_7' WHEN 1 THEN ' Arrêté du préfet' ELSE '' END"
+
+
 def _count(words) -> str:
     return " + ".join(f"contains(s, '{w}')::INT" for w in words)
 
@@ -43,7 +46,7 @@ def _score_sql() -> str:
     from halyard.registry import NEGATIVE_WORDS, RELEVANT_WORDS
 
     years = " + ".join(f"contains(s, '{YEAR + k}')::INT" for k in (-1, 0, 1))
-    relevance = f"4 * ({_count(RELEVANT_WORDS)}) - 5 * ({_count(NEGATIVE_WORDS)}) + 3 * ({years}) + 2 * (contains(s, 'annexe')::INT + regexp_matches(s, 'arrete|decret')::INT)"
+    relevance = f"4 * ({_count(RELEVANT_WORDS)}) - 5 * ({_count(NEGATIVE_WORDS)}) + 3 * ({years}) + 2 * (contains(s, 'annexe')::INT + regexp_matches(s, '\\b(ar|arrete|decret)[-_]?\\d')::INT)"
     return f"3 * ({_count(WORDS)}) - 8 * ({_count(NO_WORDS)}) + {relevance} + 4 * ({years})"
 
 
@@ -65,9 +68,12 @@ def page_links(spark, d):
     return _edges(spark, d).select("src_url", "dst_url", "label")
 
 
-@plans.add(SCORED + " SELECT src_url, dst_url, score FROM c")
+@plans.add(f"WITH {LINKS_CTE}, s AS (SELECT src_url, dst_url, {SIGNAL.replace('label', DECREED)} AS s FROM e) SELECT src_url, dst_url, ({_score_sql()})::INT AS score FROM s")
 def link_score(spark, d):
-    score = pages.candidate_score(F.col("dst_url"), F.col("label"), YEAR, WORDS, NO_WORDS)
+    """Some labels name a decree with a number, some without."""
+    n = F.length("label") % 3
+    label = F.concat("label", F.when(n == 0, " Arrêté_7").when(n == 1, " Arrêté du préfet").otherwise(""))
+    score = pages.candidate_score(F.col("dst_url"), label, YEAR, WORDS, NO_WORDS)
     return _edges(spark, d).select("src_url", "dst_url", score.alias("score"))
 
 
@@ -113,18 +119,21 @@ def page_ranked_links(spark, d):
     return pages.ranked_links(_edges(spark, d), YEAR, 2, False, WORDS, NO_WORDS).select("src_url", "dst_url", "rank")
 
 
-@plans.add("""WITH RECURSIVE b AS (SELECT user_id, (user_id * 7 + 1) % 997 AS x, (user_id * 3 + 2) % 997 AS y FROM (SELECT DISTINCT c_custkey % 997 AS user_id FROM customer)), g AS (SELECT user_id AS s, x AS t FROM b UNION SELECT user_id, y FROM b),
-r(seed, node, hop) AS (SELECT n, n, 0 FROM (SELECT DISTINCT s AS n FROM g WHERE s < 20) UNION SELECT seed, t, hop + 1 FROM r JOIN g ON s = node WHERE hop < 4)
-SELECT 'u' || seed AS seed_url, 'u' || node AS url, min(hop)::INTEGER AS hop FROM r GROUP BY ALL""")
+@plans.add(r"""WITH RECURSIVE l AS (SELECT page_id, unnest(h) AS href, unnest(range(len(h))) AS n FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]+)">(.*?)</a>', 1) AS h FROM pages)),
+g AS (SELECT DISTINCT a.href AS s, b.href AS t FROM l a JOIN l b ON b.page_id = a.page_id AND b.n = a.n + 1),
+r(seed, node, hop) AS (SELECT DISTINCT href, href, 0 FROM l WHERE n = 0 AND page_id % 5 = 0 UNION SELECT seed, t, hop + 1 FROM r JOIN g ON s = node WHERE hop < 3)
+SELECT seed AS seed_url, node AS url, min(hop)::INTEGER AS hop FROM r GROUP BY ALL""")
 def link_expand(spark, d):
-    c = table(spark, d, "customer").select((F.col("c_custkey") % 997).alias("u")).distinct()
-    node = lambda x: F.concat(F.lit("u"), (x % 997).cast("string"))
-    e = c.select(node(F.col("u")).alias("src_url"), F.explode(F.array(node(F.col("u") * 7 + 1), node(F.col("u") * 3 + 2))).alias("dst_url"), F.lit(1).alias("score")).distinct()
+    """From the first link of every fifth page over links that follow each other in some page."""
+    found = pages.links(table(spark, d, "pages").withColumn("url", F.col("page_id").cast("string"))).select("src_url", "position", "href")
+    after = found.select("src_url", (F.col("position") - 1).alias("position"), F.col("href").alias("dst_url"))
+    e = found.join(after, ["src_url", "position"]).select(F.col("href").alias("src_url"), "dst_url", F.lit(1).alias("score")).distinct()
+    seeds = found.where("position = 0 and src_url % 5 = 0").select(F.col("href").alias("url")).distinct()
     if not (spark.sparkContext.getConf().get("spark.checkpoint.dir")):
         from halyard.sources.landing import scratch
 
         spark.sparkContext.setCheckpointDir(scratch(spark, "hops"))
-    return pages.expand(e, c.where("u < 20").select(node(F.col("u")).alias("url")), 4, 1000)
+    return pages.expand(e, seeds, 3, 1_000_000)
 
 
 @plans.add("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 45")
@@ -139,7 +148,7 @@ def scalar_parse(spark, d):
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     iso = F.when(k % 3 == 0, day).when(k % 3 == 1, "2026-02-30").otherwise("n/a")
     zone = F.when(k % 4 == 0, "Z").when(k % 4 == 1, "+02").when(k % 4 == 2, "-01:30").otherwise("?")
-    number = F.when(k % 3 == 0, "six").when(k % 3 == 1, F.replace(((k % 100) / 2).cast("string"), F.lit("."), F.lit(","))).otherwise("n/a")
+    number = F.when(k % 3 == 0, F.when(k % 2 == 0, " Sîx-").otherwise("six")).when(k % 3 == 1, F.concat(F.replace(((k % 100) / 2).cast("string"), F.lit("."), F.lit(",")), F.when(k % 2 == 0, " kg").otherwise(""))).otherwise("n/a")
     return o.select(
         "o_orderkey",
         X.is_iso_date(iso).alias("iso"),
@@ -200,26 +209,32 @@ def practice_filter(spark, d):
     return rules.marked_units(units, [("tion", "ment"), (" the ", " la ")], ("license", "page"))
 
 
-@plans.add(r"""WITH b AS (SELECT b.item_id, d.doc_id, trim(regexp_replace(d.text, '\s+', ' ', 'g')) AS t, trim(regexp_replace(b.text, '\s+', ' ', 'g'))[1:40] AS a FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40), p AS (SELECT *, instr(t, a) AS p FROM b),
+@plans.add(f"""WITH {UNITS_SQL}, n AS (SELECT doc_id, list(unit ORDER BY i) AS p FROM u GROUP BY 1), b AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t, coalesce(CASE WHEN doc_id % 4 = 0 THEN 'absent' ELSE p[len(p) // 2 + 1] END, '') AS a FROM documents LEFT JOIN n USING (doc_id)), p AS (SELECT *, instr(t, a) AS p FROM b),
 w AS (SELECT *, greatest(1, p - 100) AS s, least(length(t), p - 1 + length(a) + 100) AS e FROM p)
-SELECT doc_id, CASE WHEN p = 0 THEN t[1:200] ELSE (CASE WHEN s > 1 THEN '...' ELSE '' END) || trim(t[s:e]) || (CASE WHEN e < length(t) THEN '...' ELSE '' END) END AS context, p > 0 AS quoted FROM w""")
+SELECT doc_id, CASE WHEN t = '' THEN a WHEN a = '' OR p = 0 THEN t[1:200] ELSE (CASE WHEN s > 1 THEN '...' ELSE '' END) || trim(t[s:e]) || (CASE WHEN e < length(t) THEN '...' ELSE '' END) END AS context, a <> '' AND p > 0 AS quoted FROM w""")
 def context_window(spark, d):
-    b = table(spark, d, "benchmark").select(F.col("item_id"), F.substring(X.normalize_spaces(F.col("text")), 1, 40).alias("anchor"))
-    docs = table(spark, d, "documents").withColumn("item_id", F.col("doc_id") % 40).join(b, "item_id")
+    """Round the middle sentence of each document; of every fourth, round words it does not have."""
+    units = textmining.text_units(F.col("text"))
+    anchor = F.when(F.col("doc_id") % 4 == 0, "absent").otherwise(F.coalesce(F.get(units, F.floor(F.size(units) / 2).cast("int")), F.lit("")))
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), anchor.alias("anchor"))
     return docs.select("doc_id", textmining.context_window(F.col("text"), F.col("anchor"), 200).alias("context"), textmining.quote_in(F.col("anchor"), F.col("text")).alias("quoted"))
 
 
-@plans.add(f"""WITH {UNITS_SQL}, f AS (SELECT *, contains({F_SQL}, 'thereaer') OR contains({F_SQL}, 'reserved') AS noise, contains({F_SQL}, 'nation') AS mark FROM u), q AS (SELECT *, sum(noise::INT) OVER (PARTITION BY doc_id ORDER BY i) AS block FROM f), n AS (SELECT * FROM q WHERE NOT noise)
-SELECT m.doc_id, m.i::INTEGER AS position, string_agg(n.unit, ' ' ORDER BY n.i) AS context FROM n m JOIN n ON n.doc_id = m.doc_id AND n.block = m.block AND n.i BETWEEN m.i - 1 AND m.i + 2 WHERE m.mark GROUP BY ALL""")
+@plans.add(f"""WITH {UNITS_SQL}, f AS (SELECT *, {F_SQL} AS f FROM u), j AS (SELECT doc_id, i, unit, contains(f, 'ation') AS s, contains(f, 'ment') OR (contains(f, 'ing ') AND contains(f, ' of ')) AS d, contains(f, 'page') OR contains(f, 'licens') AS n FROM f),
+k AS (SELECT doc_id, i, s, max(CASE WHEN s THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS near FROM j QUALIFY s OR d),
+m AS (SELECT doc_id, i, CASE WHEN s THEN i ELSE coalesce(near, greatest(0, i - 3)) END AS a, CASE WHEN s THEN i + 8 ELSE i + 4 END AS z FROM (SELECT k.doc_id, k.i, k.s, k.near FROM k)),
+q AS (SELECT doc_id, i, unit, sum(n::INT) OVER (PARTITION BY doc_id ORDER BY i) AS block, n FROM j), b AS (SELECT m.doc_id, j.i AS i, j.unit, min(m.i) AS first FROM m JOIN q st ON st.doc_id = m.doc_id AND st.i = m.a JOIN q j ON j.doc_id = m.doc_id AND j.i >= m.a AND j.i < m.z AND j.block = st.block AND NOT st.n AND NOT j.n GROUP BY ALL)
+SELECT doc_id, string_agg(unit, ' ' ORDER BY first, i) AS context FROM b GROUP BY 1""")
 def declaration_context(spark, d):
-    units = textmining.sentence_units(table(spark, d, "documents"), "doc_id")
-    return textmining.declaration_contexts(units, "doc_id", ("nation",), ("thereaer", "reserved"), 1, 2)
+    """Words of the invented prose stand for those of declarations."""
+    context = textmining.declaration_context(textmining.text_units(F.col("text")), ("ation",), (("ment",), ("ing ", " of ")), ("page", "licens"))
+    return table(spark, d, "documents").select("doc_id", context.alias("context")).where("context <> ''")
 
 
-@plans.add("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS iso, CAST(o_orderdate AS DATE) AS numeric_day, CAST(o_orderdate AS DATE) + (2000 - year(o_orderdate)) * INTERVAL 0 day AS worded,
-  CASE WHEN year(o_orderdate) >= 2000 THEN year(o_orderdate)::INTEGER END AS ref_year FROM orders WHERE year(o_orderdate) >= 2000""")
+@plans.add("""SELECT o_orderkey, d AS iso, d AS numeric_day, d::TIMESTAMP AS worded, year(d)::INTEGER AS ref_year FROM (SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 2000 AND 2099 THEN CAST(o_orderdate AS DATE) END AS d FROM orders)""")
 def date_parse(spark, d):
-    o = table(spark, d, "orders").where("year(o_orderdate) >= 2000")
+    """Years outside 2000 to 2099 are none the patterns take, so their dates are null."""
+    o = table(spark, d, "orders")
     date = lambda f: F.date_format("o_orderdate", f)
     month = F.get(F.array(*map(F.lit, textmining.MONTHS)), F.month("o_orderdate") - 1)
     worded = F.concat_ws(" ", F.lit("le"), date("d"), month, date("yyyy"))
@@ -235,7 +250,7 @@ def date_parse(spark, d):
 SLUG = "trim(regexp_replace(lower(regexp_replace(strip_accents(replace(p_name, 'ß', '')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-')"
 
 
-@plans.add(f"""SELECT p_partkey, {SLUG} AS slug, sha1(p_name)[1:10] AS short, regexp_replace(regexp_replace(printf('%.3f', p_retailprice), '0+$', ''), '\\.$', '') AS shown, sha256(p_name || '|' || p_brand || '|') AS print FROM part""")
+@plans.add(f"""SELECT p_partkey, {SLUG} AS slug, sha1(p_name)[1:10] AS short, regexp_replace(regexp_replace(printf('%.3f', p_retailprice), '0+$', ''), '\\.$', '') AS shown, sha256(lower(p_name) || '|' || lower(p_brand) || '|') AS print FROM part""")
 def scalar_text(spark, d):
     return table(spark, d, "part").select(
         "p_partkey",
@@ -250,57 +265,88 @@ def scalar_text(spark, d):
 
 
 def _rules(spark, d):
+    """Parts as rules: names with capitals and marks, missing species, zones and titles, citations, priorities of 0, contents that recur under other keys and the same."""
     p, k = table(spark, d, "part"), F.col("p_partkey")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    description = text("Règle ", k % 20, " Article R-", k)
     return p.select(
-        F.concat(F.lit("rule"), (k % 1500).cast("string")).alias("rule_key"), k.alias("seq"),
+        text("rule", k % 840).alias("rule_key"), k.alias("seq"),
         F.when(k % 4 == 0, "MIN_SIZE").when(k % 4 == 1, "QUOTA").when(k % 4 == 2, "PRACTICE_RULE").otherwise("CLOSURE_PERIOD").alias("rule_type"),
-        F.when(k % 11 == 0, "").otherwise(F.col("p_name")).alias("title"),
-        F.col("p_name").alias("description"), F.when(k % 3 == 0, "ref").alias("legal_reference"),
+        F.when(k % 11 == 0, "").otherwise(text("Tître ", k % 11)).alias("title"),
+        description.alias("description"), F.when(k % 3 == 0, "ref").alias("legal_reference"),
         F.when(k % 4 == 0, "SIZE_MIN_CM").when(k % 4 == 1, "QUOTA_MAX_UNITS").alias("metric_type"),
-        F.when(k % 4 < 2, (F.col("p_size") % 5).cast("double")).alias("metric_value"), F.lit("cm").alias("metric_unit"),
-        F.concat(F.lit("sp"), (k % 7).cast("string")).alias("species_common_name"), F.lit(None).cast("string").alias("species_scientific_name"),
-        F.concat(F.lit("z"), (k % 3).cast("string")).alias("zone_code"), (k % 4).cast("int").alias("source_priority"), (k % 2 == 0).alias("needs_manual_review"),
+        F.when(k % 4 < 2, (F.col("p_size") % 5).cast("double")).alias("metric_value"), F.when(k % 8 < 4, "cm").when(k % 5 > 0, "CM").otherwise("mm").alias("metric_unit"),
+        F.when(k % 17 > 0, F.concat(F.when(k % 2 == 0, "Sép").otherwise("sep"), (k % 7).cast("string"))).alias("species_common_name"), F.lit(None).cast("string").alias("species_scientific_name"),
+        F.when(k % 19 > 0, text("z", k % 3)).alias("zone_code"), (k % 4).cast("int").alias("source_priority"), (k % 2 == 0).alias("needs_manual_review"),
         F.when(k % 5 == 0, F.array(F.lit("flag"))).otherwise(F.array().cast("array<string>")).alias("quality_flags"),
-        F.concat(F.lit("https://www.x.gouv.fr/"), (k % 50).cast("string")).alias("source_url"), F.concat(F.lit("d"), (k % 50).cast("string")).alias("document_hash"), F.concat(F.lit("s"), (k % 9).cast("string")).alias("source_id"),
+        F.concat(F.when(k % 10 > 0, "https://www.x.gouv.fr/").otherwise("https://x.example.org/"), (k % 50).cast("string")).alias("source_url"), text("d", k % 50).alias("document_hash"), text("s", k % 9).alias("source_id"),
         F.when(k % 6 == 0, F.lit("2026-05-01").cast("date")).alias("valid_from"), F.when(k % 12 == 0, F.lit("2026-04-01").cast("date")).alias("valid_to"),
-        F.col("p_name").alias("source_excerpt"), F.col("p_name").alias("source_context"), F.lit(1.0).alias("lat_min"), F.when(k % 13 == 0, 0.0).otherwise(2.0).alias("lat_max"), F.lit(1.0).alias("lon_min"), F.lit(2.0).alias("lon_max"),
+        F.when(k % 12 == 0, "ai").when(k % 6 == 0, "parser:title").alias("effective_date_source"), F.when(k % 50 % 2 == 0, 1000 + k % 50).alias("content_length"),
+        description.alias("source_excerpt"), F.when(k % 2 == 0, F.concat(description, F.lit(" und so"))).otherwise(description).alias("source_context"),
+        F.when(k % 3 > 0, "CUSTOM_BBOX").otherwise("APP_ZONES_UNION").alias("zone_strategy"), F.lit(1.0).alias("lat_min"), F.when(k % 13 > 0, 2.0).alias("lat_max"), F.lit(1.0).alias("lon_min"), F.when(k % 26 > 0, 2.0).alias("lon_max"),
     )
 
 
-R_CTE = """r AS (SELECT p_partkey AS seq, 'rule' || (p_partkey % 1500) AS rule_key, ['MIN_SIZE', 'QUOTA', 'PRACTICE_RULE', 'CLOSURE_PERIOD'][p_partkey % 4 + 1] AS rule_type, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE p_name END AS title, p_name AS description,
-  ['SIZE_MIN_CM', 'QUOTA_MAX_UNITS', NULL, NULL][p_partkey % 4 + 1] AS metric_type, CASE WHEN p_partkey % 4 < 2 THEN p_size % 5 END AS metric_value, 'sp' || (p_partkey % 7) AS species, 'z' || (p_partkey % 3) AS zone_code, p_partkey % 4 AS prio, p_partkey % 2 = 0 AS review, p_partkey AS k FROM part),
-s AS (SELECT *, rule_type || '|' || species || '|' || zone_code || '|' || CASE WHEN metric_value IS NOT NULL THEN metric_type || '|' || metric_value ELSE lower(description) END AS sig FROM r)"""
+R_CTE = r"""r0 AS (SELECT p_partkey AS k, p_partkey AS seq, 'rule' || (p_partkey % 840) AS rule_key, ['MIN_SIZE', 'QUOTA', 'PRACTICE_RULE', 'CLOSURE_PERIOD'][p_partkey % 4 + 1] AS rule_type, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE 'Tître ' || (p_partkey % 11) END AS title,
+  'Règle ' || (p_partkey % 20) || ' Article R-' || p_partkey AS description, ['SIZE_MIN_CM', 'QUOTA_MAX_UNITS', NULL, NULL][p_partkey % 4 + 1] AS metric_type, CASE WHEN p_partkey % 4 < 2 THEN p_size % 5 END AS metric_value, CASE WHEN p_partkey % 8 < 4 THEN 'cm' WHEN p_partkey % 5 > 0 THEN 'CM' ELSE 'mm' END AS metric_unit,
+  CASE WHEN p_partkey % 17 > 0 THEN CASE WHEN p_partkey % 2 = 0 THEN 'Sép' ELSE 'sep' END || (p_partkey % 7) END AS species, CASE WHEN p_partkey % 19 > 0 THEN 'z' || (p_partkey % 3) END AS zone_code, p_partkey % 4 AS prio, p_partkey % 2 = 0 AS review, 'd' || (p_partkey % 50) AS document_hash,
+  CASE WHEN p_partkey % 10 > 0 THEN 'https://www.x.gouv.fr/' ELSE 'https://x.example.org/' END || (p_partkey % 50) AS source_url FROM part),
+r AS (SELECT *, CASE prio WHEN 0 THEN 999 ELSE prio END AS rank, lower(strip_accents(coalesce(species, ''))) AS folded FROM r0),
+s AS (SELECT *, rule_type || '|' || folded || '|' || coalesce(zone_code, '') || '|' || CASE WHEN rule_type IN ('MIN_SIZE', 'QUOTA') THEN metric_type || '|' || metric_value || '|' || lower(metric_unit) ELSE
+  CASE WHEN rule_type = 'CLOSURE_PERIOD' THEN '' ELSE lower(strip_accents(title)) || '|' END || sha1(trim(regexp_replace(lower(strip_accents(description)), '\b(article|arrete|decret)\s+[a-z0-9.-]+', ' ', 'g')))[1:10] END AS sig FROM r)"""
+BETTER = "rank, review::INT, -length(description), rule_key, seq"
+ONCE = f"QUALIFY row_number() OVER (PARTITION BY rule_key ORDER BY prio, {BETTER}) = 1"
 
 
-@plans.add(f"WITH {R_CTE} SELECT rule_key, seq FROM r QUALIFY row_number() OVER (PARTITION BY rule_key ORDER BY prio, review::INT, -length(description), rule_key, seq) = 1")
+@plans.add(f"WITH {R_CTE} SELECT rule_key, seq FROM r {ONCE}")
 def rule_dedupe_key(spark, d):
     return rules.dedupe_keys(_rules(spark, d)).select("rule_key", "seq")
 
 
-@plans.add(f"WITH {R_CTE}, b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY rule_key ORDER BY prio, review::INT, -length(description), rule_key, seq) = 1) SELECT seq, sig AS signature, count(*) OVER (PARTITION BY sig) > 1 AS merged FROM b QUALIFY row_number() OVER (PARTITION BY sig ORDER BY prio, review::INT, -length(description), rule_key, seq) = 1")
+@plans.add(f"WITH {R_CTE}, b AS (SELECT * FROM s {ONCE}) SELECT seq, sig AS signature, count(*) OVER (PARTITION BY sig) > 1 AS merged FROM b QUALIFY row_number() OVER (PARTITION BY sig ORDER BY {BETTER}) = 1")
 def rule_dedupe_signature(spark, d):
     once = rules.dedupe_content(rules.dedupe_keys(_rules(spark, d)))
     return once.select("seq", "signature", F.array_contains("quality_flags", "duplicate_content_merged").alias("merged"))
 
 
-@plans.add(f"""WITH {R_CTE} SELECT seq, CASE WHEN review THEN 'needs_review' ELSE 'published' END AS status, 'recreational_fishing' AS activity_type, ['min_size', 'quota', 'practice_rule', 'closure_period'][k % 4 + 1] AS constraint_type, species AS canonical, 'fish' AS taxon,
-  round(greatest(0.05, least(0.99, CASE prio WHEN 1 THEN 0.92 WHEN 2 THEN 0.78 ELSE 0.62 END + CASE WHEN metric_value IS NOT NULL THEN 0.08 ELSE 0 END + CASE WHEN k % 3 = 0 THEN 0.04 ELSE 0 END - CASE WHEN review THEN 0.22 ELSE 0 END - CASE WHEN k % 5 = 0 THEN 0.08 ELSE 0 END)), 2)::DOUBLE AS confidence FROM r""")
+@plans.add(f"""WITH {R_CTE} SELECT seq, CASE WHEN review THEN 'needs_review' ELSE 'published' END AS status, 'recreational_fishing' AS activity_type, ['min_size', 'quota', 'practice_rule', 'closure_period'][k % 4 + 1] AS constraint_type, nullif(folded, '') AS canonical, CASE WHEN species IS NOT NULL THEN 'fish' END AS taxon,
+  round(greatest(0.05, least(0.99, CASE prio WHEN 1 THEN 0.92 WHEN 2 THEN 0.78 ELSE 0.62 END + CASE WHEN metric_value IS NOT NULL THEN 0.08 ELSE 0 END + CASE WHEN k % 3 = 0 THEN 0.04 ELSE 0 END - CASE WHEN review THEN 0.22 ELSE 0 END - CASE WHEN k % 5 = 0 THEN 0.08 ELSE 0 END)), 2)::DOUBLE AS confidence,
+  sha1(rule_key || '|' || document_hash || '|' || sig)[1:10] AS candidate_key, CASE WHEN review THEN 'candidate' ELSE 'publishable' END AS candidate_status, description AS quote, CASE WHEN k % 3 = 0 THEN 'ref' ELSE rule_key END AS locator FROM s""")
 def rule_enrich(spark, d):
-    return rules.enrich(_rules(spark, d)).select("seq", "status", "activity_type", "constraint_type", F.col("species.canonical_name").alias("canonical"), F.col("species.taxon_group").alias("taxon"), "confidence")
+    rich = rules.enrich(_rules(spark, d))
+    about = [F.col("species.canonical_name").alias("canonical"), F.col("species.taxon_group").alias("taxon"), "confidence", "candidate.candidate_key", F.col("candidate.status").alias("candidate_status")]
+    return rich.select("seq", "status", "activity_type", "constraint_type", *about, F.get("citations", F.lit(0))["quote"].alias("quote"), "locator")
+
 
+@plans.add(f"""WITH {R_CTE} SELECT seq, sha256(lower(concat_ws('|', rule_type, 'recreational_fishing', ['min_size', 'quota', 'practice_rule', 'closure_period'][k % 4 + 1], title, description, CASE WHEN k % 3 = 0 THEN 'ref' ELSE '' END, coalesce(metric_type, ''), coalesce(metric_value::VARCHAR, ''), metric_unit, coalesce(species, ''), '', coalesce(zone_code, ''),
+  CASE WHEN k % 6 = 0 THEN '2026-05-01' ELSE '' END, CASE WHEN k % 12 = 0 THEN '2026-04-01' ELSE '' END))) AS print FROM r""")
+def rule_fingerprint(spark, d):
+    rich = rules.enrich(_rules(spark, d))
+    return rich.select("seq", versions.fingerprint(rich.columns).alias("print"))
 
-@plans.add(f"""WITH {R_CTE} SELECT rule_key, code, count(*) AS n FROM (SELECT rule_key, 'missing_title' AS code FROM r WHERE title = '' UNION ALL SELECT rule_key, 'bad_dates' FROM r WHERE k % 12 = 0 UNION ALL SELECT rule_key, 'bad_zone' FROM r WHERE k % 13 = 0 UNION ALL SELECT rule_key, 'bad_metric' FROM r WHERE metric_value = 0) GROUP BY ALL""")
+
+@plans.add(f"""WITH {R_CTE}, f AS (SELECT *, concat_ws(',', CASE WHEN title = '' THEN 'title' END, CASE WHEN zone_code IS NULL THEN 'zone_code' END) AS missing, concat_ws(',', CASE WHEN k % 13 = 0 THEN 'lat_max' END, CASE WHEN k % 26 = 0 THEN 'lon_max' END) AS sides FROM r),
+i AS (SELECT seq, 'missing_field' AS category, 'error' AS severity, missing AS details FROM f WHERE missing <> '' UNION ALL SELECT seq, 'description_too_long', 'warning', '1300' FROM f WHERE k % 37 = 0 UNION ALL SELECT seq, 'noisy_description', 'warning', '' FROM f WHERE k % 37 > 0 AND k % 23 = 0
+UNION ALL SELECT seq, 'source_priority', 'info', source_url FROM f WHERE k % 10 = 0 UNION ALL SELECT seq, 'invalid_validity_date', 'error', '2026-13-40' FROM f WHERE k % 29 = 0 UNION ALL SELECT seq, 'invalid_zone', 'error', sides FROM f WHERE k % 3 > 0 AND sides <> ''
+UNION ALL SELECT seq, 'invalid_metric', 'error', 'many' FROM f WHERE k % 31 = 0 UNION ALL SELECT seq, 'suspicious_metric', 'warning', '0' FROM f WHERE k % 31 > 0 AND rule_type = 'MIN_SIZE' AND metric_value = 0 UNION ALL SELECT seq, 'invalid_metric', 'error', '0' FROM f WHERE k % 31 > 0 AND rule_type = 'QUOTA' AND metric_value = 0)
+SELECT rule_key, category, severity, i.details, count(*) AS n FROM i JOIN r USING (seq) GROUP BY ALL""")
 def quality_rows(spark, d):
-    return quality.row_issues(_rules(spark, d)).groupBy("rule_key", "code").agg(F.count("*").alias("n"))
+    k = F.col("seq")
+    faulty = _rules(spark, d).withColumns({
+        "description": F.when(k % 37 == 0, F.expr("repeat('x', 1300)")).when(k % 23 == 0, F.concat("description", F.lit(" Tarteaucitron"))).otherwise(F.col("description")),
+        "valid_from": F.when(k % 29 == 0, "2026-13-40").otherwise(F.col("valid_from").cast("string")),
+        "metric_value": F.when(k % 31 == 0, "many").otherwise(F.col("metric_value").cast("string")),
+    })
+    return quality.row_issues(faulty).groupBy("rule_key", "category", "severity", "details").agg(F.count("*").alias("n"))
 
 
-@plans.add(f"WITH {R_CTE} SELECT seq_key AS rule_key, first_key FROM (SELECT rule_key AS seq_key, first_value(rule_key) OVER w AS first_key, row_number() OVER w AS n FROM s WINDOW w AS (PARTITION BY sig ORDER BY seq)) WHERE n > 1")
+@plans.add(f"WITH {R_CTE} SELECT rule_key, first_key FROM (SELECT rule_key, first_value(rule_key) OVER (PARTITION BY sig ORDER BY seq) AS first_key FROM s) WHERE first_key <> rule_key")
 def quality_duplicates(spark, d):
     r = _rules(spark, d)
     return quality.duplicate_content(r, rules.content_signature(r))
 
 
-@plans.add(f"WITH {R_CTE} SELECT rule_key, metric_value::DOUBLE AS metric_value, f::DOUBLE AS first_value FROM (SELECT *, first_value(metric_value) OVER (PARTITION BY rule_type, species, zone_code, metric_type ORDER BY seq) AS f FROM r WHERE metric_value IS NOT NULL) WHERE metric_value <> f")
+@plans.add(f"WITH {R_CTE} SELECT rule_key, other_key, metric_value::DOUBLE AS metric_value, f::DOUBLE AS first_value FROM (SELECT *, first_value(metric_value) OVER w AS f, first_value(rule_key) OVER w AS other_key FROM r WHERE metric_value IS NOT NULL WINDOW w AS (PARTITION BY rule_type, folded, zone_code, metric_type, lower(metric_unit) ORDER BY seq)) WHERE metric_value <> f")
 def quality_conflict(spark, d):
     return quality.metric_conflicts(_rules(spark, d))
 
@@ -311,62 +357,112 @@ def quality_counts(spark, d):
     return quality.duplicate_keys(r).withColumnRenamed("rule_key", "key").union(quality.count_by(r, "title"))
 
 
-@plans.add(f"WITH {R_CTE} SELECT count(*) AS n_rules, count(*) FILTER (review) AS n_review, count(*) FILTER (k % 6 = 0) AS n_dated, count(*) FILTER (k % 6 > 0) AS n_undated FROM r")
+@plans.add(f"WITH {R_CTE} SELECT count(*) AS n_rules, count(*) FILTER (review) AS n_review, count(*) FILTER (k % 6 = 0) AS n_dated, count(*) FILTER (k % 6 > 0) AS n_undated, count(*) FILTER (k % 12 = 0) AS n_dated_by_audit, count(*) FILTER (k % 12 = 6) AS n_dated_by_parser FROM r")
 def quality_summary(spark, d):
     return quality.summary(_rules(spark, d))
 
 
-@plans.add("SELECT 'protected' AS category")
+@plans.add(f"""WITH {R_CTE}, c AS (SELECT count(*) FILTER (rule_type = 'DIVING_GENERAL') AS DIVING_GENERAL, count(*) FILTER (rule_type = 'SPEARFISHING_GENERAL') AS SPEARFISHING_GENERAL, count(*) FILTER (rule_type = 'MIN_SIZE') AS MIN_SIZE, count(*) FILTER (rule_type = 'QUOTA') AS QUOTA,
+  count(*) FILTER (rule_type IN ('MIN_SIZE', 'QUOTA') AND regexp_matches(folded, 'homard|araignee|tourteau|langoust|crabe|etrille')) AS CRUSTACEAN_NUMERIC_RULE, count(*) FILTER (rule_type = 'QUOTA' AND NOT regexp_matches(folded, 'homard|araignee|tourteau|langoust|crabe|etrille')) AS FISH_QUOTA_RULE FROM r)
+SELECT category FROM (UNPIVOT c ON COLUMNS(*) INTO NAME category VALUE n) WHERE n = 0""")
 def quality_categories(spark, d):
-    t = F.col("rule_type")
-    return quality.missing_categories(_rules(spark, d), {"size": t == "MIN_SIZE", "quota": t == "QUOTA", "protected": t == "PROTECTED_SPECIES"})
+    return quality.missing_categories(_rules(spark, d))
 
 
 WANTED = [
-    {"id": "sizes", "severity": "error", "any_of": [{"rule_type": "MIN_SIZE", "metric_value": "3"}, {"title_contains": "ring"}]},
-    {"id": "none", "severity": "warning", "any_of": [{"rule_type": "PROTECTED_SPECIES"}]},
+    {"id": "sizes", "severity": "error", "any_of": [{"rule_type": "min_size", "metric_value": "3"}, {"title_contains": "TITRE 7"}]},
+    {"id": "one", "label": "Species", "species_common_name": "SEP3"},
+    {"id": "none", "any_of": [{"rule_type": "PROTECTED_SPECIES"}]},
 ]
 
 
-@plans.add(f"WITH {R_CTE} SELECT 'sizes' AS id, 'error' AS severity, count(*) FILTER ((rule_type = 'MIN_SIZE' AND metric_value = 3) OR contains(title, 'ring')) AS n_matched, true AS met FROM r UNION ALL SELECT 'none', 'warning', 0, false")
+@plans.add(f"""WITH {R_CTE}, m AS (SELECT 'sizes' AS id, 'sizes' AS label, 'error' AS severity, rule_key FROM r WHERE (rule_type = 'MIN_SIZE' AND metric_value = 3) OR contains(lower(strip_accents(title)), 'titre 7') UNION ALL SELECT 'one', 'Species', 'warning', rule_key FROM r WHERE folded = 'sep3')
+SELECT id, label, severity, count(*) AS n_matched, string_agg(DISTINCT rule_key, ',' ORDER BY rule_key) AS matched_rule_keys, true AS met FROM m GROUP BY ALL UNION ALL SELECT 'none', 'none', 'warning', 0, '', false""")
 def expectations(spark, d):
-    return quality.expectations(_rules(spark, d), WANTED)
+    return quality.expectations(_rules(spark, d), WANTED).withColumn("matched_rule_keys", F.array_join("matched_rule_keys", ","))
 
 
-@plans.add(f"WITH {R_CTE} SELECT 'd' || (k % 50) AS document_hash, 'https://www.x.gouv.fr/' || (k % 50) AS url, string_agg(DISTINCT rule_key, ',' ORDER BY rule_key) AS rule_keys, count(DISTINCT description) AS n_chunks FROM r GROUP BY k % 50")
+@plans.add(f"""WITH {R_CTE}, p AS (SELECT document_hash, seq, rule_key, source_url, unnest([0, 1]) AS part, unnest([description, description || CASE WHEN k % 2 = 0 THEN ' und so' ELSE '' END]) AS said, description, CASE WHEN k % 3 = 0 THEN 'ref' ELSE rule_key END AS locator, min(seq) OVER (PARTITION BY document_hash) AS first, k % 50 AS of FROM r),
+c AS (SELECT *, row_number() OVER (PARTITION BY document_hash ORDER BY seq, part) - 1 AS n FROM p WHERE seq <> first OR part = 0 OR said <> description)
+SELECT document_hash, arg_min(source_url, seq) AS source_url, 'html' AS document_type, string_agg(DISTINCT rule_key, ',' ORDER BY rule_key) AS rule_keys, count(*) AS n_chunks, CASE WHEN any_value(of) % 2 = 0 THEN 1000 + any_value(of) ELSE sum(length(said)) END::BIGINT AS content_length,
+  string_agg(sha256(document_hash || ':' || n || ':' || said)[1:8] || locator || CASE part WHEN 1 THEN ':context' ELSE '' END, ',' ORDER BY n) AS chunks, sum(len(string_split(said, ' '))) AS tokens FROM c GROUP BY document_hash""")
 def manifest(spark, d):
-    return quality.document_manifest(_rules(spark, d)).withColumn("rule_keys", F.array_join("rule_keys", ","))
+    m = quality.document_manifest(rules.enrich(_rules(spark, d)))
+    shown = F.array_join(F.transform("chunks", lambda c: F.concat(F.substring(c["chunk_hash"], 1, 8), c["locator"])), ",")
+    tokens = F.aggregate("chunks", F.lit(0).cast("long"), lambda n, c: n + c["token_estimate"])
+    return m.select("document_hash", "source_url", "document_type", F.array_join("rule_keys", ",").alias("rule_keys"), F.size("chunks").cast("long").alias("n_chunks"), "content_length", shown.alias("chunks"), tokens.alias("tokens"))
 
 
-@plans.add(f"WITH {R_CTE} SELECT count(DISTINCT k % 9) AS n_sources, count(DISTINCT k % 50) AS n_documents, count(*) AS n_candidates, count(*) FILTER (NOT review) AS n_published, count(*) AS n_species_links, (SELECT count(*) FROM r WHERE k % 100 = 0) AS n_missing_versions FROM r")
+@plans.add(f"WITH {R_CTE} SELECT count(DISTINCT source_url) AS n_sources, count(*) AS n_published, count(DISTINCT document_hash) AS n_documents, count(*) AS n_candidates, count(*) AS n_citations, count(species) AS n_species_links, count(*) FILTER (k % 100 = 0) AS n_missing_versions FROM r")
 def run_summary(spark, d):
-    r = _rules(spark, d)
-    return quality.run_summary(r, r.where("seq % 100 = 0"))
+    rich = rules.enrich(_rules(spark, d))
+    links = rich.select("seq", "species.canonical_name").where("canonical_name is not null")
+    return quality.run_summary(rich, rich.select("document_hash").distinct(), rich.select("candidate"), rich.select(F.explode("citations")), links, rich.where("seq % 100 = 0"))
 
 
-@plans.add(f"WITH {R_CTE} SELECT rule_key, rule_type, species AS species_common_name, description[1:20] AS description FROM r ORDER BY zone_code, species NULLS FIRST, CASE rule_type WHEN 'PRACTICE_RULE' THEN 25 WHEN 'MIN_SIZE' THEN 30 WHEN 'QUOTA' THEN 40 ELSE 50 END, prio, rule_key, seq LIMIT 200")
+@plans.add(f"WITH {R_CTE} SELECT rule_key, rule_type, species AS species_common_name, description[1:20] AS description FROM r ORDER BY coalesce(zone_code, 'ZZZ'), coalesce(nullif(folded, ''), 'zzzz'), CASE rule_type WHEN 'PRACTICE_RULE' THEN 25 WHEN 'MIN_SIZE' THEN 30 WHEN 'QUOTA' THEN 40 ELSE 50 END, rank, rule_key, seq LIMIT 200")
 def audit_sample(spark, d):
     first = _rules(spark, d).withColumn("_k", F.col("seq"))
     return first.orderBy(*rules.rule_order(first), "_k").limit(200).select("rule_key", "rule_type", "species_common_name", F.substring("description", 1, 20).alias("description"))
 
 
-# Rules from sentences of the two kinds below, one document of an order's parts each
+@plans.add(f"WITH {R_CTE} SELECT seq FROM r WHERE zone_code IS NULL OR species IS NULL")
+def rules_sorted_last(spark, d):
+    """The rules that rule order puts behind all with a zone, or behind all of their zone with a species."""
+    r = _rules(spark, d)
+    zone, species, *_ = rules.rule_order(r)
+    return r.where((zone == "ZZZ") | (species == "zzzz")).select("seq")
+
+
+# Rules from documents: each part's says one of the sentences below, with the part's number in it
 
-SAID = ("Bar commun (Dicentrarchus labrax) : {n} cm.", "Homard : {n} captures par jour.", "La peche du merou et du corb est interdite en Corse.", "Aucun specimen de lieu jaune du 1er janvier au 30 avril.")
+SAID = (
+    "Bar commun (Dicentrarchus labrax) : {n} cm.",
+    "Homard : {n} captures par jour",
+    "La pêche du mérou et du corb est interdite en Corse.",
+    "Aucun spécimen de lieu jaune du 1er janvier au 30 avril.",
+    "Pas plus de {n} specimens de denti ne peuvent etre pris par pecheur et par jour.",
+    "Les captures sont limitees par navire et par jour a {n} kg au total, toutes especes confondues.",
+    "Un quota : {n} thon rouge par navire et par jour.",
+    "Quantite totale de {n} kg de maquereau par navire et par jour.",
+    "Espèces sensibles : bar, dorade rose. La declaration des captures est faite avec RecFishing.",
+    "L'usage du filet est interdit pour la peche de loisir dans cette anse protegee.",
+    "Ne pas utiliser d'equipement respiratoire. Avoir plus de 16 ans et de la force.",
+    "La peche sous-marine au fusil-harpon est interdite aux moins de {n} ans. Etablissements pour la pratique de la plongee subaquatique.",
+)
 
 
 def _rule_docs(spark, d):
     k = F.col("p_partkey")
-    lines = [F.concat(F.lit(s.split("{n}")[0]), (k % 40 + 1).cast("string"), F.lit(s.split("{n}")[1])) if "{n}" in s else F.lit(s) for s in SAID]
-    return table(spark, d, "part").select(k.alias("doc"), F.concat_ws("\n", F.when(k % 2 == 0, lines[0]), F.when(k % 3 == 0, lines[1]), F.when(k % 5 == 0, lines[2]), F.when(k % 7 == 0, lines[3]), F.col("p_name")).alias("text"), F.lit("france").alias("source_scope"), F.lit("operational").alias("source_type"))
-
-
-@plans.add("""SELECT p_partkey AS doc, 'species.bar.min-size.france' AS rule_key, (p_partkey % 40 + 1)::DOUBLE AS metric_value FROM part WHERE p_partkey % 2 = 0 UNION ALL
-SELECT p_partkey, 'species.homard.quota-units.france', (p_partkey % 40 + 1)::DOUBLE FROM part WHERE p_partkey % 3 = 0 UNION ALL
-SELECT p_partkey, 'species.lieu-jaune.closure.1er-janvier.30-avril.france', NULL FROM part WHERE p_partkey % 7 = 0 UNION ALL
-SELECT p_partkey, 'species.' || s || '.protected.corse.' || sha1('La peche du merou et du corb est interdite en Corse.')[1:10], NULL FROM part, (SELECT unnest(['merou', 'corb']) AS s) WHERE p_partkey % 5 = 0""")
+    said = F.replace(F.get(F.array(*map(F.lit, SAID)), (k % 12).cast("int")), F.lit("{n}"), (k % 40 + 1).cast("string"))
+    kind = F.when(k % 12 == 10, "MINISTERE_MER").when(k % 12 == 11, "LEGIFRANCE").when(k % 41 == 0, "FORUM").otherwise("DIRM")
+    scope = F.when(F.floor(k / 12) % 2 == 0, "france").otherwise("namo")
+    url = F.concat(F.lit("https://www.x.gouv.fr/"), F.when(F.floor(k / 12) % 3 == 0, "manuel").otherwise("arrete"), F.lit(".pdf"))
+    return table(spark, d, "part").select(k.alias("doc"), F.concat_ws("\n", said, "p_name").alias("text"), scope.alias("source_scope"), kind.alias("source_type"), url.alias("url"), F.lit("https://www.x.gouv.fr/").alias("source_url"), F.lit("Page").alias("source_title"))
+
+
+EXTRACT_SQL = """WITH k AS (SELECT p_partkey AS k, p_partkey % 12 AS j, (p_partkey % 40 + 1)::DOUBLE AS n, ['france', 'namo'][p_partkey // 12 % 2 + 1] AS sc, ['APP_ZONES_UNION', 'FACADE_NAMO'][p_partkey // 12 % 2 + 1] AS zone FROM part WHERE p_partkey % 12 > 9 OR p_partkey % 41 > 0),
+m AS (SELECT unnest([0, 1, 4, 5, 6, 7]) AS j, unnest(['species.bar.min-size', 'species.homard.quota.captures-jour', 'species.denti.quota.captures-jour', 'species.toutes-especes-marines.quota.kg-jour', 'species.thon-rouge.quota.captures-jour', 'species.maquereau.quota.kg-jour']) AS key,
+  unnest(['SIZE_MIN_CM', 'QUOTA_MAX_UNITS', 'QUOTA_MAX_UNITS', 'QUOTA_MAX_KG', 'QUOTA_MAX_UNITS', 'QUOTA_MAX_KG']) AS metric, unnest(['cm', 'captures/jour', 'captures/jour', 'kg/jour', 'captures/jour', 'kg/jour']) AS unit, unnest(['bar', 'homard', 'denti', 'toutes especes marines', 'thon rouge', 'maquereau']) AS name),
+x AS (
+SELECT k, key || '.' || sc AS rule_key, CASE j WHEN 0 THEN 'MIN_SIZE' ELSE 'QUOTA' END AS rule_type, metric AS metric_type, n AS metric_value, unit AS metric_unit, CASE j WHEN 0 THEN 'Taille minimale' ELSE 'Quota' END || ' de capture - ' || name AS title, zone FROM k JOIN m USING (j)
+UNION ALL SELECT k, 'species.' || s || '.protected.corse.' || sha1('La pêche du mérou et du corb est interdite en Corse.')[1:10], 'PROTECTED_SPECIES', NULL, NULL, NULL, 'Interdiction de capture - ' || s, 'SECTEUR_CORSE' FROM k, (SELECT unnest(['merou', 'corb']) AS s) WHERE j = 2
+UNION ALL SELECT k, 'species.lieu-jaune.closure.1er-janvier.30-avril.' || sc, 'CLOSURE_PERIOD', NULL, NULL, NULL, 'Periode de fermeture - lieu jaune', zone FROM k WHERE j = 3
+UNION ALL SELECT k, 'species.' || replace(s, ' ', '-') || '.declaration.' || sc, 'LOCAL_RESTRICTION', NULL, NULL, NULL, 'Declaration des captures - ' || s, zone FROM k, (SELECT unnest(['bar', 'dorade rose']) AS s) WHERE j = 8
+UNION ALL SELECT k, 'practice.l-usage-du-filet-est-interdit-pour-la-peche-de-loisir-dans-cette-anse-protegee.restriction.' || sc || '.' || sha1('L''usage du filet est interdit pour la peche de loisir dans cette anse protegee.')[1:10], 'PRACTICE_RULE', NULL, NULL, NULL, 'Regle de pratique de peche de loisir', zone FROM k WHERE j = 9 AND k // 12 % 3 > 0
+UNION ALL SELECT k, 'spearfishing.fr.ministere.' || key, 'SPEARFISHING_GENERAL', NULL, NULL, NULL, t, zone FROM k, (SELECT unnest(['interdiction-d-utiliser-un-equipement-respiratoire-en-peche-sous-marine', 'age-minimum-en-peche-sous-marine']) AS key, unnest(['Interdiction d''utiliser un equipement respiratoire en peche sous-marine', 'Age minimum en peche sous-marine']) AS t) WHERE j = 10
+UNION ALL SELECT k, 'spearfishing.fr.min-age.fusil-harpon', 'SPEARFISHING_GENERAL', 'AGE_MIN_YEARS', n, 'ans', 'Age minimum pour la peche sous-marine au fusil-harpon', zone FROM k WHERE j = 11
+UNION ALL SELECT k, 'diving.fr.code-sport.section-a322-71', 'DIVING_GENERAL', NULL, NULL, NULL, 'Cadre de securite des etablissements de plongee subaquatique', zone FROM k WHERE j = 11)
+SELECT k AS doc, rule_key, rule_type, metric_type, metric_value, metric_unit, title, zone AS zone_code FROM x
+UNION ALL SELECT c_custkey, 'base.' || c_custkey, 'PRACTICE_RULE', NULL, NULL, NULL, c_name, 'APP_ZONES_UNION' FROM customer"""
+
+
+@plans.add(EXTRACT_SQL)
 def rule_extract(spark, d):
-    return rules.extract(_rule_docs(spark, d)).select("doc", "rule_key", "metric_value")
+    """Rules of all parts' documents beside customers as static rules."""
+    k = F.col("c_custkey")
+    base = table(spark, d, "customer").select(k.alias("doc"), F.concat(F.lit("base."), k.cast("string")).alias("rule_key"), F.lit("PRACTICE_RULE").alias("rule_type"), F.col("c_name").alias("title"), F.lit("APP_ZONES_UNION").alias("zone_code"))
+    return rules.extract(_rule_docs(spark, d), base).select("doc", "rule_key", "rule_type", "metric_type", "metric_value", "metric_unit", "title", "zone_code")
 
 
 @plans.add("""SELECT p_partkey AS doc, CASE WHEN p_partkey % 3 = 0 THEN DATE '2026-05-01' WHEN p_partkey % 3 = 1 THEN DATE '2026-01-01' ELSE DATE '2025-01-01' END AS valid_from, CASE WHEN p_partkey % 3 = 1 THEN DATE '2026-04-30' WHEN p_partkey % 3 = 2 THEN DATE '2025-12-31' END AS valid_to,
@@ -431,21 +527,25 @@ def zone_resolve(spark, d):
 
 
 def _history(spark, d):
+    """Every customer is a version, three of a rule; the first of a rule is current, unless its key ends in 0."""
     c, k = table(spark, d, "customer"), F.col("c_custkey")
+    current = (k % 3 == 0) & (k % 10 > 0)
     return c.select(
-        F.concat(F.lit("r"), (k % 400).cast("string")).alias("rule_key"), F.concat(F.lit("f"), (k % 1200).cast("string")).alias("rule_fingerprint"),
-        ((k < 400) & (k % 10 > 0)).alias("is_current"), F.when((k < 400) & (k % 10 > 0), "active").otherwise("superseded").alias("status"),
-        F.lit("2026-01-01").cast("timestamp").alias("observed_from"), F.when((k < 400) & (k % 10 > 0), None).otherwise(F.lit("2026-02-01").cast("timestamp")).alias("observed_to"), F.lit("run0").alias("last_seen_run_id"),
-    ).where(k < 1200)
+        F.concat(F.lit("r"), F.floor(k / 3).cast("string")).alias("rule_key"), F.concat(F.lit("f"), k.cast("string")).alias("rule_fingerprint"),
+        current.alias("is_current"), F.when(current, "active").otherwise("superseded").alias("status"),
+        F.lit("2026-01-01").cast("timestamp").alias("observed_from"), F.when(current, None).otherwise(F.lit("2026-02-01").cast("timestamp")).alias("observed_to"), F.lit("run0").alias("last_seen_run_id"),
+    )
 
 
 def _incoming(spark, d):
+    """A quarter of the rules, in turn as they are, as they were, and changed."""
     k = F.col("c_custkey")
-    fp = F.when(k % 3 == 0, k).when(k % 3 == 1, k + 400).otherwise(k + 5000)
-    return table(spark, d, "customer").where(k < 300).select(F.concat(F.lit("r"), k.cast("string")).alias("rule_key"), F.concat(F.lit("f"), fp.cast("string")).alias("rule_fingerprint"))
+    r = F.floor(k / 3)
+    fp = F.when(r % 3 == 0, k).when(r % 3 == 1, k + 1).otherwise(k + 500_000_000)
+    return table(spark, d, "customer").where((k % 3 == 0) & (r % 4 == 0)).select(F.concat(F.lit("r"), r.cast("string")).alias("rule_key"), F.concat(F.lit("f"), fp.cast("string")).alias("rule_fingerprint"))
 
 
-V_CTE = """h AS (SELECT 'r' || (c_custkey % 400) AS rk, 'f' || c_custkey AS fp, c_custkey < 400 AND c_custkey % 10 > 0 AS cur FROM customer WHERE c_custkey < 1200), i AS (SELECT 'r' || c_custkey AS rk, 'f' || CASE c_custkey % 3 WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey + 400 ELSE c_custkey + 5000 END AS fp FROM customer WHERE c_custkey < 300)"""
+V_CTE = """h AS (SELECT 'r' || (c_custkey // 3) AS rk, 'f' || c_custkey AS fp, c_custkey % 3 = 0 AND c_custkey % 10 > 0 AS cur FROM customer), i AS (SELECT 'r' || (c_custkey // 3) AS rk, 'f' || CASE c_custkey // 3 % 3 WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey + 1 ELSE c_custkey + 500000000 END AS fp FROM customer WHERE c_custkey % 3 = 0 AND c_custkey // 3 % 4 = 0)"""
 NOW = "2026-03-01"
 
 
@@ -485,6 +585,14 @@ def rule_reuse(spark, d):
     return kept.union(lost.withColumn("origin", F.lit("lost")))
 
 
+@plans.add(f"""WITH {R_CTE} SELECT seq, CASE WHEN k % 3 > 0 THEN sha256(text) END AS document_hash, CASE WHEN k % 3 > 0 THEN length(text) END::BIGINT AS content_length FROM r LEFT JOIN (SELECT doc_id, text FROM documents WHERE doc_id % 3 > 0) ON doc_id = k""")
+def document_attach(spark, d):
+    """Parts as rules with the document of their number, a third of which are not known."""
+    docs = table(spark, d, "documents").where("doc_id % 3 > 0").select(F.col("doc_id").cast("string").alias("url"), F.sha2("text", 256).alias("document_hash"), F.length("text").cast("long").alias("content_length"), F.lit(NOW).cast("timestamp").alias("fetched_at"))
+    own = _rules(spark, d).select("seq", F.col("seq").cast("string").alias("url"))
+    return versions.attach_documents(own, docs).select("seq", "document.document_hash", "document.content_length")
+
+
 @plans.add(f"""WITH {R_CTE} SELECT seq, CASE k % 3 WHEN 0 THEN 0.9 WHEN 1 THEN 0.4 END::DOUBLE AS audit_score, CASE WHEN k % 3 < 2 AND k % 2 = 0 THEN description END AS quote, coalesce(k % 3 < 2 AND (k % 3 = 1 OR k % 6 = 0), false) OR review AS needs_manual_review FROM r""")
 def audit_apply(spark, d):
     r = _rules(spark, d).withColumn("rule_key", F.col("seq").cast("string"))

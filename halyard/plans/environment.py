@@ -85,12 +85,14 @@ def tide_daily(spark, d):
     return rounded(t.select("spot_id", "valid_time", "target_date", "tide_min_height_m", "tide_max_height_m", "tide_range_m", "tide_coefficient_approx"))
 
 
-@plans.add(f"""WITH {SV}, d AS (SELECT *, CAST((valid_time AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris' AS DATE) AS day FROM nv),
+@plans.add(f"""WITH {SV}, d AS (SELECT * REPLACE ('area' || (spot_id[5:]::INTEGER // 10) AS spot_id), CAST((valid_time AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris' AS DATE) AS day FROM nv),
 r AS (SELECT spot_id, day, (max(value) - min(value)) / 6.1 * 100 AS value FROM d WHERE metric = 'sea_level_height' GROUP BY ALL HAVING count(*) >= 6)
 SELECT DISTINCT d.spot_id, 'derived_tide_range' AS source_code, d.valid_time, 'tide_coefficient' AS metric, round(r.value, 6) AS value, 'coef' AS unit
 FROM d JOIN r USING (spot_id, day) WHERE r.value BETWEEN 20 AND 120""")
 def tide_derived(spark, d):
-    return rounded(tides.derived_coefficients(normal(spark, d), run_time()))
+    """Of areas of ten spots, as one spot has too few samples a day."""
+    area = F.concat(F.lit("area"), F.floor(F.substring("spot_id", 5, 9).cast("int") / 10).cast("string"))
+    return rounded(tides.derived_coefficients(normal(spark, d).withColumn("spot_id", area), run_time()))
 
 
 EVENTS_SQL = f"""WITH {SV}, {WIDE}, l AS (
@@ -205,7 +207,7 @@ def replace_children(spark, d):
 
 def _training_tables(spark, d):
     e = table(spark, d, "events")
-    spot = F.concat(F.lit("spot"), (F.col("user_id") % 40).cast("string"))
+    spot = F.concat(F.lit("spot"), F.floor(F.col("user_id") / 2).cast("string"))
     buys = e.where("event_type = 'purchase'")
     observations = buys.select(
         F.col("event_id").alias("id"), F.when(F.col("event_id") % 13 > 0, F.col("user_id")).alias("dive_id"),
@@ -218,7 +220,7 @@ def _training_tables(spark, d):
         F.col("user_id").alias("id"), spot.alias("spot_id"), F.concat(F.lit("cover"), F.col("user_id").cast("string")).alias("cover_image_url"),
         F.lit(None).cast("string").alias("cover_image_path"), F.lit("shore").alias("dive_type"),
     )
-    s = table(spark, d, "supplier").where("s_suppkey < 40")
+    s = table(spark, d, "supplier")
     key = F.col("s_suppkey").cast("double")
     spots = s.select(
         F.concat(F.lit("spot"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("name"),
@@ -234,17 +236,17 @@ def _training_tables(spark, d):
 
 TRAIN_CTE = """
 obs AS (
-  SELECT event_id AS id, CASE WHEN event_id % 13 > 0 THEN user_id END AS dive_id, CASE WHEN event_id % 3 > 0 THEN 'spot' || (user_id % 40) ELSE '' END AS spot_id,
+  SELECT event_id AS id, CASE WHEN event_id % 13 > 0 THEN user_id END AS dive_id, CASE WHEN event_id % 3 > 0 THEN 'spot' || (user_id // 2) ELSE '' END AS spot_id,
     CASE WHEN event_id % 17 > 0 THEN value END AS vis, CASE WHEN event_id % 2 = 0 THEN value / 10 END AS latitude, CASE WHEN event_id % 2 = 0 THEN value / 20 END AS longitude,
     CASE WHEN event_id % 5 > 0 THEN ts END AS visited_at, ts AS created_at FROM events WHERE event_type = 'purchase'
 ), dives AS (
-  SELECT DISTINCT user_id AS id, 'spot' || (user_id % 40) AS spot_id, 'cover' || user_id AS cover FROM events WHERE user_id % 9 > 0
+  SELECT DISTINCT user_id AS id, 'spot' || (user_id // 2) AS spot_id, 'cover' || user_id AS cover FROM events WHERE user_id % 9 > 0
 ), spots AS (
-  SELECT 'spot' || s_suppkey AS id, s_name AS name, s_suppkey + 0.5 AS lat, s_suppkey / 2 + 0.5 AS lon FROM supplier WHERE s_suppkey < 40
+  SELECT 'spot' || s_suppkey AS id, s_name AS name, s_suppkey + 0.5 AS lat, s_suppkey / 2 + 0.5 AS lon FROM supplier
 ), images AS (
   SELECT event_id % 5000 AS id, arg_min('img' || event_id, (event_id % 3 <> 0, user_id % 5, ts)) AS image FROM events WHERE event_type = 'view' AND event_id % 4 > 0 GROUP BY 1
 ), fc AS (
-  SELECT 'spot' || (user_id % 40) AS spot_id, date_trunc('hour', ts) AS hour, arg_max(event_id, ts) AS forecast_id, arg_max(value, ts) AS water_temperature_c FROM events WHERE event_type = 'signup' GROUP BY 1, 2
+  SELECT 'spot' || (user_id // 2) AS spot_id, date_trunc('hour', ts) AS hour, arg_max(event_id, ts) AS forecast_id, arg_max(value, ts) AS water_temperature_c FROM events WHERE event_type = 'signup' GROUP BY 1, 2
 )"""
 
 TRAIN_SQL = f"""WITH {TRAIN_CTE}, o AS (
@@ -273,13 +275,13 @@ def best_image(spark, d):
     return training.best_images(_training_tables(spark, d)[3])
 
 
-@plans.add(f"""WITH {TRAIN_CTE}, s AS (SELECT s_suppkey, 'spot' || s_suppkey AS id, s_nationkey, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey::DOUBLE END AS lat FROM supplier WHERE s_suppkey < 40)
+@plans.add(f"""WITH {TRAIN_CTE}, s AS (SELECT s_suppkey, 'spot' || s_suppkey AS id, s_nationkey, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey::DOUBLE END AS lat FROM supplier)
 SELECT obs.id, obs.spot_id, n_name AS sector_name, coalesce(obs.latitude, s.lat, n_nationkey * 2.0) AS latitude, fc.hour, fc.forecast_id
 FROM obs LEFT JOIN s ON s.id = obs.spot_id LEFT JOIN nation ON n_nationkey = s_nationkey JOIN fc ON fc.spot_id = obs.spot_id AND fc.hour = date_trunc('hour', visited_at)""")
 def legacy_view(spark, d):
     obs, _, _, _, forecasts = _training_tables(spark, d)
     key = F.col("s_suppkey").cast("double")
-    spots = table(spark, d, "supplier").where("s_suppkey < 40").select(F.concat(F.lit("spot"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_nationkey").alias("sector_id"), F.when(F.col("s_suppkey") % 3 == 0, key).alias("latitude"), key.alias("longitude"))
+    spots = table(spark, d, "supplier").select(F.concat(F.lit("spot"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_nationkey").alias("sector_id"), F.when(F.col("s_suppkey") % 3 == 0, key).alias("latitude"), key.alias("longitude"))
     sectors = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), (F.col("n_nationkey") * 2.0).alias("latitude"), F.lit(0.0).alias("longitude"))
     return training.sector_view(obs, spots, sectors, forecasts).select("id", "spot_id", "sector_name", "latitude", "hour", "forecast_id")
 
@@ -296,7 +298,7 @@ def _alerts(spark, d):
     rows = F.array(*[F.struct(F.lit(str(i)).alias("id"), F.lit(t).alias("condition_type_id"), F.lit(o).alias("operator"), F.lit(x).alias("threshold_value")) for i, (t, o, x) in enumerate(CONDITIONS)])
     key = F.col("c_custkey")
     chosen = F.when(key % 7 == 6, F.slice(rows, 1, 0)).when(key % 2 == 0, F.array(F.get(rows, (key % 6).cast("int")))).otherwise(F.array(F.get(rows, (key % 6).cast("int")), F.get(rows, F.lit(1))))
-    spots = F.transform(F.sequence(F.lit(0), (key % 3).cast("int")), lambda i: F.struct(F.concat(F.lit("spot"), ((key + i * 11) % 40).cast("string")).alias("spot_id")))
+    spots = F.transform(F.sequence(F.lit(0), (key % 3).cast("int")), lambda i: F.struct(F.concat(F.lit("spot"), F.floor((key + i * 11) / 20).cast("string")).alias("spot_id")))
     units = F.when(key % 4 == 0, "imperial").when(key % 4 == 1, "metric")
     alerts = c.select(key.alias("id"), F.col("c_nationkey").alias("user_id"), units.alias("unit_system"), chosen.alias("alert_conditions"), spots.alias("alert_spots"))
     start = F.date_add(F.lit("2023-12-28").cast("date"), (key % 30).cast("int"))
@@ -308,7 +310,7 @@ def _alerts(spark, d):
 ALERT_CTE = f"""{SV}, {WIDE}, span AS (SELECT min(target_date) AS a, max(target_date) AS b FROM wide),
 al AS (SELECT c_custkey AS id, c_nationkey, c_custkey % 4 = 0 AS imperial, DATE '2023-12-28' + CAST(c_custkey % 30 AS INTEGER) AS from_date, DATE '2023-12-31' + CAST(c_custkey % 30 AS INTEGER) AS to_date FROM customer),
 win AS (SELECT id, greatest(from_date, a) AS from_date, least(to_date, b) AS to_date FROM al, span WHERE greatest(from_date, a) <= least(to_date, b)),
-sp AS (SELECT id, 'spot' || ((id + i * 11) % 40) AS spot_id FROM (SELECT id, unnest(range(id % 3 + 1)) AS i FROM al)),
+sp AS (SELECT id, 'spot' || ((id + i * 11) // 20) AS spot_id FROM (SELECT id, unnest(range(id % 3 + 1)) AS i FROM al)),
 hours AS (SELECT *, CASE WHEN coalesce(wind_speed_ms, precipitation_mm) IS NOT NULL THEN round(greatest(0, least(100, 100 - coalesce(greatest(0, least(25, wind_speed_ms / 15 * 25)), 0) - coalesce(greatest(0, least(10, precipitation_mm / 8 * 10)), 0))), 1) END AS score FROM wide),
 met AS (SELECT al.id, h.spot_id, h.valid_time,
     [coalesce(wind_speed_ms >= CASE WHEN imperial THEN 120 * 0.44704 ELSE 120 / 3.6 END, false), coalesce(water_temperature_c < CASE WHEN imperial THEN (30 - 32) * 5.0 / 9 ELSE 30 END, false), coalesce(score >= 60, false), coalesce(precipitation_mm > 40, false), false, coalesce(wind_speed_ms <> 0, false)] AS r

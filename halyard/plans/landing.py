@@ -82,10 +82,10 @@ def run_log(spark, d):
     return landing.run_log(source_values(spark, d), run_time())
 
 
-@plans.add("""SELECT 'src' || (user_id % 3) AS source_code, 'spot' || (user_id % 40) AS spot_id, '' AS model, round((user_id % 40) / 8.0, 8)::DOUBLE AS grid_lat, round((user_id % 7) / 3.0, 8)::DOUBLE AS grid_lon, max(ts) AS last_seen FROM events GROUP BY ALL""")
+@plans.add("""SELECT 'src' || (user_id % 3) AS source_code, 'spot' || (user_id // 2) AS spot_id, '' AS model, round((user_id // 2) / 8.0, 8)::DOUBLE AS grid_lat, round((user_id % 7) / 3.0, 8)::DOUBLE AS grid_lon, max(ts) AS last_seen FROM events GROUP BY ALL""")
 def grid_points(spark, d):
     e, u = table(spark, d, "events"), F.col("user_id")
-    v = e.select(F.concat(F.lit("src"), (u % 3).cast("string")).alias("source_code"), F.concat(F.lit("spot"), (u % 40).cast("string")).alias("spot_id"), F.lit(None).cast("string").alias("model"), ((u % 40) / 8.0).alias("grid_lat"), ((u % 7) / 3.0).alias("grid_lon"), F.col("ts").alias("fetched_at"))
+    v = e.select(F.concat(F.lit("src"), (u % 3).cast("string")).alias("source_code"), F.concat(F.lit("spot"), F.floor(u / 2).cast("string")).alias("spot_id"), F.lit(None).cast("string").alias("model"), (F.floor(u / 2) / 8.0).alias("grid_lat"), ((u % 7) / 3.0).alias("grid_lon"), F.col("ts").alias("fetched_at"))
     return landing.grid_points(v)
 
 
@@ -175,10 +175,10 @@ def keyed_flatten(spark, d):
 
 
 @plans.add("""WITH day AS (SELECT CAST(ts AS DATE) AS date, max(value)::DOUBLE AS value FROM events GROUP BY 1), h AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 06:00:00', TIMESTAMP '2024-01-18 05:00:00', INTERVAL 1 hour)) AS valid_time)
-SELECT 'spot' || s_suppkey AS spot_id, valid_time, 'tide_coefficient' AS metric, value FROM h JOIN day ON date = CAST((valid_time AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris' AS DATE), supplier WHERE s_suppkey < 40""")
+SELECT 'spot' || s_suppkey AS spot_id, valid_time, 'tide_coefficient' AS metric, value FROM h JOIN day ON date = CAST((valid_time AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Paris' AS DATE), supplier""")
 def daily_fan_out(spark, d):
     daily = table(spark, d, "events").groupBy(F.to_date("ts").alias("date")).agg(F.max("value").alias("value"))
-    spots = table(spark, d, "supplier").where("s_suppkey < 40").select(F.concat(F.lit("spot"), F.col("s_suppkey").cast("string")).alias("spot_id"))
+    spots = table(spark, d, "supplier").select(F.concat(F.lit("spot"), F.col("s_suppkey").cast("string")).alias("spot_id"))
     return payloads.fan_out_days(daily, spots, run_time(), 3)
 
 
@@ -253,19 +253,59 @@ def stream_consolidate(spark, d):
     return rounded(last.select("spot_id", "valid_time", "r.*"))
 
 
-@plans.add("SELECT user_id, max(event_id) AS event_id, count(DISTINCT event_type) > 0 AS seen FROM events GROUP BY user_id")
-def stream_upsert(spark, d):
+#: Files of each step of the stream below, so many a batch.
+FILES = 4
+
+
+@plans.add(f"""WITH {SV}, k AS (SELECT * FROM nv WHERE metric IN ('wind_speed', 'precipitation') AND (event_id % 10 > 0 OR valid_time + INTERVAL 6 hour > TIMESTAMP '2024-01-19 18:00:00'))
+SELECT spot_id, valid_time, round(avg(value) FILTER (metric = 'wind_speed'), 6) AS wind_speed_ms, round(avg(value) FILTER (metric = 'precipitation'), 6) AS precipitation_mm, CAST(count(DISTINCT source_code) AS INTEGER) AS source_count FROM k GROUP BY ALL""")
+def stream_late_rows(spark, d):
+    """Every tenth event lands late: after time has come to the 20th, what belongs to windows closed six hours before is dropped."""
+    landed, out, marks = (landing.scratch(spark, x) for x in ("late-in", "late-out", "late-marks"))
+    v = consolidate.normalize(source_values(spark, d)).select("event_id", "spot_id", "source_code", "valid_time", "metric", "value")
+
+    def mark(day: str):
+        """Rows that tell the time, one a file."""
+        return spark.range(0, FILES, 1, FILES).select(F.lit(-1).cast("long"), F.lit("mark"), F.lit("src"), F.lit(day).cast("timestamp"), F.lit("wind_speed"), F.lit(0.0))
+
+    early = (F.col("event_id") % 10 > 0) & (F.col("valid_time") < "2024-01-20")
+    for rows in (v.where(early).repartition(FILES), mark("2024-01-20"), mark("2024-01-20"), v.where(~early).repartition(FILES), mark("2030-01-01"), mark("2030-01-01")):
+        rows.toDF(*v.columns).write.mode("append").parquet(landed)
+    schema = "event_id long, spot_id string, source_code string, valid_time timestamp, metric string, value double"
+    stream = streams.landed_stream(spark, landed, schema, "parquet", FILES)
+    streams.drain(streams.hourly_stream(stream, ("wind_speed", "precipitation"), late="6 hours", width="6 hours"), out, marks).awaitTermination()
+    done = spark.read.parquet(out).where("spot_id <> 'mark'")
+    return rounded(done.select("spot_id", "valid_time", "wind_speed_ms", "precipitation_mm", "source_count"))
+
+
+def _upserted(spark, d):
+    """Events upserted by user in three batches, the highest first; the table's path."""
     landed, out, marks = (landing.scratch(spark, x) for x in ("upsert-in", "upsert-out", "upsert-marks"))
     e = table(spark, d, "events").select("event_id", "user_id", "event_type")
     for k in range(3):
-        e.where(F.col("event_id") % 3 == k).repartition("user_id").write.mode("append").parquet(landed)
+        e.where(F.col("event_id") % 3 == 2 - k).repartition("user_id").write.mode("append").parquet(landed)
     # three batches at every size
     files = len(spark.read.parquet(landed).inputFiles())
     stream = streams.landed_stream(spark, landed, "event_id long, user_id long, event_type string", "parquet", -(-files // 3))
     streams.upsert_stream(stream, out, ["user_id"], marks, "event_id").awaitTermination()
-    # versions arrive in no order of event_id, so the sequence decides and not the batch
-    rows = streams.current_rows(spark, out, ["user_id"], "event_id")
-    return rows.select("user_id", "event_id", F.col("event_type").isNotNull().alias("seen"))
+    return out
+
+
+LAST_EVENT = "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id"
+
+
+@plans.add(LAST_EVENT)
+def stream_upsert(spark, d):
+    """Versions arrive in no order of event_id, so the sequence decides and not the batch."""
+    return streams.current_rows(spark, _upserted(spark, d), ["user_id"], "event_id").select("user_id", "event_id", "event_type")
+
+
+@plans.add(LAST_EVENT)
+def stream_compact(spark, d):
+    """The same, after the first two versions were put together."""
+    out = _upserted(spark, d)
+    streams.compact_rows(spark, out, ["user_id"], 1, "event_id")
+    return streams.current_rows(spark, out, ["user_id"], "event_id").select("user_id", "event_id", "event_type")
 
 
 @plans.add("SELECT user_id, CAST(ts AS DATE) AS day, count(*) > 0 AS fired FROM events GROUP BY ALL")
@@ -277,4 +317,21 @@ def stream_alert_once(spark, d):
     return spark.read.parquet(out).select(F.col("alert_id").alias("user_id"), "day", F.lit(True).alias("fired"))
 
 
+# Catalogues and reports
+
+
+@plans.add("SELECT 's' || s_suppkey AS id, s_name AS title, s_suppkey % 4 AS priority FROM supplier UNION ALL SELECT 'report', n_name, n_nationkey FROM nation")
+def catalogue_read(spark, d):
+    """Lists of suppliers, one file a nation, read as catalogues; nations, written as a report and read back; and a catalogue that is not there."""
+    lists, report = landing.scratch(spark, "lists"), landing.scratch(spark, "report")
+    s = table(spark, d, "supplier")
+    entry = F.struct(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("title"), (F.col("s_suppkey") % 4).alias("priority"))
+    files = s.groupBy((F.col("s_suppkey") % 97).alias("file"), F.col("s_nationkey").alias("nation")).agg(F.to_json(F.collect_list(entry)).alias("value"))
+    files.write.partitionBy("nation", "file").text(lists)
+    schema = "id string, title string, priority long"
+    read = landing.read_catalogue(spark, f"{lists}/*/*", schema).select("id", "title", "priority")
+    landing.write_report(table(spark, d, "nation").select(F.lit("report").alias("id"), F.col("n_name").alias("title"), F.col("n_nationkey").cast("long").alias("priority")), report)
+    return read.union(spark.read.schema(schema).json(report)).union(landing.read_catalogue(spark, f"{lists}-none", schema))
+
+
 QUERIES, ORACLE_SQL = plans.queries, plans.sql

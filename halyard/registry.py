@@ -144,13 +144,16 @@ SPECIES = {
     "espadon": ("espadon",),
     "denti": ("denti",),
 }
+# Scientific names of species.
 SCIENTIFIC = {
     "bar": "Dicentrarchus labrax", "lieu jaune": "Pollachius pollachius", "maquereau": "Scomber scombrus", "araignees": "Maja squinado",
     "homard": "Homarus gammarus", "tourteau": "Cancer pagurus", "thon rouge": "Thunnus thynnus", "dorade rose": "Pagellus bogaraveo",
     "dorade coryphene": "Coryphaena hippurus", "merou": "Epinephelus marginatus", "corb": "Sciaena umbra", "espadon": "Xiphias gladius",
     "denti": "Dentex dentex",
 }
+# Words of crustaceans in a folded species name.
 CRUSTACEANS = ("homard", "araignee", "tourteau", "langouste", "langoustine", "crabe", "etrille")
+# Place of each type of rule in the order of rules; its activity; its constraint.
 RULE_RANK = {
     "DIVING_GENERAL": 10, "SPEARFISHING_GENERAL": 20, "PRACTICE_RULE": 25, "MIN_SIZE": 30, "QUOTA": 40, "CLOSURE_PERIOD": 50,
     "PROTECTED_SPECIES": 60, "LOCAL_RESTRICTION": 70,
@@ -162,4 +165,21 @@ RULE_CONSTRAINT = {
     "CLOSURE_PERIOD": "closure_period", "PROTECTED_SPECIES": "forbidden_capture", "PRACTICE_RULE": "practice_rule",
     "LOCAL_RESTRICTION": "declaration_or_local_rule",
 }
+# Months in folded text.
 MONTHS = ("janvier", "fevrier", "mars", "avril", "mai", "juin", "juillet", "aout", "septembre", "octobre", "novembre", "decembre")
+
+# The zone of a scope: code, name, least and largest latitude and longitude; and of any other scope.
+ZONES = {
+    "namo": ("FACADE_NAMO", "Facade Nord Atlantique Manche Ouest", 46.0, 51.4, -6.8, 0.2),
+    "memn": ("FACADE_MEMN", "Facade Manche Est Mer du Nord", 48.2, 51.5, -2.0, 4.2),
+    "sud-atlantique": ("FACADE_SUD_ATLANTIQUE", "Facade Sud Atlantique", 42.9, 47.4, -2.5, -0.8),
+    "mediterranee": ("FACADE_MEDITERRANEE", "Facade Mediterranee", 41.0, 44.9, 2.2, 9.9),
+    "bretagne": ("REGION_BRETAGNE", "Bretagne", 47.0, 49.2, -5.8, -1.0),
+    "pays-de-la-loire": ("REGION_PAYS_DE_LA_LOIRE", "Pays de la Loire", 46.0, 47.9, -3.0, -0.7),
+    "golfe-du-lion": ("SECTEUR_GOLFE_DU_LION", "Golfe du Lion", 42.2, 43.7, 2.5, 5.1),
+    "calanques": ("SECTEUR_CALANQUES", "Parc national des Calanques", 43.0, 43.35, 5.25, 5.6),
+    "corse": ("SECTEUR_CORSE", "Corse", 41.2, 43.2, 8.4, 9.7),
+    "north-48n": ("SECTEUR_NORD_48N", "Nord du parallele 48N", 48.0, 51.5, -6.8, 4.2),
+    "south-48n": ("SECTEUR_SUD_48N", "Sud du parallele 48N", 41.0, 48.0, -6.8, 9.9),
+}
+ALL_ZONES = ("APP_ZONES_UNION", "Union geospatiale des zones de l'application")

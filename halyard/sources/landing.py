@@ -16,11 +16,21 @@ PARTITION = ["run_date", "run_hour", "source_code"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the cluster names; in a folder of our own only where none is named."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="halyard-")
+    """A new path in the shared folder the cluster names; where none is named, in a folder of our own in local mode, else an error."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all machines share")
+        root = "file://" + tempfile.mkdtemp(prefix="halyard-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def is_missing(fault: AnalysisException) -> bool:
+    """Whether a read failed for want of the path, or of any file in it, and for nothing else."""
+    return fault.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_source_values(spark: SparkSession, path: str, schema: str = SOURCE_VALUES) -> DataFrame:
     """Gzipped JSON lines under run_date=/run_hour=/source_code=; blank lines and lines that are no record are skipped."""
     rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -112,17 +122,17 @@ def run_log(values: DataFrame, started: Column) -> DataFrame:
 
 
 def read_catalogue(spark: SparkSession, path: str, schema: str, required: bool = False) -> DataFrame:
-    """A JSON list of objects; entries that are none are dropped; a missing file is an empty table unless required."""
+    """JSON files, each a list of objects or one object; entries that are none are dropped; a missing file is an empty table unless required."""
     try:
-        rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    except AnalysisException:
-        if required:
+        files = spark.read.option("wholetext", True).text(path)
+    except AnalysisException as fault:
+        if required or not is_missing(fault):
             raise
         return spark.createDataFrame([], schema)
-    some = F.lit(False)
-    for c in rows.columns:
-        some = some | F.col(c).isNotNull()
-    return rows.where(some)
+    said = F.trim("value")
+    entries = F.when(said.startswith("["), F.from_json(said, "array<string>")).otherwise(F.array(said))
+    rows = files.select(F.explode(entries).alias("e")).where(F.ltrim("e").startswith("{")).select(F.from_json("e", schema).alias("r")).select("r.*")
+    return rows.where(F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(True)) for c in rows.columns], F.lit(False)))
 
 
 def write_report(rows: DataFrame, path: str) -> None:
@@ -144,8 +154,9 @@ def store_raw(documents: DataFrame, path: str) -> DataFrame:
     once = hashed.groupBy("content_hash").agg(F.min("ext").alias("ext"), F.first("content").alias("content")).withColumn("shard", F.substring("content_hash", 1, 2))
     try:
         once = once.join(spark.read.parquet(path).select("content_hash"), "content_hash", "left_anti")
-    except AnalysisException:  # nothing is stored yet
-        pass
+    except AnalysisException as fault:
+        if not is_missing(fault):
+            raise
     once.write.mode("append").partitionBy("shard").parquet(path)
     place = F.concat(F.lit("shard="), F.substring("content_hash", 1, 2), F.lit("/"), "content_hash", F.lit("."), "ext")
     return hashed.select("url", "content_hash", place.alias("raw_storage_path"))

@@ -50,13 +50,42 @@ def upsert_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current_rows(spark: SparkSession, path: str, keys: list[str], seq: str | None = None) -> DataFrame:
-    """The table's rows, one a key: of the highest seq, and of the last batch among these or without seq."""
-    rows = spark.read.parquet(path)
+def _latest(rows: DataFrame, keys: list[str], seq: str | None) -> DataFrame:
     last = F.struct(*([seq] if seq else []), "batch")
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), last).alias("r")).select(*keys, "r.*").drop("batch")
 
 
+def current_rows(spark: SparkSession, path: str, keys: list[str], seq: str | None = None) -> DataFrame:
+    """The table's rows, one a key: of the highest seq, and of the last batch among these or without seq."""
+    return _latest(spark.read.parquet(path), keys, seq)
+
+
+def compact_rows(spark: SparkSession, path: str, keys: list[str], upto: int, seq: str | None = None) -> None:
+    """Put the versions up to batch upto together as one, which holds each key's current row among them.
+
+    The new version is written beside the others and moved into place whole, as
+    a batch below all others; then the old ones go, oldest first. Readers get
+    the same rows at every moment; a run that is cut off is done again.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    fs = at("").getFileSystem(conf)
+    old = sorted(int(x.getPath().getName().removeprefix("batch=")) for x in fs.listStatus(at("")) if x.getPath().getName().startswith("batch="))
+    old = [n for n in old if n <= upto]
+    if len(old) < 2:
+        return
+    staged, place = f"_compact-{upto}", f"batch={-upto - 1}"
+    rows = _latest(spark.read.parquet(path).where(F.col("batch") <= upto), keys, seq)
+    rows.write.mode("overwrite").parquet(f"{path}/{staged}")
+    if -upto - 1 in old:
+        old.remove(-upto - 1)
+    else:
+        fs.rename(at(staged), at(place))
+    for n in old:
+        fs.delete(at(f"batch={n}"), True)
+    fs.delete(at(staged), True)
+
+
 def once_a_day(alerts: DataFrame, key: str = "alert_id", time: str = "valid_time", late: str = "1 day") -> DataFrame:
     """The first alert of each key and UTC day, state kept no longer than late."""
     return alerts.withColumn("day", F.to_date(time)).withWatermark(time, late).dropDuplicatesWithinWatermark([key, "day"])

@@ -7,8 +7,50 @@ from halyard.functions import text
 from halyard.operators import geo, pages, quality, rules, textmining, versions
 
 
-def doc(spark, said, scope="france"):
-    return spark.createDataFrame([(1, said, scope, "operational")], "doc long, text string, source_scope string, source_type string")
+def doc(spark, said, scope="france", kind="DIRM", url="https://www.dirm.example/rules.pdf", title=""):
+    schema = "doc long, text string, source_scope string, source_type string, url string, source_url string, source_title string"
+    return spark.createDataFrame([(1, said, scope, kind, url, "https://www.dirm.example/", title)], schema)
+
+
+#: Documents of the extraction tests: text, and what is not as in doc.
+SAID = {
+    "list": ("Bar commun (Dicentrarchus labrax) : 42 cm\nHomard : 3 captures par jour\nAraignee de mer : 5 kg par jour", {"scope": "namo"}),
+    "six": ("La peche sous-marine des araignees est limitee a six unites par pecheur et par jour.", {}),
+    "table": ("Quantite maxi de peche autorisee par pecheur et par jour\nAraignee de mer 5 unites", {}),
+    "middle": ("Araignee de mer de taille normale 4 kilogrammes et 7 unites par jour", {}),
+    "two": ("Pas plus de deux specimens de bar ne peuvent etre gardes par pecheur et par jour.", {}),
+    "total": ("Une quantite totale de 5 kg de maquereau par pecheur et par jour.", {}),
+    "all": ("Les captures sont limitees par navire et par jour a 12,5 kg pour toutes especes.", {}),
+    "tuna": ("La prise : un thon rouge par navire et par jour.", {}),
+    "no days": ("Araignee de mer 5 unites", {}),
+    "no name": ("Quantite totale autorisee : 3 captures par jour", {}),
+    "twice": ("En Bretagne la peche du bar est limitee a deux unites par pecheur et par jour. " + "x " * 300 + "En Corse la peche du bar est limitee a deux unites par pecheur et par jour. ", {}),
+    "closed": ("Aucun specimen de lieu jaune ne peut etre capture et detenu du 1er janvier au 30 avril.", {}),
+    "protected": ("La peche du merou et du corb est interdite en Corse.", {}),
+    "sale": ("La vente des produits issus de la peche maritime de loisir est interdite.", {}),
+    "sale manual": ("La vente des produits issus de la peche maritime de loisir est interdite.", {"url": "https://x.fr/manuel.pdf"}),
+    "sale title": ("La vente des produits issus de la peche maritime de loisir est interdite.", {"title": "RecFishing"}),
+    "forum": ("La vente des produits issus de la peche maritime de loisir est interdite.", {"kind": "FORUM"}),
+    "empty": ("", {}),
+    "null": (None, {}),
+    "sensitive": ("Especes sensibles : Bar, Lieu jaune, Dorade rose.\nLes pecheurs de loisir doivent s'enregistrer et faire une declaration via RecFishing.", {}),
+    "not sensitive": ("Declaration obligatoire des captures.\nBar et dorade rose.", {}),
+    "page": ("Coquilles Saint-Jacques Tourteau\nEspeces concernees pour 2026.\nLieu jaune, Bar et Dorade rose sont des especes sensibles.\nLes pecheurs doivent s'enregistrer et declarer les captures via RecFishing.\nSur le meme sujet: Tourteau et coquillages.", {}),
+    "age": ("L'exercice de la peche sous-marine au moyen d'un fusil-harpon est interdit aux personnes agees de moins de seize ans.", {"kind": "LEGIFRANCE"}),
+    "diving": ("Les dispositions s'appliquent aux etablissements mentionnes a l'article L. 322-2 qui organisent la pratique de la plongee subaquatique.", {"kind": "LEGIFRANCE"}),
+    "clauses": ("Ne pas utiliser d'equipement respiratoire ;\nNe pas pratiquer la peche sous-marine la nuit ;\nAvoir plus de 16 ans et une bonne condition physique", {"kind": "MINISTERE_MER"}),
+}
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    """Rules of a type from a document of SAID; all are extracted at once."""
+    docs = None
+    for name, (said, about) in SAID.items():
+        one = doc(spark, said, **about).withColumn("doc", F.lit(name))
+        docs = one if docs is None else docs.union(one)
+    rows = rules.extract(docs.coalesce(2)).collect()
+    return lambda name, rule_type=None: [r for r in rows if r["doc"] == name and rule_type in (None, r["rule_type"])]
 
 
 def test_fold_slug_and_numbers(spark):
@@ -18,6 +60,11 @@ def test_fold_slug_and_numbers(spark):
     n = spark.createDataFrame([(1.0,), (1.25,), (None,)], "x double").select(text.metric_text(F.col("x"))).collect()
     assert [r[0] for r in n] == ["1", "1.25", ""]
     assert df.select(text.parse_number(F.lit("six")), text.parse_number(F.lit("2,5")), text.parse_number(F.lit("x"))).first()[:] == (6.0, 2.5, None)
+    marks = df.select(text.fold_text(F.lit("Ş ž Ệ ≠ é")), text.normalize_label(F.lit(" Mare\u0301e Ş ά ")), text.slugify(F.lit("Dvořák")))
+    assert marks.first()[:] == ("s z e = e", "maree s α", "dvorak")
+    shown = ["Six", "VINGT", "seize", " Une ", "deux-", "2,5 kg", "env. 3", "1.2.3", "-", None]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in shown], "t string").select(text.parse_number(t)).collect()]
+    assert got == [6.0, None, 16.0, 1.0, 2.0, 2.5, 0.3, None, None, None]
     hosts = df.select(text.host_allowed(F.lit("https://a.x.fr/p"), "x.fr"), text.host_allowed(F.lit("https://ax.fr/"), "x.fr"), text.is_official(F.lit("https://www.mer.gouv.fr/a")))
     assert hosts.first()[:] == (True, False, True)
 
@@ -33,6 +80,8 @@ def test_links_scores_and_status(spark):
     found = pages.edges(pages.links(page), "mer.gouv.fr")
     assert {r["dst_url"] for r in found.collect()} == {"https://www.mer.gouv.fr/tailles-2026.pdf", "https://www.mer.gouv.fr/contact"}
     none = spark.createDataFrame([], "url string")
+    points = [r[0] for r in spark.createDataFrame([("ar-12",), ("arrete_3",), ("decret",), ("arrete du",), ("bar12",)], "t string").select(pages.relevance(F.lit("https://x.org/"), F.col("t"), 2026, (), ())).collect()]
+    assert points == [2, 2, 0, 0, 0]
     got = {r["url"].rsplit("/", 1)[1]: r for r in pages.candidates(found, none, 2026, ("peche", "tailles")).collect()}
     assert got["tailles-2026.pdf"]["status"] == "auto_accepted" and got["contact"]["status"] == "candidate"
     assert got["tailles-2026.pdf"]["kind"] == "pdf" and got["tailles-2026.pdf"]["id"].startswith("discovered_")
@@ -68,28 +117,80 @@ def test_validity(spark, said, title, url, want):
     assert ((got["valid_from"], got["valid_to"]) if got else (None, None)) == want
 
 
-def test_sizes_and_quotas(spark):
-    d = doc(spark, "Bar commun (Dicentrarchus labrax) : 42 cm\nHomard : 3 captures par jour\nAraignee de mer : 5 kg par jour")
-    s = rules.size_rules(d).collect()
-    assert [(r["species_common_name"], r["metric_value"], r["species_scientific_name"]) for r in s] == [("bar", 42.0, "dicentrarchus labrax")]
-    q = {r["species_common_name"]: (r["metric_type"], r["metric_value"]) for r in rules.quota_rules(d).collect()}
-    assert q == {"homard": ("QUOTA_MAX_UNITS", 3.0), "araignees": ("QUOTA_MAX_KG", 5.0)}
+def test_sizes_and_quotas(found):
+    s = found("list", "MIN_SIZE")
+    assert [(r["species_common_name"], r["metric_value"], r["species_scientific_name"], r["rule_key"]) for r in s] == [("bar", 42.0, "dicentrarchus labrax", "species.bar.min-size.namo")]
+    assert (s[0]["title"], s[0]["zone_code"], s[0]["lat_max"], s[0]["source_excerpt"]) == ("Taille minimale de capture - bar", "FACADE_NAMO", 51.4, "Bar commun (Dicentrarchus labrax) : 42 cm")
+    assert s[0]["legal_reference"].startswith("Arrete du 26") and "Homard" in s[0]["source_context"] and s[0]["notes"].endswith("requise.")
+    q = {r["species_common_name"]: (r["metric_type"], r["metric_value"], r["metric_unit"], r["rule_key"].split(".quota.")[1]) for r in found("list", "QUOTA")}
+    assert q == {"homard": ("QUOTA_MAX_UNITS", 3.0, "captures/jour", "captures-jour.namo"), "araignees": ("QUOTA_MAX_KG", 5.0, "kg/jour", "kg-jour.namo")}
 
 
-@pytest.mark.parametrize("said", ["La peche sous-marine des araignees est limitee a six unites par pecheur et par jour.", "Quantites par pecheur et par jour\nAraignee de mer 6 unites"])
-def test_quotas_in_words(spark, said):
-    r = rules.quota_rules(doc(spark, said)).collect()
-    assert [(x["species_common_name"], x["metric_value"], x["metric_unit"]) for x in r] == [("araignees", 6.0, "units")]
+@pytest.mark.parametrize(
+    ("name", "want"),
+    [
+        ("six", ("araignees", 6.0, "captures/jour")), ("table", ("araignees", 5.0, "captures/jour")), ("middle", ("araignees", 4.0, "captures/jour")), ("two", ("bar", 2.0, "captures/jour")),
+        ("total", ("maquereau", 5.0, "kg/jour")), ("all", ("toutes especes marines", 12.5, "kg/jour")), ("tuna", ("thon rouge", 1.0, "captures/jour")), ("no days", None), ("no name", None),
+    ],
+)
+def test_quotas_in_words(found, name, want):
+    assert [(r["species_common_name"], r["metric_value"], r["metric_unit"]) for r in found(name, "QUOTA")] == ([want] if want else [])
+
 
+def test_quotas_of_text_have_their_own_surroundings(found):
+    got = {r["rule_key"]: (r["description"], r["zone_code"]) for r in found("twice", "QUOTA")}
+    assert set(got) == {"species.bar.quota.captures-jour.bretagne", "species.bar.quota.captures-jour.corse"}
+    assert got["species.bar.quota.captures-jour.corse"][1] == "SECTEUR_CORSE" and "bretagne" not in got["species.bar.quota.captures-jour.corse"][0]
 
-def test_other_rules(spark):
-    assert rules.closure_rules(doc(spark, "Aucun specimen de lieu jaune ne peut etre peche du 1er janvier au 30 avril.")).count() == 1
-    p = rules.protected_rules(doc(spark, "La peche du merou et du corb est interdite en Corse.")).collect()
+
+def test_other_rules(found):
+    assert [r["rule_key"] for r in found("closed", "CLOSURE_PERIOD")] == ["species.lieu-jaune.closure.1er-janvier.30-avril.france"]
+    p = found("protected", "PROTECTED_SPECIES")
     assert sorted(r["species_common_name"] for r in p) == ["corb", "merou"] and all(".corse." in r["rule_key"] for r in p)
-    assert rules.practice_rules(doc(spark, "La vente des produits issus de la peche maritime de loisir est interdite.")).count() == 1
-    d = rules.declaration_rules(doc(spark, "Declaration obligatoire des captures.\nBar, dorade rose et lieu jaune.\nNewsletter.\nMaquereau."))
-    assert sorted(r["species_common_name"] for r in d.collect()) == ["bar", "dorade rose", "lieu jaune"]
-    assert rules.extract(doc(spark, "")).count() == 0
+    assert [len(found(n, "PRACTICE_RULE")) for n in ("sale", "sale manual", "sale title")] == [1, 0, 0]
+    assert not found("empty") and not found("null") and not found("forum")
+
+
+def test_declarations(found):
+    d = found("sensitive", "LOCAL_RESTRICTION")
+    assert sorted(r["species_common_name"] for r in d) == ["bar", "dorade rose", "lieu jaune"]
+    assert {r["description"] for r in d} == {"Bar, Lieu jaune, Dorade rose."} and all("RecFishing" in r["source_context"] for r in d)
+    assert not found("not sensitive", "LOCAL_RESTRICTION")
+    d = found("page", "LOCAL_RESTRICTION")
+    assert sorted(r["species_common_name"] for r in d) == ["bar", "dorade rose", "lieu jaune"] and all("Coquilles" not in r["description"] for r in d)
+
+
+def test_declaration_context_goes_by_ranges_and_noise(spark):
+    units = [f"u{i}." for i in range(14)]
+    def context(**said):
+        mine = [said.get(u[:-1], u) for u in units]
+        return spark.createDataFrame([(mine,)], "u array<string>").select(textmining.declaration_context(F.col("u"))).first()[0]
+
+    assert context() == ""
+    assert context(u2="especes sensibles") == " ".join(["especes sensibles", *units[3:10]])
+    assert context(u5="via recfishing") == " ".join([*units[2:5], "via recfishing", *units[6:9]])
+    assert context(u5="via recfishing", u4="gestion des cookies") == " ".join(units[2:4])
+    assert context(u1="especes concernees", u3="declaration des captures", u4="mentions legales") == "especes concernees u2. declaration des captures"
+    assert context(u9="enregistrement du pecheur", u2="recfishing") == " ".join(["u0.", "u1.", "recfishing", *units[3:9], "enregistrement du pecheur", *units[10:13]])
+
+
+def test_statutes_and_clauses(found):
+    assert [(r["rule_key"], r["metric_type"], r["metric_value"], r["needs_manual_review"]) for r in found("age")] == [("spearfishing.fr.min-age.fusil-harpon", "AGE_MIN_YEARS", 16.0, False)]
+    assert [(r["rule_key"], r["rule_type"]) for r in found("diving")] == [("diving.fr.code-sport.section-a322-71", "DIVING_GENERAL")]
+    clauses = found("clauses", "SPEARFISHING_GENERAL")
+    assert len(clauses) == 3 and all(r["needs_manual_review"] and r["rule_key"].startswith("spearfishing.fr.ministere.") for r in clauses)
+
+
+def test_static_rules_stand_beside_extracted_ones(spark):
+    base = spark.createDataFrame([("own", "DIVING_GENERAL")], "rule_key string, rule_type string")
+    got = {r["rule_key"]: r["metric_value"] for r in rules.extract(doc(spark, "Bar : 42 cm"), base).collect()}
+    assert got == {"own": None, "species.bar.min-size.france": 42.0}
+
+
+def test_rules_get_their_dates(spark):
+    d = rules.dated(rules.extract(doc(spark, "Aucun specimen de bar du 1er janvier 2026 au 30 avril 2026.\nHomard : 3 captures par jour")), 2026)
+    got = {r["rule_type"]: (r["valid_from"], r["valid_to"], r["effective_date_source"]) for r in d.collect()}
+    assert got["CLOSURE_PERIOD"] == (dt.date(2026, 1, 1), dt.date(2026, 4, 30), "parser")
 
 
 def test_sentences(spark):
@@ -105,20 +206,70 @@ def rule_rows(spark):
 
 
 def test_rule_dedupe_and_conflicts(spark):
-    once = {r["rule_key"]: r["quality_flags"] for r in rules.dedupe_content(rules.dedupe_keys(rule_rows(spark))).collect()}
-    assert once == {"k2": ["duplicate_content_merged"], "k3": []}
-    assert [r["rule_key"] for r in quality.metric_conflicts(rule_rows(spark)).collect()] == ["k3"]
     r = rule_rows(spark)
+    once = {x["rule_key"]: x["quality_flags"] for x in rules.dedupe_content(rules.dedupe_keys(r)).collect()}
+    assert once == {"k2": ["duplicate_content_merged"], "k3": []}
+    assert [tuple(x) for x in quality.metric_conflicts(r).collect()] == [("k3", "k1", 42.0, 45.0)]
+    other = r.withColumn("metric_unit", F.when(F.col("seq") == 2, "inch").otherwise("cm"))
+    assert quality.metric_conflicts(other).count() == 0
     assert [tuple(x) for x in quality.duplicate_content(r, rules.content_signature(r)).collect()] == [("k2", "k1")]
+    same = r.withColumn("rule_key", F.lit("k"))
+    assert quality.duplicate_content(same, rules.content_signature(same)).count() == 0
+
+
+def test_signatures_by_type(spark):
+    rows = [("QUOTA", "Bar", "a", 2.0, "kg/jour"), ("QUOTA", "Bar", "b", 2.0, "captures/jour"), ("CLOSURE_PERIOD", "x", "Arrêté n-12 du bar", None, None), ("CLOSURE_PERIOD", "y", "arrete n-13 du bar", None, None), ("PRACTICE_RULE", "x", "article r-1 du bar", None, None), ("PRACTICE_RULE", "y", "du bar", None, None)]
+    r = spark.createDataFrame(rows, "rule_type string, title string, description string, metric_value double, metric_unit string").withColumns({"species_common_name": F.lit("Bâr"), "zone_code": F.lit("z"), "metric_type": F.lit("M")})
+    s = [x[0] for x in r.select(rules.content_signature(r)).collect()]
+    assert s[0] == "QUOTA|bar|z|M|2|kg/jour" and s[0] != s[1] and s[2] == s[3] and s[4] != s[5] and s[4].startswith("PRACTICE_RULE|bar|z|x|")
+
+
+def test_rules_without_zone_or_species_come_last(spark):
+    rows = [("a", None, "bar"), ("b", "Z1", None), ("c", "Z1", "Étoile"), ("d", "Z1", "denti"), ("e", "", "bar")]
+    r = spark.createDataFrame(rows, "rule_key string, zone_code string, species_common_name string").withColumns({"rule_type": F.lit("QUOTA"), "source_priority": F.lit(1), "description": F.lit("d"), "metric_type": F.lit(""), "metric_value": F.lit(1.0)})
+    assert [x["rule_key"] for x in rules.audit_sample(r, 4).collect()] == ["d", "c", "b", "a"]
+
+
+def test_row_issues_cover_every_check(spark):
+    good = ("k", "MIN_SIZE", "t", "d", "https://x.gouv.fr/", "z", "2026-01-01", "SIZE_MIN_CM", "42", "CUSTOM_BBOX", 1.0)
+    cases = {"missing_field": {2: ""}, "description_too_long": {3: "x" * 1201}, "noisy_description": {3: "Accéder au menu"}, "source_priority": {4: "https://x.org"}, "invalid_validity_date": {6: "2026-02-30"}, "invalid_zone": {10: None}, "invalid_metric": {8: "many"}, "suspicious_metric": {8: "401"}}
+    rows = [(good[0] + name, *[change.get(i, v) for i, v in enumerate(good)][1:]) for name, change in cases.items()] + [good, ("q", *good[1:7], "QUOTA_MAX_KG", "0", "APP", None)]
+    df = spark.createDataFrame(rows, "rule_key string, rule_type string, title string, description string, source_url string, zone_code string, valid_from string, metric_type string, metric_value string, zone_strategy string, lat_min double")
+    df = df.withColumns({c: F.lit(1.0) for c in ("lat_max", "lon_min", "lon_max")})
+    got = {(r["rule_key"], r["category"]) for r in quality.row_issues(df).collect()}
+    assert got == {(f"k{name}", name) for name in cases} | {("q", "invalid_metric")}
 
 
 def test_expectations(spark):
-    wanted = [{"id": "a", "severity": "error", "any_of": [{"species_common_name": "bar", "metric_value": "42"}]}, {"id": "b", "severity": "warning", "any_of": [{"description_contains": "thon"}]}]
-    assert {r["id"]: (r["n_matched"], r["met"]) for r in quality.expectations(rule_rows(spark), wanted).collect()} == {"a": (2, True), "b": (0, False)}
+    wanted = [{"id": "a", "severity": "error", "any_of": [{"species_common_name": "BÂR", "metric_value": "42"}]}, {"id": "b", "any_of": [{"description_contains": "Thön"}]}, {"label": "c", "rule_type": "min_size", "description_contains": "ENCORE"}]
+    got = {r["id"]: tuple(r)[2:] for r in quality.expectations(rule_rows(spark), wanted).collect()}
+    assert got == {"a": ("error", 2, ["k1", "k2"], True), "b": ("warning", 0, [], False), "c": ("warning", 1, ["k2"], True)}
+    assert quality.expectations(rule_rows(spark), []).count() == 0
     with pytest.raises(ValueError):
         quality.expectations(rule_rows(spark), [{"id": "c", "severity": "x", "any_of": [{"nothing": "1"}]}])
 
 
+def test_required_categories(spark):
+    r = rule_rows(spark)
+    assert {x[0] for x in quality.missing_categories(r).collect()} == {"DIVING_GENERAL", "SPEARFISHING_GENERAL", "QUOTA", "CRUSTACEAN_NUMERIC_RULE", "FISH_QUOTA_RULE"}
+    one = r.withColumns({"rule_type": F.lit("QUOTA"), "species_common_name": F.lit("Étrille")})
+    assert {x[0] for x in quality.missing_categories(one).collect()} == {"DIVING_GENERAL", "SPEARFISHING_GENERAL", "MIN_SIZE", "FISH_QUOTA_RULE"}
+
+
+def test_manifest_and_enrichment(spark):
+    r = rule_rows(spark).withColumns({"title": F.lit("t"), "metric_unit": F.lit("cm"), "legal_reference": F.lit(None).cast("string"), "species_scientific_name": F.lit(None).cast("string"), "source_url": F.lit("https://x.gouv.fr/a.PDF#p"), "source_excerpt": F.col("description"), "source_context": F.concat("description", F.when(F.col("seq") > 0, " und").otherwise("")), "document_hash": F.lit("h")})
+    rich = rules.enrich(r)
+    one = rich.where("rule_key = 'k1'").first()
+    assert (one["species"]["canonical_name"], one["species"]["common_name"], one["species"]["scientific_name"], one["species"]["external_ids"]) == ("bar", "bar", "Dicentrarchus labrax", {})
+    assert one["citations"][0]["url"] == "https://x.gouv.fr/a.PDF" and one["candidate"]["status"] == "publishable" and len(one["candidate"]["candidate_key"]) == 10
+    m = quality.document_manifest(rich).first()
+    assert m["rule_keys"] == ["k1", "k2", "k3"] and m["document_type"] == "html"
+    assert [c["text_excerpt"] for c in m["chunks"]] == ["Bar 42", "Bar 42 encore", "Bar 42 encore und", "Bar 45", "Bar 45 und"]
+    assert [c["chunk_index"] for c in m["chunks"]] == list(range(5)) and m["content_length"] == sum(len(c["text_excerpt"]) for c in m["chunks"])
+    long = rich.sparkSession.createDataFrame([("x" * 800,)], "description string")
+    assert long.select(rules.citation_quote(long)).first()[0] == "x" * 697 + "..."
+
+
 @pytest.mark.parametrize(
     "shape",
     ['{"type":"Polygon","coordinates":[[[2,1],[4.5,1],[4.5,3],[2,1]]]}', '{"type":"FeatureCollection","features":[{"geometry":{"coordinates":[2,1]}},{"geometry":{"coordinates":[4.5,3]}}]}', "[[2,1],[4.5,3]]", "POLYGON((2 1, 4.5 3))"],
@@ -149,6 +300,8 @@ def test_versions(spark):
     assert versions.close_missing(history, seen.limit(0), now).where("is_current").count() == 2
     prints = spark.createDataFrame([("MIN_SIZE", 42.0), ("MIN_SIZE", 45.0)], "rule_type string, metric_value double").select(versions.fingerprint(["rule_type", "metric_value"])).distinct()
     assert prints.count() == 2
+    moved = spark.createDataFrame([("A", "MIN", "u1"), (" a", "min", "u2")], "title string, rule_type string, source_url string")
+    assert moved.select(versions.fingerprint(moved.columns)).distinct().count() == 1
 
 
 def test_audit_needs_its_quote(spark):

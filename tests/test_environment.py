@@ -219,3 +219,37 @@ def test_grid(spark):
     assert (near["lat"], near["lon"], near["value"]) == (1.0, 1.0, 11.0)
     assert grid.inside_box(g, spots.limit(0)).count() == 0 and grid.inside_box(g, spots, 0.5).count() == 2
     assert grid.first_available(["b"], {"x": ("a", "b"), "y": ("c",)}) == {"x": "b"}
+
+
+def test_versions_are_put_together_without_loss(spark, tmp_path):
+    from halyard.streaming import streams
+
+    path = f"file://{tmp_path}/t"
+    for batch, rows in enumerate([[(1, 5, "a"), (2, 1, "b")], [(1, 3, "old"), (3, 1, "c")], [(2, 2, "d")], [(3, 0, "late")]]):
+        spark.createDataFrame(rows, "k int, seq int, v string").write.parquet(f"{path}/batch={batch}")
+    read = lambda seq: sorted(tuple(r) for r in streams.current_rows(spark, path, ["k"], seq).select("k", "v").collect())
+    by_seq, by_batch = read("seq"), read(None)
+    assert by_seq == [(1, "a"), (2, "d"), (3, "c")] and by_batch == [(1, "old"), (2, "d"), (3, "late")]
+    streams.compact_rows(spark, path, ["k"], 2, "seq")
+    streams.compact_rows(spark, path, ["k"], 2, "seq")
+    spark.catalog.refreshByPath(path)
+    assert read("seq") == by_seq
+    assert sorted(x.name for x in (tmp_path / "t").iterdir()) == ["batch=-3", "batch=3"]
+    streams.compact_rows(spark, path, ["k"], 3, "seq")
+    spark.catalog.refreshByPath(path)
+    assert read("seq") == by_seq and sorted(x.name for x in (tmp_path / "t").iterdir()) == ["batch=-4"]
+
+
+def test_a_missing_catalogue_is_empty_and_other_faults_are_not(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from halyard.sources import landing
+
+    assert landing.read_catalogue(spark, f"{tmp_path}/none.json", "id string").count() == 0
+    with pytest.raises(PySparkException):
+        landing.read_catalogue(spark, f"{tmp_path}/none.json", "id string", required=True)
+    with pytest.raises(Exception, match="nosuchscheme"):
+        landing.read_catalogue(spark, "nosuchscheme://x/none.json", "id string")
+    (tmp_path / "c.json").write_text('[{"id": "a"}, 7, "x", {"id": "b"}]')
+    assert sorted(r[0] for r in landing.read_catalogue(spark, f"{tmp_path}/c.json", "id string").collect()) == ["a", "b"]
