@@ -2,11 +2,11 @@
 
 A line's words that hold a digit are variable fields. The line falls through a
 tree of fixed depth: its number of words, then its leading words; where it ends
-is its leaf. In a leaf, a word is constant at its place if enough documents
-have it there, else the place is one more variable field. A line's template is
-its constant words in their places. If most places are constant and enough
-documents have the template, it recurs, and its lines are dropped, all but the
-first.
+is its leaf. In a leaf, a word is constant at its place if enough documents,
+and a large enough share of the leaf's, have it there, else the place is one
+more variable field. A line's template is its constant words in their places.
+If most places beyond the leading ones are constant and enough documents have
+the template, it recurs, and its lines are dropped, all but the first.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from halyard.llm.common import discard, durable
 
+#: Words that less of a leaf's documents have at their place are values of a field, at every size of the table.
+FIELD_SHARE = 0.1
 FIELD, BLANK = "<*>", "[ \\t\\r\\f]+"
 #: Words that hold a digit; begun only where a word begins, and without backtracking.
 VARIABLE = r"(?<![^ \t\r\f])[^ \t\r\f0-9]*+[0-9][^ \t\r\f]*+"
@@ -44,7 +46,7 @@ def tree_lines(docs: DataFrame, leading: int, with_line: bool = False) -> DataFr
     return lines.select(*keep, *(["line"] if with_line else []))
 
 
-def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0, beyond: bool = False) -> DataFrame:
+def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = FIELD_SHARE, beyond: bool = True) -> DataFrame:
     """(doc_id, th, places): the lines to drop, by number from 0, of each text that has any. See drop_templates."""
     spark = docs.sparkSession
     lines, lines_path = durable(tree_lines(docs, leading), "lines")
@@ -93,7 +95,7 @@ def drop_places(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_word
     return out
 
 
-def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = 0.0, beyond: bool = False) -> DataFrame:
+def drop_templates(docs: DataFrame, min_docs: int = 5, leading: int = 3, least_words: int = 3, constant: float = 0.5, keep_first: bool = True, share: float = FIELD_SHARE, beyond: bool = True) -> DataFrame:
     """docs, all its columns and rows, with the lines of recurring templates dropped; adds (or replaces) _lines and _dropped.
 
     A template recurs if min_docs different texts or more have it, by doc_id and

@@ -30,14 +30,16 @@ WITH lines AS (
 ), kinds AS (
   SELECT leaf, w, count(DISTINCT (doc_id, text)) AS docs FROM placed GROUP BY leaf, w
 ), leaves AS (
-  SELECT leaf FROM kinds GROUP BY leaf HAVING sum(docs) >= 5
+  SELECT leaf, sum(docs) AS of FROM kinds GROUP BY leaf HAVING sum(docs) >= 5
 ), words_in AS (
-  SELECT leaf, w, docs, unnest(range(len(w))) AS place, unnest(w) AS word FROM kinds WHERE leaf IN (FROM leaves)
+  SELECT leaf, of, w, docs, unnest(range(len(w))) AS place, unnest(w) AS word FROM kinds JOIN leaves USING (leaf)
 ), common AS (
-  SELECT leaf, place, word FROM words_in WHERE word <> '<*>' GROUP BY leaf, place, word HAVING sum(docs) >= 5
+  SELECT leaf, place, word, sum(docs) >= 0.1::DOUBLE * any_value(of) AS wide FROM words_in WHERE word <> '<*>' GROUP BY leaf, place, word HAVING sum(docs) >= 5
+), held AS (
+  SELECT leaf, w, string_agg(place || ' ' || word, chr(10) ORDER BY place) FILTER (wide) AS t1, count(*) FILTER (wide AND place >= 3) AS n1,
+    string_agg(place || ' ' || word, chr(10) ORDER BY place) AS t2, count(*) FILTER (place >= 3) AS n2 FROM words_in JOIN common USING (leaf, place, word) GROUP BY leaf, w
 ), shaped AS (
-  SELECT leaf, w, string_agg(place || ' ' || word, chr(10) ORDER BY place) AS template FROM words_in JOIN common USING (leaf, place, word)
-  GROUP BY leaf, w HAVING count(*) >= 0.5 * len(w)
+  SELECT leaf, w, CASE WHEN n1 > 0 AND n1 >= 0.5 * (len(w) - 3) THEN t1 ELSE t2 END AS template FROM held WHERE (n1 > 0 AND n1 >= 0.5 * (len(w) - 3)) OR (n2 > 0 AND n2 >= 0.5 * (len(w) - 3))
 ), told AS (
   SELECT p.doc_id, p.text, p.ln, p.leaf, coalesce(template, 'line ' || p.line) AS template
   FROM placed p JOIN leaves USING (leaf) LEFT JOIN shaped s ON s.leaf = p.leaf AND s.w = p.w

@@ -1,8 +1,11 @@
 """Small tables that hold every awkward case at once."""
 
+import random
+
 from pyspark.sql import DataFrame, SparkSession
 
-LONG = " ".join(f"w{i % 977}" for i in range(40_000)) + "\n" + "x" * 100_000
+_random = random.Random(0)
+LONG = " ".join(f"w{i % 977}" for i in range(40_000)) + "\n" + "".join(_random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)) + " " + "x" * 20_000
 CASES = [
     (1, "plain words stand here, and more of them follow.\nSecond line of it."),
     (2, None),
