@@ -193,70 +193,116 @@ def _arrow(df: DataFrame, name: str) -> pa.DataType:
     return to_arrow_type(df.schema[name].dataType)
 
 
-def _shingle_rows(df: DataFrame, key: str, widths: list[int]) -> DataFrame:
-    """(key, width, shingle): the distinct shingles of each text, of every width."""
-    kind = df.schema[key].dataType.simpleString()
+def _probes(asked: DataFrame, size: int, threshold: float) -> DataFrame:
+    """(item, width, hits, probe): the sketch of each item (item, text), and how many of it a document must hold."""
+    kind = asked.schema["item"].dataType.simpleString()
 
     def make():
+        hashes = Hashes()
+
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            row, width, shingle = [], [], []
-            for i, t in enumerate(texts(batch)):
-                words = words_of(t)
-                for w in widths:
-                    own = shingles(words, w) if len(words) >= w else []
-                    row += [i] * len(own)
-                    width += [w] * len(own)
-                    shingle += own
-            return pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(row, pa.int64())), pa.array(width, pa.int32()), pa.array(shingle, pa.string())], names=[key, "width", "shingle"])
+            found = [(i, x.width, x.hits, x.sketch) for i, x in enumerate(Item(None, t, size, threshold, hashes) for t in texts(batch)) if x.shingles]
+            n = [len(f[3]) for f in found]
+            each = lambda k, t: pa.array(np.repeat(np.array([f[k] for f in found], t), n))
+            probe = np.concatenate([np.zeros(0, np.uint64), *(f[3] for f in found)]).view(np.int64)
+            return pa.RecordBatch.from_arrays([batch.column("item").take(each(0, np.int64)), each(1, np.int32), each(2, np.int64), pa.array(probe)], names=["item", "width", "hits", "probe"])
 
         return one
 
-    return per_batch(df.select(key, "text"), f"{key} {kind}, width int, shingle string", make)
+    return per_batch(asked, f"item {kind}, width int, hits long, probe long", make)
 
 
-def _by_join(docs: DataFrame, items: DataFrame, size: int, threshold: float) -> DataFrame:
-    """The same search where the items are too many for every task: sketches and verification as joins.
-
-    Each text is known by doc_id and its hash, each item by item_id and its.
-    """
-    spark = docs.sparkSession
-    keyed = docs.where("text is not null").select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc"), "text").dropDuplicates(["doc"])
-    asked = items.where("text is not null").select(F.struct("item_id", F.xxhash64("text").alias("h")).alias("item"), "text").dropDuplicates(["item"])
-    widths = list(range(1, size + 1))
-    item_kind = asked.schema["item"].dataType.simpleString()
+def _probed(keyed: DataFrame, widths: list[int], bits: np.ndarray) -> DataFrame:
+    """(doc, width, probe): the hashes of each text's runs of these widths that some sketch may hold, by a filter of fixed size."""
+    kind, sent = keyed.schema["doc"].dataType.simpleString(), keyed.sparkSession.sparkContext.broadcast(bits)
 
     def make():
+        hashes = Hashes()
+
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            row, width, shingle = [], [], []
+            row, width, probe = [], [], []
             for i, t in enumerate(texts(batch)):
-                words = words_of(t)
-                own = shingles(words, size)
-                row += [i] * len(own)
-                width += [min(size, len(words))] * len(own)
-                shingle += own
-            return pa.RecordBatch.from_arrays([batch.column("item").take(pa.array(row, pa.int64())), pa.array(width, pa.int32()), pa.array(shingle, pa.string())], names=["item", "width", "shingle"])
+                h = hashes.words(words_of(t))
+                for w in widths:
+                    runs = hashes.runs(h, w)
+                    own = np.unique(runs[sent.value[runs & np.uint64(len(sent.value) - 1)]])
+                    row.append(np.full(len(own), i))
+                    width.append(np.full(len(own), w, np.int32))
+                    probe.append(own.view(np.int64))
+            joined = lambda parts, t: pa.array(np.concatenate([np.zeros(0, t), *parts]).astype(t))
+            return pa.RecordBatch.from_arrays([batch.column("doc").take(joined(row, np.int64)), joined(width, np.int32), joined(probe, np.int64)], names=["doc", "width", "probe"])
 
         return one
 
-    item_rows, item_path = durable(per_batch(asked, f"item {item_kind}, width int, shingle string", make), "items-shingles")
-    sizes = item_rows.groupBy("item").agg(F.count("*").alias("n"))
-    share = F.lit(threshold)
-    missed = lambda n: n - F.ceil(share * n - 1e-9)
-    largest = F.pow(F.lit(2), F.floor(F.log2("n")) + 1) - 1
-    sized = sizes.select("item", "n", missed(F.col("n")).alias("miss"), F.least("n", missed(largest) + 1).cast("long").alias("sketch"))
-    ranked = item_rows.join(sized, "item").groupBy("item", "n", "miss", "sketch").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("shingle").alias("hash"), "width", "shingle"))).alias("s"))
-    probes = ranked.select("item", "n", "miss", "sketch", F.explode(F.slice("s", F.lit(1), F.col("sketch").cast("int"))).alias("p")).select("item", "n", "miss", "sketch", "p.width", "p.shingle")
-    doc_rows, doc_path = durable(_shingle_rows(keyed, "doc", widths), "documents-shingles")
-    hits = doc_rows.join(probes, ["width", "shingle"]).groupBy("doc", "item", "n", "miss", "sketch").count().where(F.col("count") >= F.col("sketch") - F.col("miss"))
-    wanted = hits.select("doc", "item", "n", "miss").join(item_rows, "item")
-    shared = doc_rows.join(wanted, ["doc", "width", "shingle"]).groupBy("doc", "item", "n", "miss").agg(F.count("*").alias("n_shared")).where(F.col("n_shared") >= F.col("n") - F.col("miss"))
-    out, _ = durable(shared.select("doc.doc_id", "item.item_id", F.col("n").alias("n_shingles"), "n_shared"), "contained")
-    discard(spark, item_path, doc_path)
+    return per_batch(keyed, f"doc {kind}, width int, probe long", make)
+
+
+def _verified(rows: DataFrame, size: int, threshold: float) -> DataFrame:
+    """rows: (doc, text, items: array of item, text). Pairs of which the text has enough of the item's shingles, word by word."""
+    kinds = {"doc": rows.schema["doc"].dataType, "item": rows.schema["items"].dataType.elementType["item"].dataType}
+
+    def work(batches):
+        for b in slices(batches, 100):
+            docs, item, n, shared = [], [], [], []
+            for i, (t, asked) in enumerate(zip(texts(b), b.column("items").to_pylist(), strict=True)):
+                words, own = words_of(t), {}
+                for x in asked:
+                    wanted = set(shingles(words_of(x["text"]), size))
+                    width = len(next(iter(wanted)).split(" "))
+                    if width not in own:
+                        own[width] = {" ".join(words[k : k + width]) for k in range(len(words) - width + 1)}
+                    held = len(wanted & own[width])
+                    if held >= len(wanted) - missable(len(wanted), threshold):
+                        docs.append(i)
+                        item.append(x["item"])
+                        n.append(len(wanted))
+                        shared.append(held)
+            item_type = b.schema.field("items").type.value_type.field("item").type
+            yield pa.RecordBatch.from_arrays([b.column("doc").take(pa.array(docs, pa.int64())), pa.array(item, item_type), pa.array(n, pa.int64()), pa.array(shared, pa.int64())], names=["doc", "item", "n_shingles", "n_shared"])
+
+    return arrow_task(rows, work, f"doc {kinds['doc'].simpleString()}, item {kinds['item'].simpleString()}, n_shingles long, n_shared long")
+
+
+#: Bits of the filter of sketch hashes; parts into which the candidates of one document are dealt.
+FILTER_BITS, PARTS = 1 << 25, 64
+
+
+def _by_join(docs: DataFrame, items: DataFrame, size: int, threshold: float) -> DataFrame:
+    """The same search where the items are too many for every task: sketches meet documents by a join on 64-bit hashes.
+
+    Of the documents only hashes that a filter of the sketches lets through are
+    shuffled; texts go to the pairs that have enough hits, where the shingles
+    themselves are compared. Each text is known by doc_id and its hash, each
+    item by item_id and its.
+    """
+    keyed = docs.where("text is not null").select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc"), "text").dropDuplicates(["doc"])
+    asked = items.where("text is not null").select(F.struct("item_id", F.xxhash64("text").alias("h")).alias("item"), "text").dropDuplicates(["item"])
+    spark = docs.sparkSession
+    probes, probes_path = durable(_probes(asked, size, threshold), "items-probes")
+    at = F.col("probe").bitwiseAND(FILTER_BITS - 1)
+    ones = probes.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, int((probe & {FILTER_BITS - 1}) % 64))")).alias("ones"))
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in ones.toLocalIterator():
+        table[r["word"]] = r["ones"]
+    widths = sorted(r["width"] for r in probes.select("width").distinct().collect())  # size of them at most
+    bits = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    hits = _probed(keyed, widths, bits).join(probes, ["width", "probe"]).groupBy("doc", "item", "hits").count().where(F.col("count") >= F.col("hits"))
+    part = F.pmod(F.xxhash64("item"), F.lit(PARTS)).alias("part")
+    with_text = hits.select("doc", "item").join(asked.withColumnRenamed("text", "said"), "item").select("doc", part, F.struct("item", F.col("said").alias("text")).alias("x"))
+    grouped = with_text.groupBy("doc", "part").agg(F.collect_list("x").alias("items")).drop("part")
+    shared = _verified(grouped.join(keyed, "doc"), size, threshold)
+    out, _ = durable(shared.select("doc.doc_id", "item.item_id", "n_shingles", "n_shared"), "contained")
+    discard(spark, probes_path)
     return out
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of docs, with all their columns, that contain no item. A null doc_id is judged by its own text."""
+    """The rows of docs, with all their columns, that contain no item.
+
+    Null and empty texts contain none and stay; a null doc_id is judged by its
+    own text; repeated rows go or stay together; without items all stay; an
+    empty table gives no rows.
+    """
     if not fits(items):
         rows = docs.select(F.struct(*docs.columns).alias("row"), F.struct("doc_id", F.xxhash64("text").alias("h")).alias("key"))
         bad = _by_join(rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), items, size, threshold).select(F.col("doc_id").alias("key")).distinct()
