@@ -34,6 +34,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
+#: Paths this driver has written and not deleted.
+_written: list[str] = []
+
+
 def durable(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df to the shared checkpoint folder and read it back: lineage ends there, and a lost executor costs no recomputation.
 
@@ -41,6 +45,7 @@ def durable(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -52,6 +57,23 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for p in paths:
         at = jvm.org.apache.hadoop.fs.Path(p)
         at.getFileSystem(conf).delete(at, True)
+        if p in _written:
+            _written.remove(p)
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[set[str]]:
+    """Delete the intermediate tables written inside, but for those whose paths are put in the set it gives."""
+    before, kept = len(_written), set()
+    try:
+        yield kept
+    finally:
+        discard(spark, *[p for p in _written[before:] if p not in kept])
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this driver, once no result of the operators is read any more."""
+    discard(spark, *list(_written))
 
 
 @contextmanager

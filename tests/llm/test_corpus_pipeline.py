@@ -165,3 +165,12 @@ def test_every_stage_equals_brute_force(spark, made):
     # and all of it in one go
     whole = sorted((repr(r["doc_id"]), list(r["ids"])) for r in corpus_pipeline.run(spark, made).collect())
     assert whole == [(d, i) for d, i, _ in got]
+
+
+def test_nothing_is_left_but_the_last_stage(spark, made):
+    from halyard.llm import common
+
+    common.clear(spark)
+    assert corpus_pipeline.run(spark, made).count() > 0 and len(common._written) == 1
+    common.clear(spark)
+    assert common._written == []
