@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.llm import decontaminate, line_templates, quality, simhash, trie_bpe
-from halyard.llm.common import durable, table
+from halyard.llm.common import cleared, discard, durable, table
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +79,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages on documents. What a stage has written is deleted once its rows stand, and its rows once the next stage's do."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = durable(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        with cleared(spark) as kept:
+            docs, path = durable(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+            kept.add(path)
+        if before:
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

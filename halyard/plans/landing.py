@@ -148,14 +148,14 @@ def series_flatten(spark, d):
     return payloads.flatten_series(p, {"air_temperature": "air_temperature", "rain": "precipitation"}, run_time(), 3)
 
 
-@plans.add("""WITH m AS (SELECT s_suppkey, s_nationkey, unnest(range(31)) AS dd FROM supplier WHERE s_nationkey < 12), c AS (SELECT try_cast(strftime(DATE '2026-01-01' + to_months(CAST(s_nationkey AS INTEGER)), '%Y-%m-') || lpad((dd + 1)::VARCHAR, 2, '0') AS DATE) AS date, s_suppkey % 130 AS c FROM m)
+@plans.add("""WITH m AS (SELECT s_suppkey, s_nationkey, unnest(range(31)) AS dd FROM supplier), c AS (SELECT try_cast(strftime(DATE '2026-01-01' + to_months(CAST(s_nationkey AS INTEGER)), '%Y-%m-') || lpad((dd + 1)::VARCHAR, 2, '0') AS DATE) AS date, s_suppkey % 130 AS c FROM m)
 SELECT date, max(c)::DOUBLE AS value, count(*) AS n FROM c WHERE date IS NOT NULL AND c BETWEEN 20 AND 120 GROUP BY date""")
 def matrix_flatten(spark, d):
-    """Coefficients of a year from suppliers: the nation is the month, each day has all its suppliers' numbers.
+    """Coefficients of some years from suppliers: the nation is the month from the first on, each day has all its suppliers' numbers.
 
     A payload is one supplier's month at its place in the matrix, so no row grows with the table.
     """
-    s = table(spark, d, "supplier").where("s_nationkey < 12")
+    s = table(spark, d, "supplier")
     before = F.array_repeat(F.array().cast("array<array<string>>"), F.col("s_nationkey").cast("int"))
     days = F.array_repeat(F.array((F.col("s_suppkey") % 130).cast("string")), 31)
     each = s.select(F.to_json(F.concat(before, F.array(days))).alias("payload"))

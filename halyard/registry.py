@@ -58,15 +58,30 @@ VELOCITIES = ("wind_speed", "wind_gusts", "current_speed")
 
 # Alert condition types that name a forecast column directly.
 CONDITION_COLUMNS = {
-    **{m: COLUMN[m] for m in (
-        "air_temperature", "chlorophyll", "cloud_cover", "cloud_cover_low", "current_direction", "current_speed", "dew_point",
-        "precipitation", "pressure_msl", "relative_humidity", "salinity", "water_temperature", "wave_direction", "wave_height",
-        "wave_period", "weather_visibility", "wind_direction", "wind_gusts", "wind_speed")},
+    "air_temperature": "air_temperature_c",
+    "chlorophyll": "chlorophyll_mg_m3",
+    "cloud_cover": "cloud_cover_pct",
+    "cloud_cover_low": "cloud_cover_low_pct",
+    "current_direction": "current_direction_deg",
+    "current_speed": "current_speed_ms",
+    "dew_point": "dew_point_c",
+    "precipitation": "precipitation_mm",
+    "pressure_msl": "pressure_msl_hpa",
+    "relative_humidity": "relative_humidity_pct",
+    "salinity": "salinity_psu",
+    "water_temperature": "water_temperature_c",
+    "wave_direction": "wave_direction_deg",
+    "wave_height": "wave_height_m",
+    "wave_period": "wave_period_s",
+    "weather_visibility": "weather_visibility_m",
+    "wind_direction": "wind_direction_deg",
+    "wind_gusts": "wind_gusts_ms",
+    "wind_speed": "wind_speed_ms",
     "secondary_swell_height": "secondary_swell_wave_height_m",
     "secondary_swell_period": "secondary_swell_wave_period_s",
     "swell_height": "swell_wave_height_m",
     "swell_period": "swell_wave_period_s",
-}
+}
 DERIVED_CONDITIONS, UNFORECASTABLE_CONDITIONS = ("condition_score",), ("visibility",)
 # Labels, without accents and lower-cased, of other condition types.
 LABEL_COLUMNS = {
@@ -101,12 +116,31 @@ LABEL_COLUMNS = {
     "risque bloom algal": "algal_bloom_risk",
     "bloom algal": "algal_bloom_risk",
     "efflorescence planctonique": "algal_bloom_risk",
-    **{m: COLUMN[m] for m in (
-        "water_temperature", "air_temperature", "relative_humidity", "dew_point", "wave_height", "wave_period", "swell_wave_height",
-        "swell_wave_period", "wind_speed", "wind_gusts", "precipitation", "cloud_cover", "cloud_cover_low", "cloud_cover_mid",
-        "cloud_cover_high", "weather_visibility", "tide_coefficient", "current_speed", "salinity", "chlorophyll",
-        "phytoplankton_carbon", "net_primary_production", "euphotic_depth", "algal_bloom_risk")},
-}
+    "water_temperature": "water_temperature_c",
+    "air_temperature": "air_temperature_c",
+    "relative_humidity": "relative_humidity_pct",
+    "dew_point": "dew_point_c",
+    "wave_height": "wave_height_m",
+    "wave_period": "wave_period_s",
+    "swell_wave_height": "swell_wave_height_m",
+    "swell_wave_period": "swell_wave_period_s",
+    "wind_speed": "wind_speed_ms",
+    "wind_gusts": "wind_gusts_ms",
+    "precipitation": "precipitation_mm",
+    "cloud_cover": "cloud_cover_pct",
+    "cloud_cover_low": "cloud_cover_low_pct",
+    "cloud_cover_mid": "cloud_cover_mid_pct",
+    "cloud_cover_high": "cloud_cover_high_pct",
+    "weather_visibility": "weather_visibility_m",
+    "tide_coefficient": "tide_coefficient",
+    "current_speed": "current_speed_ms",
+    "salinity": "salinity_psu",
+    "chlorophyll": "chlorophyll_mg_m3",
+    "phytoplankton_carbon": "phytoplankton_carbon_mmol_m3",
+    "net_primary_production": "net_primary_production_mg_m3_day",
+    "euphotic_depth": "euphotic_depth_m",
+    "algal_bloom_risk": "algal_bloom_risk",
+}
 # Penalties of the marine score: column -> (value of the full penalty, full penalty).
 SCORE_PENALTIES = {
     "wave_height_m": (2.5, 35.0),
