@@ -7,10 +7,15 @@ finds the lowest-rank adjacent pair of each pre-token and merges all its
 places at once; pre-tokens without a pair left leave the arrays. What
 survives is counted: one for a piece, the UTF-8 length for a character that
 falls back to bytes.
+
+A very long pre-token would pass through the arrays once for every rank it has.
+Its places are kept by rank instead, in arrays linked to their neighbours: each
+round takes the lowest rank's places alone and merges them all at once.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from functools import lru_cache
 
@@ -23,6 +28,8 @@ from halyard.llm.common import per_batch, texts, with_columns
 #: Distinct pre-tokens a worker remembers before it starts over, and that are merged together.
 CACHE_WORDS, MERGE_WORDS = 300_000, 50_000
 SPACE = "▁"
+#: Characters of a pre-token that is merged by itself.
+LONG_WORD = 2_000
 
 
 class PieceTable:
@@ -57,8 +64,69 @@ class PieceTable:
     def pre_tokens(self, text: str) -> list[str]:
         return self.pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of pairs of symbols; n where they are no pair."""
+        key = left * self.n + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((left >= 0) & (right >= 0) & (self.pair_keys[at] == key), self.pair_ranks[at], self.n)
+
+    def count_long(self, word: str) -> int:
+        """Tokens of one word, by rounds over the places of the lowest rank."""
+        chars, back = np.unique(np.frombuffer(word.encode("utf-32-le"), np.uint32), return_inverse=True)
+        sym = np.array([self.rank.get(chr(c), -len(chr(c).encode())) for c in chars.tolist()], np.int64)[back]
+        size = len(sym)
+        after, before, there = np.arange(1, size + 1), np.arange(-1, size - 1), np.ones(size + 1, bool)  # place size: none
+        there[size] = False
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def ranked(at: np.ndarray) -> np.ndarray:
+            at_end = after[at] == size
+            return np.where(at_end, self.n, self.ranks(sym[at], sym[np.where(at_end, at, after[at])]))
+
+        def wait(at: np.ndarray) -> None:
+            rank = ranked(at)
+            at, rank = at[rank < self.n], rank[rank < self.n]
+            if not len(at):
+                return
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            first = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]])
+            for a, b, r in zip(first.tolist(), [*first[1:].tolist(), len(at)], rank[first].tolist(), strict=True):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(heap, r)
+                waiting[r].append(at[a:b])
+
+        wait(np.arange(size))
+        while heap:
+            r = heapq.heappop(heap)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[there[at]]
+            at = at[ranked(at) == r]
+            if not len(at):
+                continue
+            # overlapping places of one pair (aaa): every second of a run, from its left end
+            joined = np.r_[False, after[at[:-1]] == at[1:]]
+            index = np.arange(len(at))
+            left = at[(index - np.maximum.accumulate(np.where(joined, 0, index))) % 2 == 0]
+            right = after[left]
+            beyond = after[right]
+            sym[left], there[right], after[left] = r, False, beyond
+            inner = beyond < size
+            before[beyond[inner]] = left[inner]
+            wait(np.unique(np.concatenate([left, before[left][before[left] >= 0]])))
+        rest = sym[there[:size]]
+        return int(np.where(rest >= 0, 1, -rest).sum())
+
     def counts(self, words: list[str]) -> np.ndarray:
         """Tokens of each word."""
+        long = np.array([len(w) > LONG_WORD for w in words], bool)
+        if long.any():
+            out = np.zeros(len(words), np.int64)
+            out[long] = [self.count_long(w) for w in words if len(w) > LONG_WORD]
+            out[~long] = self.counts([w for w in words if len(w) <= LONG_WORD])
+            return out
         sizes = np.array([len(w) for w in words], np.int64)
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         distinct, back = np.unique(chars, return_inverse=True)

@@ -38,6 +38,18 @@ def test_token_counts_equal_the_library():
     assert token_counts.counter(PIECES)(own) == [len(x) for x in model.encode(own)]
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "the", "abcdefghijklmnopqrstuvwxyz", "你好是的一a😀é\x85"])
+def test_long_pre_tokens_are_counted_as_the_library_does(letters, monkeypatch):
+    import sentencepiece
+
+    rng, model = random.Random(41), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    own = ["".join(rng.choice(letters) for _ in range(n)) for n in (2001, 2500, 9000)]
+    assert token_counts.counter(PIECES)(own) == [len(x) for x in model.encode(own)]
+    monkeypatch.setattr(token_counts, "LONG_WORD", 1)
+    short = ["".join(rng.choice(letters) for _ in range(n)) for n in range(2, 90)]
+    assert [token_counts.piece_table(PIECES).count_long("▁" + x) for x in short] == [len(x) for x in model.encode(short)]
+
+
 def test_token_counts_of_every_case(spark):
     got = token_counts.count_tokens(cases(spark), PIECES, limit=20).collect()
     assert len(got) == len(CASES)
