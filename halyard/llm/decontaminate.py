@@ -225,7 +225,8 @@ def _probed(keyed: DataFrame, widths: list[int], bits: np.ndarray) -> DataFrame:
                 h = hashes.words(words_of(t))
                 for w in widths:
                     runs = hashes.runs(h, w)
-                    own = np.unique(runs[sent.value[runs & np.uint64(len(sent.value) - 1)]])
+                    at = (runs & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                    own = np.unique(runs[sent.value[at >> 6] >> (at & 63) & 1 == 1])
                     row.append(np.full(len(own), i))
                     width.append(np.full(len(own), w, np.int32))
                     probe.append(own.view(np.int64))
@@ -285,8 +286,7 @@ def _by_join(docs: DataFrame, items: DataFrame, size: int, threshold: float) ->
     for r in ones.toLocalIterator():
         table[r["word"]] = r["ones"]
     widths = sorted(r["width"] for r in probes.select("width").distinct().collect())  # size of them at most
-    bits = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
-    hits = _probed(keyed, widths, bits).join(probes, ["width", "probe"]).groupBy("doc", "item", "hits").count().where(F.col("count") >= F.col("hits"))
+    hits = _probed(keyed, widths, table).join(probes, ["width", "probe"]).groupBy("doc", "item", "hits").count().where(F.col("count") >= F.col("hits"))
     part = F.pmod(F.xxhash64("item"), F.lit(PARTS)).alias("part")
     with_text = hits.select("doc", "item").join(asked.withColumnRenamed("text", "said"), "item").select("doc", part, F.struct("item", F.col("said").alias("text")).alias("x"))
     grouped = with_text.groupBy("doc", "part").agg(F.collect_list("x").alias("items")).drop("part")

@@ -448,12 +448,12 @@ def test_scores_equal_a_slow_fit_end_to_end(spark):
     docs, labels, truth = quality_tables(spark)
     model, find = quality.train(docs, labels), quality.Indicators()
     rows = sorted((r["doc_id"], find(r["text"])) for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5)
-    x = np.zeros((len(rows), quality.BUCKETS), np.float32)
+    used = np.array(sorted({b for _, f in rows for b in f.tolist() if model.scale[b]}))
+    x = np.zeros((len(rows), len(used) + 1))
     for i, (_, f) in enumerate(rows):
-        x[i, f] = model.scale[f]
+        x[i, :-1] = np.where(np.isin(used, f), model.scale[used], 0)
         x[i] /= max(1e-12, np.linalg.norm(x[i]))
-    used = np.flatnonzero(np.abs(x).sum(axis=0))
-    x = np.hstack([x[:, used], np.ones((len(rows), 1), np.float32)]).astype(float)
+    x[:, -1] = 1
     y = np.array([2.0 * truth[d] - 1 for d, _ in rows])
     w, mean, best = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.inf
     for t in range(1, 4001):
