@@ -26,8 +26,8 @@ from halyard.llm.common import arrow_task, discard, durable, per_batch, slices,
 BUCKETS = 1 << 18
 #: Bounds of the sample the hinge-loss model is fitted on, rows and their indicators together; counts cover all rows.
 FIT_ROWS, FIT_INDICATORS = 12_000, 24_000_000
-#: Bits of the filter of labelled ids.
-FILTER_BITS = 1 << 22
+#: Bits of the filter of labelled ids: at least, for each label, and at most (16 MB, sent to every task).
+FILTER_BITS, BITS_A_LABEL, MOST_BITS = 1 << 22, 16, 1 << 27
 WORD = re.compile(r"\S+")
 CACHE_WORDS = 150_000
 
@@ -89,14 +89,19 @@ def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A table of bits with a one where some key hashes to: what has none is no key. Its size is fixed."""
+def filter_bits(keys: int) -> int:
+    """A power of two that grows with the keys, within bounds; with more keys than it has room for, the filter only lets more through."""
+    return min(MOST_BITS, max(FILTER_BITS, 1 << (BITS_A_LABEL * keys - 1).bit_length()))
+
+
+def key_filter(keys: DataFrame, key: str, bits: int) -> np.ndarray:
+    """A table of bits, 64 a number, with a one where some key hashes to: what has none is no key."""
     at = F.pmod(F.xxhash64(key), F.lit(bits))
     words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at % 64))")).alias("ones"))
+    got = words.toArrow()
     out = np.zeros(bits // 64, np.int64)
-    for r in words.toLocalIterator():
-        out[r["word"]] = r["ones"]
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+    out[got["word"].to_numpy()] = got["ones"].to_numpy()
+    return out
 
 
 def ragged(rows: list[np.ndarray]) -> pa.ListArray:
@@ -107,13 +112,14 @@ def ragged(rows: list[np.ndarray]) -> pa.ListArray:
 def indicator_rows(docs: DataFrame, maybe: np.ndarray) -> DataFrame:
     """(doc_id, f): the bucket numbers of each text whose id is in the filter maybe."""
     sent = docs.sparkSession.sparkContext.broadcast(maybe)
-    slim = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(len(maybe))).cast("int").alias("at"))
+    slim = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(64 * len(maybe))).alias("at"))
 
     def make():
         find = Indicators()
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            b = batch.filter(pa.array(sent.value[batch.column("at").to_numpy()]))
+            at = batch.column("at").to_numpy()
+            b = batch.filter(pa.array(sent.value[at >> 6] >> (at & 63) & 1 == 1))
             return with_columns(b, ["doc_id"], f=ragged([find(t) for t in texts(b)]))
 
         return one
@@ -205,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     spark = docs.sparkSession
     y, y_path = durable(y.where(~held_out()), "quality-labels")
     # texts without a label stay where they are; of the others only the indicators move, by the same plan at any size
-    rows = indicator_rows(docs.where(~held_out()), key_filter(y, "doc_id")).join(y.hint("merge"), "doc_id")
+    rows = indicator_rows(docs.where(~held_out()), key_filter(y, "doc_id", filter_bits(y.count()))).join(y.hint("merge"), "doc_id")
     rows, path = durable(rows, "quality-rows")
     sizes = {r["y"]: (r["n"], r["f"]) for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.size("f")).alias("f")).collect()}
     (n0, f0), (n1, f1) = sizes.get(0, (0, 0)), sizes.get(1, (0, 0))

@@ -428,6 +428,14 @@ def quality_tables(spark):
     return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), {i: q for i, q, _ in labels}
 
 
+def test_the_filter_of_labels_loses_none(spark):
+    assert [quality.filter_bits(n) for n in (0, 1000, 1 << 20, 1 << 40)] == [1 << 22, 1 << 22, 1 << 24, 1 << 27]
+    rows = spark.range(0, 900).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.lit("a b").alias("text"))
+    labelled = rows.where("doc_id % 3 = 0")
+    kept = {r["doc_id"] for r in quality.indicator_rows(rows, quality.key_filter(labelled, "doc_id", 1 << 22)).collect()}
+    assert {r["doc_id"] for r in labelled.collect()} <= kept and len(kept) < 320
+
+
 def test_class_ratios_equal_a_direct_count(spark):
     docs, labels, truth = quality_tables(spark)
     model = quality.train(docs, labels)
