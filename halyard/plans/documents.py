@@ -158,9 +158,11 @@ def scalar_parse(spark, d):
     )
 
 
-@plans.add(r"SELECT url AS src_url, 'http://x.example/' || page_id || '/a&b' AS dst_url FROM pages")
+@plans.add(r"""SELECT url AS src_url, regexp_replace('http://x.example' || h || '?a&b', '#.*$', '') AS dst_url FROM (SELECT url, unnest(regexp_extract_all(html, '<a href="([^"]+)">', 1)) AS h FROM pages)""")
 def sitemap_links(spark, d):
-    xml = F.concat(F.lit("<urlset><url><loc> http://x.example/"), F.col("page_id").cast("string"), F.lit("/a&amp;b#top </loc></url></urlset>"))
+    """Each page's links as a sitemap."""
+    locs = F.transform(F.regexp_extract_all("html", F.lit('<a href="([^"]+)">'), F.lit(1)), lambda h: F.concat(F.lit("<url><loc> http://x.example"), h, F.lit("?a&amp;b#top </loc></url>")))
+    xml = F.concat(F.lit("<urlset>"), F.array_join(locs, ""), F.lit("</urlset>"))
     return pages.sitemap_links(table(spark, d, "pages").select("url", xml.alias("xml"))).select("src_url", "dst_url")
 
 
