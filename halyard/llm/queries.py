@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import chat_format, decontaminate, license_scan, line_templates, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
+from halyard.llm import chat_format, conversation_repair, decontaminate, license_scan, line_templates, media, pivot_search, quality, simhash, suffix_dedup, token_counts, trie_bpe, whitening
 from halyard.llm.common import table
 
 
@@ -161,6 +161,106 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return pivot_search.search(pivot_search.build(rows), rows.where("vec_id % 20 = 0"), 20)
+
+
+OP11_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = conversation_repair.repair(conversation_repair.damage(rows))
+    digests = conversation_repair.digests(fixed.slices)
+    every, counts = rows.select("conv_id").distinct().alias("i"), ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    joined = every.join(fixed.conversations.alias("c"), F.expr("i.conv_id <=> c.conv_id"), "left").join(digests.alias("d"), F.expr("i.conv_id <=> d.conv_id"), "left")
+    return joined.select(
+        "i.conv_id",
+        *[F.coalesce(f"c.{c}", F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("d.audit", F.lit("")).alias("audit"),
+        F.coalesce("d.repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def _op12_sql() -> str:
+    """The cheapest edits by a walk over the turns that carries, for each state, cost, audit and text of the best way there.
+
+    A way is a list (cost and audit, text); lists compare as repairs do. Costs have eight digits.
+    """
+
+    def step(way: str, cost: int, letter: str, line: str = "") -> str:
+        added = f", {way}[2] || {line}" if line else f", {way}[2]"
+        return f"CASE WHEN {way} IS NOT NULL THEN [lpad((substr({way}[1], 1, 8)::BIGINT + {cost})::VARCHAR, 8, '0') || substr({way}[1], 9) || '{letter}'{added}] END"
+
+    user, helper = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    stays = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+
+    def kept(way: str, cost: int, letter: str, line: str, only: str) -> str:
+        return f"CASE WHEN fault NOT IN ('blank', 'duplicate') AND {only} THEN {step(way, f'{cost} + {stays}', letter, line)} END"
+
+    own = "chr(10) || role || ':' || text"
+    return rf"""
+WITH RECURSIVE spaced AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), summed AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT)), lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 20 AS kind FROM spaced
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS time FROM summed WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS n FROM hurt
+), told AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE 'sound' END AS fault,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS before, count(*) OVER (PARTITION BY conv_id) AS of FROM placed
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (n > 1 AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM told GROUP BY conv_id
+), walked AS (
+  SELECT conv_id, 0::BIGINT AS n, ['00000000', ''] AS v0, NULL::VARCHAR[] AS v1, NULL::VARCHAR[] AS v2, NULL::VARCHAR[] AS v3, any_value(of) AS of FROM told GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, n, {step("w0", 2, "D")}, least({step("w1", 2, "D")}, {kept("w0", 0, "K", own, "left(role, 1) = 's'")}),
+    least({step("w2", 2, "D")}, {kept("u", 0, "K", own, "left(role, 1) = 'u'")}, {kept("u", 1, "R", user + " || text", "true")}),
+    least({step("w3", 2, "D")}, {kept("w2", 0, "K", own, "left(role, 1) = 'a'")}, {kept("w2", 1, "R", helper + " || text", "true")}), of
+  FROM (
+    SELECT *, least(w0, w1, w3) AS u FROM (
+      SELECT *, least(v3, {step("w2", 5, "I", helper)}) AS w3 FROM (
+        SELECT t.conv_id, t.n, t.role, t.text, t.fault, w.of, v0 AS w0, v1 AS w1, v3, least(v2, {step("v0", 5, "I", user)}, {step("v1", 5, "I", user)}, {step("v3", 5, "I", user)}) AS w2
+        FROM walked w JOIN told t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.n + 1
+      )
+    )
+  )
+), last AS (
+  SELECT conv_id, least(v0, v3, {step("v2", 5, "I", helper)}, {step("(" + step("v1", 5, "I", user) + ")", 5, "I", helper)}) AS way FROM walked WHERE n = of
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(substr(way[1], 1, 8)::BIGINT, 0) AS cost, coalesce(substr(way[1], 9), '') AS audit, sha256(coalesce(substr(way[2], 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN last l ON l.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "one")
+    return white.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "one.whitened", "one.explained", "identity_error"
+    )
+
+
 QUERIES = {
     "op1_line_templates": op1_line_templates,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -172,10 +272,15 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_trie_bpe": op10_trie_bpe,
+    "op11_pivot_search": op11_pivot_search,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_templates": OP1_SQL,
     "op4_chat_format": OP4_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op11_pivot_search": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
 }
