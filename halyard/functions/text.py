@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-def _decomposed() -> tuple[str, str]:
-    """Characters of the basic plane that are one other character and marks, and those others: by Unicode's canonical decomposition."""
-    pairs = []
-    for code in range(0x80, 0x10000):
-        parts = unicodedata.normalize("NFD", chr(code))
-        bare = [c for c in parts if not unicodedata.combining(c)]
-        if parts != chr(code) and len(bare) == 1:
-            pairs.append((chr(code), bare[0]))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
+def _decomposed(form: str) -> dict[str, str]:
+    """Characters of the basic plane that are others and marks, and those others: by a decomposition of Unicode."""
+    pairs = {}
+    for code in [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xF900, 0x10000)]:  # not Hangul, which has no marks
+        parts = unicodedata.normalize(form, chr(code))
+        bare = "".join(c for c in parts if not unicodedata.combining(c))
+        if parts != chr(code) and bare:
+            pairs[chr(code)] = bare
+    return pairs
 
-MARKED, PLAIN = _decomposed()
+
+CANONICAL, COMPATIBLE = _decomposed("NFD"), _decomposed("NFKD")
+#: Characters that are one other and marks, those others, and of these pairs those whose other is ASCII.
+MARKED, PLAIN = ("".join(x) for x in zip(*[(a, b) for a, b in CANONICAL.items() if len(b) == 1]))
+MARKED_ASCII, ASCII = ("".join(x) for x in zip(*[(a, b) for a, b in zip(MARKED, PLAIN) if b < "\x80"]))
+
+#: White space as Unicode text has it, the no-break and the ideographic space among it.
+SPACE = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -30,7 +37,13 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def normalize_spaces(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    """Runs of white space, of whatever kind, as one space; none at the ends."""
+    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
+
+
+def strip_spaces(c: Column) -> Column:
+    """Without white space, of whatever kind, at the ends."""
+    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
 
 
 def strip_accents(c: Column) -> Column:
@@ -38,6 +51,11 @@ def strip_accents(c: Column) -> Column:
     return F.regexp_replace(F.translate(c, MARKED, PLAIN), r"[\u0300-\u036F]", "")
 
 
+def ascii_only(c: Column) -> Column:
+    """Without accents, and without what is then not ASCII. Texts that are ASCII, the most by far, are only looked at."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(c, MARKED_ASCII, ASCII), r"[^\x00-\x7F]", "")).otherwise(c)
+
+
 def folded(word: str) -> str:
     """fold_text of a word at hand."""
     plain = unicodedata.normalize("NFD", word).encode("ascii", "ignore").decode()
@@ -46,17 +64,19 @@ def folded(word: str) -> str:
 
 def fold_text(c: Column) -> Column:
     """Without accents, ASCII only, single spaces, lower case. Other characters, the curly apostrophe too, vanish."""
-    return F.lower(normalize_spaces(F.regexp_replace(strip_accents(c), r"[^\x00-\x7F]", "")))
+    return F.lower(normalize_spaces(ascii_only(c)))
 
 
 def normalize_label(c: Column) -> Column:
-    """Without accents, lower case, trimmed; other characters stay."""
-    return F.trim(F.lower(strip_accents(c)))
+    """Compatibility forms as what they stand for (ligatures, superscripts, wide letters), no marks, lower case, trimmed; other characters stay."""
+    single = F.translate(c, *["".join(x) for x in zip(*[(a, b) for a, b in COMPATIBLE.items() if len(b) == 1])])
+    several = constant({a: b for a, b in COMPATIBLE.items() if len(b) > 1}, "map<string,string>")
+    plain = F.array_join(F.transform(F.split(single, ""), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
+    return strip_spaces(F.lower(F.regexp_replace(plain, r"\p{Mn}", "")))
 
 
 def slugify(c: Column) -> Column:
-    ascii_only = F.lower(F.regexp_replace(strip_accents(c), r"[^\x00-\x7F]", ""))
-    return F.regexp_replace(F.regexp_replace(ascii_only, "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(ascii_only(c)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
 def short_hash(c: Column, size: int = 10) -> Column:
@@ -71,7 +91,14 @@ def metric_text(c: Column) -> Column:
 
 def contains_any(c: Column, words: tuple[str, ...]) -> Column:
     """Whether c holds one of words, as substrings."""
-    return c.rlike("|".join(map(re.escape, words))) if words else F.lit(False)
+    return reduce(lambda a, w: a | c.contains(w), words[1:], c.contains(words[0])) if words else F.lit(False)
+
+
+def groups_of(c: Column, pattern: str, count: int) -> Column:
+    """The groups of a pattern's first match, as an array, by one look; null without one. A group that took no part is empty."""
+    head = "" if pattern.startswith("^") else r"\A.*?"
+    marked = F.regexp_replace(c, rf"(?s){head}{pattern}.*\z", "\u0001" + "\u0001".join(f"${i + 1}" for i in range(count)))
+    return F.when(marked.startswith("\u0001"), F.slice(F.split(marked, "\u0001"), 2, count))
 
 
 def constant(value: object, kind: str) -> Column:
@@ -102,7 +129,7 @@ def is_iso_date(c: Column) -> Column:
 
 def parse_instant(c: Column) -> Column:
     """An ISO instant with Z, or an offset of hours or hours and minutes; null if it is none."""
-    whole = F.regexp_replace(F.regexp_replace(F.trim(c), "Z$", "+00:00"), r"(T.*[+-]\d{2})$", "$1:00")
+    whole = F.regexp_replace(F.regexp_replace(strip_spaces(c), "Z$", "+00:00"), r"(T.*[+-]\d{2})$", "$1:00")
     return F.try_to_timestamp(whole)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halyard.functions.text import count_words, fold_text, folded, host_allowed, is_official, normalize_spaces, short_hash
+from halyard.functions.text import count_words, fold_text, folded, host_allowed, is_official, normalize_spaces, short_hash, strip_spaces
 from halyard.registry import NEGATIVE_WORDS, RELEVANT_WORDS
 
 
@@ -44,11 +44,11 @@ def links(pages: DataFrame, url: str = "url", content: str = "html") -> DataFram
     found = pages.select(F.col(url).alias("src_url"), F.when(F.size(anchors) > 0, anchors).otherwise(bare).alias("links"))
     each = found.select("src_url", F.posexplode("links").alias("position", "l"))
     label = normalize_spaces(unescape(F.regexp_replace("l.label", r"<[^>]+>", " ")))
-    return each.select("src_url", "position", unescape(F.trim("l.href")).alias("href"), label.alias("label"))
+    return each.select("src_url", "position", unescape(strip_spaces(F.col("l.href"))).alias("href"), label.alias("label"))
 
 
 def canonical_url(c: Column) -> Column:
-    return F.regexp_replace(F.trim(c), "#.*$", "")
+    return F.regexp_replace(strip_spaces(c), "#.*$", "")
 
 
 def resolve(base: Column, href: Column) -> Column:
@@ -111,7 +111,7 @@ def candidates(found: DataFrame, existing: DataFrame, year: int, words: tuple[st
     known = existing.select(canonical_url(F.col("url")).alias("dst_url"), F.lit(True).alias("_known")).distinct()
     scored = found.withColumn("score", candidate_score(url, label, year, words, negative)).join(known, "dst_url", "left")
     stem = F.regexp_replace(F.regexp_replace(F.regexp_extract(path_of(url), r"([^/]*)$", 1), r"(?i)\.(html?|pdf)$", ""), "[-_]+", " ")
-    title = F.coalesce(F.nullif(normalize_spaces(label), F.lit("")), F.nullif(F.trim(stem), F.lit("")), url)
+    title = F.coalesce(F.nullif(normalize_spaces(label), F.lit("")), F.nullif(strip_spaces(stem), F.lit("")), url)
     return scored.select(
         F.concat(F.lit("discovered_"), short_hash(url)).alias("id"), url.alias("url"), title.alias("title"),
         F.when(is_pdf(url), "pdf").otherwise("html+pdf+links").alias("kind"), "score",

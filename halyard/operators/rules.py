@@ -1,4 +1,4 @@
-"""Structured rules from document text; deduplication and enrichment."""
+"""Structured rules: dates, deduplication, order and enrichment."""
 
 from __future__ import annotations
 
@@ -8,282 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from halyard.functions.text import bound, constant, contains_any, fold_text, metric_text, normalize_spaces, parse_number, short_hash, slugify
-from halyard.operators.textmining import (
-    SENSITIVE, all_matches, canonical_name, context_window, declaration_context, find_sentence, first_match, plausible_name, rule_scope, text_lines, text_units, validity,
-)
-from halyard.registry import ALL_ZONES, OTHER_ACTIVITY, RULE_ACTIVITY, RULE_CONSTRAINT, RULE_RANK, SCIENTIFIC, SPECIES, ZONES
-
-# Patterns in folded text. A line begins with a name and perhaps a scientific name (groups 1 and 2); group 3 is the number.
-NAME = r"^([a-z'\-\s]{3,})(?:\s*\(([^)]+)\))?"
-UNITS = r"captures?|specimens?|unites?"
-SIZE_LINES = (rf"{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*cm\b", rf"{NAME}\s+(\d+(?:[\.,]\d+)?)\s*cm\b")
-#: Quotas of lines: pattern, whether in kilograms; that of a table has its unit in group 4 and needs a document that speaks of days.
-QUOTA_LINES = (
-    (rf"{NAME}\s*[:;\-]\s*(\d+)\s*(?:{UNITS})\s*(?:par|/)\s*jour", False),
-    (rf"{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*kg\s*(?:par|/)\s*jour", True),
-    (rf"{NAME}\s*[:;\-]\s*(\d+)\s*(?:{UNITS})\s*(?:max(?:imum)?)?\s*(?:par|/)\s*(?:pecheur|navire)\s*et\s*par\s*jour", False),
-    (rf"{NAME}\s*[:;\-]\s*(\d+(?:[\.,]\d+)?)\s*kg\s*(?:max(?:imum)?)?\s*(?:par|/)\s*(?:pecheur|navire)\s*et\s*par\s*jour", True),
-)
-QUOTA_TABLE = rf"{NAME}(?:\s+[a-z'\-\s]{{0,200}})?\s+(\d+(?:[\.,]\d+)?)\s*(kg|kilogrammes?|{UNITS})\b"
-DAILY = ("par pecheur et par jour", "par navire et par jour")
-EACH = r"par\s+(?:pecheur|navire)\s+et\s+par\s+jour"
-NUMBER = r"(\d+|un|une|deux|trois|quatre|cinq|six|sept|huit|neuf|dix)"
-#: Quotas of running text: pattern, group of the number, group of the name or the name itself, whether in kilograms.
-QUOTA_TEXTS = (
-    (rf"pas plus de\s+{NUMBER}\s+specimens?\s+de\s+([a-z'\-\s]{{3,}}?)\s+(?:ne\s+peuvent|peuvent|sont|doivent|seront|$)[^\.]*?{EACH}", 1, 2, False),
-    (rf"peche\s+(?:sous\s*-\s*marine\s+)?(?:du|de|des)\s+([a-z'\-\s]{{3,}}?)\s+est limitee?\s+a\s+{NUMBER}\s+(?:unites?|specimens?|captures?|individus?)[^\.]*?{EACH}", 2, 1, False),
-    (rf"quantite totale de\s+(\d+(?:[\.,]\d+)?)\s*kg\s+de\s+([a-z'\-\s]{{3,}}?)\s+{EACH}", 1, 2, True),
-    (rf"captures?\s+sont\s+limitees?\s+{EACH}\s+a\s+(\d+(?:[\.,]\d+)?)\s*(?:kg|kilogrammes?)[^\.]*toutes?\s+especes?", 1, "toutes especes marines", True),
-    (r"(\d+|un|une)\s+thon\s+rouge\s+par\s+navire\s+et\s+par\s+jour", 1, "thon rouge", False),
-)
-PERIOD = r"du\s+(\d{1,2}\s*(?:er)?\s+[a-z]+(?:\s+\d{4})?)\s+au\s+(\d{1,2}\s*(?:er)?\s+[a-z]+(?:\s+\d{4})?)"
-BANS = ("interdit", "aucun specimen", "fermeture", "no-kill")
-# What practice rules are about, that they bind, and what does not count; sources that have none.
-PRACTICE = ("engin", "filet", "casier", "palangre", "hamecon", "marquage", "nageoire", "vente", "equipement respiratoire", "bouteille", "lampe", "harpon", "debarquement", "transport")
-BINDING = ("il est interdit", "est interdite", "est interdit", "sont interdit", "est obligatoire", "doit etre", "doivent etre", "sont autorises", "sont autorisees", "est autorise", "est autorisee", "la vente")
-FRAGMENTS = (
-    "signifie pas", "cette liste sera elargie", "reservee a certains engins", "obligation de debarquement", "zones interdites ou dangereuses",
-    "respecter les tailles reglementaires", "engins autorises et tailles minimales", "listent les engins autorises",
-)
-SITE_NOISE = ("cookie", "newsletter", "mentions legales", "contact")
-NO_PRACTICE_SOURCES = ("manuel", "recfishing")
-DECLARED = ("recfishing", "declaration", "enregistrement")
-DECLARATION_TEXT = " figure parmi les especes sensibles soumises a enregistrement et declaration des captures via RecFishing selon la zone applicable."
-# Rules of statutes: name, key, words that stand in one sentence or three.
-STATUTES = (
-    ("age", "spearfishing.fr.min-age.fusil-harpon", ("peche", "sous", "marine", "fusil", "harpon", "moins", "ans")),
-    ("diving", "diving.fr.code-sport.section-a322-71", ("etablissements", "pratique", "plongee", "subaquatique")),
-)
-AGE = r"(?i)moins de\s*(\d+|seize)\s*ans"
-# Clauses of the ministry's pages: what stands in the folded page, title, description.
-CLAUSES = (
-    ("ne pas utiliser d'equipement respiratoire", "Interdiction d'utiliser un equipement respiratoire en peche sous-marine", "Ne pas utiliser d'equipement respiratoire."),
-    ("avoir plus de 16 ans", "Age minimum en peche sous-marine", "Avoir plus de 16 ans et une bonne condition physique."),
-    ("ne pas pratiquer la peche sous-marine la nuit", "Interdiction de la peche sous-marine de nuit", "Ne pas pratiquer la peche sous-marine la nuit."),
-)
-STATUTE_SOURCES, MINISTRY = ("LEGIFRANCE",), "MINISTERE_MER"
-OPERATIONAL_SOURCES = ("DIRM", "MINISTERE_MER", "PREFECTURE_MARITIME", "PREFECTURE_DEPARTEMENTALE", "DATA_GOUV")
-# Of each extractor: type of rule, title (before the species, if it has one), legal reference, notes.
-KINDS = {
-    "size": ("MIN_SIZE", "Taille minimale de capture - ", "Arrete du 26 octobre 2012 modifie (rappels DIRM)", "Extraction automatique depuis document operationnel, validation manuelle requise."),
-    "quota": ("QUOTA", "Quota de capture - ", "Document operationnel DIRM - quotas peche de loisir", "Extraction automatique de quotas, validation manuelle obligatoire."),
-    "closure": ("CLOSURE_PERIOD", "Periode de fermeture - ", "Document operationnel DIRM - restrictions temporelles", "Extraction automatique des periodes de fermeture, validation manuelle obligatoire."),
-    "protected": ("PROTECTED_SPECIES", "Interdiction de capture - ", "Document operationnel DIRM - restrictions par espece", "Extraction automatique des interdictions par espece, validation manuelle obligatoire."),
-    "practice": ("PRACTICE_RULE", "Regle de pratique de peche de loisir", "Document operationnel - pratiques de peche de loisir", "Extraction automatique d'une regle de pratique, validation manuelle recommandee."),
-    "declaration": ("LOCAL_RESTRICTION", "Declaration des captures - ", "Reglement UE 2023/2842 et dispositifs nationaux d'application", "Extraction automatique des obligations declaratives d'especes sensibles."),
-    "clause": ("SPEARFISHING_GENERAL", "", "Page ministerielle peche de loisir en mer", "Source operationnelle ministerielle, verification manuelle recommandee."),
-    "age": ("SPEARFISHING_GENERAL", "Age minimum pour la peche sous-marine au fusil-harpon", "Code rural et de la peche maritime - Article R921-90", "Regle generale issue de Legifrance."),
-    "diving": ("DIVING_GENERAL", "Cadre de securite des etablissements de plongee subaquatique", "Code du sport - Article A322-71", "Regle generale de plongee issue de Legifrance."),
-}
-
-HIT = {"kind": "string", "place": "long", "said": "string", "f": "string", "name": "string", "scientific": "string", "number": "string", "kg": "boolean", "first": "string", "last": "string"}
-_HITS = f"array<struct<{','.join(f'{k}:{v}' for k, v in HIT.items())}>>"
-
-
-def _hit(kind: str, place: Column, said: Column, f: Column, **parts: Column) -> Column:
-    """What an extractor found: where, the words, the same folded, and the parts of it a rule is made of."""
-    given = {"kind": F.lit(kind), "place": place, "said": said, "f": f, **parts}
-    return F.struct(*[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in HIT.items()])
-
-
-def _hits(*options: Column) -> Column:
-    return F.array_compact(F.array(*options))
-
-
-def _line_hits(line: Column, i: Column, daily: Column) -> Column:
-    """Sizes and quotas of one line (said, f); each pattern may find one."""
-    said, f = line["said"], line["f"]
-    place = i.cast("long") * 10
-    part = lambda p, k: F.regexp_extract(f, p, k)
-
-    def found(kind: str, n: int, p: str, kg: Column) -> Column:
-        return F.when(part(p, 1) != "", _hit(kind, place + n, said, f, name=part(p, 1), scientific=F.nullif(normalize_spaces(part(p, 2)), F.lit("")), number=part(p, 3), kg=kg))
-
-    options = [found("size", n, p, F.lit(False)) for n, p in enumerate(SIZE_LINES)]
-    options += [found("quota", n, p, F.lit(kg)) for n, (p, kg) in enumerate(QUOTA_LINES)]
-    options.append(F.when(daily | f.contains("par jour"), found("quota", len(QUOTA_LINES), QUOTA_TABLE, part(QUOTA_TABLE, 4).contains("kg"))))
-    return F.when(f.rlike("[0-9]"), _hits(*options)).otherwise(F.array().cast(_HITS))
-
-
-def _text_hits(flat: Column) -> Column:
-    """Quotas of running text, each with up to 220 characters before and after it."""
-    total = lambda parts: F.aggregate(parts, F.lit(0), lambda a, x: a + F.length(x))
-
-    def of_pattern(n: int, pattern: str, number: int, name: int | str, kg: bool) -> Column:
-        def hits(own: Column) -> Column:
-            def one(hit: Column, i: Column) -> Column:
-                start = total(F.slice(own["between"], F.lit(1), i + 1)) + total(F.slice(own["found"], F.lit(1), i))
-                around = bound(start, lambda at: F.substr(flat, F.greatest(at - 220, F.lit(0)) + 1, at + F.length(hit) + 220 - F.greatest(at - 220, F.lit(0))))
-                named = F.lit(name) if isinstance(name, str) else F.regexp_extract(hit, pattern, name)
-                return bound(around, lambda said: _hit("quota", F.lit((n + 1) << 40) + i, normalize_spaces(said), said, name=named, number=F.regexp_extract(hit, pattern, number), kg=F.lit(kg)))
-
-            return F.transform(own["found"], one)
-
-        return bound(F.struct(F.regexp_extract_all(flat, F.lit(pattern), F.lit(0)).alias("found"), F.split(flat, pattern).alias("between")), hits)
-
-    return F.flatten(F.array(*[of_pattern(n, *q) for n, q in enumerate(QUOTA_TEXTS)]))
-
-
-def _sentence_hits(u: Column, i: Column) -> Column:
-    """Closed seasons: a sentence that bans, with a period."""
-    f = u["f"]
-    part = lambda k: normalize_spaces(F.regexp_extract(f, PERIOD, k))
-    return _hits(F.when(contains_any(f, BANS) & f.rlike(PERIOD), _hit("closure", i, u["said"], f, first=part(1), last=part(2))))
-
-
-def _unit_hits(u: Column, i: Column, practice: Column) -> Column:
-    """Forbidden species, and practice rules."""
-    said, f = u["said"], u["f"]
-    protected = f.contains("interdit") & contains_any(f, ("peche", "capture", "detention"))
-    binds = F.length(said).between(45, 520) & contains_any(f, PRACTICE) & contains_any(f, BINDING) & contains_any(f, ("peche", "capture", "loisir"))
-    return _hits(F.when(protected, _hit("protected", i, said, f)), F.when(practice & binds & ~contains_any(f, SITE_NOISE + FRAGMENTS), _hit("practice", i, said, f)))
-
-
-def _declaration_hits(units: Column) -> Column:
-    """The context of a duty to declare catches of sensitive species, if the text has both."""
-    context = F.struct(declaration_context(units).alias("said"))
-    with_fold = lambda c: F.struct(c["said"].alias("said"), fold_text(c["said"]).alias("f"))
-    found = lambda c: F.when(contains_any(c["f"], SENSITIVE) & contains_any(c["f"], DECLARED), _hit("declaration", F.lit(0), c["said"], c["f"]))
-    return _hits(bound(bound(context, with_fold), found))
-
-
-def _clause_hits(flat: Column) -> Column:
-    return _hits(*[F.when(flat.contains(phrase), _hit("clause", F.lit(n), F.lit(said), fold_text(F.lit(said)), name=F.lit(title))) for n, (phrase, title, said) in enumerate(CLAUSES)])
-
-
-def _statute_hits(text: Column) -> Column:
-    options = []
-    for n, (kind, key, words) in enumerate(STATUTES):
-        said = find_sentence(text, list(words))
-        options.append(F.when(said.isNotNull(), _hit(kind, F.lit(n), said, fold_text(said), name=F.lit(key), number=F.nullif(F.lower(F.regexp_extract(said, AGE, 1)), F.lit("")) if kind == "age" else F.lit(None))))
-    return _hits(*options)
-
-
-DOCUMENT = ("doc", "text", "source_scope", "source_type", "url", "source_url", "source_title")
-
-
-def documents(docs: DataFrame) -> DataFrame:
-    """docs (doc, text, source_scope, source_type) with the other columns extraction looks at, empty where they lack."""
-    have = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("")
-    return docs.select("doc", have("text").alias("text"), "source_scope", "source_type", *[have(c).alias(c) for c in DOCUMENT[4:]])
-
-
-def extract(docs: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """Rules of documents, each by the extractors of its source's type; with base, static rules beside them.
-
-    docs: doc, text, source_scope, source_type, and perhaps url (the
-    document's), source_url and source_title. A document is cut and folded once,
-    and everything its extractors find comes from one explode; of each rule_key
-    a document's first is kept. Documents without text, and sources of other
-    types, give none.
-    """
-    own = documents(docs)
-    kind = F.col("source_type")
-    said = lambda x: F.struct(x.alias("said"), fold_text(x).alias("f"))
-    operational = kind.isin(*OPERATIONAL_SOURCES)
-    cut = own.where(operational | kind.isin(*STATUTE_SOURCES)).select(
-        "*", fold_text(F.col("text")).alias("flat"), text_units(F.col("text")).alias("units"),
-        F.transform(text_lines(F.col("text")), said).alias("lines"),
-        F.transform(F.split(normalize_spaces(F.col("text")), r"(?<=[.;!?])\s+"), said).alias("sentences"),
-    )
-    daily = contains_any(F.col("flat"), DAILY)
-    practice = ~contains_any(fold_text(F.concat_ws(" ", "url", "source_title")), NO_PRACTICE_SOURCES)
-    of_operational = [
-        F.flatten(F.transform("lines", lambda x, i: _line_hits(x, i, daily))),
-        _text_hits(F.col("flat")),
-        F.flatten(F.transform("sentences", _sentence_hits)),
-        F.flatten(F.transform(F.transform("units", said), lambda u, i: _unit_hits(u, i, practice))),
-        _declaration_hits(F.col("units")),
-    ]
-    none = F.array().cast(_HITS)
-    hits = F.concat(
-        F.when(operational, F.concat(*of_operational)).otherwise(none),
-        F.when(kind == MINISTRY, _clause_hits(F.col("flat"))).otherwise(none),
-        F.when(kind.isin(*STATUTE_SOURCES), _statute_hits(F.col("text"))).otherwise(none),
-    )
-    found = cut.withColumn("h", F.explode(hits)).select(*DOCUMENT, "h.*")
-    rules = _first_of_key(_rules(_named(found)))
-    return rules if base is None else base.unionByName(rules, allowMissingColumns=True)
-
-
-def _named(found: DataFrame) -> DataFrame:
-    """Hits with the species they are of; those that need one and have none are left out."""
-    kind, f = F.col("kind"), F.col("f")
-    of_name = canonical_name(F.col("name"), F.col("said"))
-    usable = F.when((kind == "size") | plausible_name(of_name), of_name)
-    species = (
-        F.when(kind.isin("size", "quota"), F.array_compact(F.array(usable)))
-        .when(kind.isin("closure", "protected", "declaration"), all_matches(f))
-        .when(kind == "practice", F.array(first_match(f)))
-        .otherwise(F.array(F.lit(None).cast("string")))
-    )
-    value = F.when(kind.isin("size", "quota", "age"), parse_number(F.col("number")))
-    rows = found.withColumns({"species": F.explode(species), "value": value})
-    return rows.where(F.col("value").isNotNull() | ~kind.isin("size", "quota"))
-
-
-def _by_kind(values: dict[str, Column | str]) -> Column:
-    """What a hit's kind is given, a column or a text."""
-    if not any(isinstance(v, Column) for v in values.values()):
-        return F.try_element_at(constant(values, "map<string,string>"), F.col("kind"))
-    return F.coalesce(*[F.when(F.col("kind") == k, v if isinstance(v, Column) else F.lit(v)) for k, v in values.items()])
-
-
-def _rules(rows: DataFrame) -> DataFrame:
-    """Rule rows of named hits."""
-    kind, species, said, f, value = (F.col(c) for c in ("kind", "species", "said", "f", "value"))
-    scope = rule_scope(f, F.col("source_scope"))
-    sentence = find_sentence(said, [F.get(F.split(species, " "), F.lit(0))])
-    declared = F.when(F.length(sentence) <= 420, sentence).otherwise(F.concat(species, F.lit(DECLARATION_TEXT)))
-    description = F.when(kind == "declaration", declared).otherwise(said)
-    name, at = slugify(species), slugify(scope)
-    unit = F.when(F.col("kg"), "kg/jour").otherwise("captures/jour")
-    key = _by_kind({
-        "size": F.concat_ws(".", F.lit("species"), name, F.lit("min-size"), at),
-        "quota": F.concat_ws(".", F.lit("species"), name, F.lit("quota"), slugify(unit), at),
-        "closure": F.concat_ws(".", F.lit("species"), name, F.lit("closure"), slugify(F.col("first")), slugify(F.col("last")), at),
-        "protected": F.concat_ws(".", F.lit("species"), name, F.lit("protected"), at, short_hash(said)),
-        "practice": F.concat_ws(".", F.lit("practice"), slugify(F.coalesce(species, F.substring(said, 1, 80))), F.lit("restriction"), at, short_hash(said)),
-        "declaration": F.concat_ws(".", F.lit("species"), name, F.lit("declaration"), at),
-        "clause": F.concat(F.lit("spearfishing.fr.ministere."), slugify(F.col("name"))),
-        "age": F.col("name"),
-        "diving": F.col("name"),
-    })
-    subject = F.when(kind == "practice", F.concat(F.lit(" - "), species)).when(kind == "clause", F.col("name")).otherwise(species)
-    metric = {"size": ("SIZE_MIN_CM", "cm"), "quota": (F.when(F.col("kg"), "QUOTA_MAX_KG").otherwise("QUOTA_MAX_UNITS"), unit), "age": ("AGE_MIN_YEARS", "ans")}
-    # a declaration's key goes by its context's scope, its zone by its description's
-    zone_scope = F.when(kind == "declaration", rule_scope(fold_text(description), F.col("source_scope"))).otherwise(scope)
-    return rows.select(
-        "doc", "place", key.alias("rule_key"), _by_kind({k: v[0] for k, v in KINDS.items()}).alias("rule_type"),
-        F.concat(_by_kind({k: v[1] for k, v in KINDS.items()}), F.coalesce(subject, F.lit(""))).alias("title"), description.alias("description"),
-        _by_kind({k: v[2] for k, v in KINDS.items()}).alias("legal_reference"),
-        F.when(value.isNotNull(), _by_kind({k: m for k, (m, _) in metric.items()})).alias("metric_type"), value.alias("metric_value"),
-        F.when(value.isNotNull(), _by_kind({k: u for k, (_, u) in metric.items()})).alias("metric_unit"),
-        species.alias("species_common_name"), F.col("scientific").alias("species_scientific_name"), zone_of(zone_scope, F.col("source_scope")).alias("zone"),
-        (~kind.isin("age", "diving")).alias("needs_manual_review"), _by_kind({k: v[3] for k, v in KINDS.items()}).alias("notes"),
-        description.alias("source_excerpt"), F.when(kind == "declaration", said).otherwise(context_window(F.col("text"), description)).alias("source_context"),
-        F.when(F.col("url") != "", F.col("url")).otherwise(F.col("source_url")).alias("source_url"),
-        F.when((F.col("url") == "") | (F.col("url") == F.col("source_url")), F.col("source_title")).otherwise("").alias("source_title"), "source_type",
-    ).select("*", "zone.*").drop("zone")
-
-
-ZONE_FIELDS = ("zone_code", "zone_name", "zone_strategy", "lat_min", "lat_max", "lon_min", "lon_max")
-ZONE = "struct<zone_code:string,zone_name:string,zone_strategy:string,lat_min:double,lat_max:double,lon_min:double,lon_max:double>"
-
-
-def zone_of(scope: Column, source_scope: Column) -> Column:
-    """The zone of a scope, else of its source's, else of all: code, name, strategy and box."""
-    every = {"zone_code": ALL_ZONES[0], "zone_name": ALL_ZONES[1], "zone_strategy": "APP_ZONES_UNION"}
-    boxes = {s: dict(zip(ZONE_FIELDS, (code, name, "CUSTOM_BBOX", *box), strict=True)) for s, (code, name, *box) in ZONES.items()}
-    known = constant(boxes | {"france": every}, f"map<string,{ZONE}>")
-    return F.coalesce(F.try_element_at(known, scope), F.try_element_at(known, source_scope), constant(every, ZONE))
-
-
-def _first_of_key(rules: DataFrame) -> DataFrame:
-    w = W.partitionBy("doc", "rule_key").orderBy("place")
-    return rules.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n").withColumnRenamed("place", "position")
-
+from halyard.functions.text import constant, contains_any, fold_text, metric_text, normalize_spaces, short_hash, strip_spaces
+from halyard.operators.textmining import validity
+from halyard.registry import OTHER_ACTIVITY, RULE_ACTIVITY, RULE_CONSTRAINT, RULE_RANK, SCIENTIFIC, SPECIES
 
 def dated(rules: DataFrame, current_year: int) -> DataFrame:
     """rules (doc, rule_key, …) with valid_from, valid_to, effective_date_source, _confidence, _quote and _reason as their texts tell."""
@@ -401,7 +128,7 @@ def citation_quote(rules: DataFrame, most: int = 700) -> Column:
 def document_hash(rules: DataFrame) -> Column:
     """A rule's document's hash; where it is not known, that of the source's address, title, authority and date."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rules.columns else F.lit("")
-    seed = F.concat_ws("\n", F.regexp_replace(F.trim(text("source_url")), "#.*$", ""), text("source_title"), text("authority_name"), text("valid_from"))
+    seed = F.concat_ws("\n", F.regexp_replace(strip_spaces(text("source_url")), "#.*$", ""), text("source_title"), text("authority_name"), text("valid_from"))
     return F.coalesce(F.nullif(text("document_hash"), F.lit("")), F.sha2(seed, 256))
 
 
@@ -431,7 +158,7 @@ def enrich(rules: DataFrame) -> DataFrame:
         "quote": citation_quote(rules),
     })
     citation = F.struct(
-        F.regexp_replace(F.trim("source_url"), "#.*$", "").alias("url"), F.col("quote"), cut("source_excerpt", 1 << 30).alias("source_excerpt"), cut("source_context", 1800).alias("source_context"),
+        F.regexp_replace(strip_spaces(F.col("source_url")), "#.*$", "").alias("url"), F.col("quote"), cut("source_excerpt", 1 << 30).alias("source_excerpt"), cut("source_context", 1800).alias("source_context"),
         F.when(chosen, "ai_selected").otherwise("parser_excerpt").alias("selection_method"), F.col("locator"), F.col("document_hash"), F.col("confidence"),
     )
     species = F.struct(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from halyard.functions.text import bound, constant, contains_any, fold_text, folded, normalize_spaces, slugify
-from halyard.registry import MONTHS, SPECIES
+from halyard.functions.text import SPACE, bound, contains_any, fold_text, folded, groups_of, normalize_spaces, slugify
+from halyard.registry import MONTHS
 
 LINES = r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
 
@@ -21,7 +21,7 @@ def text_lines(c: Column) -> Column:
 
 def text_units(c: Column) -> Column:
     """Sentences: lines cut after . ; : ! ? and space; single spaces, straight apostrophes, none empty."""
-    cut = F.flatten(F.transform(F.split(c, LINES), lambda line: F.split(line, r"(?<=[.;:!?])\s+")))
+    cut = F.flatten(F.transform(F.split(c, LINES), lambda line: F.split(line, rf"(?<=[.;:!?]){SPACE}+")))
     return F.filter(F.transform(cut, lambda u: F.replace(normalize_spaces(u), F.lit("’"), F.lit("'"))), lambda u: u != "")
 
 
@@ -30,50 +30,68 @@ def sentence_units(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def find_sentence(c: Column, tokens: list[str | Column]) -> Column:
-    """The first unit that holds all tokens, both folded; else the first run of three units that does; else null."""
-    units = text_units(c)
+    """The first unit that holds all tokens, both folded; else the first run of three units that does; else null. Units are cut and folded once."""
     wanted = [folded(t) if isinstance(t, str) else fold_text(t) for t in tokens]
+    every = lambda u: reduce(lambda a, t: a & u["f"].contains(t), wanted, F.lit(True))
+    first = lambda units: F.get(F.filter(units, every), F.lit(0))["said"]
 
-    def every(u: Column) -> Column:
-        f = fold_text(u)
-        return reduce(lambda a, t: a & f.contains(t), wanted, F.lit(True))
+    def found(units: Column) -> Column:
+        def run(i: Column) -> Column:
+            three = F.slice(units, i + 1, 3)
+            told = F.filter(F.transform(three, lambda u: u["f"]), lambda f: f != "")
+            return F.struct(F.array_join(F.transform(three, lambda u: u["said"]), " ").alias("said"), F.array_join(told, " ").alias("f"))
 
-    one = F.try_element_at(F.filter(units, every), F.lit(1))
-    windows = F.transform(units, lambda _, i: normalize_spaces(F.array_join(F.slice(units, i + 1, 3), " ")))
-    return F.coalesce(one, F.try_element_at(F.filter(windows, every), F.lit(1)))
+        return F.coalesce(first(units), first(F.transform(units, lambda _, i: run(i))))
 
+    return bound(F.transform(text_units(c), lambda u: F.struct(u.alias("said"), fold_text(u).alias("f"))), found)
 
-def _spellings(dictionary: dict[str, tuple[str, ...]]) -> tuple[str, dict[str, list[tuple[int, str]]]]:
-    """One pattern that meets every spelling wherever it stands as whole words, and the entries each stands for.
 
-    Of spellings that begin at one place the longest is met; so it stands for
-    the entries of those it begins with, too.
-    """
-    entries: dict[str, list[tuple[int, str]]] = {}
-    for n, (name, words) in enumerate(dictionary.items()):
-        for w in words:
-            entries.setdefault(w, []).append((n, name))
-    for w in entries:
-        entries[w] = sorted({e for v, own in entries.items() if v == w or re.match(rf"{re.escape(v)}\b", w) for e in own})
-    longest = sorted(entries, key=len, reverse=True)
-    return r"\b(?=(" + "|".join(map(re.escape, longest)) + r")\b)", entries
+def dictionary_rows(spark: SparkSession, dictionary: dict[str, tuple[str, ...]]) -> DataFrame:
+    """A dictionary at hand as the table the matching operators take: place, name, spelling."""
+    return spark.createDataFrame([(n, name, w) for n, (name, words) in enumerate(dictionary.items()) for w in words], "place long, name string, spelling string")
+
 
+def word_runs(c: Column, sizes: list[int]) -> Column:
+    """The different runs of so many words of a folded text, with what stands between the words as it is."""
+    runs = [F.regexp_extract_all(c, F.lit(rf"\b(?=(\w+(?:\W+\w+){{{k - 1}}}))"), F.lit(1)) for k in sizes]
+    return F.array_distinct(F.flatten(F.array(*runs)))
 
-def _entries(folded_text: Column, dictionary: dict[str, tuple[str, ...]]) -> Column:
-    """(place in the dictionary, name) of every entry met, by one look through the text."""
-    pattern, entries = _spellings(dictionary)
-    known = constant({w: [{"place": n, "name": name} for n, name in own] for w, own in entries.items()}, "map<string,array<struct<place:int,name:string>>>")
-    return F.flatten(F.transform(F.array_distinct(F.regexp_extract_all(folded_text, F.lit(pattern), F.lit(1))), lambda w: F.try_element_at(known, w)))
 
+#: Sizes of runs that one pass over the texts looks for.
+RUN_SIZES = 8
 
-def first_match(folded_text: Column, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
-    """The first entry of the dictionary of which a spelling stands in the text as whole words."""
-    return F.array_min(_entries(folded_text, dictionary))["name"]
 
+def _spelled(texts: DataFrame, keys: list[str], folded_text: str, dictionary: DataFrame) -> DataFrame:
+    """(keys, place, name, spelling): every spelling that stands in a folded text as whole words."""
+    words = F.size(F.regexp_extract_all("spelling", F.lit(r"\w+"), F.lit(0)))
+    sizes = sorted(r[0] for r in dictionary.select(words.alias("n")).where("n > 0").distinct().collect()) or [1]
+    passes = [sizes[i : i + RUN_SIZES] for i in range(0, len(sizes), RUN_SIZES)]
+    runs = reduce(DataFrame.union, [texts.select(*keys, F.explode(word_runs(F.col(folded_text), some)).alias("spelling")) for some in passes])
+    return runs.join(dictionary.select("place", "name", "spelling"), "spelling")
 
-def all_matches(folded_text: Column, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
-    """All such entries, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(_entries(folded_text, dictionary), lambda e: e["name"])))
+
+def spellings_met(texts: DataFrame, keys: list[str], folded_text: str, dictionary: DataFrame) -> DataFrame:
+    """(keys, place, name, spelling): each entry of which a spelling stands in a folded text as whole words, with the longest such spelling.
+
+    dictionary: place, name, spelling, of any size. A spelling begins and ends
+    with a letter or digit; so it is one of the text's runs of words, and both
+    tables meet by equality. Only the numbers of words that spellings have come
+    to the driver.
+    """
+    met = _spelled(texts, keys, folded_text, dictionary)
+    return met.groupBy(*keys, "place", "name").agg(F.max_by("spelling", F.struct(F.length("spelling"), "spelling")).alias("spelling"))
+
+
+def entries_met(texts: DataFrame, key: str, parts: dict[str, str], dictionary: DataFrame) -> DataFrame:
+    """(key, and of each part first_PART and all_PART): the first entry of the dictionary met in each of a row's folded texts, and all, sorted.
+
+    parts: a short name of each text and its column. Rows without any entry are left out.
+    """
+    each = F.array(*[F.struct(F.lit(p).alias("part"), F.col(c).alias("f")) for p, c in parts.items()])
+    met = _spelled(texts.select(key, F.explode(each).alias("t")).select(key, "t.part", "t.f").where("f is not null"), [key, "part"], "f", dictionary)
+    of = lambda p, c: F.when(F.col("part") == p, F.col(c))
+    found = [x for p in parts for x in (F.min_by("name", of(p, "place")).alias(f"first_{p}"), F.array_sort(F.collect_set(of(p, "name"))).alias(f"all_{p}"))]
+    return met.groupBy(key).agg(*found)
 
 
 #: What a name may begin with, and where it ends, in folded text (fixed values).
@@ -97,19 +115,11 @@ STOP_WORDS = (
 )
 
 
-def canonical_name(raw: Column, context: Column | None = None, dictionary: dict[str, tuple[str, ...]] = SPECIES) -> Column:
-    """The dictionary's name in raw, else in context, else raw's stem; null if that is empty or no species."""
-    stem = name_stem(raw)
-    usable = F.when((stem != "") & ~stem.isin(*NO_SPECIES), stem)
-    beside = first_match(fold_text(context), dictionary) if context is not None else F.lit(None).cast("string")
-    return F.coalesce(first_match(fold_text(raw), dictionary), F.when(usable.isNotNull(), F.coalesce(beside, usable)))
-
-
 def plausible_name(name: Column) -> Column:
     """At most four words, none with a digit, none a stop word."""
-    words = F.filter(F.split(fold_text(name), r"[\s\-]+"), lambda w: w != "")
-    ok = (F.size(words) > 0) & (F.size(words) <= 4) & ~F.exists(words, lambda w: w.rlike("[0-9]")) & ~F.exists(words, lambda w: w.isin(*STOP_WORDS))
-    return (fold_text(name) == "toutes especes marines") | ok
+    words = lambda f: F.filter(F.split(f, r"[\s\-]+"), lambda w: w != "")
+    fit = lambda w: (F.size(w) > 0) & (F.size(w) <= 4) & ~F.exists(w, lambda x: x.rlike("[0-9]") | x.isin(*STOP_WORDS))
+    return bound(fold_text(name), lambda f: (f == "toutes especes marines") | bound(words(f), fit))
 
 
 #: Phrases of a scope in order (fixed values).
@@ -148,13 +158,20 @@ def rule_scope(folded: Column, of_source: Column) -> Column:
 
 def context_window(text: Column, anchor: Column, size: int = 1400) -> Column:
     """The text half a size round an anchor, dots where it is cut; without the anchor, its first size characters."""
-    t, a = normalize_spaces(text), normalize_spaces(anchor)
-    place = F.call_function("locate", a, t)  # from 1; 0 if absent
+    return bound(F.struct(normalize_spaces(text).alias("text"), normalize_spaces(anchor).alias("anchor")), lambda b: window_in(b["text"], b["anchor"], size))
+
+
+def window_in(t: Column, a: Column, size: int = 1400) -> Column:
+    """context_window of a text and an anchor that have single spaces already."""
     half = size // 2
-    first, last = F.greatest(F.lit(1), place - half), F.least(F.length(t), place - 1 + F.length(a) + half)
-    cut = F.trim(F.substr(t, first, last - first + 1))
-    cut = F.concat(F.when(first > 1, "...").otherwise(""), cut, F.when(last < F.length(t), "...").otherwise(""))
-    return F.when(t == "", a).when((a == "") | (place == 0), F.substring(t, 1, size)).otherwise(cut)
+
+    def cut(place: Column) -> Column:
+        first, last = F.greatest(F.lit(1), place - half), F.least(F.length(t), place - 1 + F.length(a) + half)
+        inner = F.trim(F.substr(t, first, last - first + 1))
+        whole = F.concat(F.when(first > 1, "...").otherwise(""), inner, F.when(last < F.length(t), "...").otherwise(""))
+        return F.when(t == "", a).when((a == "") | (place == 0), F.substring(t, 1, size)).otherwise(whole)
+
+    return bound(F.call_function("locate", a, t), cut)  # from 1; 0 if absent
 
 
 def quote_in(quote: Column, context: Column) -> Column:
@@ -168,39 +185,32 @@ DECLARING = (("recfishing",), ("declaration", "capture"), ("enregistrement", "pe
 SITE_NOISE = ("acceder au contenu", "acceder au menu", "rechercher menu", "sur le meme sujet", "mentions legales", "gestion des cookies", "partager la page")
 
 
-def declaration_context(units: Column, sensitive: tuple[str, ...] = SENSITIVE, declaring: tuple[tuple[str, ...], ...] = DECLARING, noise: tuple[str, ...] = SITE_NOISE) -> Column:
-    """The units about sensitive species and their declaration, joined, in the order they are come upon, each once.
+def declaration_contexts(units: DataFrame, key: str, sensitive: tuple[str, ...] = SENSITIVE, declaring: tuple[tuple[str, ...], ...] = DECLARING, noise: tuple[str, ...] = SITE_NOISE) -> DataFrame:
+    """(key, context): the units about sensitive species and their declaration, joined, in the order they are come upon, each once.
 
-    A unit with a word of sensitive brings itself and the seven after it. One
-    that declares brings itself, the three before and the three after it; if one
-    of those before is sensitive, from the nearest such on. Both end before the
-    first unit of noise. Empty without any; null for null.
+    units: key, position (from 0, all of a document's), unit, and f, the same
+    folded. A unit with a word of sensitive brings itself and the seven after
+    it. One that declares brings itself, the three before and the three after
+    it; if one of those before is sensitive, from the nearest such on. Both end
+    before the first unit of noise. Documents without any are left out.
     """
-    all_of = lambda f, words: reduce(lambda a, w: a & f.contains(w), words, F.lit(True))
-    declares = lambda f: reduce(lambda a, b: a | b, [all_of(f, w) for w in declaring])
-    # of each unit: 1 sensitive, 2 declares (and is not), 0 neither; and whether it is noise
-    mark = lambda f: F.when(contains_any(f, sensitive), 1).when(declares(f), 2).otherwise(0)
-    judge = lambda u: bound(fold_text(u), lambda f: F.struct(mark(f).alias("mark"), contains_any(f, noise).alias("noise")))
-
-    def told(own: Column) -> Column:
-        said, judged = own["units"], own["judged"]
-
-        def quiet(first: Column, end: Column) -> Column:
-            """Numbers from first to before end, or before the first noise."""
-            window = F.slice(judged, first + 1, F.greatest(end - first, F.lit(0)))
-            size = bound(F.array_position(F.transform(window, lambda j: j["noise"]), True).cast("int"), lambda stop: F.when(stop > 0, stop - 1).otherwise(F.size(window)))
-            return bound(size, lambda n: F.when(n > 0, F.sequence(first, first + n - 1)).otherwise(F.array().cast("array<int>")))
-
-        def around(i: Column) -> Column:
-            back = F.greatest(i - 3, F.lit(0))
-            near = F.array_max(F.filter(F.sequence(back, i), lambda k: F.get(judged, k)["mark"] == 1))
-            return bound(F.coalesce(near, back), lambda first: quiet(first, i + 4))
-
-        brought = F.transform(judged, lambda j, i: F.when(j["mark"] == 1, quiet(i, i + 8)).when(j["mark"] == 2, around(i)))
-        kept = F.array_distinct(F.flatten(F.filter(brought, lambda x: x.isNotNull())))
-        return normalize_spaces(F.array_join(F.transform(kept, lambda i: F.get(said, i)), " "))
-
-    return bound(units, lambda u: bound(F.struct(u.alias("units"), F.transform(u, judge).alias("judged")), told))
+    f = F.col("f")
+    all_of = lambda words: reduce(lambda a, w: a & f.contains(w), words, F.lit(True))
+    declares = reduce(lambda a, b: a | b, [all_of(w) for w in declaring])
+    # 1 sensitive, 2 declares (and is not), 0 neither
+    judged = units.select(key, "position", "unit", F.when(contains_any(f, sensitive), 1).when(declares, 2).otherwise(0).alias("mark"), contains_any(f, noise).alias("noise"))
+    order = W.partitionBy(key).orderBy("position")
+    near = F.max(F.when(F.col("mark") == 1, F.col("position"))).over(order.rowsBetween(-3, 0))
+    beside = F.collect_list(F.struct("position", "unit", "noise")).over(order.rowsBetween(-3, 7))
+    first = F.when(F.col("mark") == 1, F.col("position")).otherwise(F.coalesce("near", F.greatest(F.col("position") - 3, F.lit(0))))
+    end = F.col("position") + F.when(F.col("mark") == 1, 8).otherwise(4)
+    marked = judged.withColumns({"near": near, "beside": beside}).where("mark > 0").select(key, F.col("position").alias("by"), "beside", first.alias("first"), end.alias("end"))
+    ahead = marked.withColumn("ahead", F.filter("beside", lambda u: (u["position"] >= F.col("first")) & (u["position"] < F.col("end"))))
+    stop = F.array_min(F.transform(F.filter("ahead", lambda u: u["noise"]), lambda u: u["position"]))
+    brought = ahead.withColumn("stop", stop).select(key, "by", F.explode(F.filter("ahead", lambda u: F.col("stop").isNull() | (u["position"] < F.col("stop")))).alias("u"))
+    once = brought.groupBy(key, F.col("u.position").alias("position")).agg(F.min("by").alias("by"), F.first("u.unit").alias("unit"))
+    joined = once.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("by", "position", "unit"))).alias("all"))
+    return joined.select(key, normalize_spaces(F.array_join(F.transform("all", lambda u: u["unit"]), " ")).alias("context"))
 
 
 # Dates
@@ -209,22 +219,32 @@ MONTH_PATTERN = "|".join(MONTHS)
 DATE_PATTERN = rf"20\d{{2}}-\d{{1,2}}-\d{{1,2}}|\d{{1,2}}[/-]\d{{1,2}}[/-]20\d{{2}}|\d{{1,2}}\s*(?:er)?\s+(?:{MONTH_PATTERN})(?:\s+20\d{{2}})?"
 
 
+# Dates in folded text.
+ISO_DATE, NUMBER_DATE = r"\b(20\d{2})-(\d{1,2})-(\d{1,2})\b", r"\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b"
+WORD_DATE = rf"\b(\d{{1,2}})\s*(?:er)?\s+({MONTH_PATTERN})(?:\s+(20\d{{2}}))?\b"
+
+
 def parse_date(c: Column, year: Column | None = None) -> Column:
     """A date written 2026-04-30, 30/04/2026 or 30 avril 2026; without a year, in the given one; null if it is none."""
-    t = fold_text(c)
-    part = lambda p, i: F.regexp_extract(t, p, i)
+    return bound(fold_text(c), lambda t: date_in(t, year))
+
+
+def date_in(t: Column, year: Column | None = None) -> Column:
+    """parse_date of a folded text."""
     make = lambda y, m, d: F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-M-d")
-    iso, number = r"\b(20\d{2})-(\d{1,2})-(\d{1,2})\b", r"\b(\d{1,2})[/-](\d{1,2})[/-](20\d{2})\b"
-    word = rf"\b(\d{{1,2}})\s*(?:er)?\s+({MONTH_PATTERN})(?:\s+(20\d{{2}}))?\b"
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), part(word, 2)).cast("string")
-    of_year = F.nullif(part(word, 3), F.lit(""))
-    if year is not None:
-        of_year = F.coalesce(of_year, year.cast("string"))
-    return (
-        F.when(t.rlike(iso), make(part(iso, 1), part(iso, 2), part(iso, 3)))
-        .when(t.rlike(number), make(part(number, 3), part(number, 2), part(number, 1)))
-        .when(t.rlike(word) & of_year.isNotNull(), make(of_year, month, part(word, 1)))
-    )
+
+    def told(g: Column) -> Column:
+        part = lambda way, i: F.get(F.get(g, F.lit(way)), F.lit(i))
+        month = F.array_position(F.array(*map(F.lit, MONTHS)), part(2, 1)).cast("string")
+        of_year = F.nullif(part(2, 2), F.lit(""))
+        of_year = of_year if year is None else F.coalesce(of_year, year.cast("string"))
+        return (
+            F.when(F.get(g, F.lit(0)).isNotNull(), make(part(0, 0), part(0, 1), part(0, 2)))
+            .when(F.get(g, F.lit(1)).isNotNull(), make(part(1, 2), part(1, 1), part(1, 0)))
+            .when(of_year.isNotNull(), make(of_year, month, part(2, 0)))
+        )
+
+    return bound(F.array(*[groups_of(t, p, 3) for p in (ISO_DATE, NUMBER_DATE, WORD_DATE)]), told)
 
 
 def reference_year(c: Column, current: int) -> Column:
@@ -260,20 +280,19 @@ def validity(docs: DataFrame, key: str, current_year: int, text: str = "text", t
     units = doc.select(key, reference_year(F.concat_ws(" ", "title", "url"), current_year).alias("_year"), F.posexplode(text_units(whole)).alias("position", "unit"))
     units = units.withColumn("f", fold_text(F.col("unit"))).where(~contains_any(F.col("f"), CONSULTATION))
     units = units.withColumn("year", F.coalesce(reference_year(F.col("unit"), current_year), "_year"))
-    f, year, none = F.col("f"), F.col("year"), F.lit(None).cast("date")
-    hit = lambda p, i=1: F.nullif(F.regexp_extract(f, p, i), F.lit(""))
-    found = lambda a, b, c, r: F.struct(a.alias("valid_from"), b.alias("valid_to"), c.alias("confidence"), F.lit(r).alias("reason"))
-    start, end = parse_date(hit(RANGE, 1), year), parse_date(hit(RANGE, 2), year)
-    later = F.coalesce(parse_date(hit(RANGE, 2), F.year(end) + 1), end)
-    rows = F.array(
-        *[found(parse_date(hit(p), year), none, F.lit(0.92), "start") for p in STARTS],
-        found(start, F.when(end < start, later).otherwise(end), F.when(year.isNotNull(), 0.78).otherwise(0.62), "range"),
-        found(none, parse_date(hit(UNTIL), year), F.lit(0.75), "end"),
-    )
-    inside = units.select(key, "position", "unit", F.posexplode(rows).alias("nth", "c"))
+    f, year, none = F.col("f"), F.col("year"), F.lit(None).cast("string")
+    wording = lambda reason, p, first, last: bound(groups_of(f, p, 2 if first and last else 1), lambda g: F.when(g.isNotNull(), F.struct(F.lit(reason).alias("reason"), (F.get(g, F.lit(0)) if first else none).alias("first"), (F.get(g, F.lit(1 if first else 0)) if last else none).alias("last"))))
+    wordings = F.array(*[wording("start", p, True, False) for p in STARTS], wording("range", RANGE, True, True), wording("end", UNTIL, False, True))
+    # what a unit says of dates as rows; only then are the dates read
+    said = units.select(key, "position", "unit", "year", F.posexplode(wordings).alias("nth", "w")).where("w is not null").select(key, "position", "unit", "year", "nth", "w.*")
+    read = said.withColumns({"start": date_in(F.col("first"), year), "end": date_in(F.col("last"), year)})
+    later = F.when(F.col("end") < F.col("start"), F.coalesce(date_in(F.col("last"), F.year("end") + 1), F.col("end"))).otherwise(F.col("end"))
+    confidence = F.when(F.col("reason") == "start", 0.92).when(F.col("reason") == "end", 0.75).when(year.isNotNull(), 0.78).otherwise(0.62)
+    found = lambda a, b, c, r: F.struct(a.alias("valid_from"), b.alias("valid_to"), c.alias("confidence"), r.alias("reason"))
+    inside = read.select(key, "position", "unit", "nth", found(F.col("start"), F.when(F.col("reason") == "range", later).otherwise(F.col("end")), confidence, F.col("reason")).alias("c"))
     named = F.nullif(F.regexp_extract(fold_text(F.col("title")), TITLE_YEAR, 1), F.lit(""))
     day = lambda s: F.try_to_date(F.concat(named, F.lit(s)), "yyyy-MM-dd")
-    titled = doc.select(key, F.lit(1 << 30).alias("position"), F.col("title").alias("unit"), F.lit(9).alias("nth"), found(day("-01-01"), day("-12-31"), F.lit(0.56), "title").alias("c"))
+    titled = doc.select(key, F.lit(1 << 30).alias("position"), F.col("title").alias("unit"), F.lit(9).alias("nth"), found(day("-01-01"), day("-12-31"), F.lit(0.56), F.lit("title")).alias("c"))
     every = inside.unionByName(titled).where("c.valid_from is not null or c.valid_to is not null")
     rank = F.struct(-F.col("c.confidence"), F.col("c.valid_from").isNull().alias("b"), F.col("c.valid_to").isNull().alias("d"), "position", "nth")
     best = every.groupBy(key).agg(F.min_by(F.struct("c.*", F.substring(normalize_spaces(F.col("unit")), 1, 700).alias("quote")), rank).alias("v"))

@@ -9,14 +9,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from halyard.functions import text as X
-from halyard.operators import geo, pages, quality, rules, textmining, versions
+from halyard.operators import extraction, geo, pages, quality, rules, textmining, versions
 from halyard.plans.adapters import Plans, table
+from halyard.staging import scratch
 
 plans = Plans()
 YEAR = 2026
 WORDS = ("the", "and", "of", "que", "der", "page")
 NO_WORDS = ("spam", "utm")
 
+
+def _spaced(c, wide="\u00a0"):
+    """c with some of its spaces as the no-break, the thin and the ideographic one; once they count as spaces the results are those of c, and so is the SQL."""
+    return F.replace(F.replace(F.replace(c, F.lit(" e"), F.lit(wide + "e")), F.lit(" d"), F.lit("\u2009d")), F.lit(" i"), F.lit(" \u3000 i"))
+
+
 # Pages
 
 UNESCAPE_SQL = "replace(replace(replace(replace({}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
@@ -25,7 +32,7 @@ STRIP_SQL = r"""regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script
 
 @plans.add(f"""SELECT page_id, array_to_string(list_filter(list_transform(string_split({UNESCAPE_SQL.format(STRIP_SQL)}, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM pages""")
 def html_text(spark, d):
-    return table(spark, d, "pages").select("page_id", pages.html_text(F.col("html")).alias("text"))
+    return table(spark, d, "pages").select("page_id", pages.html_text(_spaced(F.col("html"), "&nbsp;")).alias("text"))
 
 
 LINKS_CTE = r"""l AS (SELECT url AS src_url, unnest(h) AS href, unnest(t) AS label, unnest(range(len(h))) AS n FROM (
@@ -130,8 +137,6 @@ def link_expand(spark, d):
     e = found.join(after, ["src_url", "position"]).select(F.col("href").alias("src_url"), "dst_url", F.lit(1).alias("score")).distinct()
     seeds = found.where("position = 0 and src_url % 5 = 0").select(F.col("href").alias("url")).distinct()
     if not (spark.sparkContext.getConf().get("spark.checkpoint.dir")):
-        from halyard.sources.landing import scratch
-
         spark.sparkContext.setCheckpointDir(scratch(spark, "hops"))
     return pages.expand(e, seeds, 3, 1_000_000)
 
@@ -174,7 +179,7 @@ UNITS_SQL = r"""u AS (SELECT doc_id, trim(regexp_replace(x, '\s+', ' ', 'g')) AS
 
 @plans.add(f"WITH {UNITS_SQL} SELECT doc_id, i::INTEGER AS position, unit FROM u")
 def sentence_units(spark, d):
-    return textmining.sentence_units(table(spark, d, "documents"), "doc_id")
+    return textmining.sentence_units(table(spark, d, "documents").withColumn("text", _spaced(F.col("text"))), "doc_id")
 
 
 F_SQL = "lower(regexp_replace(strip_accents(replace(replace(unit, 'ß', ''), 'æ', '')), '[^\\x00-\\x7F]', '', 'g'))"
@@ -195,14 +200,28 @@ HAS = {n: f"regexp_matches(f, '\\b(?:{'|'.join(a)})\\b')" for n, a in NAMES.item
 @plans.add(f"""WITH f AS (SELECT doc_id, {DOC_FOLD} AS f FROM documents) SELECT doc_id, CASE {" ".join(f"WHEN {h} THEN '{n}'" for n, h in HAS.items())} END AS first_name,
   concat_ws(',', {", ".join(f"CASE WHEN {HAS[n]} THEN '{n}' END" for n in sorted(HAS))}) AS names, CASE WHEN contains(f, 'licensed under') THEN 'licensed' WHEN contains(f, 'rights reserved') THEN 'reserved' ELSE 'general' END AS scope FROM f""")
 def dictionary_match(spark, d):
-    f = X.fold_text(F.col("text"))
     scopes = (("licensed under", "licensed"), ("rights reserved", "reserved"))
-    return table(spark, d, "documents").select(
-        "doc_id",
-        textmining.first_match(f, NAMES).alias("first_name"),
-        F.array_join(textmining.all_matches(f, NAMES), ",").alias("names"),
-        textmining.text_scope(f, scopes).alias("scope"),
-    )
+    folded = table(spark, d, "documents").select("doc_id", X.fold_text(F.col("text")).alias("f"))
+    scoped = folded.select("doc_id", textmining.text_scope(F.col("f"), scopes).alias("scope"))
+    met = textmining.entries_met(folded, "doc_id", {"text": "f"}, textmining.dictionary_rows(spark, NAMES))
+    names = F.array_join(F.coalesce("all_text", F.array().cast("array<string>")), ",")
+    return scoped.join(met, "doc_id", "left").select("doc_id", F.col("first_text").alias("first_name"), names.alias("names"), "scope")
+
+
+START = "regexp_extract({}, '^[^a-z0-9_]*([a-z0-9_]+[^a-z0-9_]+[a-z0-9_]+)', 1)"
+
+
+@plans.add(f"""WITH f AS (SELECT doc_id, {DOC_FOLD} AS f FROM documents), s AS (SELECT doc_id AS place, 'n' || (doc_id % 701) AS name, {START.format("f")} AS spelling FROM f), t AS (SELECT doc_id, regexp_extract_all(f, '[a-z0-9_]+|[^a-z0-9_]+') AS t FROM f),
+r AS (SELECT DISTINCT doc_id, t[i] || t[i + 1] || t[i + 2] AS spelling FROM (SELECT doc_id, t, unnest(range(1, len(t) - 1)) AS i FROM t) WHERE regexp_matches(t[i], '[a-z0-9_]'))
+SELECT r.doc_id, arg_min(name, place) AS first_name, count(DISTINCT name) AS n_names, arg_max(spelling, (length(spelling), spelling)) AS longest FROM r JOIN s USING (spelling) GROUP BY 1""")
+def dictionary_table(spark, d):
+    """The first two words of every document as a dictionary of as many spellings, met in all documents."""
+    folded = table(spark, d, "documents").select("doc_id", X.fold_text(F.col("text")).alias("f"))
+    start = F.regexp_extract("f", r"^\W*(\w+\W+\w+)", 1)
+    known = folded.select(F.col("doc_id").alias("place"), F.concat(F.lit("n"), (F.col("doc_id") % 701).cast("string")).alias("name"), start.alias("spelling")).where("spelling <> ''")
+    met = textmining.spellings_met(folded, ["doc_id"], "f", known)
+    longest = F.max_by("spelling", F.struct(F.length("spelling"), "spelling")).alias("longest")
+    return met.groupBy("doc_id").agg(F.min_by("name", "place").alias("first_name"), F.countDistinct("name").alias("n_names"), longest)
 
 
 @plans.add(f"""WITH {UNITS_SQL}, f AS (SELECT *, {F_SQL} AS f FROM u) SELECT doc_id, i::INTEGER AS position, unit FROM f WHERE length(unit) BETWEEN 45 AND 520 AND (contains(f, 'tion') OR contains(f, 'ment')) AND (contains(f, ' the ') OR contains(f, ' la ')) AND NOT (contains(f, 'license') OR contains(f, 'page'))""")
@@ -218,7 +237,7 @@ def context_window(spark, d):
     """Round the middle sentence of each document; of every fourth, round words it does not have."""
     units = textmining.text_units(F.col("text"))
     anchor = F.when(F.col("doc_id") % 4 == 0, "absent").otherwise(F.coalesce(F.get(units, F.floor(F.size(units) / 2).cast("int")), F.lit("")))
-    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), anchor.alias("anchor"))
+    docs = table(spark, d, "documents").select("doc_id", _spaced(F.coalesce("text", F.lit(""))).alias("text"), anchor.alias("anchor"))
     return docs.select("doc_id", textmining.context_window(F.col("text"), F.col("anchor"), 200).alias("context"), textmining.quote_in(F.col("anchor"), F.col("text")).alias("quoted"))
 
 
@@ -229,8 +248,8 @@ q AS (SELECT doc_id, i, unit, sum(n::INT) OVER (PARTITION BY doc_id ORDER BY i)
 SELECT doc_id, string_agg(unit, ' ' ORDER BY first, i) AS context FROM b GROUP BY 1""")
 def declaration_context(spark, d):
     """Words of the invented prose stand for those of declarations."""
-    context = textmining.declaration_context(textmining.text_units(F.col("text")), ("ation",), (("ment",), ("ing ", " of ")), ("page", "licens"))
-    return table(spark, d, "documents").select("doc_id", context.alias("context")).where("context <> ''")
+    units = textmining.sentence_units(table(spark, d, "documents"), "doc_id").withColumn("f", X.fold_text(F.col("unit")))
+    return textmining.declaration_contexts(units, "doc_id", ("ation",), (("ment",), ("ing ", " of ")), ("page", "licens"))
 
 
 @plans.add("""SELECT o_orderkey, d AS iso, d AS numeric_day, d::TIMESTAMP AS worded, year(d)::INTEGER AS ref_year FROM (SELECT o_orderkey, CASE WHEN year(o_orderdate) BETWEEN 2000 AND 2099 THEN CAST(o_orderdate AS DATE) END AS d FROM orders)""")
@@ -464,14 +483,14 @@ def rule_extract(spark, d):
     """Rules of all parts' documents beside customers as static rules."""
     k = F.col("c_custkey")
     base = table(spark, d, "customer").select(k.alias("doc"), F.concat(F.lit("base."), k.cast("string")).alias("rule_key"), F.lit("PRACTICE_RULE").alias("rule_type"), F.col("c_name").alias("title"), F.lit("APP_ZONES_UNION").alias("zone_code"))
-    return rules.extract(_rule_docs(spark, d), base).select("doc", "rule_key", "rule_type", "metric_type", "metric_value", "metric_unit", "title", "zone_code")
+    return extraction.extract(_rule_docs(spark, d), base).select("doc", "rule_key", "rule_type", "metric_type", "metric_value", "metric_unit", "title", "zone_code")
 
 
 @plans.add("""SELECT p_partkey AS doc, CASE WHEN p_partkey % 3 = 0 THEN DATE '2026-05-01' WHEN p_partkey % 3 = 1 THEN DATE '2026-01-01' ELSE DATE '2025-01-01' END AS valid_from, CASE WHEN p_partkey % 3 = 1 THEN DATE '2026-04-30' WHEN p_partkey % 3 = 2 THEN DATE '2025-12-31' END AS valid_to,
   CASE p_partkey % 3 WHEN 0 THEN 0.92 WHEN 1 THEN 0.78 ELSE 0.56 END::DOUBLE AS confidence FROM part""")
 def rule_validity(spark, d):
     k = F.col("p_partkey") % 3
-    text = F.when(k == 0, "Cet arrete entre en vigueur le 1er mai 2026.").when(k == 1, "Fermee du 1er janvier au 30 avril.").otherwise(F.col("p_name"))
+    text = F.when(k == 0, "Cet arrete entre\u00a0en vigueur le\u20091er\u00a0mai\u30002026.").when(k == 1, "Fermee du 1er janvier au 30 avril.").otherwise(F.col("p_name"))
     docs = table(spark, d, "part").select(F.col("p_partkey").alias("doc"), text.alias("text"), F.when(k == 2, "Regles applicables en 2025").otherwise("").alias("title"), F.when(k == 1, "https://x.gouv.fr/arrete-2026").otherwise("https://x.gouv.fr/a").alias("url"))
     return textmining.validity(docs, "doc", YEAR).select("doc", "valid_from", "valid_to", F.col("confidence").cast("double").alias("confidence"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from halyard.operators import consolidate, merge
 from halyard.plans.adapters import SV, WIDE, Plans, rounded, run_time, source_values, table
 from halyard.sources import grid, landing, payloads
+from halyard.staging import scratch
 from halyard.streaming import streams
 
 plans = Plans()
@@ -39,7 +40,7 @@ def source_allowlist(spark, d):
 def land_and_read(spark, d):
     """Written as gzipped JSON lines under the run's partitions and read back."""
     v = source_values(spark, d)
-    path = landing.scratch(spark, "landed")
+    path = scratch(spark, "landed")
     landing.write_source_values(v, path, F.col("fetched_at").cast("date").cast("timestamp"))
     back = landing.read_source_values(spark, path, "event_id long, spot_id string, valid_time timestamp, metric string, value double, unit string, source_code string")
     return rounded(back.select("event_id", "spot_id", "source_code", "valid_time", "metric", "value"))
@@ -73,7 +74,7 @@ def filtered_read(spark, d):
 @plans.add("""SELECT sha256(html) AS content_hash, count(*) AS n, 'shard=' || sha256(html)[1:2] || '/' || sha256(html) || '.html' AS raw_storage_path FROM pages GROUP BY html""")
 def raw_store(spark, d):
     docs = table(spark, d, "pages").select("url", F.lit("text/html").alias("content_type"), F.encode("html", "utf-8").alias("content"))
-    stored = landing.store_raw(docs, landing.scratch(spark, "raw"))
+    stored = landing.store_raw(docs, scratch(spark, "raw"))
     return stored.groupBy("content_hash", "raw_storage_path").agg(F.count("*").alias("n"))
 
 
@@ -241,7 +242,7 @@ def resolution(spark, d):
   SELECT spot_id, valid_time, avg(value) FILTER (metric = 'wind_speed') AS wind_speed_ms, avg(value) FILTER (metric = 'precipitation') AS precipitation_mm, count(DISTINCT source_code) AS source_count FROM nv WHERE metric IN ('wind_speed', 'precipitation') GROUP BY ALL)""")
 def stream_consolidate(spark, d):
     """events landed as files, streamed into hourly rows, upserted, and read back."""
-    landed, out, marks = (landing.scratch(spark, x) for x in ("stream-in", "stream-out", "stream-marks"))
+    landed, out, marks = (scratch(spark, x) for x in ("stream-in", "stream-out", "stream-marks"))
     v = consolidate.normalize(source_values(spark, d)).select("spot_id", "source_code", "valid_time", "metric", "value")
     v.repartition(8).write.parquet(landed)
     stream = streams.landed_stream(spark, landed, v.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), "parquet")
@@ -261,7 +262,7 @@ FILES = 4
 SELECT spot_id, valid_time, round(avg(value) FILTER (metric = 'wind_speed'), 6) AS wind_speed_ms, round(avg(value) FILTER (metric = 'precipitation'), 6) AS precipitation_mm, CAST(count(DISTINCT source_code) AS INTEGER) AS source_count FROM k GROUP BY ALL""")
 def stream_late_rows(spark, d):
     """Every tenth event lands late: after time has come to the 20th, what belongs to windows closed six hours before is dropped."""
-    landed, out, marks = (landing.scratch(spark, x) for x in ("late-in", "late-out", "late-marks"))
+    landed, out, marks = (scratch(spark, x) for x in ("late-in", "late-out", "late-marks"))
     v = consolidate.normalize(source_values(spark, d)).select("event_id", "spot_id", "source_code", "valid_time", "metric", "value")
 
     def mark(day: str):
@@ -280,7 +281,7 @@ def stream_late_rows(spark, d):
 
 def _upserted(spark, d):
     """Events upserted by user in three batches, the highest first; the table's path."""
-    landed, out, marks = (landing.scratch(spark, x) for x in ("upsert-in", "upsert-out", "upsert-marks"))
+    landed, out, marks = (scratch(spark, x) for x in ("upsert-in", "upsert-out", "upsert-marks"))
     e = table(spark, d, "events").select("event_id", "user_id", "event_type")
     for k in range(3):
         e.where(F.col("event_id") % 3 == 2 - k).repartition("user_id").write.mode("append").parquet(landed)
@@ -310,7 +311,7 @@ def stream_compact(spark, d):
 
 @plans.add("SELECT user_id, CAST(ts AS DATE) AS day, count(*) > 0 AS fired FROM events GROUP BY ALL")
 def stream_alert_once(spark, d):
-    landed, out, marks = (landing.scratch(spark, x) for x in ("alert-in", "alert-out", "alert-marks"))
+    landed, out, marks = (scratch(spark, x) for x in ("alert-in", "alert-out", "alert-marks"))
     table(spark, d, "events").select(F.col("user_id").alias("alert_id"), F.col("ts").alias("valid_time")).repartition(4).write.parquet(landed)
     stream = streams.landed_stream(spark, landed, "alert_id long, valid_time timestamp", "parquet")
     streams.drain(streams.once_a_day(stream, late="40 days"), out, marks).awaitTermination()
@@ -323,7 +324,7 @@ def stream_alert_once(spark, d):
 @plans.add("SELECT 's' || s_suppkey AS id, s_name AS title, s_suppkey % 4 AS priority FROM supplier UNION ALL SELECT 'report', n_name, n_nationkey FROM nation")
 def catalogue_read(spark, d):
     """Lists of suppliers, one file a nation, read as catalogues; nations, written as a report and read back; and a catalogue that is not there."""
-    lists, report = landing.scratch(spark, "lists"), landing.scratch(spark, "report")
+    lists, report = scratch(spark, "lists"), scratch(spark, "report")
     s = table(spark, d, "supplier")
     entry = F.struct(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("title"), (F.col("s_suppkey") % 4).alias("priority"))
     files = s.groupBy((F.col("s_suppkey") % 97).alias("file"), F.col("s_nationkey").alias("nation")).agg(F.to_json(F.collect_list(entry)).alias("value"))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -15,17 +12,6 @@ from halyard.schemas import SOURCE_VALUES
 PARTITION = ["run_date", "run_hour", "source_code"]
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the cluster names; where none is named, in a folder of our own in local mode, else an error."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all machines share")
-        root = "file://" + tempfile.mkdtemp(prefix="halyard-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def is_missing(fault: AnalysisException) -> bool:
     """Whether a read failed for want of the path, or of any file in it, and for nothing else."""
     return fault.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -160,9 +146,3 @@ def store_raw(documents: DataFrame, path: str) -> DataFrame:
     once.write.mode("append").partitionBy("shard").parquet(path)
     place = F.concat(F.lit("shard="), F.substring("content_hash", 1, 2), F.lit("/"), "content_hash", F.lit("."), "ext")
     return hashed.select("url", "content_hash", place.alias("raw_storage_path"))
-
-
-def first_seen(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """The row of each key with the least seq."""
-    w = W.partitionBy(*keys).orderBy(seq)
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from halyard.functions import text
-from halyard.operators import geo, pages, quality, rules, textmining, versions
+from halyard.operators import extraction, geo, pages, quality, rules, textmining, versions
 
 
 def doc(spark, said, scope="france", kind="DIRM", url="https://www.dirm.example/rules.pdf", title=""):
@@ -49,7 +49,7 @@ def found(spark):
     for name, (said, about) in SAID.items():
         one = doc(spark, said, **about).withColumn("doc", F.lit(name))
         docs = one if docs is None else docs.union(one)
-    rows = rules.extract(docs.coalesce(2)).collect()
+    rows = extraction.extract(docs.coalesce(2)).collect()
     return lambda name, rule_type=None: [r for r in rows if r["doc"] == name and rule_type in (None, r["rule_type"])]
 
 
@@ -164,7 +164,8 @@ def test_declaration_context_goes_by_ranges_and_noise(spark):
     units = [f"u{i}." for i in range(14)]
     def context(**said):
         mine = [said.get(u[:-1], u) for u in units]
-        return spark.createDataFrame([(mine,)], "u array<string>").select(textmining.declaration_context(F.col("u"))).first()[0]
+        rows = spark.createDataFrame([(1, i, u) for i, u in enumerate(mine)], "doc long, position int, unit string").withColumn("f", text.fold_text(F.col("unit")))
+        return "".join(r["context"] for r in textmining.declaration_contexts(rows, "doc").collect())
 
     assert context() == ""
     assert context(u2="especes sensibles") == " ".join(["especes sensibles", *units[3:10]])
@@ -183,16 +184,79 @@ def test_statutes_and_clauses(found):
 
 def test_static_rules_stand_beside_extracted_ones(spark):
     base = spark.createDataFrame([("own", "DIVING_GENERAL")], "rule_key string, rule_type string")
-    got = {r["rule_key"]: r["metric_value"] for r in rules.extract(doc(spark, "Bar : 42 cm"), base).collect()}
+    got = {r["rule_key"]: r["metric_value"] for r in extraction.extract(doc(spark, "Bar : 42 cm"), base).collect()}
     assert got == {"own": None, "species.bar.min-size.france": 42.0}
 
 
 def test_rules_get_their_dates(spark):
-    d = rules.dated(rules.extract(doc(spark, "Aucun specimen de bar du 1er janvier 2026 au 30 avril 2026.\nHomard : 3 captures par jour")), 2026)
+    d = rules.dated(extraction.extract(doc(spark, "Aucun specimen de bar du 1er janvier 2026 au 30 avril 2026.\nHomard : 3 captures par jour")), 2026)
     got = {r["rule_type"]: (r["valid_from"], r["valid_to"], r["effective_date_source"]) for r in d.collect()}
     assert got["CLOSURE_PERIOD"] == (dt.date(2026, 1, 1), dt.date(2026, 4, 30), "parser")
 
 
+def test_extraction_is_staged_and_compiles(spark, capfd):
+    spark.sparkContext.setLogLevel("WARN")
+    got = extraction.extract(doc(spark, SAID["list"][0]))
+    got.collect()
+    spark.sparkContext.setLogLevel("ERROR")
+    assert "64 KB" not in capfd.readouterr().err and len(got._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+
+
+@pytest.mark.parametrize("n", range(len(extraction.QUOTA_TEXTS)))
+def test_surroundings_of_quotas_in_running_text(spark, n):
+    import re
+
+    quota = ("pas plus de 2 specimens de bar ne peuvent etre gardes par pecheur et par jour", "peche du bar est limitee a 3 unites par navire et par jour", "quantite totale de 5 kg de bar par pecheur et par jour", "captures sont limitees par navire et par jour a 4 kg pour toutes especes", "un thon rouge par navire et par jour")[n]
+    said = (quota + ". " + "ab " * 40) * 3 + "x" * 500 + " " + (quota + ". ") * 15 + "fin"
+    own = spark.createDataFrame([(1, "DIRM", "whole", 0, said, said)], "doc long, source_type string, piece string, place int, said string, f string")
+    got = sorted((r["place"], r["f"], r["number"], r["name"]) for r in extraction.text_hits(own).collect())
+    pattern, number, name, _ = extraction.QUOTA_TEXTS[n]
+    want = [(((n + 1) << 40) + i, said[max(m.start() - 220, 0) : m.end() + 220], m.group(number), m.group(name) if isinstance(name, int) else name) for i, m in enumerate(re.finditer(pattern, said))]
+    assert got == want and len(want) == 18
+
+
+def test_a_dictionary_of_any_size_is_a_table(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in "bcdfglmnprst" for b in ("a", "e", "io", "ur", "on", "ic", "al")]
+    spellings = {" ".join(rng.choice(words) for _ in range(rng.choice((1, 2, 2, 3, 3, 4)))) for _ in range(14_000)}
+    spellings = sorted(spellings | {"saint-pierre", "saint-pierre d'eau", "l'eau"})
+    assert len(spellings) > 10_000
+    known = [(i, f"n{i % 5000}", s) for i, s in enumerate(spellings)]
+    texts = [(i, "".join(rng.choice(words) + rng.choice((" ", " ", " ", "  ", ", ", "-")) for _ in range(60)) + rng.choice(("", "saint-pierre d'eau.", "l'eau"))) for i in range(40)] + [(98, ""), (99, None)]
+    got = textmining.entries_met(spark.createDataFrame(texts, "doc long, f string"), "doc", {"text": "f"}, spark.createDataFrame(known, "place long, name string, spelling string"))
+    want = {}
+    for i, t in texts:
+        met = [(place, name) for place, name, s in known if t and s in t and re.search(rf"\b{re.escape(s)}\b", t)]
+        if met:
+            want[i] = (min(met)[1], sorted({name for _, name in met}))
+    assert {r["doc"]: (r["first_text"], r["all_text"]) for r in got.collect()} == want and len(want) == 40
+    longest = textmining.spellings_met(spark.createDataFrame([(1, "un saint-pierre d'eau")], "doc long, f string"), ["doc"], "f", spark.createDataFrame([(1, "a", "saint-pierre"), (1, "a", "saint-pierre d'eau"), (2, "b", "pierre d"), (3, "c", "aint")], "place long, name string, spelling string"))
+    assert sorted((r["name"], r["spelling"]) for r in longest.collect()) == [("a", "saint-pierre d'eau"), ("b", "pierre d")]
+
+
+SPACES = "\u00a0\u2009\u3000\u202f\u2003\u0085\u001f"
+
+
+def test_white_space_is_that_of_unicode(spark):
+    t = F.col("t")
+    df = spark.createDataFrame([(f"{s}Bar :{s}{s}42 cm{s}. Suite{s}",) for s in SPACES], "t string")
+    assert {r[0] for r in df.select(text.normalize_spaces(t)).collect()} == {"Bar : 42 cm . Suite"} == {r[0] for r in df.select(text.strip_spaces(text.normalize_spaces(t))).collect()}
+    page = "<p>Bar&nbsp;: 42&nbsp;cm</p><p>&nbsp;</p><p>&#8239;Homard&emsp;:&#x3000;3&thinsp;captures</p>"
+    assert spark.createDataFrame([(page,)], "t string").select(pages.html_text(t)).first()[0] == "Bar : 42 cm\nHomard : 3 captures"
+    units = spark.createDataFrame([("Un.\u00a0Deux :\u2009trois !\u3000Quatre\u202fcinq",)], "t string").select(textmining.text_units(t)).first()[0]
+    assert units == ["Un.", "Deux :", "trois !", "Quatre cinq"]
+    around = spark.createDataFrame([("a\u00a0b " * 10,)], "t string").select(textmining.context_window(t, F.lit("b\u2009a"), 8), textmining.quote_in(F.lit("b\u3000a"), t)).first()
+    assert tuple(around) == ("a b a b a...", True)
+    for s in "\u00a0\u2009\u3000":
+        row = spark.createDataFrame([(1, f"entre en vigueur le 1er{s}mai{s}2026", "", "")], "doc long, text string, title string, url string")
+        assert textmining.validity(row, "doc", 2026).first()["valid_from"] == dt.date(2026, 5, 1)
+    labels = spark.createDataFrame([("\ufb01n\u00b2\u00a0",), ("\u3000Ｖent\u2003",), ("Άλφα",), ("½",)], "t string")
+    assert [r[0] for r in labels.select(text.normalize_label(t)).collect()] == ["fin2", "vent", "αλφα", "1⁄2"]
+
+
 def test_sentences(spark):
     df = spark.createDataFrame([("Un. Deux: trois!\nQuatre l’eau",), (None,), ("",)], "t string")
     assert [r[0] for r in df.select(textmining.text_units(F.col("t"))).collect()] == [["Un.", "Deux:", "trois!", "Quatre l'eau"], None, []]
