@@ -145,3 +145,21 @@ def run_report(alerts: DataFrame, notified: DataFrame, windows: DataFrame, hits:
         rows = rows.join(flag(df, key, name), "id", "left")
     outcome = F.when(F.col("_sent"), "already_notified").when(~F.col("_spots"), "no_spots").when(F.col("_window").isNull(), "no_window").when(F.col("_hit"), "triggered").otherwise("quiet")
     return rows.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+
+
+def run_counters(alerts: DataFrame, notified: DataFrame, windows: DataFrame, hits: DataFrame, log: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """A run in one row: alerts active and triggered, e-mails sent and failed, alerts skipped and why, and the days forecasts reach over.
+
+    log: the run's notifications (alert_id, notification_type, status). An
+    alert already notified counts as that and as nothing else.
+    """
+    became = run_report(alerts, notified, windows, hits)
+    n = lambda outcome: F.coalesce(F.sum(F.when(F.col("outcome") == outcome, F.col("n"))), F.lit(0).cast("long"))
+    outcomes = became.agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("alerts_active"), n("triggered").alias("alerts_triggered"), n("already_notified").alias("skipped_already_sent"),
+        n("no_spots").alias("skipped_no_spots"), n("no_window").alias("skipped_no_forecast_overlap"),
+    )
+    fired = log.where("notification_type = 'email'").join(notified.select("alert_id").distinct(), "alert_id", "left_anti")
+    mails = fired.agg(F.count_if(F.col("status") == "sent").alias("emails_sent"), F.count_if(F.col("status") != "sent").alias("emails_failed"))
+    days = forecasts.agg(F.min("target_date").alias("min_target_date"), F.max("target_date").alias("max_target_date"))
+    return outcomes.join(mails, how="cross").join(days, how="cross")

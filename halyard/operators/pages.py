@@ -170,17 +170,29 @@ def best_per_url(found: DataFrame) -> DataFrame:
     return found.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def status_counts(found: DataFrame) -> DataFrame:
+    """(status, n) of candidates; those without a status are unknown."""
+    return found.groupBy(F.coalesce(F.nullif("status", F.lit("")), F.lit("unknown")).alias("status")).agg(F.count("*").alias("n"))
+
+
 def domain_coverage(domains: DataFrame, existing: DataFrame, found: DataFrame, sample: int = 20) -> DataFrame:
-    """(host, n_existing, n_candidates, n_accepted, urls): counts per domain, sub-domains included, and its first urls."""
+    """(host, n_existing, n_candidates, n_accepted, urls): counts per domain, sub-domains included, and its first urls, by status, score and address.
+
+    A host's urls are ranked before they are gathered, so no row grows with them.
+    """
     host = lambda c: F.lower(F.try_parse_url(c, F.lit("HOST")))
     # a host and each domain above it meet by equality
     parts = F.split(host(F.col("url")), r"\.")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    e = existing.where(host(F.col("url")).isNotNull()).select("url", F.explode(above).alias("host")).join(domains.select("host"), "host").groupBy("host").agg(F.countDistinct("url").alias("n_existing"))
-    c = found.where(host(F.col("url")).isNotNull()).select("url", "status", F.explode(above).alias("host")).join(domains.select("host"), "host")
-    c = c.groupBy("host").agg(F.count("*").alias("n_candidates"), F.count_if(F.col("status") == "auto_accepted").alias("n_accepted"), F.slice(F.array_sort(F.collect_set("url")), 1, sample).alias("urls"))
-    out = domains.select("host").join(e, "host", "left").join(c, "host", "left")
-    return out.na.fill(0, ["n_existing", "n_candidates", "n_accepted"])
+    below = lambda df, *more: df.where(host(F.col("url")).isNotNull()).select("url", *more, F.explode(above).alias("host")).join(domains.select("host"), "host")
+    e = below(existing).groupBy("host").agg(F.countDistinct("url").alias("n_existing"))
+    c = below(found, "status", "score")
+    counts = c.groupBy("host").agg(F.count("*").alias("n_candidates"), F.count_if(F.col("status") == "auto_accepted").alias("n_accepted"))
+    w = W.partitionBy("host").orderBy("status", F.desc("score"), "url")
+    first = c.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= sample).groupBy("host").agg(F.array_sort(F.collect_list(F.struct("_n", "url"))).alias("_first"))
+    out = domains.select("host").join(e, "host", "left").join(counts, "host", "left").join(first, "host", "left")
+    urls = F.transform(F.coalesce("_first", F.array().cast("array<struct<_n:int,url:string>>")), lambda x: x["url"])
+    return out.na.fill(0, ["n_existing", "n_candidates", "n_accepted"]).withColumn("urls", urls).drop("_first")
 
 
 def merge_catalogue(known: DataFrame, discovered: DataFrame) -> DataFrame:

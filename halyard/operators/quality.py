@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -71,8 +72,16 @@ def duplicate_keys(rules: DataFrame) -> DataFrame:
     return rules.groupBy("rule_key").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def count_by(rules: DataFrame, key: str) -> DataFrame:
-    return rules.where(F.coalesce(F.col(key), F.lit("")) != "").groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+def count_by(rules: DataFrame, key: str, lacking: str | None = None) -> DataFrame:
+    """(key, n) of the values of a column; rules without one are left out, or counted under another name."""
+    value = F.nullif(F.col(key), F.lit(""))
+    named = rules.select((value if lacking is None else F.coalesce(value, F.lit(lacking))).alias("key"))
+    return named.where("key is not null").groupBy("key").agg(F.count("*").alias("n"))
+
+
+def count_zones(rules: DataFrame) -> DataFrame:
+    """(key, n) by zone_code; rules without a zone count as UNKNOWN."""
+    return count_by(rules, "zone_code", "UNKNOWN")
 
 
 def summary(rules: DataFrame) -> DataFrame:
@@ -146,49 +155,72 @@ def document_manifest(rules: DataFrame) -> DataFrame:
     return out.withColumn("content_length", F.coalesce(given, length)).withColumn("document_type", F.when(pdf, "pdf").otherwise("html"))
 
 
-def compile_filter(spec: dict[str, object], columns: list[str]) -> Column:
-    """One expectation filter: `name` equals, `name_contains` holds, both folded, `metric_value` as text; all must be met."""
+#: Keys of an expectation, or of one of its filters, that ask for nothing.
+ABOUT = ("id", "label", "severity")
+
+
+def _as_text(rules: DataFrame, field: str) -> Column:
+    """A rule's field folded, as it is compared; what rules lack, null, false and zero are empty."""
+    if field not in rules.columns:
+        return F.lit("")
+    kind, c = rules.schema[field].dataType.typeName(), F.col(field)
+    held = c if kind == "boolean" else c != 0 if kind in ("double", "float", "long", "integer", "short", "byte", "decimal") else F.lit(True)
+    return F.coalesce(F.when(held, fold_text(c.cast("string"))), F.lit(""))
+
+
+def _as_metric(value: Column) -> Column:
+    """A metric as text: three decimals without trailing zeros; what is no number folded; empty for null."""
+    number = value.cast("string").try_cast("double")
+    return F.coalesce(F.when(number.isNotNull(), metric_text(number)).otherwise(fold_text(value.cast("string"))), F.lit(""))
+
+
+def compile_filter(spec: dict[str, object], rules: DataFrame) -> Column:
+    """One expectation filter: `name` equals, `name_contains` holds, both folded, `metric_value` as text; all must be met. A field that rules lack is empty."""
     parts = []
     for k, v in spec.items():
-        field = k.removesuffix("_contains")
-        if field not in columns:
-            raise ValueError(f"an expectation asks for {k}, which rules do not have")
-        wanted, own = folded(str(v or "")), fold_text(F.coalesce(F.col(field).cast("string"), F.lit("")))
-        if k == "metric_value":
-            parts.append(metric_text(F.col(k)) == metric_text(F.lit(float(v))))
+        if k in ABOUT:
+            continue
+        wanted = folded(str(v or ""))
+        if k.endswith("_contains"):
+            parts.append(_as_text(rules, k.removesuffix("_contains")).contains(wanted))
+        elif k == "metric_value":
+            own = F.col(k) if k in rules.columns else F.lit(None).cast("string")
+            parts.append(_as_metric(own) == _as_metric(F.lit(None if v is None else str(v))))
         else:
-            parts.append(own.contains(wanted) if k != field else own == wanted)
+            parts.append(_as_text(rules, k) == wanted)
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
-#: Keys of an expectation that are no filters.
-ABOUT = ("id", "label", "severity", "any_of")
-
-
 def expectations(rules: DataFrame, wanted: list[dict]) -> DataFrame:
-    """(id, label, severity, n_matched, matched_rule_keys, met): each expectation with the rules that meet any of its filters.
+    """(id, label, severity, n_matched, matched_rule_keys, met, filters): each expectation with the rules that meet any of its filters.
 
     wanted: id, perhaps label and severity (warning), and any_of, a list of
     filters, or the one filter's own keys. Rules without a key do not count.
-    All are looked up in one pass; matched keys are sorted, each once.
+    All are looked up in one pass; matched keys are sorted, each once. filters:
+    what was asked for, as JSON, where no rule has it; else null.
     """
-    schema = "n int, id string, label string, severity string"
-    rows = []
+    schema = "n int, id string, label string, severity string, filters string"
+    rows, met = [], []
     for n, w in enumerate(wanted):
         name = str(w.get("id") or w.get("label") or "expectation")
-        rows.append((n, name, str(w.get("label") or name), str(w.get("severity") or "warning")))
-    about = rules.sparkSession.createDataFrame(rows, schema)
-    met = []
-    for n, w in enumerate(wanted):
-        filters = w["any_of"] if isinstance(w.get("any_of"), list) else [{k: v for k, v in w.items() if k not in ABOUT}]
-        cond = reduce(lambda a, b: a | b, [compile_filter(f, rules.columns) for f in filters], F.lit(False))
+        own = {k: v for k, v in w.items() if k not in ABOUT}
+        rows.append((n, name, str(w.get("label") or name), str(w.get("severity") or "warning"), json.dumps(w.get("any_of") or own, ensure_ascii=False)))
+        filters = [f for f in w["any_of"] if isinstance(f, dict)] if isinstance(w.get("any_of"), list) else [own]
+        cond = reduce(lambda a, b: a | b, [compile_filter(f, rules) for f in filters], F.lit(False))
         met.append(F.when(F.coalesce(cond, F.lit(False)), F.lit(n)))
+    about = rules.sparkSession.createDataFrame(rows, schema)
     none = F.array().cast("array<int>")
     keyed = rules.where(F.coalesce("rule_key", F.lit("")) != "").select("rule_key", F.explode(F.array_compact(F.array(*met)) if met else none).alias("n"))
     found = keyed.groupBy("n").agg(F.count("*").alias("n_matched"), F.array_sort(F.collect_set("rule_key")).alias("matched_rule_keys"))
     out = about.join(found, "n", "left")
     matched = F.coalesce("n_matched", F.lit(0).cast("long"))
-    return out.select("id", "label", "severity", matched.alias("n_matched"), F.coalesce("matched_rule_keys", F.array().cast("array<string>")).alias("matched_rule_keys"), (matched > 0).alias("met"))
+    return out.select("id", "label", "severity", matched.alias("n_matched"), F.coalesce("matched_rule_keys", F.array().cast("array<string>")).alias("matched_rule_keys"), (matched > 0).alias("met"), F.when(matched == 0, F.col("filters")).alias("filters"))
+
+
+def coverage_issues(found: DataFrame) -> DataFrame:
+    """(severity, category, details): an issue for each expectation that no rule met, with what it asked for."""
+    details = F.to_json(F.struct("id", "label", "filters"))
+    return found.where(~F.col("met")).select("severity", F.lit("expected_coverage_missing").alias("category"), details.alias("details"))
 
 
 def run_summary(rules: DataFrame, documents: DataFrame, candidates: DataFrame, citations: DataFrame, links: DataFrame, missing: DataFrame) -> DataFrame:

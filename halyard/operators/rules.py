@@ -173,6 +173,15 @@ def enrich(rules: DataFrame) -> DataFrame:
     return named.select("*", F.array(citation).alias("citations"), F.when(name.isNotNull(), species).alias("species"), candidate.alias("candidate"))
 
 
-def audit_sample(rules: DataFrame, n: int, chars: int = 600) -> DataFrame:
-    """The first n rules in rule order, shortened for review."""
-    return rules.orderBy(*rule_order(rules)).limit(n).select("rule_key", "rule_type", "species_common_name", "metric_type", "metric_value", F.substring("description", 1, chars).alias("description"))
+def audit_sample(rules: DataFrame, n: int) -> DataFrame:
+    """The first n rules in rule order, with the twenty fields a reviewer is shown, long texts shortened; what rules lack is null."""
+    given = lambda c, kind="string": F.col(c) if c in rules.columns else F.lit(None).cast(kind)
+    cut = lambda c, most: F.substring(F.coalesce(given(c), F.lit("")), 1, most).alias(c)
+    also = [F.col("seq")] if "seq" in rules.columns else []
+    return rules.orderBy(*rule_order(rules), *also).limit(n).select(
+        "rule_key", "rule_type", given("title").alias("title"), cut("description", 700), cut("source_excerpt", 700), cut("source_context", 1600),
+        citation_quote(rules, 500).alias("current_quote"), given("legal_reference").alias("legal_reference"), given("valid_from", "date").alias("valid_from"), given("valid_to", "date").alias("valid_to"),
+        given("effective_date_quote").alias("effective_date_quote"), given("metric_type").alias("metric_type"), given("metric_value", "double").alias("metric_value"), given("metric_unit").alias("metric_unit"),
+        "species_common_name", F.coalesce("zone_code", F.lit("")).alias("zone_code"), given("source_priority", "int").alias("source_priority"), given("source_url").alias("source_url"), given("source_title").alias("source_title"),
+        F.coalesce(given("needs_manual_review", "boolean"), F.lit(False)).alias("needs_manual_review"),
+    )

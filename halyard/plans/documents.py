@@ -103,13 +103,22 @@ def link_best(spark, d):
     return pages.best_per_url(_candidates(spark, d)).select("url", "score")
 
 
-@plans.add(STATUS + """, h AS (SELECT DISTINCT regexp_extract(url, '([a-z0-9-]+\\.[a-z]+)(?:/|$|\\?|#)', 1) AS host FROM pages), x AS (SELECT host, count(DISTINCT url) AS n_existing FROM h JOIN pages ON regexp_matches(url, '^[a-z]+://([^/?#]*\\.)?' || host || '([/?#]|$)') GROUP BY 1),
-y AS (SELECT host, count(*) AS n_candidates, count(*) FILTER (status = 'auto_accepted') AS n_accepted FROM h JOIN f ON regexp_matches(dst_url, '^[a-z]+://([^/?#]*\\.)?' || host || '([/?#]|$)') GROUP BY 1)
-SELECT host, coalesce(n_existing, 0) AS n_existing, coalesce(n_candidates, 0) AS n_candidates, coalesce(n_accepted, 0) AS n_accepted FROM h LEFT JOIN x USING (host) LEFT JOIN y USING (host)""")
+@plans.add(STATUS + " SELECT status, count(*) AS n FROM f GROUP BY 1")
+def status_counts(spark, d):
+    return pages.status_counts(_candidates(spark, d))
+
+
+HOSTED = "regexp_matches({}, '^[a-z]+://([^/?#]*\\.)?' || host || '([/?#]|$)')"
+
+
+@plans.add(STATUS + f""", h AS (SELECT DISTINCT regexp_extract(url, '([a-z0-9-]+\\.[a-z]+)(?:/|$|\\?|#)', 1) AS host FROM pages), x AS (SELECT host, count(DISTINCT url) AS n_existing FROM h JOIN pages ON {HOSTED.format("url")} GROUP BY 1),
+y AS (SELECT host, count(*) AS n_candidates, count(*) FILTER (status = 'auto_accepted') AS n_accepted FROM h JOIN f ON {HOSTED.format("dst_url")} GROUP BY 1),
+z AS (SELECT host, string_agg(dst_url, ' ' ORDER BY status, score DESC, dst_url) AS urls FROM (SELECT host, dst_url, status, score FROM h JOIN f ON {HOSTED.format("dst_url")} QUALIFY row_number() OVER (PARTITION BY host ORDER BY status, score DESC, dst_url) <= 20) GROUP BY 1)
+SELECT host, coalesce(n_existing, 0) AS n_existing, coalesce(n_candidates, 0) AS n_candidates, coalesce(n_accepted, 0) AS n_accepted, coalesce(urls, '') AS urls FROM h LEFT JOIN x USING (host) LEFT JOIN y USING (host) LEFT JOIN z USING (host)""")
 def domain_coverage(spark, d):
     p = table(spark, d, "pages")
     hosts = p.select(F.regexp_extract(X.host_of(F.col("url")), r"([a-z0-9-]+\.[a-z]+)$", 1).alias("host")).distinct()
-    return pages.domain_coverage(hosts, p.select("url"), _candidates(spark, d)).select("host", "n_existing", "n_candidates", "n_accepted")
+    return pages.domain_coverage(hosts, p.select("url"), _candidates(spark, d)).select("host", "n_existing", "n_candidates", "n_accepted", F.array_join("urls", " ").alias("urls"))
 
 
 def _ranked_sql() -> str:
@@ -372,10 +381,10 @@ def quality_conflict(spark, d):
     return quality.metric_conflicts(_rules(spark, d))
 
 
-@plans.add(f"WITH {R_CTE} SELECT rule_key AS key, count(*) AS n FROM r GROUP BY 1 HAVING n > 1 UNION ALL SELECT title, count(*) FROM r WHERE title <> '' GROUP BY 1")
+@plans.add(f"WITH {R_CTE} SELECT rule_key AS key, count(*) AS n FROM r GROUP BY 1 HAVING n > 1 UNION ALL SELECT title, count(*) FROM r WHERE title <> '' GROUP BY 1 UNION ALL SELECT coalesce(zone_code, 'UNKNOWN'), count(*) FROM r GROUP BY 1")
 def quality_counts(spark, d):
     r = _rules(spark, d)
-    return quality.duplicate_keys(r).withColumnRenamed("rule_key", "key").union(quality.count_by(r, "title"))
+    return quality.duplicate_keys(r).withColumnRenamed("rule_key", "key").union(quality.count_by(r, "title")).union(quality.count_zones(r))
 
 
 @plans.add(f"WITH {R_CTE} SELECT count(*) AS n_rules, count(*) FILTER (review) AS n_review, count(*) FILTER (k % 6 = 0) AS n_dated, count(*) FILTER (k % 6 > 0) AS n_undated, count(*) FILTER (k % 12 = 0) AS n_dated_by_audit, count(*) FILTER (k % 12 = 6) AS n_dated_by_parser FROM r")
@@ -391,15 +400,21 @@ def quality_categories(spark, d):
 
 
 WANTED = [
-    {"id": "sizes", "severity": "error", "any_of": [{"rule_type": "min_size", "metric_value": "3"}, {"title_contains": "TITRE 7"}]},
+    {"id": "sizes", "severity": "error", "any_of": [{"rule_type": "min_size", "metric_value": "3"}, {"label": "no filter", "title_contains": "TITRE 7"}]},
     {"id": "one", "label": "Species", "species_common_name": "SEP3"},
     {"id": "none", "any_of": [{"rule_type": "PROTECTED_SPECIES"}]},
+    {"id": "lacking", "label": "Authority", "severity": "error", "authority_name": "DIRM", "rule_type": "QUOTA"},
+    {"id": "empty", "authority_name": "", "source_priority": 3, "needs_manual_review": True},
 ]
 
 
-@plans.add(f"""WITH {R_CTE}, m AS (SELECT 'sizes' AS id, 'sizes' AS label, 'error' AS severity, rule_key FROM r WHERE (rule_type = 'MIN_SIZE' AND metric_value = 3) OR contains(lower(strip_accents(title)), 'titre 7') UNION ALL SELECT 'one', 'Species', 'warning', rule_key FROM r WHERE folded = 'sep3')
-SELECT id, label, severity, count(*) AS n_matched, string_agg(DISTINCT rule_key, ',' ORDER BY rule_key) AS matched_rule_keys, true AS met FROM m GROUP BY ALL UNION ALL SELECT 'none', 'none', 'warning', 0, '', false""")
+@plans.add(f"""WITH {R_CTE}, m AS (SELECT 'sizes' AS id, 'sizes' AS label, 'error' AS severity, rule_key FROM r WHERE (rule_type = 'MIN_SIZE' AND metric_value = 3) OR contains(lower(strip_accents(title)), 'titre 7') UNION ALL SELECT 'one', 'Species', 'warning', rule_key FROM r WHERE folded = 'sep3'
+UNION ALL SELECT 'empty', 'empty', 'warning', rule_key FROM r WHERE prio = 3 AND review)
+SELECT id, label, severity, count(*) AS n_matched, string_agg(DISTINCT rule_key, ',' ORDER BY rule_key) AS matched_rule_keys, true AS met, NULL AS filters FROM m GROUP BY ALL
+UNION ALL SELECT 'none', 'none', 'warning', 0, '', false, '[{{"rule_type": "PROTECTED_SPECIES"}}]' UNION ALL SELECT 'lacking', 'Authority', 'error', 0, '', false, '{{"authority_name": "DIRM", "rule_type": "QUOTA"}}'
+UNION ALL SELECT 'empty', 'empty', 'warning', 0, '', false, '{{"authority_name": "", "source_priority": 3, "needs_manual_review": true}}' WHERE NOT EXISTS (SELECT 1 FROM m WHERE id = 'empty')""")
 def expectations(spark, d):
+    """One asks for a field rules lack, one that it be empty."""
     return quality.expectations(_rules(spark, d), WANTED).withColumn("matched_rule_keys", F.array_join("matched_rule_keys", ","))
 
 
@@ -421,10 +436,11 @@ def run_summary(spark, d):
     return quality.run_summary(rich, rich.select("document_hash").distinct(), rich.select("candidate"), rich.select(F.explode("citations")), links, rich.where("seq % 100 = 0"))
 
 
-@plans.add(f"WITH {R_CTE} SELECT rule_key, rule_type, species AS species_common_name, description[1:20] AS description FROM r ORDER BY coalesce(zone_code, 'ZZZ'), coalesce(nullif(folded, ''), 'zzzz'), CASE rule_type WHEN 'PRACTICE_RULE' THEN 25 WHEN 'MIN_SIZE' THEN 30 WHEN 'QUOTA' THEN 40 ELSE 50 END, rank, rule_key, seq LIMIT 200")
+@plans.add(f"""WITH {R_CTE} SELECT rule_key, rule_type, title, description, description AS source_excerpt, description || CASE WHEN k % 2 = 0 THEN ' und so' ELSE '' END AS source_context, description AS current_quote, CASE WHEN k % 3 = 0 THEN 'ref' END AS legal_reference,
+  CASE WHEN k % 6 = 0 THEN DATE '2026-05-01' END AS valid_from, CASE WHEN k % 12 = 0 THEN DATE '2026-04-01' END AS valid_to, NULL::VARCHAR AS effective_date_quote, metric_type, metric_value::DOUBLE AS metric_value, metric_unit, species AS species_common_name, coalesce(zone_code, '') AS zone_code, prio::INTEGER AS source_priority, source_url, NULL::VARCHAR AS source_title, review AS needs_manual_review
+FROM r ORDER BY coalesce(zone_code, 'ZZZ'), coalesce(nullif(folded, ''), 'zzzz'), CASE rule_type WHEN 'PRACTICE_RULE' THEN 25 WHEN 'MIN_SIZE' THEN 30 WHEN 'QUOTA' THEN 40 ELSE 50 END, rank, rule_key, seq LIMIT 200""")
 def audit_sample(spark, d):
-    first = _rules(spark, d).withColumn("_k", F.col("seq"))
-    return first.orderBy(*rules.rule_order(first), "_k").limit(200).select("rule_key", "rule_type", "species_common_name", F.substring("description", 1, 20).alias("description"))
+    return rules.audit_sample(_rules(spark, d), 200)
 
 
 @plans.add(f"WITH {R_CTE} SELECT seq FROM r WHERE zone_code IS NULL OR species IS NULL")
@@ -559,29 +575,35 @@ def _history(spark, d):
 
 
 def _incoming(spark, d):
-    """A quarter of the rules, in turn as they are, as they were, and changed."""
+    """A quarter of the rules, in turn as they are, as they were, and changed; half of them with a status."""
     k = F.col("c_custkey")
     r = F.floor(k / 3)
     fp = F.when(r % 3 == 0, k).when(r % 3 == 1, k + 1).otherwise(k + 500_000_000)
-    return table(spark, d, "customer").where((k % 3 == 0) & (r % 4 == 0)).select(F.concat(F.lit("r"), r.cast("string")).alias("rule_key"), F.concat(F.lit("f"), fp.cast("string")).alias("rule_fingerprint"))
+    key = F.concat(F.lit("r"), r.cast("string")).alias("rule_key")
+    return table(spark, d, "customer").where((k % 3 == 0) & (r % 4 == 0)).select(key, F.concat(F.lit("f"), fp.cast("string")).alias("rule_fingerprint"), F.when(r % 8 == 0, "checked").alias("status"), (r % 5 == 0).alias("needs_manual_review"))
 
 
-V_CTE = """h AS (SELECT 'r' || (c_custkey // 3) AS rk, 'f' || c_custkey AS fp, c_custkey % 3 = 0 AND c_custkey % 10 > 0 AS cur FROM customer), i AS (SELECT 'r' || (c_custkey // 3) AS rk, 'f' || CASE c_custkey // 3 % 3 WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey + 1 ELSE c_custkey + 500000000 END AS fp FROM customer WHERE c_custkey % 3 = 0 AND c_custkey // 3 % 4 = 0)"""
+V_CTE = """h AS (SELECT 'r' || (c_custkey // 3) AS rk, 'f' || c_custkey AS fp, c_custkey % 3 = 0 AND c_custkey % 10 > 0 AS cur FROM customer), i AS (SELECT 'r' || (c_custkey // 3) AS rk, 'f' || CASE c_custkey // 3 % 3 WHEN 0 THEN c_custkey WHEN 1 THEN c_custkey + 1 ELSE c_custkey + 500000000 END AS fp,
+  CASE WHEN c_custkey // 3 % 8 = 0 THEN 'checked' WHEN c_custkey // 3 % 5 = 0 THEN 'needs_review' ELSE 'published' END AS st FROM customer WHERE c_custkey % 3 = 0 AND c_custkey // 3 % 4 = 0)"""
 NOW = "2026-03-01"
 
 
-@plans.add(f"""WITH {V_CTE}, b AS (SELECT coalesce(h.rk, i.rk) AS rk, coalesce(h.fp, i.fp) AS fp, h.rk IS NOT NULL AS old, i.rk IS NOT NULL AS seen, coalesce(cur, false) AS cur FROM h FULL JOIN i ON h.rk = i.rk AND h.fp = i.fp)
-SELECT rk AS rule_key, fp AS rule_fingerprint, CASE WHEN seen THEN true WHEN cur AND rk IN (SELECT rk FROM i) THEN false ELSE cur END AS is_current, CASE WHEN seen THEN 'active' WHEN NOT cur OR rk IN (SELECT rk FROM i) THEN 'superseded' ELSE 'active' END AS status,
-  CASE WHEN NOT old OR (seen AND NOT cur) THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '2026-01-01' END AS observed_from, CASE WHEN seen THEN NULL WHEN cur AND rk IN (SELECT rk FROM i) THEN TIMESTAMP '{NOW}' WHEN cur THEN NULL ELSE TIMESTAMP '2026-02-01' END AS observed_to, CASE WHEN seen THEN 'run1' ELSE 'run0' END AS last_seen_run_id FROM b""")
+@plans.add(f"""WITH {V_CTE}, b AS (SELECT coalesce(h.rk, i.rk) AS rk, coalesce(h.fp, i.fp) AS fp, h.rk IS NOT NULL AS old, st, coalesce(cur, false) AS cur FROM h FULL JOIN i ON h.rk = i.rk AND h.fp = i.fp)
+SELECT rk AS rule_key, fp AS rule_fingerprint, CASE WHEN st IS NOT NULL THEN true WHEN rk IN (SELECT rk FROM i) THEN false ELSE cur END AS is_current, coalesce(st, CASE WHEN cur THEN 'active' ELSE 'superseded' END) AS status,
+  CASE WHEN NOT old THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '2026-01-01' END AS observed_from, CASE WHEN st IS NOT NULL THEN NULL WHEN cur AND rk IN (SELECT rk FROM i) THEN TIMESTAMP '{NOW}' WHEN cur THEN NULL ELSE TIMESTAMP '2026-02-01' END AS observed_to, CASE WHEN st IS NOT NULL THEN 'run1' ELSE 'run0' END AS last_seen_run_id FROM b""")
 def scd2_sync(spark, d):
-    return versions.sync_versions(_history(spark, d), _incoming(spark, d), "run1", F.lit(NOW).cast("timestamp"))
+    """In a history kept in folders by bucket of the rule."""
+    path, buckets = scratch(spark, "history"), 16
+    _history(spark, d).withColumn("bucket", F.pmod(F.xxhash64("rule_key"), F.lit(buckets)).cast("int")).write.partitionBy("bucket").parquet(path)
+    versions.sync_table(spark, path, _incoming(spark, d), "run1", F.lit(NOW).cast("timestamp"), buckets)
+    return spark.read.parquet(path).drop("bucket")
 
 
 @plans.add(f"""WITH {V_CTE} SELECT rk AS rule_key, fp AS rule_fingerprint, cur AND rk IN (SELECT rk FROM i) AS is_current, CASE WHEN cur AND rk NOT IN (SELECT rk FROM i) THEN 'possibly_removed' WHEN cur THEN 'active' ELSE 'superseded' END AS status,
-  CASE WHEN cur AND rk NOT IN (SELECT rk FROM i) THEN TIMESTAMP '{NOW}' WHEN cur THEN NULL ELSE TIMESTAMP '2026-02-01' END AS observed_to FROM h""")
+  CASE WHEN cur AND rk NOT IN (SELECT rk FROM i) THEN TIMESTAMP '{NOW}' WHEN cur THEN NULL ELSE TIMESTAMP '2026-02-01' END AS observed_to, CASE WHEN cur AND rk NOT IN (SELECT rk FROM i) THEN 'run1' ELSE 'run0' END AS last_seen_run_id FROM h""")
 def scd2_missing(spark, d):
-    done = versions.close_missing(_history(spark, d), _incoming(spark, d), F.lit(NOW).cast("timestamp"))
-    return done.select("rule_key", "rule_fingerprint", "is_current", "status", "observed_to")
+    done = versions.close_missing(_history(spark, d), _incoming(spark, d), "run1", F.lit(NOW).cast("timestamp"))
+    return done.select("rule_key", "rule_fingerprint", "is_current", "status", "observed_to", "last_seen_run_id")
 
 
 def _fetches(spark, d):
@@ -606,21 +628,37 @@ def rule_reuse(spark, d):
     return kept.union(lost.withColumn("origin", F.lit("lost")))
 
 
-@plans.add(f"""WITH {R_CTE} SELECT seq, CASE WHEN k % 3 > 0 THEN sha256(text) END AS document_hash, CASE WHEN k % 3 > 0 THEN length(text) END::BIGINT AS content_length FROM r LEFT JOIN (SELECT doc_id, text FROM documents WHERE doc_id % 3 > 0) ON doc_id = k""")
+@plans.add(f"""WITH {R_CTE}, x AS (SELECT seq, k, document_hash, k % 2 = 0 AS had, doc_id IS NOT NULL AS got, text FROM r LEFT JOIN (SELECT doc_id, text FROM documents WHERE doc_id % 3 > 0) ON doc_id = k)
+SELECT seq, coalesce(sha256(text), document_hash) AS document_hash, CASE WHEN got AND k % 5 > 0 THEN 'c' || k WHEN had THEN 'old' END AS content_hash, CASE WHEN got THEN seq::VARCHAR WHEN had THEN 'old url' END AS canonical_url, length(text)::BIGINT AS content_length,
+  CASE WHEN got AND k % 7 > 0 THEN 'e' || k WHEN had THEN 'old' END AS etag, CASE WHEN got THEN CASE WHEN k % 4 = 0 THEN 'ok' END WHEN had THEN 'old' END AS fetch_status, CASE WHEN got THEN TIMESTAMP '{NOW}' END AS fetched_at FROM x""")
 def document_attach(spark, d):
-    """Parts as rules with the document of their number, a third of which are not known."""
-    docs = table(spark, d, "documents").where("doc_id % 3 > 0").select(F.col("doc_id").cast("string").alias("url"), F.sha2("text", 256).alias("document_hash"), F.length("text").cast("long").alias("content_length"), F.lit(NOW).cast("timestamp").alias("fetched_at"))
-    own = _rules(spark, d).select("seq", F.col("seq").cast("string").alias("url"))
-    return versions.attach_documents(own, docs).select("seq", "document.document_hash", "document.content_length")
+    """Parts as rules with the document of their number, a third of which are not known; every other rule had a document before."""
+    k = F.col("doc_id")
+    text = lambda c, p: F.concat(F.lit(p), c.cast("string"))
+    docs = table(spark, d, "documents").where("doc_id % 3 > 0").select(
+        k.cast("string").alias("url"), F.sha2("text", 256).alias("document_hash"), F.when(k % 5 > 0, text(k, "c")).otherwise("").alias("content_hash"), F.length("text").cast("long").alias("content_length"),
+        F.when(k % 7 > 0, text(k, "e")).alias("etag"), F.when(k % 4 == 0, "ok").alias("fetch_status"), F.lit(NOW).cast("timestamp").alias("fetched_at"),
+    )
+    before = F.struct(*[F.lit(v).alias(c) for c, v in (("content_hash", "old"), ("canonical_url", "old url"), ("etag", "old"), ("fetch_status", "old"))])
+    own = _rules(spark, d).select("seq", "document_hash", F.col("seq").cast("string").alias("url"), F.when(F.col("seq") % 2 == 0, before).alias("document"))
+    return versions.attach_documents(own, docs).select("seq", "document_hash", *[F.col(f"document.{c}").alias(c) for c in ("content_hash", "canonical_url", "content_length", "etag", "fetch_status", "fetched_at")])
 
 
-@plans.add(f"""WITH {R_CTE} SELECT seq, CASE k % 3 WHEN 0 THEN 0.9 WHEN 1 THEN 0.4 END::DOUBLE AS audit_score, CASE WHEN k % 3 < 2 AND k % 2 = 0 THEN description END AS quote, coalesce(k % 3 < 2 AND (k % 3 = 1 OR k % 6 = 0), false) OR review AS needs_manual_review FROM r""")
+@plans.add(f"""WITH {R_CTE}, x AS (SELECT *, k % 3 < 2 AS a, k % 3 < 2 AND k % 7 > 0 AS s FROM r)
+SELECT seq, CASE WHEN s THEN CASE k % 3 WHEN 0 THEN 0.9 ELSE 0.4 END END::DOUBLE AS confidence_score, CASE WHEN s AND k % 2 = 0 THEN description END AS selected_quote, CASE WHEN k % 6 = 0 THEN DATE '2026-05-01' WHEN s AND k % 4 = 0 THEN DATE '2026-07-01' END AS valid_from,
+  CASE WHEN s AND k % 4 = 0 THEN 'ai' WHEN k % 12 = 0 THEN 'ai' WHEN k % 6 = 0 THEN 'parser:title' END AS effective_date_source, CASE WHEN s AND k % 4 = 0 THEN description END AS effective_date_quote, CASE WHEN s AND k % 4 = 0 THEN CASE WHEN k % 3 = 0 THEN 0.9 ELSE 0.4 END END::DOUBLE AS effective_date_confidence,
+  review OR (s AND k % 3 = 1) OR (a AND k % 6 = 0) AS needs_manual_review, concat_ws(',', CASE WHEN k % 5 = 0 THEN 'flag' END, CASE WHEN s AND k % 3 = 1 THEN 'ai_low_confidence' END, CASE WHEN a AND k % 6 = 0 THEN 'ai_odd' END) AS flags FROM x""")
 def audit_apply(spark, d):
+    """Two of three rules are audited, some without a score; quotes and date quotes that stand in the rule and that don't; a sixth of the rules have a date of their own."""
     r = _rules(spark, d).withColumn("rule_key", F.col("seq").cast("string"))
     k = F.col("seq")
-    issue = F.when(k % 6 == 0, F.array(F.struct(F.lit("odd").alias("code"), F.lit("warning").alias("severity")))).otherwise(F.array().cast("array<struct<code:string,severity:string>>"))
-    audit = r.where("seq % 3 < 2").select("rule_key", F.when(k % 3 == 0, 90.0).otherwise(0.4).alias("score"), F.when(k % 2 == 0, F.col("description")).otherwise("not there").alias("quote"), F.lit("2026-07-01").cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), issue.alias("issues"))
-    return versions.apply_audit(r, audit).select("seq", "audit_score", "quote", "needs_manual_review")
+    issue = F.when(k % 6 == 0, F.array(F.struct(F.lit("odd").alias("category"), F.lit("warning").alias("severity")))).otherwise(F.array().cast("array<struct<category:string,severity:string>>"))
+    audit = r.where("seq % 3 < 2").select(
+        "rule_key", F.when(k % 7 > 0, F.when(k % 3 == 0, 90.0).otherwise(0.4)).alias("score"), F.when(k % 2 == 0, F.replace("description", F.lit(" "), F.lit("\u00a0 "))).otherwise("not there").alias("quote"),
+        F.lit("1er juillet 2026").alias("valid_from"), F.when(k % 4 == 0, F.col("description")).otherwise("nowhere").alias("date_quote"), F.lit(0.0).alias("date_confidence"), issue.alias("issues"),
+    )
+    done = versions.apply_audit(r, audit)
+    return done.select("seq", "confidence_score", "selected_quote", "valid_from", "effective_date_source", "effective_date_quote", "effective_date_confidence", "needs_manual_review", F.array_join("quality_flags", ",").alias("flags"))
 
 
 @plans.add("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'existing' WHEN page_id % 2 = 0 AND page_id % 5 > 1 THEN 'auto_accepted' ELSE 'candidate' END AS status FROM pages""")
@@ -638,16 +676,26 @@ def species_bridge(spark, d):
     return versions.species_links(table(spark, d, "part").select(F.concat(F.lit("rule"), k.cast("string")).alias("rule_key"), F.array(one(k), one(k + 1), one(k)).alias("species")))[1]
 
 
-@plans.add(f"WITH {R_CTE} SELECT DISTINCT 'd' || (k % 50) AS document_hash, (('0x' || sha1(description)[1:8])::BIGINT % 2147483647 + 1)::BIGINT AS chunk_index, description AS content, ceil(length(description) / 4)::BIGINT AS token_estimate FROM r")
+def _cited(spark, d):
+    """Rules, one a key; every other with citations, of which some lack the quote, and some the content's hash."""
+    k = F.col("seq")
+    made = lambda quote: F.struct(F.lit("first").alias("source_url"), quote.alias("quote"), F.lit("L").alias("locator"), F.lit("dh").alias("document_hash"), F.when(k % 8 > 0, "own").alias("content_hash"))
+    r = rules.dedupe_keys(_rules(spark, d)).withColumn("content_hash", F.concat(F.lit("ch"), (k % 9).cast("string")))
+    return r.withColumn("citations", F.when(k % 2 == 0, F.array(made(F.when(k % 4 == 0, "").otherwise("two\u00a0words")), made(F.lit("second")))))
+
+
+CITED_CTE = f"WITH {R_CTE}, b AS (SELECT *, k % 2 = 0 AS own, CASE WHEN k % 4 = 0 THEN '' WHEN k % 2 = 0 THEN 'two\u00a0words' ELSE description END AS q FROM (SELECT * FROM r {ONCE})), c AS (SELECT *, CASE WHEN own THEN 'L' WHEN k % 3 = 0 THEN 'ref' ELSE rule_key END AS loc, CASE WHEN own THEN 'dh' ELSE 'legacy:' || source_url END AS dh FROM b)"
+
+
+@plans.add(CITED_CTE + """, i AS (SELECT *, ('0x' || sha1(rule_key)[1:8])::BIGINT % 2147483647 + 1 AS n, CASE WHEN q = '' THEN description ELSE q END AS said FROM c)
+SELECT rule_key, dh || ':' || rule_key || ':' || n AS chunk_hash, dh AS document_hash, n::BIGINT AS chunk_index, said AS text_excerpt, len(string_split(replace(said, chr(160), ' '), ' '))::BIGINT AS token_estimate, loc AS locator FROM i""")
 def chunk_index(spark, d):
-    return versions.chunk_rows(_rules(spark, d))
+    return versions.chunk_rows(_cited(spark, d))
 
 
-@plans.add(f"WITH {R_CTE} SELECT seq::VARCHAR AS rule_key, CASE WHEN k % 2 = 0 THEN 'first' ELSE 'https://www.x.gouv.fr/' || (k % 50) END AS url, CASE WHEN k % 2 = 0 THEN 'q' ELSE description END AS quote FROM r")
+@plans.add(CITED_CTE + " SELECT rule_key, CASE WHEN own THEN 'first' ELSE source_url END AS source_url, q AS quote, loc AS locator, dh AS document_hash, CASE WHEN own AND k % 8 > 0 THEN 'own' ELSE 'ch' || (k % 9) END AS content_hash FROM c")
 def citation_first(spark, d):
-    cite = F.array(F.struct(F.lit("first").alias("url"), F.lit("q").alias("quote")), F.struct(F.lit("second").alias("url"), F.lit("q").alias("quote")))
-    r = _rules(spark, d).withColumn("rule_key", F.col("seq").cast("string"))
-    return versions.primary_citation(r.withColumn("citations", F.when(F.col("seq") % 2 == 0, cite)))
+    return versions.primary_citation(_cited(spark, d)).select("rule_key", "source_url", "quote", "locator", "document_hash", "content_hash")
 
 
 @plans.add("SELECT source_id, url, prio::INTEGER AS source_priority FROM (SELECT 's' || s_suppkey AS source_id, 'u' || (s_suppkey % 60) AS url, s_suppkey % 4 AS prio, 0 AS o FROM supplier UNION ALL SELECT 'c' || c_custkey, 'u' || (c_custkey % 90), c_custkey % 5, 1 FROM customer WHERE c_custkey % 3 > 0) QUALIFY row_number() OVER (PARTITION BY url ORDER BY prio, o, source_id) = 1")

@@ -9,6 +9,7 @@ from halyard.functions import numbers
 from halyard.operators import alerts as A
 from halyard.operators import consolidate, merge, tides, training
 from halyard.plans.adapters import METRICS, SV, WIDE, Plans, rounded, run_time, source_values, table
+from halyard.staging import scratch
 
 plans = Plans()
 
@@ -158,9 +159,14 @@ def horizon_and_dates(spark, d):
 @plans.add(f"""WITH {SV}, old AS (SELECT * FROM nv WHERE event_id % 3 > 0), new AS (SELECT event_id, spot_id, source_code, valid_time, metric, fetched_at, value + 1 AS value FROM nv WHERE event_id % 3 < 2 AND event_id % 11 > 0)
 SELECT event_id, spot_id, metric, round(value, 6) AS value, fetched_at FROM new UNION ALL SELECT event_id, spot_id, metric, round(value, 6), fetched_at FROM old WHERE event_id NOT IN (SELECT event_id FROM new)""")
 def upsert_merge(spark, d):
+    """Into a table in folders by a share of the ids, of which one gets no rows; every new row comes twice, with a lower value too."""
+    path, bucket = scratch(spark, "upserted"), (F.col("event_id") % 3).cast("int").alias("bucket")
     v = normal(spark, d).select("event_id", "spot_id", "metric", "value", "fetched_at")
     new = v.where("event_id % 3 < 2").select(F.when(F.col("event_id") % 11 > 0, F.col("event_id")).alias("event_id"), "spot_id", "metric", (F.col("value") + 1).alias("value"), "fetched_at")
-    return rounded(merge.upsert(v.where("event_id % 3 > 0"), new, ["event_id"], ("fetched_at",)), 6)
+    twice = new.union(new.withColumn("value", F.col("value") - 6)).select("*", bucket)
+    v.where("event_id % 3 > 0").select("*", bucket).write.partitionBy("bucket").parquet(path)
+    merge.upsert_table(spark, path, twice, ["event_id"], "bucket", ("fetched_at",))
+    return rounded(spark.read.parquet(path).drop("bucket"), 6)
 
 
 @plans.add(f"""WITH {SV}, w AS (SELECT spot_id, valid_time, count(*) AS n FROM nv GROUP BY ALL), u AS (
@@ -185,7 +191,11 @@ def keep_last(spark, d):
 
 @plans.add(f"""WITH {SV} SELECT event_id, valid_time FROM nv WHERE valid_time >= TIMESTAMP '2024-01-13 06:30:00'""")
 def retention_rows(spark, d):
-    return merge.expire_rows(normal(spark, d), run_time() - F.expr("interval 48 hours")).select("event_id", "valid_time")
+    """From a table in folders by day."""
+    path = scratch(spark, "retained")
+    normal(spark, d).select("event_id", "valid_time", F.to_date("valid_time").alias("day")).write.partitionBy("day").parquet(path)
+    merge.expire_table(spark, path, "day", run_time() - F.expr("interval 48 hours"))
+    return spark.read.parquet(path).select("event_id", "valid_time")
 
 
 @plans.add("""SELECT o.o_orderkey, o.o_custkey FROM orders o WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal > 0)""")
@@ -194,11 +204,14 @@ def orphan_delete(spark, d):
     return merge.drop_orphans(table(spark, d, "orders").select("o_orderkey", "o_custkey"), live, "o_custkey")
 
 
-@plans.add("""WITH n AS (SELECT l_orderkey, l_linenumber + 100 AS line, l_quantity AS q FROM lineitem WHERE l_orderkey % 10 = 0)
-SELECT l_orderkey, l_linenumber AS line, l_quantity AS q FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT * FROM n""")
+@plans.add("""WITH n AS (SELECT l_orderkey, l_linenumber + 100 AS line, 'new' AS quote, 'u' || l_linenumber AS source_url FROM lineitem WHERE l_orderkey % 10 = 0 AND l_orderkey % 30 > 0 AND l_linenumber <> 2)
+SELECT l_orderkey, l_linenumber AS line, 'old' AS quote, 'u' || l_linenumber AS source_url FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT * FROM n""")
 def replace_children(spark, d):
-    old = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("q"))
-    new = old.where("l_orderkey % 10 = 0").withColumn("line", F.col("line") + 100)
+    """New lines of every tenth order; those of every thirtieth have blank quotes, second lines no address."""
+    k, line = F.col("l_orderkey"), F.col("l_linenumber")
+    old = table(spark, d, "lineitem").select(k, line.alias("line"), F.lit("old").alias("quote"), F.concat(F.lit("u"), line.cast("string")).alias("source_url"))
+    quote = F.when(k % 30 == 0, F.when(k % 60 == 0, " \u00a0")).otherwise("new")
+    new = old.where("l_orderkey % 10 = 0").select("l_orderkey", (F.col("line") + 100).alias("line"), quote.alias("quote"), F.when(F.col("line") != 2, F.col("source_url")).alias("source_url"))
     return merge.replace_children(old, new, "l_orderkey")
 
 
@@ -397,4 +410,16 @@ def alert_log(spark, d):
     return A.notification_log(A.digests(hits, forecasts, ["water_temperature_c"]), emails, run_time())
 
 
+@plans.add(f"""WITH {ALERT_CTE}, quiet AS ({ANTI}), became AS (SELECT id, CASE WHEN id NOT IN (SELECT id FROM quiet) THEN 'sent before' WHEN id NOT IN (SELECT id FROM win) THEN 'no window' WHEN id IN (SELECT alert_id FROM hits) THEN 'triggered' ELSE 'quiet' END AS outcome FROM al)
+SELECT count(*) AS alerts_active, count(*) FILTER (outcome = 'triggered') AS alerts_triggered, count(*) FILTER (outcome = 'sent before') AS skipped_already_sent, 0::BIGINT AS skipped_no_spots, count(*) FILTER (outcome = 'no window') AS skipped_no_forecast_overlap,
+  count(*) FILTER (id IN (SELECT alert_id FROM hits) AND id IN (SELECT id FROM quiet) AND id % 3 = 0) AS emails_sent, count(*) FILTER (id IN (SELECT alert_id FROM hits) AND id IN (SELECT id FROM quiet) AND id % 3 > 0) AS emails_failed,
+  (SELECT min(target_date) FROM wide) AS min_target_date, (SELECT max(target_date) FROM wide) AS max_target_date FROM became""")
+def alert_counters(spark, d):
+    alerts, _, window, forecasts, hits = _hits(spark, d)
+    sent = _notifications(spark, d).where("notification_type = 'email' and status = 'sent' and sent_at >= '1997-06-01'")
+    emails = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("alert_id"), F.col("c_name").alias("email"))
+    log = A.notification_log(A.digests(hits, forecasts, ["water_temperature_c"]), emails, run_time())
+    return A.run_counters(alerts, sent, window, hits, log, forecasts)
+
+
 QUERIES, ORACLE_SQL = plans.queries, plans.sql

@@ -10,6 +10,7 @@ from halyard.functions.numbers import circular_mean
 from halyard.operators.consolidate import known
 from halyard.registry import CIRCULAR, COLUMN
 from halyard.schemas import SOURCE_VALUES
+from halyard.streaming import versions
 
 
 def landed_stream(spark: SparkSession, path: str, schema: str = SOURCE_VALUES, fmt: str = "json", files_per_batch: int = 100) -> DataFrame:
@@ -39,51 +40,55 @@ def hourly_stream(values: DataFrame, metrics: tuple[str, ...], late: str = "6 ho
 def upsert_stream(stream: DataFrame, path: str, keys: list[str], checkpoint: str, seq: str) -> StreamingQuery:
     """Each batch's last row of a key replaces the table's.
 
-    A batch is written as a version of the keys it has, under batch=; readers
-    take the last version (``current_rows``). So a batch that runs again writes
-    the same folder, and no table is rewritten as a whole.
+    A batch is written as a folder of the keys it has and then published in the
+    table's manifest; readers take a key's last version (``current_rows``). A
+    batch that runs again publishes its new folder in place of its old one, and
+    no table is rewritten as a whole.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         last = batch.groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), seq).alias("r")).select("r.*")
-        last.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        folder = versions.folder(batch_id)
+        last.withColumn("_batch", F.lit(batch_id).cast("long")).write.parquet(f"{path}/{folder}")
+        versions.publish(spark, path, lambda live: [f for f in live if versions.batches_of(f) != (batch_id, batch_id)] + [folder])
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _latest(rows: DataFrame, keys: list[str], seq: str | None) -> DataFrame:
-    last = F.struct(*([seq] if seq else []), "batch")
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), last).alias("r")).select(*keys, "r.*").drop("batch")
+    last = F.struct(*([seq] if seq else []), "_batch")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in keys]), last).alias("r")).select(*keys, "r.*")
 
 
 def current_rows(spark: SparkSession, path: str, keys: list[str], seq: str | None = None) -> DataFrame:
-    """The table's rows, one a key: of the highest seq, and of the last batch among these or without seq."""
-    return _latest(spark.read.parquet(path), keys, seq)
+    """The table's rows as the manifest stands now, one a key: of the highest seq, and of the last batch among these or without seq.
+
+    What is published or put together later doesn't change a table read before.
+    """
+    folders = versions.live(spark, path)
+    return _latest(spark.read.parquet(*[f"{path}/{f}" for f in folders]), keys, seq).drop("_batch")
 
 
 def compact_rows(spark: SparkSession, path: str, keys: list[str], upto: int, seq: str | None = None) -> None:
-    """Put the versions up to batch upto together as one, which holds each key's current row among them.
+    """Put the versions up to batch upto together as one folder, which holds each key's current row among them.
 
-    The new version is written beside the others and moved into place whole, as
-    a batch below all others; then the old ones go, oldest first. Readers get
-    the same rows at every moment; a run that is cut off is done again.
+    The folder is written beside the others and takes their place in the
+    manifest in one step. Nothing is deleted, so readers that have begun go on;
+    ``versions.vacuum`` deletes what no manifest names any more. A run that is
+    cut off leaves a folder nobody reads, and is done again.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = lambda name: jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-    fs = at("").getFileSystem(conf)
-    old = sorted(int(x.getPath().getName().removeprefix("batch=")) for x in fs.listStatus(at("")) if x.getPath().getName().startswith("batch="))
-    old = [n for n in old if n <= upto]
+    old = [f for f in versions.live(spark, path) if versions.batches_of(f)[1] <= upto]
     if len(old) < 2:
         return
-    staged, place = f"_compact-{upto}", f"batch={-upto - 1}"
-    rows = _latest(spark.read.parquet(path).where(F.col("batch") <= upto), keys, seq)
-    rows.write.mode("overwrite").parquet(f"{path}/{staged}")
-    if -upto - 1 in old:
-        old.remove(-upto - 1)
-    else:
-        fs.rename(at(staged), at(place))
-    for n in old:
-        fs.delete(at(f"batch={n}"), True)
-    fs.delete(at(staged), True)
+    folder = versions.folder(min(versions.batches_of(f)[0] for f in old), max(versions.batches_of(f)[1] for f in old))
+    _latest(spark.read.parquet(*[f"{path}/{f}" for f in old]), keys, seq).write.parquet(f"{path}/{folder}")
+
+    def swapped(live: list[str]) -> list[str]:
+        if not set(old) <= set(live):
+            raise RuntimeError("another run has put these versions together")
+        return [f for f in live if f not in old] + [folder]
+
+    versions.publish(spark, path, swapped)
 
 
 def once_a_day(alerts: DataFrame, key: str = "alert_id", time: str = "valid_time", late: str = "1 day") -> DataFrame:

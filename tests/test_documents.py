@@ -306,11 +306,21 @@ def test_row_issues_cover_every_check(spark):
 
 def test_expectations(spark):
     wanted = [{"id": "a", "severity": "error", "any_of": [{"species_common_name": "BÂR", "metric_value": "42"}]}, {"id": "b", "any_of": [{"description_contains": "Thön"}]}, {"label": "c", "rule_type": "min_size", "description_contains": "ENCORE"}]
-    got = {r["id"]: tuple(r)[2:] for r in quality.expectations(rule_rows(spark), wanted).collect()}
+    got = {r["id"]: tuple(r)[2:6] for r in quality.expectations(rule_rows(spark), wanted).collect()}
     assert got == {"a": ("error", 2, ["k1", "k2"], True), "b": ("warning", 0, [], False), "c": ("warning", 1, ["k2"], True)}
     assert quality.expectations(rule_rows(spark), []).count() == 0
-    with pytest.raises(ValueError):
-        quality.expectations(rule_rows(spark), [{"id": "c", "severity": "x", "any_of": [{"nothing": "1"}]}])
+    # a field that rules lack is empty; keys that only name a filter ask for nothing; what nobody meets comes with its filters
+    lacking = quality.expectations(rule_rows(spark), [{"id": "d", "severity": "error", "any_of": [{"label": "x", "nothing": "1"}, "no filter"]}, {"id": "e", "any_of": [{"id": "y", "nothing": ""}]}, {"id": "f", "any_of": []}])
+    got = {r["id"]: (r["n_matched"] > 0, r["filters"]) for r in lacking.collect()}
+    assert got == {"d": (False, '[{"label": "x", "nothing": "1"}, "no filter"]'), "e": (True, None), "f": (False, '{"any_of": []}')}
+    issues = [tuple(r) for r in quality.coverage_issues(lacking).orderBy("severity").collect()]
+    assert [i[:2] for i in issues] == [("error", "expected_coverage_missing"), ("warning", "expected_coverage_missing")] and "nothing" in issues[0][2]
+
+
+def test_rules_without_a_zone_are_counted(spark):
+    r = spark.createDataFrame([("a", "Z"), ("b", ""), ("c", None), ("d", "Z")], "rule_key string, zone_code string")
+    assert {tuple(x) for x in quality.count_zones(r).collect()} == {("Z", 2), ("UNKNOWN", 2)}
+    assert {tuple(x) for x in quality.count_by(r, "zone_code").collect()} == {("Z", 2)}
 
 
 def test_required_categories(spark):
@@ -358,18 +368,74 @@ def test_versions(spark):
     now = F.to_timestamp(F.lit("2026-03-01 00:00:00"))
     seen = spark.createDataFrame([("v1", "f0")], "rule_key string, rule_fingerprint string")
     got = {(r["rule_key"], r["rule_fingerprint"]): (r["is_current"], r["status"]) for r in versions.sync_versions(history, seen, "r1", now).collect()}
-    assert got == {("v1", "f1"): (False, "superseded"), ("v1", "f0"): (True, "active"), ("v2", "f2"): (True, "active")}
-    closed = {r["rule_key"]: r["status"] for r in versions.close_missing(history, seen, now).where("is_current or status = 'possibly_removed'").collect()}
-    assert closed == {"v1": "active", "v2": "possibly_removed"}
-    assert versions.close_missing(history, seen.limit(0), now).where("is_current").count() == 2
+    assert got == {("v1", "f1"): (False, "active"), ("v1", "f0"): (True, "published"), ("v2", "f2"): (True, "active")}
+    # a version that comes back keeps the time it was first seen
+    back = versions.sync_versions(history, seen, "r1", now).where("rule_fingerprint = 'f0'").first()
+    assert (back["observed_from"], back["observed_to"], back["last_seen_run_id"]) == (old, None, "r1")
+    told = spark.createDataFrame([("v1", "f9", "", True), ("v2", "f2", "checked", True)], "rule_key string, rule_fingerprint string, status string, needs_manual_review boolean")
+    got = {r["rule_fingerprint"]: (r["is_current"], r["status"], r["observed_from"] > old) for r in versions.sync_versions(history, told, "r1", now).collect()}
+    assert got == {"f1": (False, "active", False), "f0": (False, "superseded", False), "f2": (True, "checked", False), "f9": (True, "needs_review", True)}
+    closed = {r["rule_key"]: (r["status"], r["last_seen_run_id"]) for r in versions.close_missing(history, seen, "r1", now).where("is_current or status = 'possibly_removed'").collect()}
+    assert closed == {"v1": ("active", "r0"), "v2": ("possibly_removed", "r1")}
+    assert versions.close_missing(history, seen.limit(0), "r1", now).where("is_current").count() == 2
     prints = spark.createDataFrame([("MIN_SIZE", 42.0), ("MIN_SIZE", 45.0)], "rule_type string, metric_value double").select(versions.fingerprint(["rule_type", "metric_value"])).distinct()
     assert prints.count() == 2
     moved = spark.createDataFrame([("A", "MIN", "u1"), (" a", "min", "u2")], "title string, rule_type string, source_url string")
     assert moved.select(versions.fingerprint(moved.columns)).distinct().count() == 1
 
 
-def test_audit_needs_its_quote(spark):
-    r = rule_rows(spark).withColumn("source_context", F.lit("Le bar a 42 cm")).withColumn("valid_from", F.lit(None).cast("date")).withColumn("valid_to", F.lit(None).cast("date"))
-    audit = spark.createDataFrame([("k1", 90.0, "bar a 42", dt.date(2026, 1, 1), None, []), ("k2", 0.5, "merou", dt.date(2026, 1, 1), None, [])], "rule_key string, score double, quote string, valid_from date, valid_to date, issues array<struct<code:string,severity:string>>")
-    got = {x["rule_key"]: (x["audit_score"], x["valid_from"], x["needs_manual_review"]) for x in versions.apply_audit(r, audit).collect()}
-    assert got["k1"] == (0.9, dt.date(2026, 1, 1), False) and got["k2"] == (0.5, None, True) and got["k3"][0] is None
+def test_audit_fills_dates_that_lack_where_its_own_date_quote_stands(spark):
+    known = dt.date(2026, 5, 1)
+    rows = [("k1", None, None), ("k2", known, None), ("k3", None, None), ("k4", None, None), ("k5", None, None)]
+    r = spark.createDataFrame([(k, "Le bar a 42 cm", "Le\u00a0bar a 42 cm du 1er janvier au 2 mars", a, b, ["old"], False) for k, a, b in rows], "rule_key string, description string, source_context string, valid_from date, valid_to date, quality_flags array<string>, needs_manual_review boolean")
+    schema = "rule_key string, score double, quote string, valid_from string, valid_to string, date_quote string, date_confidence double, issues array<struct<category:string,severity:string>>"
+    audit = [
+        ("k1", 90.0, "bar a 42", "1er janvier 2026", None, "1er\u00a0janvier", 0.0, []),
+        ("k2", 0.5, "merou", "2026-01-01", "2026-03-02", "2 mars", 0.8, []),
+        ("k3", 0.7, None, "2026-01-01", None, "3 avril", 0.9, [("odd", "info")]),
+        ("k4", None, "bar", "2026-01-01", None, "2 mars", 0.9, [("", None)]),
+    ]
+    done = {x["rule_key"]: x for x in versions.apply_audit(r, spark.createDataFrame(audit, schema)).collect()}
+    dates = {k: (x["valid_from"], x["valid_to"], x["effective_date_source"], x["effective_date_confidence"]) for k, x in done.items()}
+    assert dates == {"k1": (dt.date(2026, 1, 1), None, "ai", 0.9), "k2": (known, dt.date(2026, 3, 2), "ai", 0.8), "k3": (None, None, None, None), "k4": (None, None, None, None), "k5": (None, None, None, None)}
+    assert {k: x["selected_quote"] for k, x in done.items()} == {"k1": "bar a 42", "k2": None, "k3": None, "k4": None, "k5": None}
+    assert {k: (x["quality_flags"], x["needs_manual_review"], x["confidence_score"]) for k, x in done.items()} == {
+        "k1": (["old"], False, 0.9), "k2": (["old", "ai_low_confidence"], True, 0.5), "k3": (["old", "ai_odd"], False, 0.7), "k4": (["old", "ai_ai_audit"], True, None), "k5": (["old"], False, None),
+    }
+
+
+def test_citations_and_chunks(spark):
+    cited = "array<struct<source_url:string,quote:string,document_hash:string,locator:string>>"
+    rows = [("k1", "Le bar.", "u1", None, "ch", [("c", "mot \u00a0 deux", "dh", "p1")]), ("k2", "La dorade grise.", "u2", "ref", "ch", []), ("k3", None, "", None, None, None), ("k4", "Par défaut.", "u4", None, None, [("c", "", "dh", "p")])]
+    r = spark.createDataFrame(rows, f"rule_key string, description string, source_url string, legal_reference string, content_hash string, citations {cited}")
+    got = {x["rule_key"]: (x["source_url"], x["quote"], x["locator"], x["document_hash"], x["content_hash"]) for x in versions.primary_citation(r).collect()}
+    assert got == {"k1": ("c", "mot \u00a0 deux", "p1", "dh", "ch"), "k2": ("u2", "La dorade grise.", "ref", "legacy:u2", "ch"), "k3": ("", "", "k3", "legacy:k3", None), "k4": ("c", "", "p", "dh", None)}
+    chunks = {x["rule_key"]: x for x in versions.chunk_rows(r.union(r)).collect()}
+    assert {k: (x["text_excerpt"], x["token_estimate"]) for k, x in chunks.items()} == {"k1": ("mot \u00a0 deux", 2), "k2": ("La dorade grise.", 3), "k3": ("", 1), "k4": ("Par défaut.", 2)}
+    import hashlib
+
+    index = int(hashlib.sha1(b"k1").hexdigest()[:8], 16) % 2147483647 + 1
+    assert (chunks["k1"]["chunk_index"], chunks["k1"]["chunk_hash"]) == (index, f"dh:k1:{index}")
+
+
+def test_documents_fill_what_rules_know_of_them(spark):
+    r = spark.createDataFrame([(1, "u1", "own"), (2, "u2", "own"), (3, "u3", None)], "k int, url string, document_hash string")
+    d = spark.createDataFrame([("u1", "dh", "", 5, "ok"), ("u3", None, "ch", None, None)], "url string, document_hash string, content_hash string, content_length long, fetch_status string")
+    got = {x["k"]: (x["document_hash"], x["document"] and (x["document"]["canonical_url"], x["document"]["content_hash"], x["document"]["content_length"], x["document"]["fetch_status"])) for x in versions.attach_documents(r, d).collect()}
+    assert got == {1: ("dh", ("u1", None, 5, "ok")), 2: ("own", None), 3: (None, ("u3", "ch", None, None))}
+    assert len(versions.DOCUMENT_FIELDS) == 10 == len(versions.attach_documents(r, d).schema["document"].dataType.names)
+
+
+def test_reviewers_get_twenty_fields(spark):
+    r = spark.createDataFrame([("a", "QUOTA", "d" * 900, "bar", None, 1, "x" * 600)], "rule_key string, rule_type string, description string, species_common_name string, zone_code string, source_priority int, source_excerpt string")
+    one = rules.audit_sample(r, 5).first()
+    assert len(one) == 20 and len(one["description"]) == 700 and one["current_quote"] == "x" * 497 + "..." and (one["zone_code"], one["title"], one["needs_manual_review"]) == ("", None, False)
+
+
+def test_hosts_show_their_first_addresses(spark):
+    found = spark.createDataFrame([(f"https://a.x.fr/{i:03}", ("candidate", "auto_accepted", "existing", "")[i % 4], i % 7) for i in range(90)], "url string, status string, score int")
+    hosts = spark.createDataFrame([("x.fr",), ("y.fr",)], "host string")
+    got = {r["host"]: r for r in pages.domain_coverage(hosts, found.select("url"), found).collect()}
+    want = [u for _, _, u in sorted(((r["status"], -r["score"], r["url"]) for r in found.collect()))][:20]
+    assert got["x.fr"]["urls"] == want and got["x.fr"]["n_candidates"] == 90 and got["y.fr"]["urls"] == []
+    assert {tuple(r) for r in pages.status_counts(found).collect()} == {("candidate", 23), ("auto_accepted", 23), ("existing", 22), ("unknown", 22)}

@@ -184,22 +184,34 @@ def test_a_matrix_comes_in_many_payloads(spark, monkeypatch):
     assert seen[0].count() == suppliers.count() > 1 and seen[0].select(F.max(F.length("payload"))).first()[0] < 1000
 
 
+def put(spark, path, batches):
+    from halyard.streaming import versions
+
+    for batch, rows in enumerate(batches):
+        folder = versions.folder(batch)
+        spark.createDataFrame(rows, "k string, n int, v string").coalesce(1).withColumn("_batch", F.lit(batch).cast("long")).write.parquet(f"{path}/{folder}")
+        versions.publish(spark, path, lambda live: [*live, folder])
+
+
 def test_current_rows_go_by_sequence(spark, tmp_path):
-    for batch, rows in enumerate([[("a", 5, "new"), ("b", 1, "x")], [("a", 3, "late"), ("b", 2, "y")]]):
-        spark.createDataFrame(rows, "k string, n int, v string").write.parquet(f"{tmp_path}/batch={batch}")
-    assert sorted(tuple(r) for r in streams.current_rows(spark, str(tmp_path), ["k"], "n").collect()) == [("a", 5, "new"), ("b", 2, "y")]
-    assert sorted(r["n"] for r in streams.current_rows(spark, str(tmp_path), ["k"]).collect()) == [2, 3]
+    path = f"file://{tmp_path}/t"
+    put(spark, path, [[("a", 5, "new"), ("b", 1, "x")], [("a", 3, "late"), ("b", 2, "y")]])
+    assert sorted(tuple(r) for r in streams.current_rows(spark, path, ["k"], "n").collect()) == [("a", 5, "new"), ("b", 2, "y")]
+    assert sorted(r["n"] for r in streams.current_rows(spark, path, ["k"]).collect()) == [2, 3]
 
 
 def test_upsert_query_reads_the_table(spark, monkeypatch):
+    from halyard.streaming import versions
+
     seen, current = [], streams.current_rows
-    monkeypatch.setattr(streams, "current_rows", lambda s, path, *a: seen.append((s.read.parquet(path), a)) or current(s, path, *a))
+    monkeypatch.setattr(streams, "current_rows", lambda s, path, *a: seen.append((path, a)) or current(s, path, *a))
     got = {r["user_id"]: r["event_id"] for r in plans.stream_upsert(spark, SF).collect()}
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert got == {r[0]: r[1] for r in events.groupBy("user_id").agg(F.max("event_id")).collect()}
-    table, how = seen[0]
-    assert how == (["user_id"], "event_id") and table.select("batch").distinct().count() == 3
-    assert table.groupBy("batch", "user_id").count().where("count > 1").count() == 0
+    path, how = seen[0]
+    table = spark.read.parquet(*[f"{path}/{f}" for f in versions.live(spark, path)])
+    assert how == (["user_id"], "event_id") and table.select("_batch").distinct().count() == 3
+    assert table.groupBy("_batch", "user_id").count().where("count > 1").count() == 0
 
 
 def test_column_arrays(spark):
@@ -224,23 +236,133 @@ def test_grid(spark):
     assert grid.first_available(["b"], {"x": ("a", "b"), "y": ("c",)}) == {"x": "b"}
 
 
+BATCHES = [[("1", 5, "a"), ("2", 1, "b")], [("1", 3, "old"), ("3", 1, "c")], [("2", 2, "d")], [("3", 0, "late")]]
+
+
 def test_versions_are_put_together_without_loss(spark, tmp_path):
-    from halyard.streaming import streams
+    from halyard.streaming import versions
 
     path = f"file://{tmp_path}/t"
-    for batch, rows in enumerate([[(1, 5, "a"), (2, 1, "b")], [(1, 3, "old"), (3, 1, "c")], [(2, 2, "d")], [(3, 0, "late")]]):
-        spark.createDataFrame(rows, "k int, seq int, v string").write.parquet(f"{path}/batch={batch}")
+    put(spark, path, BATCHES)
     read = lambda seq: sorted(tuple(r) for r in streams.current_rows(spark, path, ["k"], seq).select("k", "v").collect())
-    by_seq, by_batch = read("seq"), read(None)
-    assert by_seq == [(1, "a"), (2, "d"), (3, "c")] and by_batch == [(1, "old"), (2, "d"), (3, "late")]
-    streams.compact_rows(spark, path, ["k"], 2, "seq")
-    streams.compact_rows(spark, path, ["k"], 2, "seq")
-    spark.catalog.refreshByPath(path)
-    assert read("seq") == by_seq
-    assert sorted(x.name for x in (tmp_path / "t").iterdir()) == ["batch=-3", "batch=3"]
-    streams.compact_rows(spark, path, ["k"], 3, "seq")
-    spark.catalog.refreshByPath(path)
-    assert read("seq") == by_seq and sorted(x.name for x in (tmp_path / "t").iterdir()) == ["batch=-4"]
+    by_seq, by_batch = read("n"), read(None)
+    assert by_seq == [("1", "a"), ("2", "d"), ("3", "c")] and by_batch == [("1", "old"), ("2", "d"), ("3", "late")]
+    streams.compact_rows(spark, path, ["k"], 2, "n")
+    streams.compact_rows(spark, path, ["k"], 2, "n")
+    assert read("n") == by_seq and sorted(versions.batches_of(f) for f in versions.live(spark, path)) == [(0, 2), (3, 3)]
+    streams.compact_rows(spark, path, ["k"], 3, "n")
+    assert read("n") == by_seq and [versions.batches_of(f) for f in versions.live(spark, path)] == [(0, 3)]
+
+
+def test_a_read_begun_before_compaction_ends_with_its_rows(spark, tmp_path):
+    from halyard.streaming import versions
+
+    path = f"file://{tmp_path}/t"
+    put(spark, path, BATCHES)
+    before = streams.current_rows(spark, path, ["k"], "n")
+    want = [("1", 5, "a"), ("2", 2, "d"), ("3", 1, "c")]
+    rows = before.orderBy("k").toLocalIterator()
+    first = tuple(next(rows))
+    streams.compact_rows(spark, path, ["k"], 3, "n")
+    assert versions.vacuum(spark, path, 1.0) == []  # folders named within the hour stay
+    assert [first, *map(tuple, rows)] == want and sorted(map(tuple, before.collect())) == want
+    gone = versions.vacuum(spark, path, -1.0)
+    assert len(gone) == 4 and [x.name for x in (tmp_path / "t" / "_manifests").iterdir() if not x.name.startswith(".")] == ["5"]
+    assert sorted(map(tuple, streams.current_rows(spark, path, ["k"], "n").collect())) == want
+
+
+def test_writers_of_manifests_do_not_lose_each_other(spark, tmp_path):
+    from halyard.streaming import versions
+
+    path = f"file://{tmp_path}/t"
+    versions.publish(spark, path, lambda live: ["v0-0-a"])
+
+    def slow(live):
+        if live == ["v0-0-a"]:  # another writer comes first
+            versions.publish(spark, path, lambda live: [*live, "v1-1-b"])
+        return [*live, "v2-2-c"]
+
+    versions.publish(spark, path, slow)
+    assert versions.live(spark, path) == ["v0-0-a", "v1-1-b", "v2-2-c"]
+    (tmp_path / "t" / "_manifests" / "9").write_text("v9-9-z\n")  # cut off while it was written
+    assert versions.live(spark, path) == ["v0-0-a", "v1-1-b", "v2-2-c"]
+    versions.publish(spark, path, lambda live: live[:1])
+    assert versions.live(spark, path) == ["v0-0-a"]
+
+
+def test_a_batch_that_runs_again_takes_its_own_place(spark, tmp_path):
+    from halyard.streaming import versions
+
+    path = f"file://{tmp_path}/t"
+    put(spark, path, BATCHES)
+    spark.createDataFrame(BATCHES[3], "k string, n int, v string").write.parquet(f"{tmp_path}/in")
+    stream = streams.landed_stream(spark, f"{tmp_path}/in", "k string, n int, v string", "parquet")
+    streams.upsert_stream(stream, path, ["k"], f"{tmp_path}/marks", "n").awaitTermination()
+    assert sorted(versions.batches_of(f) for f in versions.live(spark, path)) == [(n, n) for n in range(4)]
+    assert {r["k"]: r["v"] for r in streams.current_rows(spark, path, ["k"]).collect()} == {"1": "old", "2": "d", "3": "late"}
+
+
+def files(folder):
+    return {str(f.relative_to(folder)): (f.stat().st_mtime_ns, f.stat().st_ino) for f in folder.rglob("*.parquet")}
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    path, schema = f"file://{tmp_path}/t", "day date, k string, v int, made string"
+    day = lambda n: dt.date(2026, 5, n)
+    new = spark.createDataFrame([(day(1), "a", 1, "first"), (day(2), "b", 2, "first"), (day(3), "c", 3, "first"), (None, "n", 4, "first")], schema)
+    assert merge.upsert_table(spark, path, new, ["k"], "day") == 4
+    before = files(tmp_path / "t")
+    more = spark.createDataFrame([(day(2), "b", 7, "second"), (day(2), "b", 9, "second"), (day(2), "d", 5, "second"), (day(4), "e", 6, "second"), (day(1), None, 8, "second"), (None, "n", 1, "second")], schema)
+    assert merge.upsert_table(spark, path, more, ["k"], "day", ("made",), "v") == 3
+    after = files(tmp_path / "t")
+    same = {f for f in before if after.get(f) == before[f]}
+    assert {f.split("/")[0] for f in same} == {"day=2026-05-01", "day=2026-05-03"} and len(after) == 5
+    got = sorted((r["k"], r["v"], r["made"], r["day"]) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1, "first", day(1)), ("b", 9, "first", day(2)), ("c", 3, "first", day(3)), ("d", 5, "second", day(2)), ("e", 6, "second", day(4)), ("n", 1, "first", None)]
+    # a partition left without rows goes
+    assert merge.rewrite_partitions(spark, path, "day", spark.createDataFrame([(day(3),)], "day date"), lambda rows: rows.limit(0)) == 1
+    assert not (tmp_path / "t" / "day=2026-05-03").exists() and spark.read.parquet(path).count() == 5
+
+
+def test_retention_drops_days_and_writes_one(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = [(h, dt.datetime(2026, 5, 1 + h // 24, h % 24), dt.date(2026, 5, 1 + h // 24)) for h in range(96)]
+    spark.createDataFrame(rows, "n int, valid_time timestamp, day date").repartition("day").write.partitionBy("day").parquet(path)
+    before = files(tmp_path / "t")
+    merge.expire_table(spark, path, "day", F.to_timestamp(F.lit("2026-05-03 06:00:00")))
+    after = files(tmp_path / "t")
+    assert {f for f in before if after.get(f) == before[f]} == {f for f in before if "day=2026-05-04" in f}
+    assert {f.split("/")[0] for f in after} == {"day=2026-05-03", "day=2026-05-04"}
+    assert sorted(r["n"] for r in spark.read.parquet(path).collect()) == list(range(54, 96))
+
+
+def test_new_rows_of_one_key_count_once(spark):
+    old = spark.createDataFrame([("a", 1, "x")], "k string, v int, w string")
+    new = spark.createDataFrame([("a", 2, "b"), ("a", 2, "c"), ("a", 1, "z"), ("b", 5, None), ("b", None, "q")], "k string, v int, w string")
+    assert sorted(map(tuple, merge.upsert(old, new, ["k"]).collect())) == [("a", 2, "c"), ("b", 5, None)]
+    assert sorted(map(tuple, merge.upsert(old, new, ["k"], (), "w").collect())) == [("a", 1, "z"), ("b", None, "q")]
+
+
+def test_children_are_replaced_only_by_whole_ones(spark):
+    old = spark.createDataFrame([(p, "old", "u") for p in (1, 2, 3, 4)], "parent int, quote string, source_url string")
+    new = spark.createDataFrame([(1, "new", "u"), (1, None, "u"), (2, " \u00a0", "u"), (3, "new", ""), (5, "new", "u")], "parent int, quote string, source_url string")
+    got = sorted(tuple(r)[:2] for r in merge.replace_children(old, new, "parent").collect())
+    assert got == [(1, "new"), (2, "old"), (3, "old"), (4, "old"), (5, "new")]
+
+
+def test_a_history_is_written_by_bucket(spark, tmp_path):
+    from halyard.operators import versions
+
+    path, now = f"file://{tmp_path}/h", F.to_timestamp(F.lit("2026-03-01 00:00:00"))
+    rules = spark.createDataFrame([(f"r{i}", f"f{i}") for i in range(40)], "rule_key string, rule_fingerprint string")
+    assert versions.sync_table(spark, path, rules, "run0", now, 8) == 8
+    before = files(tmp_path / "h")
+    one = spark.createDataFrame([("r7", "other")], "rule_key string, rule_fingerprint string")
+    assert versions.sync_table(spark, path, one, "run1", now, 8) == 1
+    after = files(tmp_path / "h")
+    assert len({f.split("/")[0] for f in before if after.get(f) == before[f]}) == 7
+    got = {(r["rule_fingerprint"], r["is_current"]) for r in spark.read.parquet(path).where("rule_key = 'r7'").collect()}
+    assert got == {("f7", False), ("other", True)} and spark.read.parquet(path).count() == 41
 
 
 def test_a_missing_catalogue_is_empty_and_other_faults_are_not(spark, tmp_path):
