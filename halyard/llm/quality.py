@@ -10,6 +10,7 @@ turned into probabilities by a sigmoid fitted on rows that model did not see.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -24,7 +25,7 @@ from halyard.llm.common import arrow_task, discard, durable, per_batch, slices,
 
 #: Buckets of the hashed indicators (a table of this length goes to every task).
 BUCKETS = 1 << 18
-#: Bounds of the sample the hinge-loss model is fitted on, rows and their indicators together; counts cover all rows.
+#: Bounds of the sample the hinge-loss model is fitted on, rows and their indicators together, half of each a class's; counts cover all rows.
 FIT_ROWS, FIT_INDICATORS = 12_000, 24_000_000
 #: Bits of the filter of labelled ids: at least, for each label, and at most (16 MB, sent to every task).
 FILTER_BITS, BITS_A_LABEL, MOST_BITS = 1 << 22, 16, 1 << 27
@@ -32,14 +33,17 @@ WORD = re.compile(r"\S+")
 CACHE_WORDS = 150_000
 
 
+#: Letters and digits of ASCII by their kind; a run of one kind; more than three of another character.
+KINDS = str.maketrans({c: "A" if c.isupper() else "a" if c.isalpha() else "0" for c in map(chr, range(128)) if c.isalnum()})
+RUN, MANY = re.compile(r"([Aa0])\1+"), re.compile(r"([^Aa0])\1{3,}")
+#: Longer words are shaped and hashed anew in each text, so that what a task remembers stays small.
+KEPT_LETTERS = 64
+
+
 def shape(word: str) -> str:
-    """Runs of capitals, small letters and digits as A, a and 0; other characters as they are, at most three of a run."""
-    out = []
-    for c in word[:64]:
-        k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        if not (out and out[-1] == k and k in "Aa0") and out[-3:] != [k] * 3:
-            out.append(k)
-    return "".join(out)[:16]
+    """Runs of capitals, small letters and digits as A, a and 0; other characters as they are, at most three of a run. Words are taken whole."""
+    kinds = word.translate(KINDS) if word.isascii() else "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
+    return MANY.sub(r"\1\1\1", RUN.sub(r"\1", kinds))
 
 
 class Indicators:
@@ -54,9 +58,11 @@ class Indicators:
     def _gram(self, gram: tuple) -> int:
         b = self.grams.get(gram)
         if b is None:
-            if len(self.grams) > CACHE_WORDS:
-                self.grams.clear()
-            b = self.grams[gram] = self.bucket("shapes", " ".join(gram))
+            b = self.bucket("shapes", " ".join(gram))
+            if sum(map(len, gram)) <= KEPT_LETTERS:
+                if len(self.grams) > CACHE_WORDS:
+                    self.grams.clear()
+                self.grams[gram] = b
         return b
 
     def __call__(self, text: str) -> np.ndarray:
@@ -66,12 +72,16 @@ class Indicators:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
             self.shapes.clear()
+        known, shapes, long = self.words, self.shapes, []
         for w in distinct:
-            if w not in self.words:
-                self.words[w], self.shapes[w] = self.bucket("word", w.lower()), shape(w)
-        known, shapes = self.words, self.shapes
+            if w not in known:
+                known[w], shapes[w] = self.bucket("word", w.lower()), shape(w)
+                if len(w) > KEPT_LETTERS:
+                    long.append(w)
         s = [shapes[w] for w in words]
         found = {known[w] for w in distinct}
+        for w in long:
+            del known[w], shapes[w]
         counts = Counter(s)
         found.update(self._gram((x,)) for x in counts)
         found.update(map(self._gram, set(zip(s, s[1:], strict=False))))
@@ -170,20 +180,26 @@ def fit_hinge(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np
 
 
 def fit_sigmoid(margin: np.ndarray, y01: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """a, b of 1 / (1 + exp(-(a m + b))) by Newton's method on smoothed targets."""
+    """a, b of 1 / (1 + exp(-(a m + b))) by Newton's method on smoothed targets, each step halved until it leads down."""
     n1, n0 = y01.sum(), (1 - y01).sum()
     t = np.where(y01 == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a, b = 1.0, float(np.log((n1 + 1) / (n0 + 1)))
+    x = np.array([1.0, float(np.log((n1 + 1) / (n0 + 1)))])
+
+    def loss(x: np.ndarray) -> float:
+        z = x[0] * margin + x[1]
+        return float((np.logaddexp(0, z) - t * z).sum() + 1e-3 * x[0] ** 2 / 2)
+
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x[0] * margin + x[1], -700, 700)))
         s = p * (1 - p) + 1e-9
-        g = np.array([((p - t) * margin).sum() + 1e-3 * a, (p - t).sum()])
+        g = np.array([((p - t) * margin).sum() + 1e-3 * x[0], (p - t).sum()])
         h = np.array([[(s * margin**2).sum() + 1e-3, (s * margin).sum()], [(s * margin).sum(), s.sum()]])
-        d = np.linalg.solve(h, g)
-        a, b = a - d[0], b - d[1]
-        if abs(d).max() < 1e-6:
+        d, now = np.linalg.solve(h, g), loss(x)
+        step = next((k for k in 0.5 ** np.arange(40) if loss(x - k * d) <= now), 0.0)
+        x = x - step * d
+        if abs(step * d).max() < 1e-6:
             break
-    return float(a), float(b)
+    return float(x[0]), float(x[1])
 
 
 class Model:
@@ -223,8 +239,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     smooth = counts + 1.0
     # ratio of the shares of each class's rows with the indicator; no indicator seen weighs nothing
     scale = np.where(counts.sum(axis=0) > 1, np.log(smooth[1] / (n1 + 2)) - np.log(smooth[0] / (n0 + 2)), 0.0)
-    keep = min(1.0, fit_rows / (n0 + n1), FIT_INDICATORS / max(1, f0 + f1))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * keep) if keep < 1 else F.lit(True))
+    # each class may take half of both bounds, so a rare one is in the sample however rare it is
+    keep = [min(1.0, fit_rows / 2 / n, FIT_INDICATORS / 2 / max(1, f)) for n, f in ((n0, f0), (n1, f1))]
+    drawn = lambda k: F.lit(True) if k == 1 else F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < math.ceil(k * (1 << 40))
+    picked = rows.where(F.when(F.col("y") == 0, drawn(keep[0])).otherwise(drawn(keep[1])))
     # each row becomes an array as it arrives
     sample = sorted(((r[0], r[1], np.array(r[2], np.int32)) for r in picked.select("doc_id", "y", "f").toLocalIterator()), key=lambda r: r[:2])
     discard(spark, path, y_path)
@@ -238,19 +256,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
         p = (n1 + 1) / (n0 + n1 + 2)
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0, float(np.log(p / (1 - p))))
     sign, cost = 2.0 * target - 1, np.full(len(x), c)
-    part = np.arange(len(x)) % 4 == 0
-    w, b = fit_hinge([x[i] for i in np.flatnonzero(~part)], sign[~part], cost[~part], BUCKETS)
-    margins = np.array([w[x[i][0]] @ x[i][1] + b for i in np.flatnonzero(part)])
-    slope, offset = fit_sigmoid(margins, target[part].astype(float)) if len(margins) else (1.0, 0.0)
+    # every fourth row of each class tells what margins mean; where a class has too few for that, the rows of the fit do
+    nth = np.where(target == 1, np.cumsum(target), np.cumsum(1 - target))
+    part = nth % 4 == 0
     w, b = fit_hinge(x, sign, cost, BUCKETS)
-    return Model(scale, w, b, slope, offset)
+    if len(set(target[part].tolist())) == 2:
+        seen, bias = fit_hinge([x[i] for i in np.flatnonzero(~part)], sign[~part], cost[~part], BUCKETS)
+    else:
+        part, seen, bias = np.ones(len(x), bool), w, b
+    margins = np.array([seen[x[i][0]] @ x[i][1] + bias for i in np.flatnonzero(part)])
+    slope, offset = fit_sigmoid(margins, target[part].astype(float))
+    # odds of the sample as odds of all labelled rows
+    return Model(scale, w, b, slope, offset + float(np.log(keep[0] / keep[1])))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """One row per row of docs: id, score (0 to 1), predicted (1 if score >= threshold).
 
-    Null and empty texts have no words and get the score of that; repeated rows
-    give repeated rows; null ids stay null; other columns are ignored.
+    Null and empty texts have no words and get the score of that; texts of any
+    length count whole; repeated rows give repeated rows; null ids stay null;
+    other columns are ignored; an empty table gives no rows.
     """
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)

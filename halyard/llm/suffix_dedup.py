@@ -148,11 +148,12 @@ def blocks(values: list[bytes], length: int) -> Iterator[tuple[list[int], list[i
         yield who, at, b"".join(parts), np.cumsum([0, *map(len, parts)])
 
 
-def text_hash(data: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(data) & 0x7FFFFFFF
+def text_hash(data: bytes) -> bytes:
+    """128 bits of a text: its key where ids are null or repeat."""
+    return xxhash.xxh3_128_digest(data)
 
 
-SEGMENT = "th int, at int, n int, anchor long, kind long, more long"
+SEGMENT = "th binary, at int, n int, anchor long, kind long, more long"
 #: A kind's name under its anchor.
 KIND = ["anchor", "kind", "more"]
 
@@ -163,12 +164,12 @@ def segment_rows(slim: DataFrame, length: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             values = [t.encode() for t in texts(b)]
-            hashes = np.array([text_hash(v) for v in values], np.int32)
+            hashes = pa.array([text_hash(v) for v in values], pa.binary())
             for who, places, data, bounds in blocks(values, length):
                 own, at, n, anchor, kind = block_segments(data, bounds, length)
                 if len(own):
                     row = np.array(who)[own]
-                    cols = [b.column("id").take(pa.array(row)), *map(pa.array, (hashes[row], (at + np.array(places)[own]).astype(np.int32), n.astype(np.int32), anchor, kind[:, 0], kind[:, 1]))]
+                    cols = [b.column("id").take(pa.array(row)), hashes.take(pa.array(row)), *map(pa.array, ((at + np.array(places)[own]).astype(np.int32), n.astype(np.int32), anchor, kind[:, 0], kind[:, 1]))]
                     yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "at", "n", *KIND])
 
     return arrow_task(slim, task, f"id {slim.schema['id'].dataType.simpleString()}, {SEGMENT}")
@@ -181,10 +182,10 @@ def packed_texts(slim: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3)
         for b in slices(batches):
             values = [t.encode() for t in texts(b)]
-            cols = [b.column("id"), pa.array([text_hash(v) for v in values], pa.int32()), pa.array([pack.compress(v) for v in values], pa.binary())]
+            cols = [b.column("id"), pa.array([text_hash(v) for v in values], pa.binary()), pa.array([pack.compress(v) for v in values], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "z"])
 
-    return arrow_task(slim, task, f"id {slim.schema['id'].dataType.simpleString()}, th int, z binary")
+    return arrow_task(slim, task, f"id {slim.schema['id'].dataType.simpleString()}, th binary, z binary")
 
 
 class Level:

@@ -403,9 +403,60 @@ def test_repeats_of_every_case(spark):
     assert suffix_dedup.repeated_spans(empty(spark)).count() == 0
 
 
+def test_texts_without_ids_are_told_by_all_of_their_hash(spark):
+    """Two texts without id whose hashes agree in 31 bits: the one has repeats, the other none."""
+    seen, pair = {}, None
+    for i in range(400_000):
+        t = f"{i} " + "lone words that stand once, " * 2 + hashlib.sha256(str(i).encode()).hexdigest() * 4
+        short = xxhash.xxh3_64_intdigest(t.encode()) & 0x7FFFFFFF
+        if short in seen:
+            pair = (seen[short], t)
+            break
+        seen[short] = t
+    assert pair
+    rows = [(None, pair[0]), (None, pair[1]), (7, pair[0][:280])] + [(None, f"{i} {hashlib.sha256(str(-i).encode()).hexdigest() * 4}") for i in range(300)]
+    got = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 200).collect()
+    want = brute_repeats([t.encode() for _, t in rows], 200)
+    assert sorted((repr(r["doc_id"]), bytes(r["kept"]), len(r["spans"])) for r in got) == sorted((repr(i), k, n) for (i, _), (k, n) in zip(rows, want, strict=True))
+
+
 # 3 quality
 
 
+def plain_shape(word):
+    out = []
+    for c in word:
+        k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        if not (out and out[-1] == k and k in "Aa0") and out[-3:] != [k] * 3:
+            out.append(k)
+    return "".join(out)
+
+
+def test_words_are_shaped_whole():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aB3-.é你À٣😀") for _ in range(rng.choice((1, 5, 40, 80, 300)))) for _ in range(300)] + ["a" * 70 + "B", "a-" * 40 + "7", "." * 90 + "x", "A" * 64 + "-" * 9]
+    assert [quality.shape(w) for w in words] == [plain_shape(w) for w in words]
+    find = quality.Indicators()
+    long = ["a" * 100 + "9", "a" * 100 + "-", "b" * 64 + "." * 4]
+    assert len({tuple(find(w)) for w in long}) == 3 and not find.words and not find.shapes
+    assert find(" ".join(long * 2)).tolist() == quality.Indicators()(" ".join(long * 2)).tolist()
+
+
+def test_a_rare_class_is_in_the_sample(spark):
+    """One row in a thousand, and a sample of forty: without its own share the class would all but surely be missed."""
+    rng = random.Random(2)
+    text = lambda good: " ".join("".join(rng.choice("aeiourst") for _ in range(5)) + ("" if good else "$$$") for _ in range(20))
+    rare = {11, 502, 1777}
+    docs = spark.createDataFrame([(i, text(i not in rare)) for i in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i not in rare)) for i in range(3000)], "doc_id long, quality int")
+    assert all(zlib.crc32(str(i).encode()) % 5 for i in rare)
+    model = quality.train(docs, labels, fit_rows=40)
+    scores = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert model.weight.any() and max(scores[i] for i in rare) < min(s for i, s in scores.items() if i not in rare)
+    assert abs(model.b - quality.train(docs, labels, fit_rows=1 << 40).b) < 12  # a sample's odds are turned into those of all
+
+
+
 def test_hinge_fit_reaches_the_optimum():
     rng = np.random.default_rng(1)
     y = rng.choice([-1.0, 1.0], 80)
