@@ -49,19 +49,50 @@ def envelope(items: DataFrame) -> DataFrame:
     return e.where(some.isNull())
 
 
-def overlapping(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float = 1.0) -> DataFrame:
-    """(a_id, b_id) of boxes that overlap, edges included.
+#: Side of a cell of level 0 in degrees, and how many times as long a cell's side is a level up.
+CELL, STEP = 0.01, 4
+
+
+def _levels(df: DataFrame) -> list[int]:
+    """The levels of a table's boxes: few, whatever their number."""
+    return sorted(r[0] for r in df.select("level").distinct().collect())
 
-    Boxes are written to the cells of a grid they touch and meet by cell; a pair
-    is taken in the first cell both touch, so it comes once without a distinct.
-    """
-    def celled(df: DataFrame, key: str, p: str) -> DataFrame:
-        span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell)))
-        named = df.select(F.col(key).alias(key), *[F.col(s).alias(f"{p}{s}") for s in SIDES])
-        return named.withColumn("cy", span(f"{p}lat_min", f"{p}lat_max")).withColumn("cx", span(f"{p}lon_min", f"{p}lon_max"))
 
-    met = celled(a, a_id, "a_").join(celled(b, b_id, "b_"), ["cy", "cx"])
-    first = lambda s: F.floor(F.greatest(f"a_{s}", f"b_{s}") / cell)
+def overlapping(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float = CELL) -> DataFrame:
+    """(a_id, b_id) of boxes that overlap, edges included; boxes without a side are left out.
+
+    There is a grid of cells for each level of size; a box's level is the first
+    whose cells are as long as its longer side, so it touches four of them at
+    most. A box is written to the cells of its own level, and to those of the
+    higher levels the other table has. Two boxes meet at the higher one of their
+    levels, where one of them is at home: a box of the first table with those of
+    its own level or lower ones, a box of the second with lower ones alone. A
+    pair is taken in the first cell both touch, so it comes once without a
+    distinct.
+    """
+    def sized(df: DataFrame, key: str, p: str) -> DataFrame:
+        longer = F.greatest(F.col("lat_max") - F.col("lat_min"), F.col("lon_max") - F.col("lon_min"))
+        level = F.greatest(F.lit(0), F.ceil(F.log(F.greatest(longer, F.lit(cell)) / cell) / F.log(F.lit(float(STEP))))).cast("int")
+        whole = df.where(" and ".join(f"{s} is not null and not isnan({s})" for s in SIDES))
+        return whole.select(F.col(key).alias(key), level.alias("level"), *[F.col(s).alias(f"{p}{s}") for s in SIDES])
+
+    def celled(df: DataFrame, p: str, at: Column) -> DataFrame:
+        rows = df.withColumn("at", at).drop("level").withColumn("side", cell * F.pow(F.lit(float(STEP)), F.col("at")))
+        span = lambda s: F.sequence(F.floor(F.col(f"{p}{s}_min") / F.col("side")), F.floor(F.col(f"{p}{s}_max") / F.col("side")))
+        return rows.withColumn("cy", F.explode(span("lat"))).withColumn("cx", F.explode(span("lon")))
+
+    def home(df: DataFrame, p: str) -> DataFrame:
+        return celled(df, p, F.col("level"))
+
+    def above(df: DataFrame, p: str, levels: list[int], own: bool) -> DataFrame:
+        return celled(df, p, F.explode(F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda n: n >= F.col("level") if own else n > F.col("level"))))
+
+    a_rows, b_rows = sized(a, a_id, "a_"), sized(b, b_id, "b_")
+    cells = ["at", "cy", "cx"]
+    larger_a = home(a_rows, "a_").join(above(b_rows, "b_", _levels(a_rows), True).drop("side"), cells)
+    larger_b = above(a_rows, "a_", _levels(b_rows), False).join(home(b_rows, "b_").drop("side"), cells)
+    met = larger_a.unionByName(larger_b)
+    first = lambda s: F.floor(F.greatest(f"a_{s}", f"b_{s}") / F.col("side"))
     met = met.where((F.col("cy") == first("lat_min")) & (F.col("cx") == first("lon_min")))
     return met.where("a_lat_min <= b_lat_max and b_lat_min <= a_lat_max and a_lon_min <= b_lon_max and b_lon_min <= a_lon_max").select(a_id, b_id)
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from halyard.functions.numbers import local_date
+from halyard.staging import stored
 
 LEVEL = "sea_level_height_m"
 
@@ -54,23 +55,39 @@ def daily_range(wide: DataFrame, range_100_m: float = 6.10) -> DataFrame:
     )
 
 
+#: Days of a block: what one task has of a place at once.
+BLOCK_DAYS = 30
+
+
 def events(wide: DataFrame) -> DataFrame:
     """wide with tide_event (high, low), tide_phase and the next event at or after each row.
 
     Neighbours are rows with a level, whatever their distance in time; the first
     and last of a spot are no event, the last has no phase.
+
+    A spot's series is cut into blocks of days, which are worked on apart. The
+    levels at a block's ends, and then its first event, come from one line a
+    spot and block; where neighbour or next event lie beyond a block's end,
+    these lines have them. So no task holds a spot's whole series.
     """
-    order = W.partitionBy("spot_id").orderBy("valid_time")
-    cur = F.col(LEVEL)
-    before, after = F.lag(LEVEL).over(order), F.lead(LEVEL).over(order)
-    levels = wide.where(cur.isNotNull()).select("*", before.alias("_before"), after.alias("_after"))
-    b, a = F.col("_before"), F.col("_after")
+    cur, block = F.col(LEVEL), F.floor(F.unix_seconds("valid_time") / (BLOCK_DAYS * 86_400)).alias("_block")
+    levels = wide.where(cur.isNotNull()).select("*", block)
+    own, of_spot = W.partitionBy("spot_id", "_block").orderBy("valid_time"), W.partitionBy("spot_id").orderBy("_block")
+    ends = levels.groupBy("spot_id", "_block").agg(F.min_by(LEVEL, "valid_time").alias("_first"), F.max_by(LEVEL, "valid_time").alias("_last"))
+    beyond = ends.select("spot_id", "_block", F.lag("_last").over(of_spot).alias("_before"), F.lead("_first").over(of_spot).alias("_after"))
+    b, a = F.coalesce(F.col("_lag"), F.col("_before")), F.coalesce(F.col("_lead"), F.col("_after"))
     kind = F.when((cur >= b) & (cur > a), "high").when((cur <= b) & (cur < a), "low")
     phase = F.when(a > cur, "rising").when(a < cur, "falling").when(a == cur, "slack")
-    ahead = order.rowsBetween(0, W.unboundedFollowing)
+    beside = levels.withColumns({"_lag": F.lag(LEVEL).over(own), "_lead": F.lead(LEVEL).over(own)}).join(beyond, ["spot_id", "_block"])
+    marked = stored(beside.select(*wide.columns, "_block", kind.alias("tide_event"), phase.alias("tide_phase")), "tide-events")
     event = F.when(F.col("tide_event").isNotNull(), F.struct("tide_event", "valid_time", cur))
-    marked = levels.withColumn("tide_event", kind).withColumn("tide_phase", phase).withColumn("_next", F.first(event, ignorenulls=True).over(ahead))
-    done = marked.select(
+    firsts = marked.groupBy("spot_id", "_block").agg(F.min_by(event, F.when(F.col("tide_event").isNotNull(), F.col("valid_time"))).alias("_event"))
+    # read backwards, so that each row takes over what the one after it has
+    back, own_back = W.partitionBy("spot_id").orderBy(F.desc("_block")), W.partitionBy("spot_id", "_block").orderBy(F.desc("valid_time"))
+    later = firsts.select("spot_id", "_block", F.last("_event", ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, -1)).alias("_later"))
+    within = F.last(event, ignorenulls=True).over(own_back.rowsBetween(W.unboundedPreceding, 0))
+    done = marked.withColumn("_next", within).join(later, ["spot_id", "_block"]).withColumn("_next", F.coalesce("_next", "_later"))
+    done = done.select(
         *wide.columns, "tide_event", "tide_phase",
         F.col("_next.tide_event").alias("next_tide_event_type"),
         F.col("_next.valid_time").alias("next_tide_event_time"),

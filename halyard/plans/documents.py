@@ -519,11 +519,14 @@ def _boxes(df, key, a, b, size):
     return df.select(F.col(key), lat.alias("lat_min"), (lat + size).alias("lat_max"), lon.alias("lon_min"), (lon + size).alias("lon_max"))
 
 
-@plans.add("""WITH s AS (SELECT s_suppkey, fmod(s_suppkey * 0.37::DOUBLE, 50) AS a, fmod(s_nationkey * 1.3::DOUBLE, 40) AS b FROM supplier), c AS (SELECT c_custkey, fmod(c_custkey * 0.37::DOUBLE, 50) AS a, fmod(c_nationkey * 1.3::DOUBLE, 40) AS b FROM customer)
-SELECT s_suppkey, c_custkey FROM s JOIN c ON s.a <= c.a + 0.6 AND c.a <= s.a + 1.7 AND s.b <= c.b + 0.6 AND c.b <= s.b + 1.7""")
+@plans.add("""WITH s AS (SELECT s_suppkey, fmod(s_suppkey * 0.37::DOUBLE, 50) AS a, fmod(s_nationkey * 1.3::DOUBLE, 40) AS b, CASE WHEN s_suppkey % 97 = 0 THEN 400 WHEN s_suppkey % 7 = 0 THEN 0.003 ELSE 1.7 END::DOUBLE AS n FROM supplier),
+c AS (SELECT c_custkey, fmod(c_custkey * 0.37::DOUBLE, 50) AS a, fmod(c_nationkey * 1.3::DOUBLE, 40) AS b, CASE WHEN c_custkey % 41 = 0 THEN 25 WHEN c_custkey % 5 = 0 THEN 0 ELSE 0.6 END::DOUBLE AS n FROM customer)
+SELECT s_suppkey, c_custkey FROM s JOIN c ON s.a <= c.a + c.n AND c.a <= s.a + s.n AND s.b <= c.b + c.n AND c.b <= s.b + s.n""")
 def bbox_overlap(spark, d):
-    s = _boxes(table(spark, d, "supplier"), "s_suppkey", "s_suppkey", "s_nationkey", 1.7)
-    return geo.overlapping(s, _boxes(table(spark, d, "customer"), "c_custkey", "c_custkey", "c_nationkey", 0.6), "s_suppkey", "c_custkey")
+    """Boxes of every size, from points to the whole world."""
+    s, c = F.col("s_suppkey"), F.col("c_custkey")
+    wide = _boxes(table(spark, d, "supplier"), "s_suppkey", "s_suppkey", "s_nationkey", F.when(s % 97 == 0, 400.0).when(s % 7 == 0, 0.003).otherwise(1.7))
+    return geo.overlapping(wide, _boxes(table(spark, d, "customer"), "c_custkey", "c_custkey", "c_nationkey", F.when(c % 41 == 0, 25.0).when(c % 5 == 0, 0.0).otherwise(0.6)), "s_suppkey", "c_custkey")
 
 
 @plans.add("""SELECT c_custkey, CASE c_custkey % 5 WHEN 4 THEN 5 - 0.01 ELSE 1 END::DOUBLE AS lat_min, CASE c_custkey % 5 WHEN 4 THEN 5 + 0.01 ELSE 3 END::DOUBLE AS lat_max, CASE c_custkey % 5 WHEN 4 THEN 6 - 0.01 ELSE 2 END::DOUBLE AS lon_min, CASE c_custkey % 5 WHEN 4 THEN 6 + 0.01 ELSE 4.5 END::DOUBLE AS lon_max FROM customer""")

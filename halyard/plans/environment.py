@@ -9,7 +9,7 @@ from halyard.functions import numbers
 from halyard.operators import alerts as A
 from halyard.operators import consolidate, merge, tides, training
 from halyard.plans.adapters import METRICS, SV, WIDE, Plans, rounded, run_time, source_values, table
-from halyard.staging import scratch
+from halyard.staging import scratch, stored
 
 plans = Plans()
 
@@ -105,7 +105,7 @@ EVENTS_SQL = f"""WITH {SV}, {WIDE}, l AS (
 
 @plans.add(EVENTS_SQL + " SELECT spot_id, valid_time, tide_event, tide_phase FROM m")
 def tide_events(spark, d):
-    return tides.events(wide(spark, d)).where("sea_level_height_m is not null").select("spot_id", "valid_time", "tide_event", "tide_phase")
+    return tides.events(stored(wide(spark, d), "wide")).where("sea_level_height_m is not null").select("spot_id", "valid_time", "tide_event", "tide_phase")
 
 
 @plans.add(EVENTS_SQL + """ SELECT spot_id, valid_time, first_value(tide_event IGNORE NULLS) OVER w AS next_tide_event_type,
@@ -113,7 +113,7 @@ def tide_events(spark, d):
   round(first_value(CASE WHEN tide_event IS NOT NULL THEN h END IGNORE NULLS) OVER w, 6) AS next_tide_event_height_m
 FROM m WINDOW w AS (PARTITION BY spot_id ORDER BY valid_time ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""")
 def tide_next_event(spark, d):
-    t = tides.events(wide(spark, d)).where("sea_level_height_m is not null")
+    t = tides.events(stored(wide(spark, d), "wide")).where("sea_level_height_m is not null")
     return rounded(t.select("spot_id", "valid_time", "next_tide_event_type", "next_tide_event_time", "next_tide_event_height_m"))
 
 

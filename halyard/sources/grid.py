@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from halyard.staging import stored
+
 
 def spots_box(spots: DataFrame, margin: float = 0.25) -> DataFrame:
     """One row: the box round all spots' centres, with a margin."""
@@ -23,16 +25,35 @@ def inside_box(grid: DataFrame, spots: DataFrame, margin: float = 0.25) -> DataF
     return grid.where(F.col("lat").between(b["lat_min"], b["lat_max"]) & F.col("lon").between(b["lon_min"], b["lon_max"]))
 
 
-def nearest_cells(grid: DataFrame, spots: DataFrame) -> DataFrame:
-    """(spot_id, grid columns): of a rectilinear grid, each spot's nearest latitude and nearest longitude; on ties the lower.
+def nearest_values(points: DataFrame, point: str, values: DataFrame, value: str) -> DataFrame:
+    """(point, value): of each different point the nearest of the values; on ties the lower. Nulls take no part.
 
-    An axis has few distinct values whatever the number of cells and times; it travels as one array.
+    Both are dealt by range and sorted together, in as many blocks as there are
+    partitions; a point looks down and up in its block. What it does not find
+    there is the last value of the blocks before, or the first of those after,
+    which come from one line a block.
     """
+    x = lambda df, c: df.select(F.col(c).cast("double").alias("x")).where("x is not null and not isnan(x)").distinct()
+    both = x(points, point).withColumn("v", F.lit(None).cast("double")).union(x(values, value).withColumn("v", F.col("x")))
+    blocks = stored(both.repartitionByRange("x").withColumn("block", F.spark_partition_id()), "nearest-blocks")
+    # a value that equals a point stands before it, either way; looking back from either end keeps one value, looking ahead would begin anew at each row
+    up_to = lambda *order: W.partitionBy("block").orderBy(*order, F.col("v").isNull()).rowsBetween(W.unboundedPreceding, 0)
+    below, above = F.last("v", ignorenulls=True).over(up_to(F.asc("x"))), F.last("v", ignorenulls=True).over(up_to(F.desc("x")))
+    beyond = lambda *order: W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    edges = blocks.groupBy("block").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    edges = edges.select(
+        "block", F.last("high", ignorenulls=True).over(beyond(F.asc("block"))).alias("before"), F.last("low", ignorenulls=True).over(beyond(F.desc("block"))).alias("after")
+    )
+    seen = blocks.withColumns({"below": below, "above": above}).where("v is null").join(F.broadcast(edges), "block")
+    down, up = F.coalesce("below", "before"), F.coalesce("above", "after")
+    near = F.when(up.isNull() | (F.col("x") - down <= up - F.col("x")), down).otherwise(up)
+    return seen.select(F.col("x").alias(point), near.alias(value)).where(F.col(value).isNotNull())
+
+
+def nearest_cells(grid: DataFrame, spots: DataFrame) -> DataFrame:
+    """(spot_id, grid columns): of a rectilinear grid, each spot's nearest latitude and nearest longitude; on ties the lower."""
     def nearest(axis: str, centre: str) -> DataFrame:
-        values = grid.select(axis).distinct().groupBy().agg(F.array_sort(F.collect_list(axis)).alias("all"))
-        far = lambda x: F.abs(x - F.col(centre))
-        best = F.array_min(F.transform("all", lambda x: F.struct(far(x).alias("d"), x.alias("v"))))["v"]
-        return spots.select("spot_id", centre).join(values, how="cross").select("spot_id", best.alias(axis))
+        return spots.select("spot_id", F.col(centre).cast("double").alias(centre)).join(nearest_values(spots, centre, grid, axis), centre).select("spot_id", axis)
 
     at = nearest("lat", "latitude").join(nearest("lon", "longitude"), "spot_id")
     return at.join(grid, ["lat", "lon"])

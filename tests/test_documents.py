@@ -432,6 +432,26 @@ def test_reviewers_get_twenty_fields(spark):
     assert len(one) == 20 and len(one["description"]) == 700 and one["current_quote"] == "x" * 497 + "..." and (one["zone_code"], one["title"], one["needs_manual_review"]) == ("", None, False)
 
 
+def test_boxes_of_any_size_overlap(spark):
+    import random
+
+    rng = random.Random(8)
+
+    def boxes(n):
+        out = [(0, -90.0, 90.0, -180.0, 180.0), (1, 5.0, 5.0, 5.0, 5.0), (2, None, 1.0, 1.0, 1.0)]
+        for i in range(3, n):
+            size = rng.choice((0.0, 0.001, 0.01, 0.64, 3.0, 40.0, 400.0))
+            lat, lon = round(rng.uniform(-90, 90), rng.choice((0, 2))), round(rng.uniform(-180, 180), rng.choice((0, 2)))
+            out.append((i, lat, lat + size * rng.choice((0, 0.5, 1)), lon, lon + size))
+        return out
+
+    a, b = boxes(120), boxes(150)
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} int, lat_min double, lat_max double, lon_min double, lon_max double")
+    got = geo.overlapping(frame(a, "a"), frame(b, "b"), "a", "b")
+    want = sorted((p[0], q[0]) for p in a for q in b if None not in p + q and p[1] <= q[2] and q[1] <= p[2] and p[3] <= q[4] and q[3] <= p[4])
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_hosts_show_their_first_addresses(spark):
     found = spark.createDataFrame([(f"https://a.x.fr/{i:03}", ("candidate", "auto_accepted", "existing", "")[i % 4], i % 7) for i in range(90)], "url string, status string, score int")
     hosts = spark.createDataFrame([("x.fr",), ("y.fr",)], "host string")

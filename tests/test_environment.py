@@ -82,6 +82,36 @@ def test_tide_fields(spark):
     assert first[3]["tide_range_m"] is None and first[3]["tide_phase"] is None
 
 
+def test_tides_of_one_place_over_many_blocks(spark):
+    """Blocks meet as if there were none: series longer than one, with gaps of blocks, levels that stay, and blocks without an event."""
+    import random
+
+    rng, rows = random.Random(4), []
+    for spot, hours in (("year", range(0, 9000, 3)), ("gaps", [h for h in range(0, 40_000, 5) if h % 7000 < 900]), ("few", [10, 900, 5000, 5001]), ("one", [77])):
+        level = 0.0
+        for h in hours:
+            level = rng.choice((level, level, level + 1, level - 1)) if spot != "gaps" else float(h)
+            rows.append((spot, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), level if rng.random() < 0.9 else None, h))
+    wide = spark.createDataFrame(rows, "spot_id string, valid_time timestamp, sea_level_height_m double, n int")
+    want = {}
+    for spot in {r[0] for r in rows}:
+        s = sorted((t, v, n) for p, t, v, n in rows if p == spot and v is not None)
+        kinds = []
+        for i, (_, v, _) in enumerate(s):
+            b, a = s[i - 1][1] if i else None, s[i + 1][1] if i + 1 < len(s) else None
+            kinds.append(None if b is None or a is None else "high" if v >= b and v > a else "low" if v <= b and v < a else None)
+        following = None
+        for i in reversed(range(len(s))):
+            following = (kinds[i], s[i][0], s[i][1]) if kinds[i] else following
+            a = s[i + 1][1] if i + 1 < len(s) else None
+            want[spot, s[i][2]] = (kinds[i], None if a is None else "rising" if a > s[i][1] else "falling" if a < s[i][1] else "slack", *(following or (None, None, None)))
+    got = tides.events(wide).collect()
+    fields = ("tide_event", "tide_phase", "next_tide_event_type", "next_tide_event_time", "next_tide_event_height_m")
+    assert len(got) == len(rows)
+    assert {(r["spot_id"], r["n"]): tuple(r[f] for f in fields) for r in got if r["sea_level_height_m"] is not None} == want
+    assert all(r[f] is None for r in got if r["sea_level_height_m"] is None for f in fields)
+
+
 FORECAST = {"wind_gusts_ms": 11.0, "weather_visibility_m": 9000.0, "swell_wave_height_m": 1.8, "secondary_swell_wave_height_m": 0.7}
 
 
@@ -184,6 +214,25 @@ def test_a_matrix_comes_in_many_payloads(spark, monkeypatch):
     assert seen[0].count() == suppliers.count() > 1 and seen[0].select(F.max(F.length("payload"))).first()[0] < 1000
 
 
+def test_nearest_of_a_long_axis(spark):
+    """An axis of a hundred thousand values, and points between, on, before and after them."""
+    import bisect
+    import random
+
+    rng = random.Random(6)
+    axis = sorted({round(rng.uniform(-500, 500), 3) for _ in range(100_000)})
+    points = [rng.uniform(-600, 600) for _ in range(300)] + rng.sample(axis, 20) + [(axis[5] + axis[6]) / 2, -1e9, 1e9]
+    values = spark.createDataFrame([(x,) for x in axis], "lat double").union(spark.createDataFrame([(None,), (float("nan"),)], "lat double"))
+    got = {r["c"]: r["lat"] for r in grid.nearest_values(spark.createDataFrame([(x,) for x in [*points, points[0], None]], "c double"), "c", values, "lat").collect()}
+
+    def nearest(x):
+        i = bisect.bisect_left(axis, x)
+        return min(axis[max(i - 1, 0) : i + 1], key=lambda v: (abs(v - x), v))
+
+    assert got == {x: nearest(x) for x in points}
+    assert grid.nearest_values(spark.createDataFrame([(1.0,)], "c double"), "c", values.limit(0), "lat").count() == 0
+
+
 def put(spark, path, batches):
     from halyard.streaming import versions
 
