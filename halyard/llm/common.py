@@ -102,7 +102,11 @@ def per_batch(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
 
 
 def arrow_task(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """mapInArrow on batches of bounded bytes, whatever the length of texts, that gives memory back at each task's end."""
+    """mapInArrow on batches of bounded bytes, whatever the length of texts, that gives memory back at each task's end.
+
+    Lowers the session's Arrow batch limit to BATCH_BYTES for later queries too:
+    Spark reads it when a plan runs, not when it is made.
+    """
     conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     if not conf.get(limit).removesuffix("b").isdigit() or int(conf.get(limit).removesuffix("b")) > BATCH_BYTES:
         conf.set(limit, str(BATCH_BYTES))

@@ -151,7 +151,8 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, threshold:
     docs: doc_id, text; items: item_id, text; other columns are ignored. One
     row for each pair of ids, the largest share if an id repeats. Items of fewer
     than size words are one shingle of all their words; items and documents
-    without words (null, empty) are in no pair. No items or documents, no rows.
+    without words (null, empty) are in no pair; documents of any length are
+    searched whole. No items or documents, no rows.
     """
     if fits(items):
         found = _by_broadcast(docs, items, size, threshold)

@@ -219,7 +219,8 @@ def scan_licenses(
     them. score is the largest covered share, 1 for a phrase, 0 for nothing.
     Null and empty texts have no words, empty labels, score 0 and null places;
     whole texts of any length are scanned; repeated rows give repeated rows; a
-    null id stays null; other columns are ignored, whatever their names.
+    null id stays null; an empty table gives no rows; other columns are ignored,
+    whatever their names.
     """
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     key = (tuple(phrases.items()), tuple(notices.items()), min_match, gap, cover)

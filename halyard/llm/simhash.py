@@ -141,7 +141,8 @@ def near_groups(docs: DataFrame, radius: int = 2, size: int = 3, id_col: str = "
     differing bits, the row's own included. Equal fingerprints are linked,
     those of texts without words (null, empty, white space: zero) like any
     other. Repeated rows give repeated rows. A null id gets the component of its
-    group, null if the group has no other. Other columns are ignored.
+    group, null if the group has no other. Texts of any length count whole. An
+    empty table gives no rows. Other columns are ignored.
     """
     prints, _ = durable(with_fingerprint(docs, size, id_col, text_col), "simhash-prints")
     distinct, distinct_path = durable(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")

@@ -195,7 +195,8 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 4096, id_col: st
     vocabulary: path of a sentencepiece BPE model, the same on every node.
     Null and empty texts count as 0 tokens and 0 bytes; whole texts of any
     length are counted; repeated rows give repeated rows; a null id stays
-    null; other columns are ignored, whatever their names.
+    null; an empty table gives no rows; other columns are ignored, whatever
+    their names.
     """
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
 
