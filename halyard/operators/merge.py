@@ -63,7 +63,8 @@ def rewrite_partitions(spark: SparkSession, path: str, by: str, touched: DataFra
     kind = touched.schema[by].dataType
     try:
         table = spark.read.parquet(path)
-        table = table.withColumn(by, F.col(by).cast(kind)) if table.schema[by].dataType != kind else table
+        if table.schema[by].dataType != kind:  # the folders' names read as what they are, "01" as a text
+            table = spark.read.schema(T.StructType([T.StructField(f.name, kind if f.name == by else f.dataType) for f in table.schema])).parquet(path)
     except AnalysisException as fault:
         if not is_missing(fault):
             raise

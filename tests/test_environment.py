@@ -368,6 +368,12 @@ def test_only_touched_partitions_are_written(spark, tmp_path):
     assert {f.split("/")[0] for f in same} == {"day=2026-05-01", "day=2026-05-03"} and len(after) == 5
     got = sorted((r["k"], r["v"], r["made"], r["day"]) for r in spark.read.parquet(path).collect())
     assert got == [("a", 1, "first", day(1)), ("b", 9, "first", day(2)), ("c", 3, "first", day(3)), ("d", 5, "second", day(2)), ("e", 6, "second", day(4)), ("n", 1, "first", None)]
+    # folders whose names read as numbers are told as texts if the rows have texts
+    texts = f"file://{tmp_path}/s"
+    for v in (1, 2):
+        assert merge.upsert_table(spark, texts, spark.createDataFrame([("01", "a", v), ("1", "b", v)][: 3 - v], "part string, k string, v int"), ["k"], "part") == 3 - v
+    kept = spark.read.schema("k string, v int, part string").parquet(texts)
+    assert sorted(map(tuple, kept.collect())) == [("a", 2, "01"), ("b", 1, "1")]
     # a partition left without rows goes
     assert merge.rewrite_partitions(spark, path, "day", spark.createDataFrame([(day(3),)], "day date"), lambda rows: rows.limit(0)) == 1
     assert not (tmp_path / "t" / "day=2026-05-03").exists() and spark.read.parquet(path).count() == 5
