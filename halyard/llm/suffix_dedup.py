@@ -1,4 +1,4 @@
-"""Removal of long repeated byte strings with a logarithmic family of sorted window fingerprints.
+"""Removal of long repeated byte strings with a logarithmic family of suffix arrays.
 
 Which windows of ``length`` bytes also start elsewhere is found exactly:
 
@@ -15,14 +15,17 @@ Which windows of ``length`` bytes also start elsewhere is found exactly:
    windows still meet, and each segment becomes two rows at most. Equal pieces
    are counted as in 2, and crowded keys are cut again; after eight cuts at most
    a piece is one window, all of it in the key.
-4. The bytes of what is left go, by key, to tasks that keep a family of sorted
-   arrays of window starts, in order of four leading bytes and then of the
-   window's fingerprint. That is no suffix order beyond the four bytes: only
-   windows equal in full length are sought, and any order that puts these side
-   by side finds them. Each arriving batch is sorted and looked up in the
-   existing levels for equal fingerprints, which are verified byte by byte; what
-   is new becomes the lowest level, and levels of about equal size merge, so
-   they grow geometrically.
+4. The bytes of what is left go, by key, to tasks that keep a logarithmic family
+   of suffix arrays. Of each arriving batch the suffix array is built by prefix
+   doubling, as deep as a window is long, and merge-scanned against the existing
+   levels: the level's suffixes that share a prefix with a suffix of the batch are
+   narrowed down by its next eight bytes, until none is left or the match is as
+   long as a window. What is new becomes the lowest level, and levels of about
+   equal size are merged at the places that the scan gives, so they grow
+   geometrically.
+
+Of a run of one repeated byte, or of a few, the segments that follow each other
+are equal; they are one row that tells how many.
 """
 
 from __future__ import annotations
@@ -101,16 +104,17 @@ def contents(data: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.frombuffer(each, np.int64).reshape(-1, 2)
 
 
-def block_segments(data: bytes, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def block_segments(data: bytes, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Segments of texts that lie one after another in data.
 
     bounds: the texts' ends, from 0. Returns each segment's text, first window
-    start in it, number of windows, anchor hash and content hash.
+    start in it, number of windows, how often it stands there in a row, anchor
+    hash and content hash.
     """
     x = np.frombuffer(data, np.uint8)
     empty = np.zeros(0, np.int64)
     if len(x) < length:
-        return empty, empty, empty, empty, empty.reshape(0, 2)
+        return empty, empty, empty, empty, empty, empty.reshape(0, 2)
     roll = Rolling(x)
     grams = roll.all(GRAM)
     mask = np.uint64((1 << POSITION_BITS) - 1)
@@ -121,11 +125,15 @@ def block_segments(data: bytes, bounds: np.ndarray, length: int) -> tuple[np.nda
     inside = starts + length <= bounds[own + 1]
     starts, own, anchor = starts[inside], own[inside], anchor[inside]
     if not len(starts):
-        return empty, empty, empty, empty, empty.reshape(0, 2)
+        return empty, empty, empty, empty, empty, empty.reshape(0, 2)
     cut = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])])
     last = np.r_[cut[1:], len(starts)] - 1
     first, count = starts[cut], last - cut + 1
-    return own[cut], first - bounds[own[cut]], count, grams[anchor[cut]].view(np.int64), contents(data, first, first + count + length - 1)
+    kind, own = contents(data, first, first + count + length - 1), own[cut]
+    again = np.r_[False, (kind[1:] == kind[:-1]).all(axis=1) & (own[1:] == own[:-1]) & (count[1:] == count[:-1]) & (first[1:] == first[:-1] + count[:-1])]
+    one = np.flatnonzero(~again)
+    times = np.diff(np.r_[one, len(first)])
+    return own[one], (first - bounds[own])[one], count[one], times, grams[anchor[cut[one]]].view(np.int64), kind[one]
 
 
 def blocks(values: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], bytes, np.ndarray]]:
@@ -153,24 +161,24 @@ def text_hash(data: bytes) -> bytes:
     return xxhash.xxh3_128_digest(data)
 
 
-SEGMENT = "th binary, at int, n int, anchor long, kind long, more long"
+SEGMENT = "th binary, at int, n int, times int, anchor long, kind long, more long"
 #: A kind's name under its anchor.
 KIND = ["anchor", "kind", "more"]
 
 
 def segment_rows(slim: DataFrame, length: int) -> DataFrame:
-    """(id, th, at, n, anchor, kind, more): the segments of every text."""
+    """(id, th, at, n, times, anchor, kind, more): the segments of every text, equal ones in a row once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             values = [t.encode() for t in texts(b)]
             hashes = pa.array([text_hash(v) for v in values], pa.binary())
             for who, places, data, bounds in blocks(values, length):
-                own, at, n, anchor, kind = block_segments(data, bounds, length)
+                own, at, n, times, anchor, kind = block_segments(data, bounds, length)
                 if len(own):
                     row = np.array(who)[own]
-                    cols = [b.column("id").take(pa.array(row)), hashes.take(pa.array(row)), *map(pa.array, ((at + np.array(places)[own]).astype(np.int32), n.astype(np.int32), anchor, kind[:, 0], kind[:, 1]))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "at", "n", *KIND])
+                    cols = [b.column("id").take(pa.array(row)), hashes.take(pa.array(row)), *map(pa.array, ((at + np.array(places)[own]).astype(np.int32), n.astype(np.int32), times.astype(np.int32), anchor, kind[:, 0], kind[:, 1]))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["id", "th", "at", "n", "times", *KIND])
 
     return arrow_task(slim, task, f"id {slim.schema['id'].dataType.simpleString()}, {SEGMENT}")
 
@@ -188,37 +196,70 @@ def packed_texts(slim: DataFrame) -> DataFrame:
     return arrow_task(slim, task, f"id {slim.schema['id'].dataType.simpleString()}, th binary, z binary")
 
 
+def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array of data as deep as depth bytes, 8 or more, by prefix doubling; and the rank at each place, equal where those bytes are.
+
+    Holds for suffixes of depth bytes or more; shorter ones stand among them
+    somewhere. Only suffixes that tie are sorted again.
+    """
+    n = len(data)
+    wide = np.r_[data, np.zeros(8, np.uint8)]
+    head = words_at(wide, np.arange(n))
+    order = np.argsort(head)
+    ranks = np.zeros(n + depth, np.int64)  # from 1; 0 beyond the end
+    sorted_head = head[order]
+    same = np.r_[False, sorted_head[1:] == sorted_head[:-1]]
+    rank = np.maximum.accumulate(np.where(same, 0, np.arange(n)))  # by place in order: the first of its like
+    ranks[order] = rank + 1
+    reach = 8
+    while reach < depth:
+        tied = np.flatnonzero(same | np.r_[same[1:], False])
+        if not len(tied):
+            break
+        step = min(reach, depth - reach)
+        at = order[tied]
+        key = (rank[tied].astype(np.uint64) << np.uint64(32)) | ranks[at + step].astype(np.uint64)
+        by = np.argsort(key)
+        key, order[tied] = key[by], at[by]
+        same[tied] = np.r_[False, key[1:] == key[:-1]]
+        rank[tied] = np.maximum.accumulate(np.where(same[tied], 0, tied))
+        ranks[order[tied]] = rank[tied] + 1
+        reach += step
+    return order, ranks[:n]
+
+
+def words_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number that orders like them."""
+    view = np.ndarray(max(0, len(data) - 7), ">u8", data, strides=(1,))
+    return view[at].astype(np.uint64)
+
+
 class Level:
-    """Window starts in order of leading bytes and fingerprint."""
+    """A suffix array: window starts in the order of their bytes, no two equal, and their first eight bytes."""
 
-    def __init__(self, order: np.ndarray, print_: np.ndarray, where: np.ndarray):
-        self.order, self.print, self.where = order, print_, where
+    def __init__(self, where: np.ndarray, head: np.ndarray):
+        self.where, self.head = where, head
 
     def __len__(self) -> int:
-        return len(self.order)
+        return len(self.where)
 
-    def merged(self, other: Level) -> Level:
-        cols = [np.concatenate(p) for p in ((self.order, other.order), (self.print, other.print), (self.where, other.where))]
-        by = np.lexsort((cols[1], cols[0]))
-        return Level(*(c[by] for c in cols))
+    def kept(self, keep: np.ndarray) -> Level:
+        return Level(self.where[keep], self.head[keep])
+
+    def merged(self, other: Level, at: np.ndarray) -> Level:
+        """With other's suffixes, each before the one of this level at its place."""
+        return Level(np.insert(self.where, at, other.where), np.insert(self.head, at, other.head))
 
 
 class IndexFamily:
-    """Sorted window starts of batches of segments, in levels that grow geometrically."""
+    """Suffix arrays of batches of segments, in levels that grow geometrically."""
 
     def __init__(self, length: int):
         self.length, self.levels = length, []
         self.data = np.zeros(0, np.uint8)  # all bytes
         self.again = np.zeros(0, bool)  # by place in data: a window that also starts elsewhere
-
-    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the windows at a and b have the same bytes."""
-        out = np.zeros(len(a), bool)
-        span = np.arange(self.length)
-        for i in range(0, len(a), 1 << 14):
-            s = slice(i, i + (1 << 14))
-            out[s] = (self.data[a[s, None] + span] == self.data[b[s, None] + span]).all(axis=1)
-        return out
+        #: Where the words of eight bytes lie that make up a window; the last may overlap the one before.
+        self.depths = [*range(0, length - 8, 8), length - 8]
 
     def add(self, parts: list[bytes], counts: np.ndarray) -> np.ndarray:
         """Index the first counts[i] window starts of each part; returns the parts' places in data."""
@@ -228,51 +269,77 @@ class IndexFamily:
         self.data = np.concatenate([self.data, new])
         self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
         where = np.repeat(places - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
-        prints = Rolling(new).all(self.length)[where - base]
-        lead = np.zeros(len(where), np.uint64)
-        for k in range(4):
-            lead = (lead << np.uint64(8)) | self.data[where + k].astype(np.uint64)
-        order = (lead << np.uint64(32)) | (prints >> np.uint64(32))
-        by = np.lexsort((prints, order))
-        batch = Level(order[by], prints[by], where[by])
-        batch = self._within(batch)
+        asked = np.zeros(len(new), bool)
+        asked[where - base] = True
+        order, rank = suffix_order(new, self.length)
+        order = order[asked[order]]  # the rest of a part is no window's start
+        batch = self._within(order + base, rank[order])
         for level in self.levels:
-            batch = self._scan(batch, level)
+            at, found = self._scan(batch, level)
+            self.again[batch.where[found]] = True
+            self.again[level.where[at[found]]] = True
+            batch = batch.kept(~found)
         if len(batch):
             self.levels.append(batch)
         while len(self.levels) > 1 and 2 * len(self.levels[-1]) > len(self.levels[-2]):
             top = self.levels.pop()
-            self.levels[-1] = self.levels[-1].merged(top)
+            self.levels[-1] = self.levels[-1].merged(top, self._scan(top, self.levels[-1])[0])
         return places
 
-    def _within(self, batch: Level) -> Level:
-        """Marks repeats inside a batch; keeps one of each."""
-        same = np.r_[False, (batch.order[1:] == batch.order[:-1]) & (batch.print[1:] == batch.print[:-1])]
-        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(batch))))
-        at = np.flatnonzero(same)
-        at = at[self.equal(batch.where[at], batch.where[first[at]])]
-        self.again[batch.where[at]] = True
-        self.again[batch.where[first[at]]] = True
-        keep = np.ones(len(batch), bool)
-        keep[at] = False
-        return Level(batch.order[keep], batch.print[keep], batch.where[keep])
-
-    def _scan(self, batch: Level, level: Level) -> Level:
-        """Marks the windows of batch that a level has, on both sides; keeps the others."""
-        keep = np.ones(len(batch), bool)
-        left = np.searchsorted(level.order, batch.order, side="left")
-        at = np.arange(len(batch))
-        while len(at):
-            at = at[left[at] < len(level)]
-            at = at[level.order[left[at]] == batch.order[at]]
-            hit = at[level.print[left[at]] == batch.print[at]]
-            hit = hit[self.equal(batch.where[hit], level.where[left[hit]])]
-            self.again[batch.where[hit]] = True
-            self.again[level.where[left[hit]]] = True
-            keep[hit] = False
-            at = at[keep[at]]
-            left[at] += 1
-        return Level(batch.order[keep], batch.print[keep], batch.where[keep])
+    def _within(self, where: np.ndarray, rank: np.ndarray) -> Level:
+        """Marks repeats inside a batch's suffix array; keeps one of each."""
+        same = np.r_[False, rank[1:] == rank[:-1]]
+        self.again[where[same | np.r_[same[1:], False]]] = True
+        where = where[~same]
+        return Level(where, words_at(self.data, where))
+
+    def _scan(self, batch: Level, level: Level) -> tuple[np.ndarray, np.ndarray]:
+        """The place in level before which each suffix of batch belongs, and whether the one there has the same window.
+
+        low to high are the level's suffixes with the bytes compared so far in common.
+        """
+        low = np.searchsorted(level.head, batch.head, side="left")
+        high = np.searchsorted(level.head, batch.head, side="right")
+        found = np.zeros(len(batch), bool)
+        going = np.flatnonzero(low < high)
+        for depth in self.depths[1:]:
+            alone = high[going] - low[going] == 1
+            self._compare(batch, level, going[alone], low, found)
+            going = going[~alone]
+            if not len(going):
+                break
+            want = words_at(self.data, batch.where[going] + depth)
+            left = self._bisect(want, low[going], high[going], level, depth, np.less)
+            right = self._bisect(want, left, high[going], level, depth, np.less_equal)
+            low[going], high[going] = left, right
+            going = going[left < right]
+        found[going] = True  # compared to the last byte
+        return low, found
+
+    def _compare(self, batch: Level, level: Level, rows: np.ndarray, low: np.ndarray, found: np.ndarray) -> None:
+        """Settles the rows that only one suffix of the level, that at low, may equal."""
+        depths = np.array(self.depths)
+        for i in range(0, len(rows), 1 << 14):
+            own = rows[i : i + (1 << 14)]
+            mine = words_at(self.data, batch.where[own][:, None] + depths)
+            its = words_at(self.data, level.where[low[own]][:, None] + depths)
+            unlike = mine != its
+            first = unlike.argmax(axis=1)
+            each = np.arange(len(own))
+            found[own] = ~unlike[each, first]
+            low[own] += mine[each, first] > its[each, first]
+
+    def _bisect(self, want: np.ndarray, low: np.ndarray, high: np.ndarray, level: Level, depth: int, before) -> np.ndarray:
+        """In each range of level, the first place whose word at depth is not before the one wanted."""
+        low, high = low.copy(), high.copy()
+        going = np.flatnonzero(low < high)
+        while len(going):
+            middle = (low[going] + high[going]) >> 1
+            less = before(words_at(self.data, level.where[middle] + depth), want[going])
+            low[going[less]] = middle[less] + 1
+            high[going[~less]] = middle[~less]
+            going = going[low[going] < high[going]]
+        return low
 
 
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -391,10 +458,10 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     spark = docs.sparkSession
     slim = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     segments, segments_path = durable(segment_rows(slim, length), "repeats-segments")
-    shared, shared_path = durable(segments.groupBy("anchor").count().where("count > 1").select("anchor"), "repeats-anchors")
+    shared, shared_path = durable(segments.groupBy("anchor").agg(F.sum("times").alias("count")).where("count > 1").select("anchor"), "repeats-anchors")
     met, met_path = durable(segments.join(shared, "anchor", "left_semi"), "repeats-met")
     discard(spark, segments_path)
-    kinds, kinds_path = durable(met.groupBy(*KIND).agg(F.count("*").alias("copies"), F.min(F.struct("id", "th", "at", "n")).alias("one")), "repeats-kinds")
+    kinds, kinds_path = durable(met.groupBy(*KIND).agg(F.sum("times").alias("copies"), F.min(F.struct("id", "th", "at", "n")).alias("one")), "repeats-kinds")
     many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     many, many_path = durable(many, "repeats-many")
     sought = kinds.join(many, "anchor").select("one.*", F.struct(*KIND, "kinds", "one.at", "one.n").alias("s"))
@@ -404,7 +471,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     whole = kinds.where("copies > 1").select(*KIND, F.lit(0).alias("first"), (F.col("one.n") - 1).alias("last"))
     decided, decided_path = durable(found.union(whole).groupBy(*KIND).agg(F.collect_list(F.struct("first", "last")).alias("runs")), "repeats-decided")
     discard(spark, cut_path, shared_path, *found_paths)
-    placed = met.join(decided, KIND).select("id", "th", F.transform("runs", lambda r: F.struct((F.col("at") + r["first"]).alias("first"), (F.col("at") + r["last"]).alias("last"))).alias("runs"))
+    placed = met.join(decided, KIND).select("id", "th", F.transform("runs", lambda r: F.struct((F.col("at") + r["first"]).alias("first"), (F.col("at") + r["last"] + (F.col("times") - 1) * F.col("n")).alias("last"))).alias("runs"))
     per_text, _ = durable(placed.groupBy("id", "th").agg(F.flatten(F.collect_list("runs")).alias("runs")), "repeats-runs")
     discard(spark, met_path, kinds_path, many_path, decided_path)
     return _removed(_with_text(slim, per_text, "left"), length).withColumnRenamed("id", id_col)

@@ -365,7 +365,7 @@ def test_a_passage_in_many_contexts_equals_brute_force(spark, monkeypatch, kinds
 def test_pieces_are_few_rows_however_many_windows(spark):
     rng = random.Random(19)
     data = "".join(rng.choice("abcdefgh ") for _ in range(360)).encode()
-    own, at, n, anchor, kind = suffix_dedup.block_segments(data, np.array([0, 360]), 200)
+    own, at, n, times, anchor, kind = suffix_dedup.block_segments(data, np.array([0, 360]), 200)
     rows = [(int(a), int(k[0]), int(k[1]), int(c), data[p : p + c + 199], 0, 168, None) for p, c, a, k in zip(at, n, anchor, kind, strict=True)]
     schema = suffix_dedup.SLICE + ", least int, most int, off int"
     df = spark.createDataFrame([(a, k, m, c, bytearray(d), x, y, z) for a, k, m, c, d, x, y, z in rows], schema)
@@ -396,6 +396,55 @@ def test_levels_grow_geometrically():
     assert sum(sizes) == 4000 and len(sizes) <= 7 and all(2 * b <= a for a, b in zip(sizes, sizes[1:], strict=False))
 
 
+@pytest.mark.parametrize("letters", [1, 2, 5, 256])
+def test_suffix_order_equals_sorted_suffixes(letters):
+    rng = np.random.default_rng(letters)
+    for n, depth in ((1, 8), (7, 20), (300, 8), (900, 33), (900, 200), (2000, 50)):
+        data = rng.integers(0, letters, n, dtype=np.uint8)
+        data[n // 2 : n // 2 + n // 4] = data[: n // 4]
+        order, rank = suffix_dedup.suffix_order(data, depth)
+        assert sorted(order.tolist()) == list(range(n))
+        order = [i for i in order.tolist() if i + depth <= n]
+        key = {i: data[i : i + depth].tobytes() for i in order}
+        assert [key[i] for i in order] == sorted(key.values())
+        assert all((rank[i] == rank[j]) == (key[i] == key[j]) for i, j in zip(order, order[1:], strict=False))
+
+
+@pytest.mark.parametrize("letters", [1, 2, 4])
+def test_levels_are_suffix_arrays_and_marks_equal_brute_force(letters):
+    rng = np.random.default_rng(letters)
+    family = suffix_dedup.IndexFamily(35)
+    old = rng.integers(0, letters, 90, dtype=np.uint8).tobytes()
+    parts, places = [], []
+    for _ in range(12):
+        some = []
+        for _ in range(6):
+            a, b = sorted(rng.integers(0, 91, 2).tolist())
+            part = old[a:b] + rng.integers(0, letters, 60, dtype=np.uint8).tobytes()
+            some.append(part)
+        places += family.add(some, np.array([len(x) - 34 for x in some])).tolist()
+        parts += some
+    seen = Counter(x[i : i + 35] for x in parts for i in range(len(x) - 34))
+    for x, p in zip(parts, places, strict=True):
+        assert [seen[x[i : i + 35]] > 1 for i in range(len(x) - 34)] == family.again[p : p + len(x) - 34].tolist()
+    held = []
+    for level in family.levels:
+        got = [family.data[w : w + 35].tobytes() for w in level.where]
+        assert got == sorted(set(got)) and [x[:8] for x in got] == [int(h).to_bytes(8, "big") for h in level.head]
+        held += got
+    assert sorted(held) == sorted(seen)
+
+
+def test_runs_of_few_bytes_are_few_rows(spark):
+    """A megabyte of one byte, and of two: all goes, of a text with one window of it as well; no row for each window."""
+    lone = "a lone text of which nothing stands anywhere else in the table, " + hashlib.sha256(b"lone").hexdigest() * 3
+    rows = [(1, "-" * 1_500_000), (2, "ab" * 500_000 + "!"), (3, "x" + "-" * 200 + "y"), (4, "w" + "-" * 199), (5, lone), (6, "q" * 200), (7, "z" * 201)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert suffix_dedup.segment_rows(docs.select(docs["doc_id"].alias("id"), "text"), 200).count() < 1000
+    got = {r["doc_id"]: (bytes(r["kept"]), len(r["spans"])) for r in suffix_dedup.repeated_spans(docs, 200).collect()}
+    assert got == {1: (b"", 1), 2: (b"!", 1), 3: (b"xy", 1), 4: (b"w" + b"-" * 199, 0), 5: (lone.encode(), 0), 6: (b"q" * 200, 0), 7: (b"", 1)}
+
+
 def test_repeats_of_every_case(spark):
     got = suffix_dedup.repeated_spans(cases(spark), 40).collect()
     want = brute_repeats([(t or "").encode() for _, t in CASES], 40)
