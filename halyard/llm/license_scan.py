@@ -2,8 +2,9 @@
 
 The automaton holds every run of words of the templates. Texts are streamed
 through it word by word, which gives matching statistics: the longest run of
-template words ending at each word. Runs that cannot be extended and are long
-enough are chained, in the order of both text and template, into spans, and a
+template words ending at each word, and by the suffix links the longest of each
+template. Runs that cannot be extended in their template and are long enough
+are chained, in the order of both text and template, into spans, and a
 template whose span covers enough of its words labels the text.
 """
 
@@ -14,10 +15,11 @@ from bisect import bisect_left
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.llm.common import per_batch, texts, with_columns
+from halyard.llm.licences import LICENCES
 
 #: Phrases that label a text wherever their words stand consecutively (fixed values).
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -75,6 +77,7 @@ class Automaton:
                 for w in self.words[t]:
                     v = self.next[v][w]
                 whole[v] = t
+        self.matches: dict[int, list[tuple[int, int, list[int], set[str]]]] = {}
         self.phrases: list[list[tuple[int, int]]] = []
         for v in range(len(self.next)):
             up, found = v, []
@@ -115,43 +118,54 @@ class Automaton:
     def scan(self, words: list[str]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, float]]]:
         """Phrase places (template, first word), and spans (template, first word, last word, covered share)."""
         vocab, nexts, link, length, least = self.vocab, self.next, self.link, self.length, self.min_match
-        places, runs = [], []
+        places, runs = [], {}
         v = n = 0
         before = -2
         for i, w in [(i, w) for i, w in enumerate(words) if w in vocab]:
             if i != before + 1:
-                if n >= least:
-                    runs.append((before, n, v))
                 v = n = 0
-            was = (before, n, v)
             while v and w not in nexts[v]:
                 v = link[v]
                 n = length[v]
             if w in nexts[v]:
                 v = nexts[v][w]
                 n += 1
-            if was[1] >= least and n <= was[1]:
-                runs.append(was)
+            if n >= least:
+                after = words[i + 1] if i + 1 < len(words) else None
+                for size, t, ats, following in self._matches(v):
+                    if after not in following:
+                        runs.setdefault(t, []).extend((i, min(n, size), at) for at in ats)
             if n and self.phrases[v]:
                 places.extend((t, i - size + 1) for t, size in self.phrases[v] if size <= n)
             before = i
-        if n >= least:
-            runs.append((before, n, v))
-        return places, self._chain(runs) if runs else []
+        return places, self._chain(runs)
+
+    def _matches(self, v: int) -> list[tuple[int, int, list[int], set[str]]]:
+        """Of each template that holds min_match words or more of what ends at state v: how many at most, where they end in it, and the words after them there."""
+        known = self.matches.get(v)
+        if known is None:
+            known, up, met = [], v, set()
+            while up > 0 and self.length[up] >= self.min_match:
+                own: dict[int, list[int]] = {}
+                for t, at in self.ends[up]:
+                    if t not in met:
+                        own.setdefault(t, []).append(at)
+                known += [(self.length[up], t, ats, {self.words[t][at + 1] for at in ats if at + 1 < len(self.words[t])}) for t, ats in own.items()]
+                met.update(own)
+                up = self.link[up]
+            self.matches[v] = known
+        return known
 
-    def _chain(self, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
+    def _chain(self, runs: dict[int, list[tuple[int, int, int]]]) -> list[tuple[int, int, int, float]]:
         """Spans: of each template, chains of runs that go on in text and template, at most a gap apart, that cover enough of it.
 
-        Every place of a run in a template is the end of its best chain: the run
+        runs: by template, the last word in the text, the number of words and the
+        last place in the template. Every place of a run in a template is the end of its best chain: the run
         alone, or after the chain of a run before it, whichever covers more. The
         chains that cover most are taken first, and none that overlaps another.
         """
-        places: dict[int, list[tuple[int, int, int]]] = {}
-        for end, n, v in runs:
-            for t, at in self.ends[v]:
-                places.setdefault(t, []).append((end, n, at))
         spans = []
-        for t, own in places.items():
+        for t, own in runs.items():
             chains: list[tuple[int, int, int, int]] = []  # covered words, first word, last word, last place in the template
             for i, (end, n, at) in enumerate(own):
                 start = end - n + 1
@@ -174,6 +188,11 @@ class Automaton:
         return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
 
 
+def template_table(spark: SparkSession) -> DataFrame:
+    """(label, text): the notices of this module and the whole licences of ``licences``."""
+    return spark.createDataFrame([*NOTICES.items(), *LICENCES.items()], "label string, text string")
+
+
 def notice_table(templates: DataFrame, most_chars: int = 20_000_000) -> dict[str, str]:
     """Licence templates of a table (label, text), whole licences too, for scan_licenses; several of a label are told apart by spaces after it.
 
@@ -214,9 +233,10 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per row of docs: id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
-    notices: those of this module, or of a table by notice_table. phrases label wherever they stand; notices label where a chain of runs of
-    min_match words or more, at most gap words apart, covers the share cover of
-    them. score is the largest covered share, 1 for a phrase, 0 for nothing.
+    notices: those of this module, or of a table by notice_table, whole licences
+    too. phrases label wherever they stand; notices label where a chain of runs
+    of min_match words or more, at most gap words apart, covers the share cover
+    of them; a licence that holds another, or its opening words, has both labels. score is the largest covered share, 1 for a phrase, 0 for nothing.
     Null and empty texts have no words, empty labels, score 0 and null places;
     whole texts of any length are scanned; repeated rows give repeated rows; a
     null id stays null; an empty table gives no rows; other columns are ignored,

@@ -144,7 +144,8 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    notices = license_scan.notice_table(license_scan.template_table(spark))
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"), notices=notices)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

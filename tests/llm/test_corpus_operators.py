@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from halyard.llm import chat_format, decontaminate, license_scan, line_templates, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
+from halyard.llm import chat_format, decontaminate, licences, license_scan, line_templates, media, quality, simhash, suffix_dedup, token_counts, trie_bpe
 from halyard.llm.components import connected_components
 from tests.llm.helpers import CASES, cases, empty
 
@@ -185,6 +185,54 @@ def test_licence_notices_label_themselves_with_gaps():
     assert {a.labels[t] for t, *_ in a.scan(words)[1]} == {"bsd"}
 
 
+def test_whole_licences_are_found_and_held_apart(spark):
+    """Each whole licence, filled in, in lines and within other words, has its label and its span; a foreign text has none."""
+    notices = license_scan.notice_table(license_scan.template_table(spark))
+    assert set(notices) == {*license_scan.NOTICES, *licences.LICENCES}
+    names = list(licences.LICENCES)
+    bodies = ["Copyright (c) 2020 Some One\n\n" + licences.LICENCES[n].replace(". ", ".\n\n * ").lower() + "\nint main(void) { return 0; }" for n in names]
+    rows = [*enumerate(bodies), (100, "the use of the software and the rights to copy it without warranty are for any person and for any purpose")]
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), notices=notices).collect()}
+    for i, name in enumerate(names):
+        size = len(license_scan.words_of(licences.LICENCES[name]))
+        span = max((s for s in got[i]["spans"] if s["label"] == name), key=lambda s: s["covered"])
+        assert name in got[i]["labels"].split(",") and got[i]["score"] == 1.0
+        assert span["covered"] == 1.0 and (span["first_word"], span["last_word"]) == (5, 4 + size)
+    assert "bsd-3-clause" in got[names.index("bsd-2-clause")]["labels"]  # lacks a tenth of it
+    assert {"mit", "as-is"} <= set(got[names.index("mit-license")]["labels"].split(","))  # its own words hide no notice
+    assert "bsl-1.0" not in got[names.index("mit-license")]["labels"] and "isc-license" not in got[names.index("zlib-license")]["labels"]
+    assert (got[100]["labels"], got[100]["score"]) == ("", 0.0)
+
+
+def test_templates_hide_nothing_of_each_other():
+    """Each template's spans are those of an automaton that holds it alone."""
+    rng = random.Random(41)
+    vocab = "a b c d e f".split()
+    for _ in range(200):
+        templates = [(f"t{k}", " ".join(rng.choice(vocab) for _ in range(rng.randint(4, 12))), False) for k in range(4)]
+        templates.append(("t4", templates[0][1] + " a b " + templates[1][1], False))
+        words = [rng.choice([*vocab, "zz"]) for _ in range(20)] + templates[4][1].split()[: rng.randint(3, 20)] + templates[2][1].split()
+        both = license_scan.Automaton(templates, 2, 4, 0.6).scan(words)[1]
+        for k, one in enumerate(templates):
+            alone = license_scan.Automaton([one], 2, 4, 0.6).scan(words)[1]
+            assert [s[1:] for s in both if s[0] == k] == [s[1:] for s in alone]
+
+
+def test_whole_licence_spans_equal_brute_force_runs():
+    """The query's templates: what spans cover is what brute-force maximal runs of a damaged licence cover."""
+    rng = random.Random(31)
+    for name in ("mit-license", "zlib-license", "apache-2.0-header"):
+        template = license_scan.words_of(licences.LICENCES[name])
+        a = license_scan.Automaton([(name, licences.LICENCES[name], False)], 3, 8, 0.6)
+        for share in (0.0, 0.02, 0.05):
+            words = ["before", *(w if rng.random() >= share else "zz" for w in template), "zz"]
+            runs = brute_runs(words, template, 3)
+            ((_, first, last, covered),) = a.scan(words)[1]
+            inside = [(x, y) for x, y in runs if first <= x and y <= last]
+            assert (first, last) == (min(x for x, _ in inside), max(y for _, y in inside))
+            assert covered <= len({k for x, y in inside for k in range(x, y + 1)}) / len(template) + 1e-9 and (share or covered == 1.0)
+
+
 def test_licences_of_every_case(spark):
     rows = cases(spark).unionByName(spark.createDataFrame([(9, "CC BY and All Rights Reserved. ALL RIGHTS RESERVED")], "doc_id long, text string"), allowMissingColumns=True)
     got = {r["doc_id"]: r for r in license_scan.scan_licenses(rows).collect()}
