@@ -124,8 +124,13 @@ def recipients(user_ids: DataFrame, first: DataFrame, second: DataFrame) -> Data
 
 
 def digests(hits: DataFrame, forecasts: DataFrame, numbers: list[str]) -> DataFrame:
-    """(alert_id, n_spots, spots): one row per alert, its spots in order with formatted numbers, N/A where there is none."""
-    shown = [F.when(F.col(c).isNull(), "N/A").otherwise(F.format_string("%.1f", F.col(c))).alias(c) for c in numbers]
+    """(alert_id, n_spots, spots): one row per alert, its spots in order with formatted numbers, N/A where there is none.
+
+    Numbers are shown as decimals of ten places are, so what the order of a sum
+    leaves in a mean's last digits decides no tenth.
+    """
+    tenths = lambda c: F.coalesce(F.round(F.col(c).try_cast("decimal(20,10)"), 1).cast("string"), F.format_string("%.1f", F.col(c)))
+    shown = [F.when(F.col(c).isNull(), "N/A").otherwise(tenths(c)).alias(c) for c in numbers]
     rows = hits.join(forecasts.select("spot_id", "valid_time", *shown), ["spot_id", "valid_time"])
     return rows.groupBy("alert_id").agg(F.count("*").alias("n_spots"), F.array_sort(F.collect_list(F.struct("spot_id", "valid_time", *numbers))).alias("spots"))
 

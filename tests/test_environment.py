@@ -433,3 +433,13 @@ def test_a_missing_catalogue_is_empty_and_other_faults_are_not(spark, tmp_path):
         landing.read_catalogue(spark, "nosuchscheme://x/none.json", "id string")
     (tmp_path / "c.json").write_text('[{"id": "a"}, 7, "x", {"id": "b"}]')
     assert sorted(r[0] for r in landing.read_catalogue(spark, f"{tmp_path}/c.json", "id string").collect()) == ["a", "b"]
+
+
+def test_digest_shows_a_half_way_mean_whatever_the_sums_order(spark):
+    """15.65 as the sum of its parts in either order, some of it just below; numbers beyond decimals, and none."""
+    mean = (15.62 + 15.68) / 2
+    hours = [("a", 1, mean), ("b", 1, 15.65), ("c", 1, -0.04), ("d", 1, 1e12), ("e", 1, None), ("f", 1, 9.64)]
+    forecasts = spark.createDataFrame(hours, "spot_id string, valid_time int, t double")
+    hits = forecasts.select(F.lit(1).alias("alert_id"), "spot_id", "valid_time")
+    got = alerts.digests(hits, forecasts, ["t"]).first()
+    assert mean != 15.65 and [s["t"] for s in got["spots"]] == ["15.7", "15.7", "0.0", "1000000000000.0", "N/A", "9.6"]
