@@ -60,7 +60,7 @@ def local_date(ts: Column, zone: str = "Europe/Paris") -> Column:
     return F.to_date(F.from_utc_timestamp(ts, zone))
 
 
-def circular_mean(degrees: Column) -> Column:
-    """Aggregate: mean direction, null if both components are exactly 0."""
+def circular_mean(degrees: Column, still: float | None = None) -> Column:
+    """Aggregate: mean direction; still if both components are exactly 0, null without directions."""
     s, c = F.avg(F.sin(F.radians(degrees))), F.avg(F.cos(F.radians(degrees)))
-    return F.when((s != 0) | (c != 0), wrap_degrees(F.degrees(F.atan2(s, c)) + 360.0))
+    return F.when((s != 0) | (c != 0), wrap_degrees(F.degrees(F.atan2(s, c)) + 360.0)).when(s.isNotNull(), F.lit(still).cast("double"))

@@ -28,19 +28,20 @@ def known(values: DataFrame, metrics: Iterable[str] = METRICS) -> DataFrame:
     return values.where(F.col("metric").isin(*metrics) & F.col("value").isNotNull())
 
 
-def _reduced(metric: str) -> Column:
+def _reduced(metric: str, still: float | None) -> Column:
     v = F.when(F.col("metric") == metric, F.col("value"))
-    return circular_mean(v) if metric in CIRCULAR else F.avg(v)
+    return circular_mean(v, still) if metric in CIRCULAR else F.avg(v)
 
 
-def wide_hours(values: DataFrame, run_time: Column, zone: str = "Europe/Paris", metrics: Iterable[str] = METRICS) -> DataFrame:
+def wide_hours(values: DataFrame, run_time: Column, zone: str = "Europe/Paris", metrics: Iterable[str] = METRICS, still: float | None = None) -> DataFrame:
     """One row per spot_id and valid_time: a column per metric, sources, source_count, target_date, horizon.
 
     Means, on the circle for directions, in one aggregation with partial sums.
+    still: the mean of directions that cancel out.
     """
     metrics = tuple(metrics)
     rows = known(values, metrics).groupBy("spot_id", "valid_time").agg(
-        *[_reduced(m).alias(COLUMN[m]) for m in metrics],
+        *[_reduced(m, still).alias(COLUMN[m]) for m in metrics],
         F.array_sort(F.collect_set("source_code")).alias("sources"),
     )
     return rows.select(
@@ -53,10 +54,10 @@ def wide_hours(values: DataFrame, run_time: Column, zone: str = "Europe/Paris",
     )
 
 
-def long_means(values: DataFrame) -> DataFrame:
-    """One row per spot_id, valid_time and metric: the mean proper to the metric."""
+def long_means(values: DataFrame, still: float | None = None) -> DataFrame:
+    """One row per spot_id, valid_time and metric: the mean proper to the metric; still of directions that cancel out."""
     v = F.col("value")
-    both = known(values).groupBy("spot_id", "valid_time", "metric").agg(F.avg(v).alias("plain"), circular_mean(v).alias("round"))
+    both = known(values).groupBy("spot_id", "valid_time", "metric").agg(F.avg(v).alias("plain"), circular_mean(v, still).alias("round"))
     return both.select("spot_id", "valid_time", "metric", F.when(F.col("metric").isin(*CIRCULAR), F.col("round")).otherwise(F.col("plain")).alias("value"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from halyard.functions import numbers
 from halyard.operators import alerts, consolidate, merge, tides, training
+from halyard.plans import environment
 from halyard.plans import landing as plans
 from halyard.sources import grid, landing, payloads
 from halyard.streaming import streams
@@ -435,6 +436,21 @@ def test_a_missing_catalogue_is_empty_and_other_faults_are_not(spark, tmp_path):
     assert sorted(r[0] for r in landing.read_catalogue(spark, f"{tmp_path}/c.json", "id string").collect()) == ["a", "b"]
 
 
+def test_directions_that_cancel_out(spark, tmp_path):
+    """The operator gives null; the queries give 0, as their SQL, and count it."""
+    assert spark.createDataFrame([(0.0,), (180.0,)], "d double").select(numbers.circular_mean(F.lit(None).cast("double"), 0.0)).first()[0] is None
+    rows = [(2 * n + k, dt.datetime(2024, 1, 3, 1), 2 * n, "view", n / 100 + 25.0 * k, '{"k": 1}') for n in range(64) for k in (0, 1)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    values = environment.normal(spark, str(tmp_path))
+    gone = {r["spot_id"] for r in consolidate.long_means(values).where("value is null").collect()}
+    assert gone
+    long = {r["spot_id"]: r["value"] for r in environment.QUERIES["consolidate_circular"](spark, str(tmp_path)).collect()}
+    wide = {r["spot_id"]: r["wind_direction_deg"] for r in environment.QUERIES["consolidate_wide"](spark, str(tmp_path)).collect()}
+    assert len(long) == len(wide) == 64 and all(long[s] == wide[s] == 0.0 for s in gone)
+    shares = {r["column_name"]: r["n_present"] for r in environment.QUERIES["column_coverage"](spark, str(tmp_path)).collect()}
+    assert shares["wind_direction_deg"] == 64
+
+
 def test_digest_shows_a_half_way_mean_whatever_the_sums_order(spark):
     """15.65 as the sum of its parts in either order, some of it just below; numbers beyond decimals, and none."""
     mean = (15.62 + 15.68) / 2
