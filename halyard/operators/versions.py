@@ -187,10 +187,11 @@ def apply_audit(rules: DataFrame, audit: DataFrame, least: float = 0.65) -> Data
 
 
 def promote(candidates: DataFrame, labels: DataFrame, least: float = 0.75) -> DataFrame:
-    """candidates accepted where a label finds them relevant with enough confidence."""
-    rows = candidates.join(labels.select("url", "relevant", "confidence"), "url", "left")
-    up = (F.col("status") == "candidate") & F.coalesce(F.col("relevant") & (F.col("confidence") >= least), F.lit(False))
-    return rows.withColumn("status", F.when(up, "auto_accepted").otherwise(F.col("status"))).drop("relevant", "confidence")
+    """candidates accepted where a label of their url finds them relevant with enough confidence; each once, however many labels it has."""
+    found = labels.where(F.col("relevant") & (F.col("confidence") >= least)).select("url", F.lit(True).alias("_found")).distinct()
+    rows = candidates.join(found, "url", "left")
+    up = (F.col("status") == "candidate") & F.coalesce("_found", F.lit(False))
+    return rows.withColumn("status", F.when(up, "auto_accepted").otherwise(F.col("status"))).drop("_found")
 
 
 def species_links(rules: DataFrame) -> tuple[DataFrame, DataFrame]:

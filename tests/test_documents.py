@@ -467,3 +467,14 @@ def test_html_text_query_with_references_cut_short(spark, tmp_path):
     html = "<title>and&amp;&amp</title><p>x &amp; y &am</p><p>&quot;z&quot; &copy</p>"
     spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert documents.QUERIES["html_text"](spark, str(tmp_path)).first()["text"] == 'and&&amp x & y &am\n"z" &copy'
+
+
+def test_promote_with_several_labels_and_pages_of_a_url(spark, tmp_path):
+    from halyard.plans import documents
+
+    c = spark.createDataFrame([("a", "candidate"), ("b", "candidate"), ("c", "existing")], "url string, status string")
+    labels = spark.createDataFrame([("a", True, 0.9), ("a", False, 0.9), ("a", True, 0.8), ("b", True, 0.1), ("b", None, 0.9), ("c", True, 0.9), ("c", True, 0.9)], "url string, relevant boolean, confidence double")
+    assert sorted(r[:] for r in versions.promote(c, labels).select("url", "status").collect()) == [("a", "auto_accepted"), ("b", "candidate"), ("c", "existing")]
+    spark.createDataFrame([(2, "u"), (4, "u"), (7, "u")], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(r[:] for r in documents.QUERIES["label_promote"](spark, str(tmp_path)).collect())
+    assert got == [(2, "auto_accepted"), (4, "auto_accepted"), (7, "candidate")]
