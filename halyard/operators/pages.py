@@ -121,8 +121,8 @@ def candidates(found: DataFrame, existing: DataFrame, year: int, words: tuple[st
 
 
 def top_links(found: DataFrame, k: int) -> DataFrame:
-    """Each seed's k best new candidates, by score, then shortness of url, then place in the page."""
-    w = W.partitionBy("seed_url").orderBy(F.desc("score"), F.length("url"), "position")
+    """Each seed's k best new candidates, by score, then shortness of url, then place in the page, then url: pages of one url may have two at a place."""
+    w = W.partitionBy("seed_url").orderBy(F.desc("score"), F.length("url"), "position", "url")
     return found.where("status <> 'existing'").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

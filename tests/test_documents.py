@@ -478,3 +478,9 @@ def test_promote_with_several_labels_and_pages_of_a_url(spark, tmp_path):
     spark.createDataFrame([(2, "u"), (4, "u"), (7, "u")], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
     got = sorted(r[:] for r in documents.QUERIES["label_promote"](spark, str(tmp_path)).collect())
     assert got == [(2, "auto_accepted"), (4, "auto_accepted"), (7, "candidate")]
+
+
+def test_top_links_of_one_place_go_by_url(spark):
+    rows = [("s", u, 5, 3, "candidate") for u in ("http://x/b", "http://x/c", "http://x/a")]
+    found = spark.createDataFrame(rows, "seed_url string, url string, score int, position int, status string").repartition(3)
+    assert {r["url"]: r["rank"] for r in pages.top_links(found, 2).collect()} == {"http://x/a": 1, "http://x/b": 2}
