@@ -11,6 +11,10 @@
 
 No stage has more than some ten patterns, so each compiles; nothing is carried
 that a later stage does not read.
+
+Joins of what grows with the documents are pinned to sort-merge joins: stored
+tables of texts that repeat themselves are small files, by whose size a table
+of millions of rows would be broadcast, through the driver.
 """
 
 from __future__ import annotations
@@ -264,7 +268,7 @@ def _named(hits: DataFrame, dictionary: DataFrame) -> DataFrame:
     kind = F.col("kind")
     of_species = hits.where(kind.isin("size", "quota", "closure", "protected", "declaration", "practice"))
     met = entries_met(of_species, "hit", {"name": "name", "words": "f"}, dictionary)
-    rows = hits.join(met, "hit", "left").withColumn("stem", F.when(kind.isin("size", "quota"), name_stem(F.col("name"))))
+    rows = hits.join(met.hint("merge"), "hit", "left").withColumn("stem", F.when(kind.isin("size", "quota"), name_stem(F.col("name"))))
     usable = F.when((F.col("stem") != "") & ~F.col("stem").isin(*NO_SPECIES), F.col("stem"))
     rows = rows.withColumn("own", F.when(kind.isin("size", "quota"), F.coalesce("first_name", F.when(usable.isNotNull(), F.coalesce(F.col("first_words"), usable)))))
     named = (
@@ -300,7 +304,7 @@ def _described(named: DataFrame) -> DataFrame:
 def _rules(named: DataFrame, own: DataFrame) -> DataFrame:
     """Rule rows of named hits."""
     kind, species, said, f, value = (F.col(c) for c in ("kind", "species", "said", "f", "value"))
-    rows = _described(named).join(own.drop("text"), "doc")
+    rows = _described(named).join(own.drop("text").hint("merge"), "doc")
     rows = rows.withColumns({"scope": rule_scope(f, F.col("source_scope")), "zone_scope": rule_scope(F.col("zone_f"), F.col("source_scope")), "unit": F.when(F.col("kg"), "kg/jour").otherwise("captures/jour")})
     # scopes, units and the dictionary's names are ASCII; only words of the document have to be folded
     plain = lambda c: F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), "^-+|-+$", "")
@@ -339,8 +343,8 @@ def _in_context(made: DataFrame, own: DataFrame) -> DataFrame:
     """Rules with the words round their description; a declaration's are all it was found in. A document is met once for all its descriptions."""
     asked = made.where("kind <> 'declaration'").groupBy("doc").agg(F.collect_set("description").alias("all"))
     one = lambda text: F.transform("all", lambda x: F.struct(x.alias("description"), bound(normalize_spaces(x), lambda a: window_in(text, a)).alias("around")))
-    round_it = asked.join(own.select("doc", "text"), "doc").select("doc", F.explode(bound(normalize_spaces(F.col("text")), one)).alias("w")).select("doc", "w.*")
-    placed = made.join(round_it, ["doc", "description"], "left")
+    round_it = asked.join(own.select("doc", "text").hint("merge"), "doc").select("doc", F.explode(bound(normalize_spaces(F.col("text")), one)).alias("w")).select("doc", "w.*")
+    placed = made.join(round_it.hint("merge"), ["doc", "description"], "left")
     return placed.withColumn("source_context", F.when(F.col("kind") == "declaration", F.col("said")).otherwise(F.col("around"))).drop("around")
 
 

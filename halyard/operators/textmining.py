@@ -59,15 +59,23 @@ def word_runs(c: Column, sizes: list[int]) -> Column:
 
 #: Sizes of runs that one pass over the texts looks for.
 RUN_SIZES = 8
+#: A dictionary of at most so many characters, a row counting ROW_CHARS more, goes to every task; a larger one meets the runs by a sort-merge join.
+SMALL_DICTIONARY, ROW_CHARS = 20_000_000, 64
 
 
 def _spelled(texts: DataFrame, keys: list[str], folded_text: str, dictionary: DataFrame) -> DataFrame:
-    """(keys, place, name, spelling): every spelling that stands in a folded text as whole words."""
+    """(keys, columns of dictionary): every spelling that stands in a folded text as whole words.
+
+    The runs are never the side that is broadcast: they come from texts whose
+    files may be small, and are many times these.
+    """
     words = F.size(F.regexp_extract_all("spelling", F.lit(r"\w+"), F.lit(0)))
-    sizes = sorted(r[0] for r in dictionary.select(words.alias("n")).where("n > 0").distinct().collect()) or [1]
+    counted = dictionary.select(words.alias("n"), (F.length("spelling") + ROW_CHARS).alias("chars")).where("n > 0").groupBy("n").agg(F.sum("chars").alias("chars")).collect()
+    sizes = sorted(r["n"] for r in counted) or [1]
+    small = sum(r["chars"] for r in counted) <= SMALL_DICTIONARY
     passes = [sizes[i : i + RUN_SIZES] for i in range(0, len(sizes), RUN_SIZES)]
     runs = reduce(DataFrame.union, [texts.select(*keys, F.explode(word_runs(F.col(folded_text), some)).alias("spelling")) for some in passes])
-    return runs.join(dictionary.select("place", "name", "spelling"), "spelling")
+    return runs.join(dictionary.hint("broadcast" if small else "merge"), "spelling")
 
 
 def spellings_met(texts: DataFrame, keys: list[str], folded_text: str, dictionary: DataFrame) -> DataFrame:
@@ -78,7 +86,7 @@ def spellings_met(texts: DataFrame, keys: list[str], folded_text: str, dictionar
     tables meet by equality. Only the numbers of words that spellings have come
     to the driver.
     """
-    met = _spelled(texts, keys, folded_text, dictionary)
+    met = _spelled(texts, keys, folded_text, dictionary.select("place", "name", "spelling"))
     return met.groupBy(*keys, "place", "name").agg(F.max_by("spelling", F.struct(F.length("spelling"), "spelling")).alias("spelling"))
 
 
@@ -88,7 +96,7 @@ def entries_met(texts: DataFrame, key: str, parts: dict[str, str], dictionary: D
     parts: a short name of each text and its column. Rows without any entry are left out.
     """
     each = F.array(*[F.struct(F.lit(p).alias("part"), F.col(c).alias("f")) for p, c in parts.items()])
-    met = _spelled(texts.select(key, F.explode(each).alias("t")).select(key, "t.part", "t.f").where("f is not null"), [key, "part"], "f", dictionary)
+    met = _spelled(texts.select(key, F.explode(each).alias("t")).select(key, "t.part", "t.f").where("f is not null"), [key, "part"], "f", dictionary.select("place", "name", "spelling"))
     of = lambda p, c: F.when(F.col("part") == p, F.col(c))
     found = [x for p in parts for x in (F.min_by("name", of(p, "place")).alias(f"first_{p}"), F.array_sort(F.collect_set(of(p, "name"))).alias(f"all_{p}"))]
     return met.groupBy(key).agg(*found)

@@ -484,3 +484,18 @@ def test_top_links_of_one_place_go_by_url(spark):
     rows = [("s", u, 5, 3, "candidate") for u in ("http://x/b", "http://x/c", "http://x/a")]
     found = spark.createDataFrame(rows, "seed_url string, url string, score int, position int, status string").repartition(3)
     assert {r["url"]: r["rank"] for r in pages.top_links(found, 2).collect()} == {"http://x/a": 1, "http://x/b": 2}
+
+
+def test_runs_of_words_are_not_broadcast(spark, monkeypatch):
+    """Of a small dictionary the dictionary is, of a large one none is; with the same entries."""
+    texts = spark.range(40).select("id", F.lit("un bar commun et un homard").alias("f"))
+    known = spark.createDataFrame([(0, "bar", "bar commun"), (1, "homard", "homard"), (2, "none", "merou")], "place long, name string, spelling string")
+    plans, found = [], []
+    for most in (textmining.SMALL_DICTIONARY, 10):
+        monkeypatch.setattr(textmining, "SMALL_DICTIONARY", most)
+        met = textmining.entries_met(texts, "id", {"text": "f"}, known)
+        found.append({r["id"]: (r["first_text"], r["all_text"]) for r in met.collect()})
+        plans.append(met._jdf.queryExecution().executedPlan().toString())
+    assert "BuildRight" in plans[0] and "BuildLeft" not in plans[0]
+    assert "SortMergeJoin" in plans[1] and "BroadcastHashJoin" not in plans[1]
+    assert found[0] == found[1] and len(found[0]) == 40 and found[0][3] == ("bar", ["bar", "homard"])
