@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from halyard.functions.text import SPACE, bound, contains_any, fold_text, folded, groups_of, normalize_spaces, slugify
 from halyard.registry import MONTHS
+from halyard.staging import stored
 
 LINES = r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
 
@@ -90,6 +91,29 @@ def spellings_met(texts: DataFrame, keys: list[str], folded_text: str, dictionar
     return met.groupBy(*keys, "place", "name").agg(F.max_by("spelling", F.struct(F.length("spelling"), "spelling")).alias("spelling"))
 
 
+def names_met(texts: DataFrame, key: str, folded_text: str, dictionary: DataFrame) -> DataFrame:
+    """(key, first_name, n_names, longest): of the entries met in a folded text the first's name, how many names they have, and the longest spelling.
+
+    The digest of spellings_met without its rows, which are as many as texts
+    times entries where many entries share a spelling. A spelling has a row for
+    every 64 names, with a bit for each; bits, the least place and the last
+    spelling are gathered by text. Spellings are numbered by length, then as
+    they are.
+    """
+    known = stored(dictionary.select("place", "name", "spelling").where("spelling is not null"), "dictionary")
+    names = stored(known.select("name").distinct().withColumn("nth", F.monotonically_increasing_id()), "dictionary-names")
+    bit = F.expr("shiftleft(1L, cast(nth % 64 as int))")
+    bits = known.join(names, "name").groupBy("spelling", F.floor(F.col("nth") / 64).alias("block")).agg(F.bit_or(bit).alias("bits"), F.min("place").alias("place"))
+    spellings = known.select("spelling").distinct().orderBy(F.length("spelling"), "spelling").withColumn("entry", F.monotonically_increasing_id())
+    spellings = stored(spellings, "dictionary-spellings")
+    met = _spelled(texts, [key], folded_text, stored(bits.join(spellings, "spelling"), "dictionary-bits"))
+    blocks = met.groupBy(key, "block").agg(F.bit_or("bits").alias("bits"), F.min("place").alias("place"), F.max("entry").alias("entry"))
+    each = blocks.groupBy(key).agg(F.sum(F.bit_count("bits").cast("long")).alias("n_names"), F.min("place").alias("place"), F.max("entry").alias("entry"))
+    first = known.groupBy("place").agg(F.min("name").alias("first_name"))
+    named = each.join(first.hint("merge"), "place").join(spellings.withColumnRenamed("spelling", "longest").hint("merge"), "entry")
+    return named.select(key, "first_name", "n_names", "longest")
+
+
 def entries_met(texts: DataFrame, key: str, parts: dict[str, str], dictionary: DataFrame) -> DataFrame:
     """(key, and of each part first_PART and all_PART): the first entry of the dictionary met in each of a row's folded texts, and all, sorted.
 

@@ -499,3 +499,14 @@ def test_runs_of_words_are_not_broadcast(spark, monkeypatch):
     assert "BuildRight" in plans[0] and "BuildLeft" not in plans[0]
     assert "SortMergeJoin" in plans[1] and "BroadcastHashJoin" not in plans[1]
     assert found[0] == found[1] and len(found[0]) == 40 and found[0][3] == ("bar", ["bar", "homard"])
+
+
+def test_names_met_is_the_digest_of_spellings_met(spark):
+    """Many entries of one spelling and one name, over 64 names, spellings of several lengths, and words that only begin alike."""
+    texts = spark.createDataFrame([(1, "aa bb cc"), (2, "aa  bb"), (3, "aa bbx, cc"), (4, "zz"), (5, None), (6, "cc dd aa bb")], "id long, f string")
+    rows = [(n, f"n{n % 150}", ("aa bb", "cc", "cc dd", "bb cc")[n % 4]) for n in range(900, 100, -1)] + [(5, "gone", "qq"), (7, "n1", None), (8, "n2", "")]
+    known = spark.createDataFrame(rows, "place long, name string, spelling string")
+    met = textmining.spellings_met(texts, ["id"], "f", known)
+    want = met.groupBy("id").agg(F.min_by("name", "place"), F.countDistinct("name"), F.max_by("spelling", F.struct(F.length("spelling"), "spelling")))
+    got = textmining.names_met(texts, "id", "f", known)
+    assert sorted(r[:] for r in got.collect()) == sorted(r[:] for r in want.collect()) and got.count() == 3
