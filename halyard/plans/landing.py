@@ -213,8 +213,8 @@ def _spots(spark, d):
 la AS (SELECT spot_id, arg_min(lat, (abs(lat - latitude), lat)) AS lat FROM s, (SELECT DISTINCT lat FROM g) GROUP BY 1), lo AS (SELECT spot_id, arg_min(lon, (abs(lon - longitude), lon)) AS lon FROM s, (SELECT DISTINCT lon FROM g) GROUP BY 1)
 SELECT spot_id, lat, lon, arg_min(value, (depth, p_partkey)) AS value FROM la JOIN lo USING (spot_id) JOIN g USING (lat, lon) GROUP BY ALL""")
 def grid_nearest(spark, d):
-    near = grid.nearest_cells(_grid(spark, d), _spots(spark, d))
-    return grid.surface(near.withColumn("depth", F.struct("depth", "p_partkey")), ["spot_id"]).select("spot_id", "lat", "lon", "value")
+    cells = _grid(spark, d).withColumn("depth", F.struct("depth", "p_partkey"))
+    return grid.nearest_surface(cells, _spots(spark, d)).select("spot_id", "lat", "lon", "value")
 
 
 @plans.add(f"WITH {GRID_SQL}, s AS (SELECT min(s_suppkey % 53 + 0.4) - 0.25 AS a, max(s_suppkey % 53 + 0.4) + 0.25 AS b, min(s_nationkey * 0.45 + 0.1) - 0.25 AS c, max(s_nationkey * 0.45 + 0.1) + 0.25 AS e FROM supplier) SELECT lat, lon, count(*) AS n FROM g, s WHERE lat BETWEEN a AND b AND lon BETWEEN c AND e GROUP BY ALL")

@@ -459,3 +459,13 @@ def test_digest_shows_a_half_way_mean_whatever_the_sums_order(spark):
     hits = forecasts.select(F.lit(1).alias("alert_id"), "spot_id", "valid_time")
     got = alerts.digests(hits, forecasts, ["t"]).first()
     assert mean != 15.65 and [s["t"] for s in got["spots"]] == ["15.7", "15.7", "0.0", "1000000000000.0", "N/A", "9.6"]
+
+
+def test_nearest_surface_is_the_surface_of_nearest_cells(spark):
+    """Cells with several depths, spots that share a cell: a row a spot, made of one row a cell."""
+    cells = [(float(a), float(o), float(z), a * 100 + o * 10 + z) for a in (0, 2) for o in (0, 3) for z in (5, 1, 3)]
+    g = spark.createDataFrame(cells, "lat double, lon double, depth double, value long")
+    spots = spark.createDataFrame([("a", 0.4, 2.0), ("b", 0.4, 2.0), ("c", 1.0, 1.5), ("d", 9.0, -9.0), ("e", None, 1.0)], "spot_id string, latitude double, longitude double")
+    want = sorted(r[:] for r in grid.surface(grid.nearest_cells(g, spots), ["spot_id"]).select("spot_id", "lat", "lon", "depth", "value").collect())
+    got = sorted(r[:] for r in grid.nearest_surface(g, spots).select("spot_id", "lat", "lon", "depth", "value").collect())
+    assert got == want and [r[3] for r in got] == [1.0] * 4
