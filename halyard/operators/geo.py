@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from halyard.staging import stored
+
 SIDES = ("lat_min", "lat_max", "lon_min", "lon_max")
 NUMBER = r"-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?"
 
@@ -51,6 +53,10 @@ def envelope(items: DataFrame) -> DataFrame:
 
 #: Side of a cell of level 0 in degrees, and how many times as long a cell's side is a level up.
 CELL, STEP = 0.01, 4
+#: Rows of a table in one cell that meet those of the other's in one group; a cell with more is dealt into blocks of about as many.
+BLOCK = 2_000
+#: Pairs that share a cell in one task, about; and most tasks.
+TASK_PAIRS, MOST_TASKS = 16_000_000, 4_096
 
 
 def _levels(df: DataFrame) -> list[int]:
@@ -58,6 +64,28 @@ def _levels(df: DataFrame) -> list[int]:
     return sorted(r[0] for r in df.select("level").distinct().collect())
 
 
+def _met(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cells: list[str]) -> DataFrame:
+    """a and b joined by cell; a crowded cell's rows are dealt into blocks by id, and each block of one table meets each of the other's in a group of its own.
+
+    Both tables must carry their id. Only cells of more than BLOCK rows have
+    several blocks. The number of tasks goes by the pairs to be looked at: the
+    tables themselves are small beside them.
+    """
+    count = lambda df, n: df.groupBy(*cells).agg(F.count("*").alias(n))
+    sized = count(a, "na").join(count(b, "nb"), cells)
+    parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    blocks = stored(sized.select(*cells, parts("na").alias("na"), parts("nb").alias("nb"), (F.col("na").cast("double") * F.col("nb")).alias("pairs")), "box-blocks")
+    pairs = blocks.agg(F.sum("pairs")).first()[0] or 0
+    tasks = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, int(pairs // TASK_PAIRS) + 1))
+    blocks = blocks.drop("pairs")
+    part = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt_a = a.join(blocks, cells).withColumn("pa", part(a_id, "na")).withColumn("pb", every("nb")).drop("na", "nb")
+    dealt_b = b.join(blocks, cells).withColumn("pb", part(b_id, "nb")).withColumn("pa", every("na")).drop("na", "nb")
+    keys = [*cells, "pa", "pb"]
+    return dealt_a.repartition(tasks, *keys).hint("shuffle_hash").join(dealt_b.repartition(tasks, *keys), keys)
+
+
 def overlapping(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float = CELL) -> DataFrame:
     """(a_id, b_id) of boxes that overlap, edges included; boxes without a side are left out.
 
@@ -89,8 +117,8 @@ def overlapping(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float =
 
     a_rows, b_rows = sized(a, a_id, "a_"), sized(b, b_id, "b_")
     cells = ["at", "cy", "cx"]
-    larger_a = home(a_rows, "a_").join(above(b_rows, "b_", _levels(a_rows), True).drop("side"), cells)
-    larger_b = above(a_rows, "a_", _levels(b_rows), False).join(home(b_rows, "b_").drop("side"), cells)
+    larger_a = _met(home(a_rows, "a_"), above(b_rows, "b_", _levels(a_rows), True).drop("side"), a_id, b_id, cells)
+    larger_b = _met(above(a_rows, "a_", _levels(b_rows), False), home(b_rows, "b_").drop("side"), a_id, b_id, cells)
     met = larger_a.unionByName(larger_b)
     first = lambda s: F.floor(F.greatest(f"a_{s}", f"b_{s}") / F.col("side"))
     met = met.where((F.col("cy") == first("lat_min")) & (F.col("cx") == first("lon_min")))

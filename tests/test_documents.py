@@ -510,3 +510,15 @@ def test_names_met_is_the_digest_of_spellings_met(spark):
     want = met.groupBy("id").agg(F.min_by("name", "place"), F.countDistinct("name"), F.max_by("spelling", F.struct(F.length("spelling"), "spelling")))
     got = textmining.names_met(texts, "id", "f", known)
     assert sorted(r[:] for r in got.collect()) == sorted(r[:] for r in want.collect()) and got.count() == 3
+
+
+def test_boxes_of_a_crowded_cell_meet_in_blocks(spark, monkeypatch):
+    """All of 60 and 90 boxes overlap in one cell: every pair once, in groups of a few."""
+    monkeypatch.setattr(geo, "BLOCK", 10)
+    side = [F.lit(x).alias(s) for x, s in zip((0.0, 1.0, 0.0, 1.0), geo.SIDES)]
+    a, b = spark.range(60).select(F.col("id").alias("a"), *side), spark.range(90).select(F.col("id").alias("b"), *side)
+    cells = lambda df, p: df.select(p, F.lit(0).alias("c"))
+    groups = geo._met(cells(a, "a"), cells(b, "b"), "a", "b", ["c"]).groupBy("pa", "pb").count().collect()
+    assert len(groups) > 40 and sum(r["count"] for r in groups) == 5400 and max(r["count"] for r in groups) < 540
+    got = [r[:] for r in geo.overlapping(a, b, "a", "b").collect()]
+    assert len(got) == len(set(got)) == 5400
