@@ -28,7 +28,10 @@ MARKED, PLAIN = ("".join(x) for x in zip(*[(a, b) for a, b in CANONICAL.items()
 MARKED_ASCII, ASCII = ("".join(x) for x in zip(*[(a, b) for a, b in zip(MARKED, PLAIN) if b < "\x80"]))
 
 #: White space as Unicode text has it, the no-break and the ideographic space among it.
-SPACE = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Other ASCII, the most by far, is told apart by one range before the list is looked at.
+SPACE = r"[[^!-~]&&[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+#: Runs of it that are not one plain space already.
+UNEVEN = rf"[{SPACE}&&[^ ]]{SPACE}*| {SPACE}+"
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -38,7 +41,7 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def normalize_spaces(c: Column) -> Column:
     """Runs of white space, of whatever kind, as one space; none at the ends."""
-    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
+    return F.trim(F.regexp_replace(c, UNEVEN, " "))
 
 
 def strip_spaces(c: Column) -> Column:
@@ -98,7 +101,7 @@ def groups_of(c: Column, pattern: str, count: int) -> Column:
     """The groups of a pattern's first match, as an array, by one look; null without one. A group that took no part is empty."""
     head = "" if pattern.startswith("^") else r"\A.*?"
     marked = F.regexp_replace(c, rf"(?s){head}{pattern}.*\z", "\u0001" + "\u0001".join(f"${i + 1}" for i in range(count)))
-    return F.when(marked.startswith("\u0001"), F.slice(F.split(marked, "\u0001"), 2, count))
+    return bound(marked, lambda m: F.when(m.startswith("\u0001"), F.slice(F.split(m, "\u0001"), 2, count)))
 
 
 def constant(value: object, kind: str) -> Column:

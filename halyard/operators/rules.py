@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from halyard.functions.text import constant, contains_any, fold_text, metric_text, normalize_spaces, short_hash, strip_spaces
+from halyard.functions.text import bound, constant, contains_any, fold_text, metric_text, normalize_spaces, short_hash, strip_spaces
 from halyard.operators.textmining import validity
 from halyard.registry import OTHER_ACTIVITY, RULE_ACTIVITY, RULE_CONSTRAINT, RULE_RANK, SCIENTIFIC, SPECIES
 
@@ -23,11 +23,8 @@ def dated(rules: DataFrame, current_year: int) -> DataFrame:
 
 def marked_units(units: DataFrame, groups: list[tuple[str, ...]], noise: tuple[str, ...], least: int = 45, most: int = 520) -> DataFrame:
     """Units of a length from least to most that hold a word of every group and none of noise."""
-    f = fold_text(F.col("unit"))
-    rows = units.where(F.length("unit").between(least, most)).where(~contains_any(f, noise))
-    for words in groups:
-        rows = rows.where(contains_any(f, words))
-    return rows
+    held = lambda f: reduce(lambda a, words: a & contains_any(f, words), groups, ~contains_any(f, noise))
+    return units.where(F.length("unit").between(least, most) & bound(fold_text(F.col("unit")), held))
 
 
 #: Citations of decrees in a folded description, which do not count in its signature (fixed value).

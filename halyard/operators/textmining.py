@@ -12,7 +12,10 @@ from halyard.functions.text import SPACE, bound, contains_any, fold_text, folded
 from halyard.registry import MONTHS
 from halyard.staging import stored
 
-LINES = r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
+LINE = r"[\n\r\u000b\u000c\u001c\u001d\u001e\u0085  ]"
+LINES = rf"\r\n|{LINE}"
+#: Space that ends a sentence: after its mark, or from an end of line on; what is no space is passed over by one look.
+UNIT_END = rf"{SPACE}(?<=[.;:!?]{SPACE}|{LINE}){SPACE}*"
 
 
 def text_lines(c: Column) -> Column:
@@ -22,7 +25,7 @@ def text_lines(c: Column) -> Column:
 
 def text_units(c: Column) -> Column:
     """Sentences: lines cut after . ; : ! ? and space; single spaces, straight apostrophes, none empty."""
-    cut = F.flatten(F.transform(F.split(c, LINES), lambda line: F.split(line, rf"(?<=[.;:!?]){SPACE}+")))
+    cut = F.split(F.regexp_replace(c, UNIT_END, "\n"), "\n")
     return F.filter(F.transform(cut, lambda u: F.replace(normalize_spaces(u), F.lit("’"), F.lit("'"))), lambda u: u != "")
 
 

@@ -263,6 +263,26 @@ def test_sentences(spark):
     assert df.select(textmining.find_sentence(F.col("t"), ["un", "trois"])).first()[0] == "Un. Deux: trois!"
 
 
+def test_units_and_spaces_as_their_definition_has_them(spark):
+    import random
+    import re
+
+    rng, space = random.Random(12), " \t\n\u000b\u000c\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680\u2009\u2028\u2029\u202f\u205f\u3000"
+    one = lambda u: re.sub(f"[{space}]+", " ", u).strip(" ")
+    texts = ["".join(rng.choice("ab.:?é\u2019" + space + "      ") for _ in range(rng.randrange(30))) for _ in range(2000)] + ["a.\r\n b", "a. \r\n b", " . "]
+    lines = lambda t: re.split("\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]", t)
+    units = lambda t: [one(u).replace("\u2019", "'") for line in lines(t) for u in re.split(f"(?<=[.;:!?])[{space}]+", line) if one(u)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.normalize_spaces(F.col("t")), textmining.text_units(F.col("t"))).collect()
+    assert [tuple(r) for r in got] == [(t, one(t), units(t)) for t in texts]
+
+
+def test_a_unit_is_folded_once_however_many_words_are_asked_for(spark):
+    units = spark.createDataFrame([(1, "Ça dépend de la réglementation et du comité, la licence non."), (2, "Ça dépend de la réglementation et de la page du comité, non.")], "doc int, unit string")
+    kept = rules.marked_units(units, [("tion", "ment"), (" de ", " la ")], ("license", "page"))
+    assert [r["doc"] for r in kept.collect()] == [1]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+
+
 def rule_rows(spark):
     rows = [("k1", "MIN_SIZE", "Bar 42", "SIZE_MIN_CM", 42.0, "bar", "z", 2, 0), ("k2", "MIN_SIZE", "Bar 42 encore", "SIZE_MIN_CM", 42.0, "bar", "z", 1, 1), ("k3", "MIN_SIZE", "Bar 45", "SIZE_MIN_CM", 45.0, "bar", "z", 1, 2)]
     df = spark.createDataFrame(rows, "rule_key string, rule_type string, description string, metric_type string, metric_value double, species_common_name string, zone_code string, source_priority int, seq int")
