@@ -286,9 +286,12 @@ def reference_year(c: Column, current: int) -> Column:
     """The current year if the text names it, else the latest from the last year on, else the latest; null without one."""
     plain = F.regexp_extract_all(c, F.lit(r"\b(20\d{2})\b"), F.lit(1))
     packed = F.regexp_extract_all(c, F.lit(r"(?<!\d)(20\d{2})(?=\d{4}\b)"), F.lit(1))
-    years = F.transform(F.concat(plain, packed), lambda y: y.cast("int"))
-    late = F.filter(years, lambda y: y >= current - 1)
-    return F.when(F.array_contains(years, current), F.lit(current)).when(F.size(late) > 0, F.array_max(late)).when(F.size(years) > 0, F.array_max(years))
+
+    def told(years: Column) -> Column:
+        late = F.filter(years, lambda y: y >= current - 1)
+        return F.when(F.array_contains(years, current), F.lit(current)).when(F.size(late) > 0, F.array_max(late)).when(F.size(years) > 0, F.array_max(years))
+
+    return bound(F.transform(F.concat(plain, packed), lambda y: y.cast("int")), told)
 
 
 CONSULTATION = ("consultation du public", "observations formulees", "en application de l'article", "code des relations entre le public", "procedure de participation")
@@ -312,8 +315,10 @@ def validity(docs: DataFrame, key: str, current_year: int, text: str = "text", t
     """
     doc = docs.select(key, F.coalesce(F.col(title), F.lit("")).alias("title"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     whole = normalize_spaces(F.concat_ws(" ", "text", "title", "url"))
-    units = doc.select(key, reference_year(F.concat_ws(" ", "title", "url"), current_year).alias("_year"), F.posexplode(text_units(whole)).alias("position", "unit"))
-    units = units.withColumn("f", fold_text(F.col("unit"))).where(~contains_any(F.col("f"), CONSULTATION))
+    # units are folded once, and only those with a date go on
+    cut = F.transform(text_units(whole), lambda u: F.struct(u.alias("unit"), fold_text(u).alias("f")))
+    dating = F.filter(cut, lambda u: u["f"].rlike(DATE_PATTERN) & ~contains_any(u["f"], CONSULTATION))
+    units = doc.select(key, reference_year(F.concat_ws(" ", "title", "url"), current_year).alias("_year"), F.posexplode(dating).alias("position", "u")).select(key, "_year", "position", "u.*")
     units = units.withColumn("year", F.coalesce(reference_year(F.col("unit"), current_year), "_year"))
     f, year, none = F.col("f"), F.col("year"), F.lit(None).cast("string")
     wording = lambda reason, p, first, last: bound(groups_of(f, p, 2 if first and last else 1), lambda g: F.when(g.isNotNull(), F.struct(F.lit(reason).alias("reason"), (F.get(g, F.lit(0)) if first else none).alias("first"), (F.get(g, F.lit(1 if first else 0)) if last else none).alias("last"))))

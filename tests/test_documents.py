@@ -283,6 +283,17 @@ def test_a_unit_is_folded_once_however_many_words_are_asked_for(spark):
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
 
 
+def test_validity_folds_a_unit_once_and_parts_go_to_all_tasks(spark):
+    from halyard.plans import documents
+
+    rows = [(1, "Bar. Consultation du public le 3 mars 2026. Ferme du 1er mai au 3 juin.", "", "https://x/2026"), (2, "Sans date. Rien", "", "")]
+    told = textmining.validity(spark.createDataFrame(rows, "doc int, text string, title string, url string"), "doc", 2026)
+    assert [(r["doc"], r["valid_from"], r["valid_to"]) for r in told.collect()] == [(1, dt.date(2026, 5, 1), dt.date(2026, 6, 3))]
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("translate(lambda"), plan.count("translate(unit")) == (1, 0)
+    assert documents._parts(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def rule_rows(spark):
     rows = [("k1", "MIN_SIZE", "Bar 42", "SIZE_MIN_CM", 42.0, "bar", "z", 2, 0), ("k2", "MIN_SIZE", "Bar 42 encore", "SIZE_MIN_CM", 42.0, "bar", "z", 1, 1), ("k3", "MIN_SIZE", "Bar 45", "SIZE_MIN_CM", 45.0, "bar", "z", 1, 2)]
     df = spark.createDataFrame(rows, "rule_key string, rule_type string, description string, metric_type string, metric_value double, species_common_name string, zone_code string, source_priority int, seq int")
